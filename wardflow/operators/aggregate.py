@@ -74,30 +74,60 @@ def lookup_daily(rows: DataFrame, daily: DataFrame, window_hours: int, value_nam
 def pivot_features(windowed: DataFrame, window_hours: int, categories=FEATURE_COLUMNS,
                    daily_category: str = "urine", day_index: str = "as_written",
                    stay: str = "icustay_id", daily: DataFrame | None = None) -> DataFrame:
-    """U1 (D3 + C5 + D6) for every stay at once.
-
-    The mean and the pivot are one ``groupBy(stay, window)`` with one
-    conditional average per category, i.e. one shuffle of partially
-    aggregated rows.  A window whose rows all fall outside ``categories``
-    still yields a row of NULLs, as crosstab does.  The daily category's
-    value is the daily lookup, present only where the window holds a
-    positive reading of that category.
+    """U1 (D3 + C5 + D6) for every stay at once, reading the rows once.
+
+    1. One ``groupBy(stay, window)`` (partial aggregate before its shuffle)
+       computes a conditional mean per category over strictly positive
+       values (B10), whether the window has any positive value (a window
+       without one has no row, as in the reference), and the window's share
+       of the daily total (all values >= 0 of the daily category).
+    2. Every window size divides 24 h, so a window lies inside exactly one
+       24-h window, ``day = floor((tw - 1) * w / 24) + 1``.  The daily total
+       of that day and of the next one are range-framed window sums over the
+       stay's window rows ordered by ``day`` (frames [0, 0] and [1, 1]); the
+       lookup (C5) picks the day the reference text asks for.  These windows
+       are partitioned by stay, like the LOCF that follows, so the second
+       and last shuffle moves aggregated window rows only.
+
+    A window whose positive rows all fall outside ``categories`` still
+    yields a row of NULLs, as crosstab does.  The daily category's value is
+    present only where the window holds a positive reading of it.  Passing
+    ``daily`` (a (stay, tw_24hr, total) table) uses the join form instead.
     """
     tw = window_column(window_hours)
     cat = F.lower("itemcat")
     v = F.col("valuenum")
-    aggs = [F.avg(F.when(cat == c, v)).alias(c) for c in categories if c != daily_category]
+    pos = v > 0
+    aggs = [F.avg(F.when(pos & (cat == c), v)).alias(c)
+            for c in categories if c != daily_category]
+    aggs.append(F.max(F.when(pos, F.lit(1))).alias("__any_pos"))
     has_daily = daily_category in categories
+    want_day = (day_of_window(F.col("tw_hour_idx"), window_hours, day_index)
+                if has_daily else None)
     if has_daily:
-        aggs.append(F.max(F.when(cat == daily_category, F.lit(1))).alias("__has_daily"))
-    wide = (windowed.where(v > 0)
-            .groupBy(stay, F.col(tw).alias("tw_hour_idx")).agg(*aggs))
+        aggs.append(F.max(F.when(pos & (cat == daily_category), F.lit(1))).alias("__has_daily"))
+    inline = want_day is not None and daily is None
+    if inline:
+        aggs.append(F.sum(F.when(cat == daily_category, v)).alias("__daily_part"))
+    agg = windowed.groupBy(stay, F.col(tw).alias("tw_hour_idx")).agg(*aggs)
+    if inline:
+        day = (F.floor((F.col("tw_hour_idx") - 1) * F.lit(window_hours) / F.lit(24)) + 1)
+        agg = agg.withColumn("__day", day.cast("double"))
+        by_day = W.partitionBy(stay).orderBy("__day")
+        this_day = F.sum("__daily_part").over(by_day.rangeBetween(0, 0))
+        next_day = F.sum("__daily_part").over(by_day.rangeBetween(1, 1))
+        agg = agg.withColumn(
+            "__daily",
+            F.when(want_day == F.col("__day"), this_day * F.lit(window_hours) / F.lit(24))
+             .when(want_day == F.col("__day") + 1, next_day * F.lit(window_hours) / F.lit(24)))
+    wide = agg.where(F.col("__any_pos") == 1)
     if has_daily:
-        d = daily if daily is not None else daily_total(windowed, daily_category, stay)
-        wide = lookup_daily(wide, d, window_hours, "__daily", day_index, stay)
-        wide = (wide.withColumn(daily_category,
-                                F.when(F.col("__has_daily") == 1, F.col("__daily")))
-                    .drop("__has_daily", "__daily"))
+        if want_day is None:
+            wide = wide.withColumn("__daily", F.lit(None).cast("double"))
+        elif not inline:
+            wide = lookup_daily(wide, daily, window_hours, "__daily", day_index, stay)
+        wide = wide.withColumn(daily_category,
+                               F.when(F.col("__has_daily") == 1, F.col("__daily")))
     return wide.select(stay, "tw_hour_idx", *categories)
 
 

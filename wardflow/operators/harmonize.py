@@ -22,20 +22,27 @@ from wardflow.sources import dictionary as dic
 
 def map_codes(df: DataFrame, mapping: DataFrame, code: str = "itemid",
               source: str | None = None, source_col: str = "source",
-              keep_ineffective: bool = False) -> DataFrame:
-    """B6 as a join: attach ``itemcat`` from a (source, itemid, itemcat,
-    priority, effective) table.  The mapping is a dictionary whose size does
-    not grow with the events, so it is broadcast (no shuffle of events).
-    Codes with no mapping drop; with several mappings the lowest priority
-    wins (first CASE arm)."""
+              keep_ineffective: bool = False, first_match: bool = False) -> DataFrame:
+    """B6 as a join: attach ``itemcat`` (and any other mapping columns) from
+    a (source, itemid, itemcat, priority, effective, ...) table.
+
+    The mapping is a dictionary whose size does not grow with the events,
+    so it is broadcast and the events are never shuffled.  Unmapped codes
+    drop.  Codes must be unique per source (``code_map()`` guarantees it);
+    ``first_match=True`` resolves repeated codes by lowest priority first,
+    like the first arm of a CASE.
+    """
     m = mapping
     if source is not None:
         m = m.where(F.col(source_col) == source)
     if not keep_ineffective:
         m = m.where("effective")
     carry = [c for c in m.columns if c not in (source_col, "itemid", "priority", "effective")]
-    m = (m.groupBy(F.col("itemid").alias("__code"))
-          .agg(*[F.min_by(c, "priority").alias(c) for c in carry]))
+    if first_match:
+        m = (m.groupBy(F.col("itemid").alias("__code"))
+              .agg(*[F.min_by(c, "priority").alias(c) for c in carry]))
+    else:
+        m = m.select(F.col("itemid").alias("__code"), *carry)
     return df.join(F.broadcast(m), df[code] == m["__code"], "inner").drop("__code")
 
 

@@ -61,8 +61,9 @@ def analogue_code_map(spark: SparkSession) -> DataFrame:
         T.StructField("effective", T.BooleanType(), False),
         T.StructField("scale", T.DoubleType(), False),
     ])
+    from wardflow.sources.literal import local_table
     rows = [("events", k, cat, 0, eff, sc) for k, cat, eff, sc in analogue_code_rows()]
-    return spark.createDataFrame(rows, schema)
+    return local_table(spark, rows, schema)
 
 
 def event_rows(events: DataFrame) -> DataFrame:

@@ -129,7 +129,8 @@ STAY_TOLERANCE_SECONDS = 3600
 
 def feature_dictionary(spark: SparkSession) -> DataFrame:
     """A2: the 24-row dictionary with NOT NULL idx/category/unit."""
-    return spark.createDataFrame(FEATURE_ROWS, schemas.FEATURE_DICTIONARY)
+    from wardflow.sources.literal import local_table
+    return local_table(spark, FEATURE_ROWS, schemas.FEATURE_DICTIONARY)
 
 
 def code_map(spark: SparkSession) -> DataFrame:
@@ -156,7 +157,8 @@ def code_map(spark: SparkSession) -> DataFrame:
         T.StructField("priority", T.IntegerType(), False),
         T.StructField("effective", T.BooleanType(), False),
     ])
-    return spark.createDataFrame(rows, schema)
+    from wardflow.sources.literal import local_table
+    return local_table(spark, rows, schema)
 
 
 def whitelist(source: str) -> list[int]:

@@ -238,3 +238,178 @@ def crosstab_by_name_w24(spark, sf_dir):
     means = window_means(_windowed(spark, sf_dir), 24)
     return rounded(crosstab(means, ["icustay_id", "tw_hour_idx"], "category", "valuenum",
                             dic.FEATURE_COLUMNS))
+
+
+# ---------------------------------------------------------------------------
+# cohort, semi joins, interval joins
+# ---------------------------------------------------------------------------
+
+def _cohort(spark, sf_dir):
+    from wardflow.operators.cohort import build_cohort
+    return build_cohort(an.patients(an.load(spark, sf_dir, "customer")),
+                        an.stays(an.load(spark, sf_dir, "orders")))
+
+
+COHORT_SQL_COLS = ("subject_id, icustay_id, hadm_id, gender, dbsource, first_careunit, "
+                   "last_careunit, first_wardid, last_wardid, intime, outtime, "
+                   + O.R("los") + " AS los, pt_age")
+
+
+@register("cohort_filter", O.with_(O.patients_stays_ctes())
+          + f"\nSELECT {COHORT_SQL_COLS} FROM cohort")
+def cohort_filter(spark, sf_dir):
+    """B3 + C1: adults 16-75 (calendar-year age) with stays > 0.5 day."""
+    return rounded(_cohort(spark, sf_dir))
+
+
+@register("ordered_output", O.with_(O.patients_stays_ctes())
+          + f"\nSELECT {COHORT_SQL_COLS} FROM cohort ORDER BY pt_age, icustay_id")
+def ordered_output(spark, sf_dir):
+    """the cohort as a stored relation ordered by age (output sort only)."""
+    return rounded(_cohort(spark, sf_dir)).orderBy("pt_age", "icustay_id")
+
+
+@register("restrict_subject", O.with_(O.patients_stays_ctes()) + """
+SELECT event_id, user_id, event_type, value FROM events
+WHERE user_id IN (SELECT DISTINCT subject_id FROM cohort)""")
+def restrict_subject(spark, sf_dir):
+    """Event log rows of cohort subjects (left semi join)."""
+    from wardflow.operators.cohort import restrict
+    ev = an.load(spark, sf_dir, "events")
+    return restrict(ev, _cohort(spark, sf_dir), "user_id", "subject_id").select(
+        "event_id", "user_id", "event_type", "value")
+
+
+@register("restrict_admission", O.with_(O.patients_stays_ctes()) + """
+SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem
+WHERE l_orderkey IN (SELECT DISTINCT hadm_id FROM cohort)""")
+def restrict_admission(spark, sf_dir):
+    """Rows of cohort admissions."""
+    from wardflow.operators.cohort import restrict
+    li = an.load(spark, sf_dir, "lineitem")
+    return restrict(li, _cohort(spark, sf_dir), "l_orderkey", "hadm_id").select(
+        "l_orderkey", "l_linenumber", "l_quantity")
+
+
+@register("restrict_stay", O.with_(O.patients_stays_ctes()) + """
+SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem
+WHERE l_orderkey IN (SELECT icustay_id FROM cohort)""")
+def restrict_stay(spark, sf_dir):
+    """Rows of cohort stays."""
+    from wardflow.operators.cohort import restrict
+    li = an.load(spark, sf_dir, "lineitem")
+    return restrict(li, _cohort(spark, sf_dir), "l_orderkey", "icustay_id").select(
+        "l_orderkey", "l_linenumber", "l_partkey")
+
+
+LAB_TOLERANCE_DAYS = 30
+
+
+@register("interval_join_one_key", O.with_(O.patients_stays_ctes()) + f"""
+SELECT l.l_orderkey AS hadm_id, l.l_linenumber AS linenumber, s.icustay_id,
+       l.l_shipdate AS charttime, s.intime, s.outtime, l.l_quantity AS valuenum
+FROM lineitem l JOIN s ON l.l_orderkey = s.hadm_id
+WHERE epoch_us(l.l_shipdate) - epoch_us(s.intime) >= -{LAB_TOLERANCE_DAYS * O.DAY_US}
+  AND epoch_us(s.outtime) - epoch_us(l.l_shipdate) >= -{LAB_TOLERANCE_DAYS * O.DAY_US}""")
+def interval_join_one_key(spark, sf_dir):
+    """Lab-like rows get the stay whose span (± 30 days here) holds them."""
+    from wardflow.operators.harmonize import labs_with_stays
+    labs = an.lab_rows(an.load(spark, sf_dir, "lineitem"))
+    st = an.stays(an.load(spark, sf_dir, "orders"))
+    j = labs_with_stays(labs, st, tolerance_seconds=LAB_TOLERANCE_DAYS * 86400)
+    return j.select("hadm_id", "linenumber", "icustay_id", "charttime", "intime", "outtime",
+                    "valuenum")
+
+
+@register("interval_join_two_keys", """
+WITH spans AS (
+  SELECT user_id AS subject_id, user_id AS hadm_id, min(ts) AS intime, max(ts) AS outtime
+  FROM events GROUP BY user_id, date_trunc('week', ts))
+SELECT e.event_id, e.user_id AS icustay_id, e.ts AS charttime, s.intime, s.outtime
+FROM events e JOIN spans s ON e.user_id = s.subject_id AND e.user_id = s.hadm_id
+WHERE epoch_us(e.ts) - epoch_us(s.intime) >= -3600000000
+  AND epoch_us(s.outtime) - epoch_us(e.ts) >= -3600000000""")
+def interval_join_two_keys(spark, sf_dir):
+    """C4: events joined on (subject, admission) to weekly spans within one
+    hour; the event keeps its own stay id and an event near a week boundary
+    matches both weeks (Q19)."""
+    from wardflow.operators.intervals import interval_join
+    ev = an.load(spark, sf_dir, "events")
+    spans = (ev.groupBy("user_id", F.date_trunc("week", "ts").alias("wk"))
+               .agg(F.min("ts").alias("intime"), F.max("ts").alias("outtime"))
+               .select(F.col("user_id").alias("subject_id"), F.col("user_id").alias("hadm_id"),
+                       "intime", "outtime"))
+    rows = an.event_rows(ev)
+    j = interval_join(rows, spans, on=["subject_id", "hadm_id"], ts="charttime")
+    return j.select("event_id", "icustay_id", "charttime", "intime", "outtime")
+
+
+# ---------------------------------------------------------------------------
+# GCS components, text, dictionary statistics
+# ---------------------------------------------------------------------------
+
+@register("component_total", """
+WITH c AS (
+  SELECT l_orderkey * 8 + l_linenumber AS row_id, l_suppkey AS subject_id,
+         l_orderkey AS hadm_id, l_orderkey AS icustay_id, l_shipdate AS charttime,
+         CASE l_linenumber WHEN 1 THEN 198 WHEN 2 THEN 220739 WHEN 3 THEN 223900
+                           WHEN 4 THEN 223901 ELSE 0 END AS itemid,
+         CAST(l_quantity AS VARCHAR) AS value, l_quantity / 4 AS valuenum
+  FROM lineitem),
+g AS (
+  SELECT subject_id, hadm_id, icustay_id, charttime, valuenum FROM (
+    SELECT DISTINCT row_id, subject_id, hadm_id, icustay_id, charttime, value, valuenum
+    FROM c WHERE itemid = 198)
+  UNION ALL
+  SELECT subject_id, hadm_id, icustay_id, charttime, sum(val) AS valuenum FROM (
+    SELECT DISTINCT row_id, subject_id, hadm_id, icustay_id, charttime, valuenum AS val
+    FROM c WHERE itemid IN (220739, 223900, 223901))
+  GROUP BY charttime, subject_id, hadm_id, icustay_id)
+SELECT subject_id, hadm_id, icustay_id, 'GCS' AS itemcat, 198 AS itemid, charttime,
+       """ + O.R("valuenum") + """ AS valuenum, 'points' AS valueuom
+FROM g WHERE valuenum IS NOT NULL AND valuenum >= 3""")
+def component_total(spark, sf_dir):
+    """D2 + D4 + G1 + Q15: GCS-like totals = direct totals UNION ALL summed
+    components (de-duplicated), kept when >= 3."""
+    from wardflow.operators.harmonize import gcs_branch
+    li = an.load(spark, sf_dir, "lineitem")
+    code = (F.when(F.col("l_linenumber") == 1, 198).when(F.col("l_linenumber") == 2, 220739)
+             .when(F.col("l_linenumber") == 3, 223900).when(F.col("l_linenumber") == 4, 223901)
+             .otherwise(0))
+    chart = li.select(
+        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("row_id"),
+        F.col("l_suppkey").alias("subject_id"), F.col("l_orderkey").alias("hadm_id"),
+        F.col("l_orderkey").alias("icustay_id"), F.col("l_shipdate").alias("charttime"),
+        code.alias("itemid"), F.col("l_quantity").cast("string").alias("value"),
+        (F.col("l_quantity") / 4).alias("valuenum"), F.lit("points").alias("valueuom"))
+    g = gcs_branch(chart)
+    return rounded(g.select("subject_id", "hadm_id", "icustay_id", "itemcat", "itemid",
+                            "charttime", "valuenum", "valueuom"))
+
+
+@register("text_format", "SELECT l_orderkey, l_linenumber, "
+          + O.text_sql("l_extendedprice", 3) + " AS price_text, "
+          + O.text_sql("l_discount * 100", 3) + " AS percent_text, "
+          + O.text_sql("(l_quantity - 32) * 5 / 9", 3) + " AS celsius_text, "
+          + O.text_sql("l_tax / 1000", 6) + " AS litre_text FROM lineitem")
+def text_format(spark, sf_dir):
+    """H7: display text (at most n places, no trailing zeros)."""
+    from wardflow.functions.units import value_text
+    li = an.load(spark, sf_dir, "lineitem")
+    return li.select(
+        "l_orderkey", "l_linenumber",
+        value_text("l_extendedprice", 3).alias("price_text"),
+        value_text(F.col("l_discount") * 100, 3).alias("percent_text"),
+        value_text((F.col("l_quantity") - 32) * 5 / 9, 3).alias("celsius_text"),
+        value_text(F.col("l_tax") / 1000, 6).alias("litre_text"))
+
+
+@register("dictionary_stats", O.with_(O.events_windowed_ctes()) + """
+SELECT itemcat, """ + O.R("median(valuenum)") + " AS median_value, "
+          + O.R("avg(valuenum)") + """ AS mean_value, count(*) AS n
+FROM lng WHERE valuenum IS NOT NULL GROUP BY itemcat""")
+def dictionary_stats(spark, sf_dir):
+    """Per-category exact median and mean computed from the data."""
+    from wardflow.operators.aggregate import dictionary_stats as stats
+    ev = an.load(spark, sf_dir, "events")
+    return rounded(stats(an.events_long(spark, ev)))

@@ -180,3 +180,38 @@ def total_expr() -> str:
 
 def with_(*ctes: str) -> str:
     return "WITH " + ",".join(c.strip("\n") for c in ctes)
+
+
+DAY_US = 86_400_000_000
+
+
+def patients_stays_ctes() -> str:
+    """CTEs p (patients from customer) and s (stays from orders)."""
+    return f"""
+p AS (
+  SELECT c_custkey AS subject_id, c_mktsegment AS gender,
+         make_timestamp(CAST(floor((c_acctbal + 1000.0) / 100.0) + 1900 AS INTEGER), 7, 1, 0, 0, 0)
+           AS dob
+  FROM customer),
+s AS (
+  SELECT o_custkey AS subject_id, o_orderkey AS hadm_id, o_orderkey AS icustay_id,
+         o_orderstatus AS dbsource, o_orderpriority AS first_careunit,
+         o_orderpriority AS last_careunit, CAST(NULL AS INTEGER) AS first_wardid,
+         CAST(NULL AS INTEGER) AS last_wardid, o_orderdate AS intime,
+         make_timestamp(epoch_us(o_orderdate)
+                        + CAST(floor(o_totalprice / 100000.0 * {float(DAY_US)!r}) AS BIGINT))
+           AS outtime,
+         o_totalprice / 100000.0 AS los
+  FROM orders),
+cohort AS (
+  SELECT s.subject_id, s.icustay_id, s.hadm_id, p.gender, s.dbsource, s.first_careunit,
+         s.last_careunit, s.first_wardid, s.last_wardid, s.intime, s.outtime, s.los,
+         CAST(year(s.intime) - year(p.dob) AS DOUBLE) AS pt_age
+  FROM p JOIN s ON p.subject_id = s.subject_id
+  WHERE year(s.intime) - year(p.dob) >= 16 AND year(s.intime) - year(p.dob) <= 75
+    AND s.los > 0.5)"""
+
+
+def text_sql(expr: str, decimals: int) -> str:
+    return (f"regexp_replace(regexp_replace(printf('%.{decimals}f', {expr}), "
+            f"'(\\.\\d*?)0+$', '\\1'), '\\.$', '')")

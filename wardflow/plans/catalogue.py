@@ -413,3 +413,209 @@ def dictionary_stats(spark, sf_dir):
     from wardflow.operators.aggregate import dictionary_stats as stats
     ev = an.load(spark, sf_dir, "events")
     return rounded(stats(an.events_long(spark, ev)))
+
+
+# ---------------------------------------------------------------------------
+# sequences
+# ---------------------------------------------------------------------------
+
+def _docs(spark, sf_dir):
+    return an.load(spark, sf_dir, "documents").select("doc_id", "text")
+
+
+@register("vocab_topk", O.with_(O.vocab_ctes()) + "\nSELECT token, id, count FROM vocab")
+def vocab_topk(spark, sf_dir):
+    """The 19,996 most frequent words with ids rank + 3."""
+    from wardflow.operators.vocab import build_vocab
+    return build_vocab(_docs(spark, sf_dir))
+
+
+@register("encode", O.with_(O.vocab_ctes(), O.encode_ctes())
+          + "\nSELECT doc_id, len(ids) AS n_ids, array_to_string(ids, ' ') AS ids_text FROM enc")
+def encode(spark, sf_dir):
+    """K2: every document's whole token sequence as ids (OOV 2, start 1)."""
+    from wardflow.operators.vocab import build_vocab, encode as enc
+    docs = _docs(spark, sf_dir)
+    e = enc(docs, build_vocab(docs))
+    return e.select("doc_id", F.size("ids").alias("n_ids"),
+                    F.array_join("ids", " ").alias("ids_text"))
+
+
+@register("pad", O.with_(O.vocab_ctes(), O.encode_ctes())
+          + "\nSELECT doc_id, array_to_string(" + O.pad_sql("ids", 80)
+          + ", ' ') AS padded_text FROM enc")
+def pad(spark, sf_dir):
+    """K3: encoded sequences left-padded / truncated to the last 80 ids."""
+    from wardflow.functions.arrays import pad as pad_arr
+    from wardflow.operators.vocab import build_vocab, encode as enc
+    docs = _docs(spark, sf_dir)
+    e = enc(docs, build_vocab(docs))
+    return e.select("doc_id", F.array_join(pad_arr("ids", 80), " ").alias("padded_text"))
+
+
+@register("load_sequences")
+def load_sequences(spark, sf_dir):
+    """A5: labelled documents with a fixed hash split (no SQL oracle: the
+    split hash is Spark's xxhash64)."""
+    from wardflow.sources.sequences import load_sequences as ls
+    return ls(spark, sf_dir).select("doc_id", "label", "split")
+
+
+def _seq_cols():
+    return dic.FEATURE_COLUMNS + [f"m_{c}" for c in dic.FEATURE_COLUMNS]
+
+
+def _to_sequences_sql(w: int, n: int) -> str:
+    vec = "[" + ", ".join(f"coalesce(CAST({O.R(c)} AS DOUBLE), 0.0)" for c in dic.FEATURE_COLUMNS) \
+        + ", " + ", ".join(f"CAST(m_{c} AS DOUBLE)" for c in dic.FEATURE_COLUMNS) + "]"
+    zero = "[" + ", ".join(["0.0"] * len(_seq_cols())) + "]"
+    body = O.with_(O.events_windowed_ctes(), O.pivot_ctes(w), O.imputed_cte(), f"""
+vr AS (SELECT icustay_id, tw_hour_idx, {vec} AS v,
+              row_number() OVER (PARTITION BY icustay_id ORDER BY tw_hour_idx DESC) AS r
+       FROM imp),
+st AS (SELECT icustay_id, count(*) AS n_steps, list(v ORDER BY tw_hour_idx) AS steps
+       FROM vr WHERE r <= {n} GROUP BY icustay_id)""")
+    padded = O.pad_sql("steps", n, zero)
+    return body + f"""
+SELECT icustay_id, n_steps,
+  array_to_string(list_transform({padded},
+    lambda s: array_to_string(list_transform(s, lambda x: printf('%.6f', x)), ',')), ';')
+    AS steps_text
+FROM st"""
+
+
+@register("to_sequences_w6", _to_sequences_sql(6, 80))
+def to_sequences_w6(spark, sf_dir):
+    """K4: per stay, the last 80 six-hour feature vectors (24 values + 24
+    masks), left-padded with zero vectors."""
+    from wardflow.operators.vocab import to_sequences
+    f = rounded(fx.features(_windowed(spark, sf_dir), 6))
+    s = to_sequences(f, _seq_cols(), 80)
+    text = F.array_join(F.transform(
+        "steps", lambda v: F.array_join(F.transform(v, lambda x: F.format_string("%.6f", x)),
+                                        ",")), ";")
+    return s.select("icustay_id", "n_steps", text.alias("steps_text"))
+
+
+def _emb(spark, sf_dir):
+    e = an.load(spark, sf_dir, "embeddings")
+    return e.select("vec_id", "label",
+                    F.transform("embedding", lambda x: x.cast("double")).alias("e"))
+
+
+EMB_SQL = "SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e " \
+          "FROM embeddings"
+
+
+@register("delta_pairs", f"""
+WITH x AS ({EMB_SQL})
+SELECT vec_id, CAST(i AS INTEGER) AS pair_idx, {O.R('a')} AS first, {O.R('b')} AS second FROM (
+  SELECT vec_id, unnest(range(len(e) // 2)) AS i,
+         unnest(list_filter(e, lambda v, j: j % 2 = 1)) AS a,
+         unnest(list_filter(e, lambda v, j: j % 2 = 0)) AS b
+  FROM x)""")
+def delta_pairs(spark, sf_dir):
+    """(x0, x1), (x2, x3), ... of each 64-wide vector, one row per pair."""
+    from wardflow.functions.arrays import delta_pairs as dp
+    e = _emb(spark, sf_dir)
+    p = e.select("vec_id", F.posexplode(dp("e")).alias("pair_idx", "p"))
+    return rounded(p.select("vec_id", "pair_idx", F.col("p.first").alias("first"),
+                            F.col("p.second").alias("second")))
+
+
+@register("softmax_reweight", f"""
+WITH x AS ({EMB_SQL}),
+s AS (SELECT vec_id, e, list_transform(e, lambda v: exp(v - list_max(e))) AS ex FROM x),
+a AS (SELECT vec_id, e, list_transform(ex, lambda v: v / list_sum(ex)) AS att FROM s)
+SELECT vec_id, CAST(i AS INTEGER) AS i, {O.R('w')} AS weight, {O.R('v * w')} AS reweighted FROM (
+  SELECT vec_id, unnest(range(len(e))) AS i, unnest(e) AS v, unnest(att) AS w FROM a)""")
+def softmax_reweight(spark, sf_dir):
+    """K6: softmax attention weights over each vector and the reweighted vector."""
+    from wardflow.functions.arrays import hadamard, softmax
+    e = _emb(spark, sf_dir)
+    a = e.select("vec_id", softmax("e").alias("a"), "e")
+    z = a.select("vec_id", F.posexplode(F.arrays_zip(F.col("a").alias("w"),
+                                                      hadamard("e", "a").alias("r"))))
+    return rounded(z.select("vec_id", F.col("pos").alias("i"), F.col("col.w").alias("weight"),
+                            F.col("col.r").alias("reweighted")))
+
+
+@register("slice_concat", f"""
+WITH x AS ({EMB_SQL}),
+h AS (SELECT vec_id, e[1:32] AS c, e[33:64] AS h FROM x)
+SELECT vec_id, {O.R('c[1]')} AS c_first, {O.R('c[32]')} AS c_last, {O.R('h[1]')} AS h_first,
+       {O.R('h[32]')} AS h_last, len(list_concat(c, c, c)) AS c3_len,
+       {O.R('list_sum(list_concat(c, c, c))')} AS c3_sum,
+       {O.R('list_concat(h, h, h)[96]')} AS h3_last
+FROM h""")
+def slice_concat(spark, sf_dir):
+    """Channel halves (c, h), 3x concatenation and the last element."""
+    from wardflow.functions.arrays import array_sum, halves, repeat_concat
+    e = _emb(spark, sf_dir)
+    c, h = halves(F.col("e"), 32)
+    c3, h3 = repeat_concat(c, 3), repeat_concat(h, 3)
+    return rounded(e.select(
+        "vec_id", F.element_at(c, 1).alias("c_first"), F.element_at(c, -1).alias("c_last"),
+        F.element_at(h, 1).alias("h_first"), F.element_at(h, -1).alias("h_last"),
+        F.size(c3).alias("c3_len"), array_sum(c3).alias("c3_sum"),
+        F.element_at(h3, -1).alias("h3_last")))
+
+
+def _head_sql() -> str:
+    w = "[" + ", ".join(repr(v) for v in O.head_weights()) + "]"
+    return (f"1.0 / (1.0 + exp(-(list_sum(list_transform(e, lambda v, j: v * {w}[j])) "
+            f"+ {O.HEAD_BIAS!r})))")
+
+
+def _head(spark, sf_dir):
+    from wardflow.functions.arrays import dot, sigmoid
+    e = _emb(spark, sf_dir)
+    return e.select("vec_id", "label",
+                    sigmoid(dot("e", O.head_weights()) + F.lit(O.HEAD_BIAS)).alias("probability"))
+
+
+@register("score_head", f"WITH x AS ({EMB_SQL}) SELECT vec_id, label, "
+          + O.R(_head_sql()) + " AS probability FROM x")
+def score_head(spark, sf_dir):
+    """sigmoid(w . x + b) with fixed head weights."""
+    return rounded(_head(spark, sf_dir))
+
+
+@register("evaluate", f"""
+WITH x AS ({EMB_SQL}), sc AS (SELECT label, {_head_sql()} AS p FROM x),
+cl AS (SELECT label, p, least(greatest(p, 1e-7), 1 - 1e-7) AS q FROM sc)
+SELECT count(*) AS n,
+  {O.R('avg(CASE WHEN (CASE WHEN p > 0.5 THEN 1.0 ELSE 0.0 END) = label THEN 1.0 ELSE 0.0 END)')}
+    AS accuracy,
+  {O.R('avg(-(label * ln(q) + (1.0 - label) * ln(1.0 - q)))')} AS bce
+FROM cl""")
+def evaluate(spark, sf_dir):
+    """Accuracy and binary cross-entropy of stored scores."""
+    from wardflow.operators.scan import evaluate as ev
+    return rounded(ev(_head(spark, sf_dir)))
+
+
+@register("fit_head")
+def fit_head(spark, sf_dir):
+    """Logistic-regression head fitted by Spark ML on the vectors
+    (rows-only check: an iterative fit has no SQL form)."""
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from wardflow.operators.scan import fit_head as fh
+    e = _emb(spark, sf_dir).select("vec_id", F.col("label").cast("double").alias("label"),
+                                   array_to_vector("e").alias("features"))
+    model = fh(e, max_iter=30)
+    return model.transform(e).select(
+        "vec_id", "label", vector_to_array("probability")[1].alias("probability"))
+
+
+@register("scan_score")
+def scan_score(spark, sf_dir):
+    """Documents -> vocabulary ids -> padded 80 -> frozen-weight
+    recurrent scan + attention + gated memory + sigmoid head, scored in
+    Arrow batches (rows-only check; NumPy unit tests cover the maths)."""
+    from wardflow.functions.arrays import pad as pad_arr
+    from wardflow.operators.scan import score_sequences
+    from wardflow.operators.vocab import build_vocab, encode as enc
+    docs = _docs(spark, sf_dir)
+    e = enc(docs, build_vocab(docs))
+    return score_sequences(e.select("doc_id", pad_arr("ids", 80).alias("ids")))

@@ -215,3 +215,38 @@ cohort AS (
 def text_sql(expr: str, decimals: int) -> str:
     return (f"regexp_replace(regexp_replace(printf('%.{decimals}f', {expr}), "
             f"'(\\.\\d*?)0+$', '\\1'), '\\.$', '')")
+
+
+TOKENS = r"list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '')"
+
+
+def vocab_ctes(num_words: int = 20000) -> str:
+    return f"""
+docs AS (SELECT doc_id, {TOKENS} AS toks FROM documents),
+tk AS (SELECT unnest(toks) AS token FROM docs),
+cnt AS (SELECT token, count(*) AS count FROM tk GROUP BY token),
+rk AS (SELECT token, count, row_number() OVER (ORDER BY count DESC, token) + 3 AS id FROM cnt),
+vocab AS (SELECT token, CAST(id AS INTEGER) AS id, count FROM rk WHERE id < {num_words})"""
+
+
+def encode_ctes() -> str:
+    return """
+pos AS (SELECT doc_id, unnest(toks) AS token, unnest(range(len(toks))) AS pos FROM docs),
+ided AS (SELECT p.doc_id, p.pos, coalesce(v.id, 2) AS id
+         FROM pos p LEFT JOIN vocab v ON p.token = v.token),
+seq AS (SELECT doc_id, list(id ORDER BY pos) AS ids FROM ided GROUP BY doc_id),
+enc AS (SELECT d.doc_id, list_concat([1], coalesce(s.ids, [])) AS ids
+        FROM docs d LEFT JOIN seq s ON d.doc_id = s.doc_id)"""
+
+
+def pad_sql(ids: str, n: int, zero: str = "0") -> str:
+    return (f"list_concat(list_transform(range(greatest({n} - len({ids}), 0)), lambda i: {zero}), "
+            f"{ids}[greatest(len({ids}) - {n}, 0) + 1 : len({ids})])")
+
+
+def head_weights(width: int = 64) -> list[float]:
+    """Fixed rule-built head weights for the SQL-checkable head score."""
+    return [((i % 7) - 3) / 10.0 for i in range(width)]
+
+
+HEAD_BIAS = 0.1

@@ -6,6 +6,7 @@ optimiser); scoring with given weights is.  Weights are either loaded from
 an ``.npz`` file or generated from a seed; either way every Python worker
 materialises them once and scores whole Arrow batches of rows with NumPy
 matrix products (``mapInPandas``), so rows are never handled one by one.
+Arithmetic is float32, the precision of the reference model.
 The parameter size is fixed by the model shape (about 13 MB), not by data.
 """
 
@@ -59,7 +60,7 @@ def seeded_weights(seed: int = 7, shape: ModelShape = ModelShape()) -> dict[str,
         "head_w": _glorot_uniform(rng, 3 * e + d, 1)[:, 0],
         "head_b": np.zeros(1),
     }
-    return {k: v.astype(np.float64) for k, v in w.items()}
+    return {k: v.astype(np.float32) for k, v in w.items()}
 
 
 def hard_sigmoid(x):
@@ -79,9 +80,9 @@ def lstm_scan(x, w):
     b, t, e = x.shape
     k, r = w["kernel"], w["recurrent"]
     xk = x @ k                                  # (B, T, 4E), gates i, f, c, o
-    h = np.zeros((b, e))
-    c = np.zeros((b, e))
-    cs, hs = np.empty((b, t, e)), np.empty((b, t, e))
+    h = np.zeros((b, e), dtype=x.dtype)
+    c = np.zeros((b, e), dtype=x.dtype)
+    cs, hs = np.empty((b, t, e), dtype=x.dtype), np.empty((b, t, e), dtype=x.dtype)
     for s in range(t):
         z = xk[:, s, :] + h @ r
         i = hard_sigmoid(z[:, :e])
@@ -100,7 +101,7 @@ def memory_scan(x, w):
     r1 = _softmax(x @ w["mem_r1"] + w["mem_b1"])
     r2 = _softmax(x @ w["mem_r2"] + w["mem_b2"])
     u = np.tanh(x @ w["mem_u"] + w["mem_bu"])
-    s = np.zeros((x.shape[0], w["mem_u"].shape[1]))
+    s = np.zeros((x.shape[0], w["mem_u"].shape[1]), dtype=x.dtype)
     for t in range(x.shape[1]):
         s = r1[:, t, :] * s + r2[:, t, :] * u[:, t, :]
     return s
@@ -116,7 +117,7 @@ def forward(ids: np.ndarray, w) -> np.ndarray:
     mem = memory_scan(pairs * a, w)                           # K8: (B, D)
     h3 = np.concatenate([h, h, h], axis=-1)[:, -1, :]         # K10: (B, 3E)
     final = np.concatenate([h3, mem], axis=-1)                # (B, 3E + D)
-    z = final @ w["head_w"] + w["head_b"][0]
+    z = (final @ w["head_w"] + w["head_b"][0]).astype(np.float64)
     return 1.0 / (1.0 + np.exp(-z))                           # K11
 
 
@@ -130,7 +131,7 @@ def _weights(source) -> dict:
             _CACHE[key] = seeded_weights(source)
         else:
             with np.load(source) as z:
-                _CACHE[key] = {k: z[k].astype(np.float64) for k in z.files}
+                _CACHE[key] = {k: z[k].astype(np.float32) for k in z.files}
     return _CACHE[key]
 
 

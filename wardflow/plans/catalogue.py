@@ -420,7 +420,8 @@ def dictionary_stats(spark, sf_dir):
 # ---------------------------------------------------------------------------
 
 def _docs(spark, sf_dir):
-    return an.load(spark, sf_dir, "documents").select("doc_id", "text")
+    from wardflow.sources.tables import balanced
+    return balanced(an.load(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 @register("vocab_topk", O.with_(O.vocab_ctes()) + "\nSELECT token, id, count FROM vocab")

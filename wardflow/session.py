@@ -36,7 +36,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
          .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
          .config("spark.driver.memory", os.environ.get("WARDFLOW_DRIVER_MEMORY", "16g"))
-         .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
+         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+         # one BLAS thread per Python worker: Spark already runs one worker per core
+         .config("spark.executorEnv.OPENBLAS_NUM_THREADS", "1")
+         .config("spark.executorEnv.OMP_NUM_THREADS", "1"))
     for k, v in {**REQUIRED_CONF, **ADAPTIVE_CONF, **(extra or {})}.items():
         b = b.config(k, v)
     spark = b.getOrCreate()

@@ -47,5 +47,7 @@ def value_text(v, decimals: int = 3) -> Column:
     The text is never read back by any operator; it is kept for parity with
     the reference's ``cvalue`` column.
     """
-    fixed = F.format_string(f"%.{decimals}f", _c(v))
-    return F.regexp_replace(F.regexp_replace(fixed, r"(\.\d*?)0+$", "$1"), r"\.$", "")
+    v = _c(v)
+    fixed = F.format_string(f"%.{decimals}f", v)
+    text = F.regexp_replace(F.regexp_replace(fixed, r"(\.\d*?)0+$", "$1"), r"\.$", "")
+    return F.when(v.isNotNull(), text)

@@ -39,10 +39,17 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
-def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
+def round6(c):
+    """Snap to 9 places (absorbs summation-order noise below 5e-10 at decimal
+    ties), then round half away from zero to 6 places; the oracle SQL does
+    the same IEEE operations (``oracle.R``)."""
+    snapped = F.round(c * F.lit(1e9), 0) / F.lit(1e3)
+    return F.round(snapped, 0) / F.lit(1e6)
+
+
+def rounded(df: DataFrame) -> DataFrame:
     """Round every double column (final projection only)."""
-    scale = float(10 ** digits)
-    return df.select(*[(F.round(F.col(f.name) * scale, 0) / scale).alias(f.name)
+    return df.select(*[round6(F.col(f.name)).alias(f.name)
                        if isinstance(f.dataType, (T.DoubleType, T.FloatType)) else F.col(f.name)
                        for f in df.schema.fields])
 
@@ -620,3 +627,35 @@ def scan_score(spark, sf_dir):
     docs = _docs(spark, sf_dir)
     e = enc(docs, build_vocab(docs))
     return score_sequences(e.select("doc_id", pad_arr("ids", 80).alias("ids")))
+
+
+# ---------------------------------------------------------------------------
+# the clinical build over derived clinical tables (G2 + every branch, §3.2)
+# ---------------------------------------------------------------------------
+
+def _clinical(spark, sf_dir):
+    t = an.clinical_tables(spark, sf_dir)
+    return fx.long_features(t["patients"], t["icustays"], t["chartevents"], t["labevents"],
+                            t["outputevents"], t["inputevents_cv"], t["inputevents_mv"])
+
+
+@register("long_union", O.with_(O.clinical_long_ctes()) + """
+SELECT subject_id, hadm_id, icustay_id, itemcat, itemid, charttime, cvalue, """
+          + O.R("valuenum") + " AS valuenum, valueuom FROM lng")
+def long_union(spark, sf_dir):
+    """G2 with B2, B4-B9, C2, C3, D2, D4, G1: the eight branches (chart,
+    FiO2, temperature, labs, GCS, two infusion logs, urine) over clinical-
+    shaped tables, with the real code maps and whitelists."""
+    _, lng = _clinical(spark, sf_dir)
+    return rounded(lng)
+
+
+@register("clinical_features_w6", O.with_(O.clinical_long_ctes(), O.clinical_win_cte(),
+                                          O.pivot_ctes(6), O.imputed_cte(), O.score_cte(6))
+          + f"\nSELECT icustay_id, tw_hour_idx, {O.total_expr()}, " + O.r6(dic.FEATURE_COLUMNS)
+          + ", " + ", ".join(f"m_{c}" for c in dic.FEATURE_COLUMNS) + " FROM sc")
+def clinical_features_w6(spark, sf_dir):
+    """Entry points 2 then 1 on the clinical path: cohort, eight branches,
+    windowed table (C4), then the 50-column feature rows."""
+    cohort, lng = _clinical(spark, sf_dir)
+    return rounded(fx.features(fx.windowed_features(lng, cohort), 6))

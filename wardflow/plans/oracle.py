@@ -165,9 +165,10 @@ SCORE_PARTS = ["cardiovascular_points", "respiration_points", "creatinine_points
 
 
 def R(expr: str) -> str:
-    """Round to 6 places the same way the Spark side does (half away from
-    zero on the exact double of ``x * 1e6``)."""
-    return f"round(({expr}) * 1000000.0) / 1000000.0"
+    """Round to 6 places exactly as the Spark side does: snap to 9 places
+    first (absorbs summation-order noise below 5e-10 at decimal ties), then
+    round half away from zero to 6 places."""
+    return f"round(round(({expr}) * 1000000000.0) / 1000.0) / 1000000.0"
 
 
 def r6(cols) -> str:
@@ -250,3 +251,132 @@ def head_weights(width: int = 64) -> list[float]:
 
 
 HEAD_BIAS = 0.1
+
+
+def _case(col: str, table) -> str:
+    arms = " ".join(f"WHEN {col} IN ({', '.join(map(str, codes))}) THEN '{cat}'"
+                    for cat, codes in table)
+    return f"CASE {arms} END"
+
+
+def _in(codes) -> str:
+    return "(" + ", ".join(str(c) for c in codes) + ")"
+
+
+def clinical_long_ctes() -> str:
+    """The seven derived clinical tables and the eight branches -> ``lng``."""
+    pools = an.code_pools()
+
+    def pick(pool, key):
+        return f"[{', '.join(map(str, pools[pool]))}][({key}) % {len(pools[pool])} + 1]"
+
+    def hours(h):
+        return f"make_timestamp(epoch_us(o_orderdate) + CAST({h} AS BIGINT) * 3600000000)"
+
+    chart_v = "CASE WHEN l_linenumber <> 7 THEN l_quantity * 2 END"
+    wl_chart = [c for c in sum((cs for _, cs in dic.CHART_CODES), [])
+                if c not in dic.CHART_NOT_WHITELISTED]
+    wl_lab = [c for c in sum((cs for _, cs in dic.LAB_CODES), [])
+              if c not in dic.LAB_NOT_WHITELISTED]
+    cv_codes = sum((cs for _, cs in dic.CV_CODES), [])
+    mv_codes = sum((cs for _, cs in dic.MV_CODES), [])
+    return f"""{patients_stays_ctes()},
+lo AS (SELECT l.*, o.o_custkey, o.o_orderdate FROM lineitem l JOIN orders o
+       ON l.l_orderkey = o.o_orderkey),
+chart AS (
+  SELECT l_orderkey * 8 + l_linenumber AS row_id, o_custkey AS subject_id, l_orderkey AS hadm_id,
+         l_orderkey AS icustay_id, {pick('chart', 'l_partkey')} AS itemid,
+         {hours('l_linenumber * 2')} AS charttime, CAST({chart_v} AS VARCHAR) AS value,
+         {chart_v} AS valuenum
+  FROM lo WHERE o_custkey IN (SELECT subject_id FROM cohort)),
+labs AS (
+  SELECT o_custkey AS subject_id, l_orderkey AS hadm_id, {pick('lab', 'l_suppkey')} AS itemid,
+         l_shipdate AS charttime, CAST(l_extendedprice / 100 AS VARCHAR) AS value,
+         l_extendedprice / 100 AS valuenum
+  FROM lo),
+labs_stays AS (
+  SELECT l.*, s.icustay_id FROM labs l JOIN s ON l.hadm_id = s.hadm_id
+  WHERE epoch_us(l.charttime) - epoch_us(s.intime) >= -3600000000
+    AND epoch_us(s.outtime) - epoch_us(l.charttime) >= -3600000000),
+outp AS (
+  SELECT o_custkey AS subject_id, l_orderkey AS hadm_id, l_orderkey AS icustay_id,
+         {hours('l_linenumber')} AS charttime,
+         CASE WHEN l_linenumber <= 2 THEN {pick('urine', 'l_partkey')} ELSE 40000 END AS itemid,
+         l_extendedprice / 10 AS value
+  FROM lo),
+cv AS (
+  SELECT o_custkey AS subject_id, l_orderkey AS hadm_id, l_orderkey AS icustay_id,
+         {hours('l_linenumber * 3')} AS charttime, {pick('cv', 'l_partkey')} AS itemid,
+         l_discount * 100 AS rate, 'mcg/kg/min' AS rateuom
+  FROM lo WHERE l_linenumber % 2 = 1 AND o_custkey IN (SELECT subject_id FROM cohort)),
+mv AS (
+  SELECT o_custkey AS subject_id, l_orderkey AS hadm_id, l_orderkey AS icustay_id,
+         {hours('l_linenumber * 3')} AS starttime, {pick('mv', 'l_partkey')} AS itemid,
+         l_tax * 100 AS rate, 'mcg/kg/min' AS rateuom
+  FROM lo WHERE l_linenumber % 2 = 0 AND o_custkey IN (SELECT subject_id FROM cohort)),
+gcs AS (
+  SELECT subject_id, hadm_id, icustay_id, charttime, value AS cvalue, valuenum FROM (
+    SELECT DISTINCT row_id, subject_id, hadm_id, icustay_id, charttime, value, valuenum
+    FROM chart WHERE itemid = {dic.GCS_TOTAL_CODE})
+  UNION ALL
+  SELECT subject_id, hadm_id, icustay_id, charttime, {text_sql('sum(val)', 0)} AS cvalue,
+         sum(val) AS valuenum FROM (
+    SELECT DISTINCT row_id, subject_id, hadm_id, icustay_id, charttime, valuenum AS val
+    FROM chart WHERE itemid IN {_in(dic.GCS_COMPONENT_CODES)})
+  GROUP BY charttime, subject_id, hadm_id, icustay_id),
+lng AS (
+  SELECT subject_id, hadm_id, icustay_id, {_case('itemid', dic.CHART_CODES)} AS itemcat, itemid,
+         charttime, value AS cvalue, valuenum, 'u' AS valueuom
+  FROM chart WHERE itemid IN {_in(wl_chart)} AND valuenum IS NOT NULL AND valuenum >= 0
+    AND valuenum <= 3000 AND hadm_id IN (SELECT hadm_id FROM cohort)
+  UNION ALL
+  SELECT subject_id, hadm_id, icustay_id, 'FiO2', itemid, charttime,
+    {text_sql('CASE WHEN valuenum BETWEEN 20 AND 100 THEN valuenum WHEN valuenum BETWEEN 0.2 AND 1 THEN valuenum * 100 END', 3)},
+    CASE WHEN valuenum BETWEEN 20 AND 100 THEN valuenum
+         WHEN valuenum BETWEEN 0.2 AND 1 THEN valuenum * 100 END, '%'
+  FROM chart WHERE itemid IN {_in(dic.FIO2_CODES)} AND valuenum IS NOT NULL AND valuenum >= 0
+    AND hadm_id IN (SELECT hadm_id FROM cohort)
+  UNION ALL
+  SELECT subject_id, hadm_id, icustay_id, 'Temperature', itemid, charttime,
+    {text_sql('CASE WHEN valuenum BETWEEN 20 AND 50 THEN valuenum WHEN valuenum BETWEEN 68 AND 122 THEN (valuenum - 32) * 5 / 9 END', 3)},
+    CASE WHEN valuenum BETWEEN 20 AND 50 THEN valuenum
+         WHEN valuenum BETWEEN 68 AND 122 THEN (valuenum - 32) * 5 / 9 END, 'C'
+  FROM chart WHERE itemid IN {_in(dic.TEMP_CODES)}
+  UNION ALL
+  SELECT subject_id, hadm_id, icustay_id, {_case('itemid', dic.LAB_CODES)}, itemid, charttime,
+         value, valuenum, 'u'
+  FROM labs_stays WHERE itemid IN {_in(wl_lab)} AND valuenum IS NOT NULL AND valuenum >= 0
+    AND valuenum <= 3000 AND hadm_id IN (SELECT hadm_id FROM cohort)
+  UNION ALL
+  SELECT subject_id, hadm_id, icustay_id, 'GCS', {dic.GCS_TOTAL_CODE}, charttime, cvalue,
+         valuenum, 'points'
+  FROM gcs WHERE valuenum IS NOT NULL AND valuenum >= 3
+  UNION ALL
+  SELECT subject_id, hadm_id, icustay_id, {_case('itemid', dic.CV_CODES)}, itemid, charttime,
+         {text_sql('rate', 6)}, rate, rateuom
+  FROM cv WHERE itemid IN {_in(cv_codes)} AND rate IS NOT NULL AND rate >= 0
+  UNION ALL
+  SELECT subject_id, hadm_id, icustay_id, {_case('itemid', dic.MV_CODES)}, itemid, starttime,
+         {text_sql('rate', 6)}, rate, rateuom
+  FROM mv WHERE itemid IN {_in(mv_codes)} AND rate IS NOT NULL AND rate >= 0
+  UNION ALL
+  SELECT subject_id, hadm_id, icustay_id, 'URINE', itemid, charttime,
+         {text_sql('value / 1000', 6)}, value / 1000, 'l'
+  FROM outp WHERE itemid IN {_in(dic.URINE_CODES)} AND value IS NOT NULL AND value >= 0
+    AND value <= 10000 AND icustay_id IN (SELECT icustay_id FROM cohort))"""
+
+
+def clinical_win_cte() -> str:
+    tws = ",\n      ".join(
+        f"floor(abs(epoch_us(l.charttime) - epoch_us(c.intime)) / {float(h * US_HOUR)!r}) + 1 "
+        f"AS tw_{h}hr" for h in (1, 3, 6, 12, 24))
+    return f"""
+win AS (
+  SELECT l.*, c.intime, c.outtime,
+      (epoch_us(l.charttime) - epoch_us(date_trunc('hour', c.intime))) / {float(US_HOUR)!r}
+        AS hour_diff,
+      {tws}
+  FROM lng l JOIN cohort c ON l.subject_id = c.subject_id AND l.hadm_id = c.hadm_id
+  WHERE epoch_us(l.charttime) - epoch_us(c.intime) >= -{US_HOUR}
+    AND epoch_us(c.outtime) - epoch_us(l.charttime) >= -{US_HOUR}
+    AND l.valuenum >= 0)"""

@@ -154,3 +154,84 @@ def lab_rows(lineitem: DataFrame) -> DataFrame:
         F.col("l_partkey").alias("itemid"), F.col("l_shipdate").alias("charttime"),
         F.col("l_quantity").alias("valuenum"))
 
+
+
+# --- the seven clinical base tables, derived from customer/orders/lineitem ---
+
+def code_pools() -> dict[str, list[int]]:
+    """Rule-built code pools: every code a branch reads (mapped, whitelisted
+    or not), so the derived logs exercise every arm of every map."""
+    flat = lambda table: [c for _, cs in table for c in cs]
+    return {
+        "chart": flat(dic.CHART_CODES) + dic.FIO2_CODES + dic.TEMP_CODES
+        + [dic.GCS_TOTAL_CODE] + dic.GCS_COMPONENT_CODES,
+        "lab": flat(dic.LAB_CODES),
+        "cv": flat(dic.CV_CODES),
+        "mv": flat(dic.MV_CODES),
+        "urine": list(dic.URINE_CODES),
+    }
+
+
+def _pick(pool: list[int], key) -> "F.Column":
+    arr = F.array(*[F.lit(int(c)) for c in pool])
+    return F.element_at(arr, (F.pmod(key, F.lit(len(pool))) + 1).cast("int"))
+
+
+def _hours_after(ts, hours) -> "F.Column":
+    return add_micros(ts, hours * F.lit(3600 * US_PER_SECOND))
+
+
+def clinical_tables(spark: SparkSession, base: str) -> dict[str, DataFrame]:
+    """patients / icustays / chartevents / labevents / outputevents /
+    inputevents_cv / inputevents_mv with the clinical schemas' columns.
+
+    Every lineitem row becomes one chart, one lab and one output row and
+    one infusion row (cv for odd, mv for even line numbers); its order is
+    the admission and the stay.  Codes are taken from the pools by part /
+    supplier key; times are hours after the order date (ship date for labs).
+    """
+    customer = load(spark, base, "customer")
+    orders = load(spark, base, "orders")
+    lineitem = load(spark, base, "lineitem")
+    lo = lineitem.join(orders.select("o_orderkey", "o_custkey", "o_orderdate"),
+                       lineitem["l_orderkey"] == orders["o_orderkey"])
+    pools = code_pools()
+    row_id = F.col("l_orderkey") * 8 + F.col("l_linenumber")
+    subj, hadm = F.col("o_custkey").alias("subject_id"), F.col("o_orderkey").alias("hadm_id")
+    stay = F.col("o_orderkey").alias("icustay_id")
+    line = F.col("l_linenumber")
+    chart_v = F.when(line != 7, F.col("l_quantity") * 2)
+    chart = lo.select(
+        row_id.alias("row_id"), subj, hadm, stay, _pick(pools["chart"], F.col("l_partkey"))
+        .alias("itemid"), _hours_after(F.col("o_orderdate"), line * 2).alias("charttime"),
+        F.lit(None).cast("timestamp_ntz").alias("storetime"), F.lit(None).cast("int").alias("cgid"),
+        chart_v.cast("string").alias("value"), chart_v.alias("valuenum"),
+        F.lit("u").alias("valueuom"), F.lit(0).alias("warning"), F.lit(0).alias("error"),
+        F.lit(None).cast("string").alias("resultstatus"),
+        F.lit(None).cast("string").alias("stopped"))
+    lab_v = F.col("l_extendedprice") / 100
+    labs = lo.select(
+        subj, hadm, _pick(pools["lab"], F.col("l_suppkey")).alias("itemid"),
+        F.col("l_shipdate").alias("charttime"), lab_v.cast("string").alias("value"),
+        lab_v.alias("valuenum"), F.lit("u").alias("valueuom"), F.lit(None).cast("string")
+        .alias("flag"))
+    out_code = F.when(line <= 2, _pick(pools["urine"], F.col("l_partkey"))).otherwise(40000)
+    output = lo.select(
+        row_id.alias("row_id"), subj, hadm, stay,
+        _hours_after(F.col("o_orderdate"), line).alias("charttime"), out_code.alias("itemid"),
+        (F.col("l_extendedprice") / 10).alias("value"), F.lit("ml").alias("valueuom"),
+        F.lit(None).cast("timestamp_ntz").alias("storetime"), F.lit(None).cast("int").alias("cgid"),
+        F.lit(None).cast("string").alias("stopped"), F.lit(None).cast("string").alias("newbottle"),
+        F.lit(0).alias("iserror"))
+    inf_time = _hours_after(F.col("o_orderdate"), line * 3)
+    cv = lo.where(line % 2 == 1).select(
+        row_id.alias("row_id"), subj, hadm, stay, inf_time.alias("charttime"),
+        _pick(pools["cv"], F.col("l_partkey")).alias("itemid"),
+        (F.col("l_discount") * 100).alias("rate"), F.lit("mcg/kg/min").alias("rateuom"))
+    mv = lo.where(line % 2 == 0).select(
+        row_id.alias("row_id"), subj, hadm, stay, inf_time.alias("starttime"),
+        _pick(pools["mv"], F.col("l_partkey")).alias("itemid"),
+        (F.col("l_tax") * 100).alias("rate"), F.lit("mcg/kg/min").alias("rateuom"))
+    return {"patients": patients(customer), "icustays": stays(orders), "chartevents": chart,
+            "labevents": labs, "outputevents": output, "inputevents_cv": cv,
+            "inputevents_mv": mv}

@@ -15,9 +15,17 @@ from pyspark.sql import functions as F
 from wardflow.sources import dictionary as dic
 
 
+_SPECS: dict = {}
+
+
 def locf_window(partition: str | list[str] = "icustay_id", order: str = "tw_hour_idx"):
-    part = [partition] if isinstance(partition, str) else list(partition)
-    return W.partitionBy(*part).orderBy(order).rowsBetween(W.unboundedPreceding, W.currentRow)
+    """The one WindowSpec every LOCF column shares (built once per key)."""
+    part = (partition,) if isinstance(partition, str) else tuple(partition)
+    key = (part, order)
+    if key not in _SPECS:
+        _SPECS[key] = (W.partitionBy(*part).orderBy(order)
+                       .rowsBetween(W.unboundedPreceding, W.currentRow))
+    return _SPECS[key]
 
 
 def locf(col: str | Column, partition="icustay_id", order: str = "tw_hour_idx") -> Column:

@@ -37,6 +37,12 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
          .config("spark.driver.memory", os.environ.get("WARDFLOW_DRIVER_MEMORY", "16g"))
          .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+         # Python call-site capture per Column call is a debugging aid; it costs
+         # several py4j round trips per expression when plans are built
+         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+         # aggregated window rows are few bytes but CPU-heavy (LOCF, scores):
+         # keep AQE from coalescing them onto one or two cores
+         .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "128k")
          # one BLAS thread per Python worker: Spark already runs one worker per core
          .config("spark.executorEnv.OPENBLAS_NUM_THREADS", "1")
          .config("spark.executorEnv.OMP_NUM_THREADS", "1"))

@@ -659,3 +659,27 @@ def clinical_features_w6(spark, sf_dir):
     windowed table (C4), then the 50-column feature rows."""
     cohort, lng = _clinical(spark, sf_dir)
     return rounded(fx.features(fx.windowed_features(lng, cohort), 6))
+
+
+# ---------------------------------------------------------------------------
+# SQL surface and materialised relations (U8, A3, A4)
+# ---------------------------------------------------------------------------
+
+@register("sql_get_features_w1", _features_sql(1))
+def sql_get_features_w1(spark, sf_dir):
+    """U8: the SQL table function called for every stay through LATERAL."""
+    from wardflow.plans import sql as sqlsurface
+    sqlsurface.register(spark, _windowed(spark, sf_dir))
+    df = spark.sql("""SELECT f.* FROM (SELECT DISTINCT icustay_id FROM windowed_events) s,
+                      LATERAL get_features(s.icustay_id, 1) f""")
+    return rounded(df)
+
+
+@register("features_50_w6_bucketed", _features_sql(6))
+def features_50_w6_bucketed(spark, sf_dir):
+    """A3: the windowed table materialised bucketed by stay in the shared
+    checkpoint folder (lineage cut), then the feature rows over it."""
+    from wardflow.sources.materialize import materialize
+    win = materialize(_windowed(spark, sf_dir), "windowed_events_bucketed",
+                      bucket_by="icustay_id")
+    return rounded(fx.features(win, 6))

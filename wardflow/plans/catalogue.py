@@ -439,7 +439,7 @@ def vocab_topk(spark, sf_dir):
 
 
 @register("encode", O.with_(O.vocab_ctes(), O.encode_ctes())
-          + "\nSELECT doc_id, len(ids) AS n_ids, array_to_string(ids, ' ') AS ids_text FROM enc")
+          + "\nSELECT doc_id, CAST(len(ids) AS INTEGER) AS n_ids, array_to_string(ids, ' ') AS ids_text FROM enc")
 def encode(spark, sf_dir):
     """K2: every document's whole token sequence as ids (OOV 2, start 1)."""
     from wardflow.operators.vocab import build_vocab, encode as enc
@@ -552,7 +552,7 @@ def softmax_reweight(spark, sf_dir):
 WITH x AS ({EMB_SQL}),
 h AS (SELECT vec_id, e[1:32] AS c, e[33:64] AS h FROM x)
 SELECT vec_id, {O.R('c[1]')} AS c_first, {O.R('c[32]')} AS c_last, {O.R('h[1]')} AS h_first,
-       {O.R('h[32]')} AS h_last, len(list_concat(c, c, c)) AS c3_len,
+       {O.R('h[32]')} AS h_last, CAST(len(list_concat(c, c, c)) AS INTEGER) AS c3_len,
        {O.R('list_sum(list_concat(c, c, c))')} AS c3_sum,
        {O.R('list_concat(h, h, h)[96]')} AS h3_last
 FROM h""")

@@ -9,105 +9,124 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_OPS = {
-    "<": lambda c, b: c < b, "<=": lambda c, b: c <= b,
-    ">": lambda c, b: c > b, ">=": lambda c, b: c >= b,
-    "=": lambda c, b: c == b,
-}
-
 
 def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def step_score(v, rules, otherwise: int | None = None) -> Column:
+def _num(x: float) -> str:
+    return f"CAST('{float(x)!r}' AS DOUBLE)"
+
+
+def case_sql(v: str, rules, otherwise: int | None = None) -> str:
+    """SQL text of a step function over column ``v``: first matching
+    ``(op, bound, points)`` wins; ``otherwise`` (if given) else NULL."""
+    arms = " ".join(f"WHEN `{v}` {op} {_num(bound)} THEN {int(points)}" for op, bound, points in rules)
+    tail = f" ELSE {int(otherwise)}" if otherwise is not None else ""
+    return f"CAST(CASE {arms}{tail} END AS INT)"
+
+
+def step_score(v: str, rules, otherwise: int | None = None) -> Column:
     """First matching ``(op, bound, points)`` wins; ``otherwise`` if given."""
-    v = _c(v)
-    expr = None
-    for op, bound, points in rules:
-        cond = _OPS[op](v, F.lit(float(bound)))
-        expr = (F.when(cond, F.lit(points)) if expr is None
-                else expr.when(cond, F.lit(points)))
-    if otherwise is not None:
-        expr = expr.otherwise(F.lit(otherwise))
-    return expr.cast("int")
-
-
-def cardiovascular_points(abp_mean="abp_mean", dopamine="dopamine", dobutamine="dobutamine",
-                          epinephrine="epinephrine", norepinephrine="norepinephrine") -> Column:
+    return F.expr(case_sql(v, rules, otherwise))
+
+
+CREATININE_RULES = [("<", 1.2, 0), ("<=", 1.9, 1), ("<=", 3.4, 2), ("<=", 4.9, 3), (">", 4.9, 4)]
+GCS_RULES = [("<", 6, 4), ("<=", 9, 3), ("<=", 12, 2), ("<=", 14, 1), ("=", 15, 0)]
+BILIRUBIN_RULES = [("<=", 1.2, 0), ("<=", 1.9, 1), ("<=", 5.9, 2), ("<=", 11.9, 3), (">", 11.9, 4)]
+PLATELETS_RULES = [("<", 20, 4), ("<", 50, 3), ("<", 100, 2), ("<", 150, 1), (">=", 150, 0)]
+RATIO_RULES = [("<", 100, 4), ("<", 200, 3), ("<", 300, 2), ("<", 400, 1), (">=", 400, 0)]
+
+
+def cardiovascular_sql(abp_mean="abp_mean", dopamine="dopamine", dobutamine="dobutamine",
+                       epinephrine="epinephrine", norepinephrine="norepinephrine") -> str:
     """S1 (boolean-rule form; arm order matters, Q13)."""
-    m, dop, dob, epi, nor = (_c(x) for x in (abp_mean, dopamine, dobutamine, epinephrine,
-                                             norepinephrine))
-    no_drugs = dop.isNull() & dob.isNull() & epi.isNull() & nor.isNull()
-    return (F.when((m >= 70) & no_drugs, 0)
-             .when((m < 70) & no_drugs, 1)
-             .when((dop <= 5) | dob.isNotNull(), 2)
-             .when(((dop > 5) & (dop <= 15)) | ((epi > 0) & (epi <= 0.1))
-                   | ((nor > 0) & (nor <= 0.1)), 3)
-             .when((dop > 15) | (epi > 0.1) | (nor > 0.1), 4)
-             .otherwise(0)).cast("int")
+    m, dop, dob, epi, nor = (f"`{x}`" for x in (abp_mean, dopamine, dobutamine, epinephrine,
+                                                  norepinephrine))
+    no_drugs = f"{dop} IS NULL AND {dob} IS NULL AND {epi} IS NULL AND {nor} IS NULL"
+    return ("CAST(CASE "
+            f"WHEN {m} >= 70 AND {no_drugs} THEN 0 "
+            f"WHEN {m} < 70 AND {no_drugs} THEN 1 "
+            f"WHEN {dop} <= 5 OR {dob} IS NOT NULL THEN 2 "
+            f"WHEN ({dop} > 5 AND {dop} <= 15) OR ({epi} > 0 AND {epi} <= 0.1) "
+            f"OR ({nor} > 0 AND {nor} <= 0.1) THEN 3 "
+            f"WHEN {dop} > 15 OR {epi} > 0.1 OR {nor} > 0.1 THEN 4 "
+            "ELSE 0 END AS INT)")
+
+
+def respiration_sql(pao2="pao2", fio2="fio2") -> str:
+    """S2 on the ratio pao2 / (fio2 / 100)."""
+    ratio = f"(`{pao2}` / (`{fio2}` / 100.0D))"
+    arms = " ".join(f"WHEN {ratio} {op} {_num(b)} THEN {p}" for op, b, p in RATIO_RULES)
+    return f"CAST(CASE {arms} END AS INT)"
+
+
+def urine_rules(window_hours: int):
+    """S7 bounds: ``w * 0.2 / 24`` and ``w * 0.5 / 24`` written as one division
+    each (``w / 120``, ``w / 48``) so the bound is the double nearest the
+    exact decimal, as in the reference."""
+    return [("<", window_hours / 120, 4), ("<", window_hours / 48, 3)]
+
+
+def cardiovascular_points(**cols) -> Column:
+    return F.expr(cardiovascular_sql(**cols))
 
 
 def respiration_points(pao2="pao2", fio2="fio2") -> Column:
-    """S2 on the ratio pao2 / (fio2 / 100)."""
-    ratio = _c(pao2) / (_c(fio2) / F.lit(100.0))
-    return step_score(ratio, [("<", 100, 4), ("<", 200, 3), ("<", 300, 2), ("<", 400, 1),
-                              (">=", 400, 0)])
+    return F.expr(respiration_sql(pao2, fio2))
 
 
 def creatinine_points(v="creatinine") -> Column:
     """S3."""
-    return step_score(v, [("<", 1.2, 0), ("<=", 1.9, 1), ("<=", 3.4, 2), ("<=", 4.9, 3),
-                          (">", 4.9, 4)])
+    return step_score(v, CREATININE_RULES)
 
 
 def gcs_points(v="gcs") -> Column:
     """S4 (values in (14, 15) and above 15 match no arm -> NULL)."""
-    return step_score(v, [("<", 6, 4), ("<=", 9, 3), ("<=", 12, 2), ("<=", 14, 1), ("=", 15, 0)])
+    return step_score(v, GCS_RULES)
 
 
 def bilirubin_points(v="bilirubin") -> Column:
     """S5."""
-    return step_score(v, [("<=", 1.2, 0), ("<=", 1.9, 1), ("<=", 5.9, 2), ("<=", 11.9, 3),
-                          (">", 11.9, 4)])
+    return step_score(v, BILIRUBIN_RULES)
 
 
 def platelets_points(v="platelets") -> Column:
     """S6."""
-    return step_score(v, [("<", 20, 4), ("<", 50, 3), ("<", 100, 2), ("<", 150, 1),
-                          (">=", 150, 0)])
+    return step_score(v, PLATELETS_RULES)
 
 
 def urine_points(v="urine", window_hours: int = 24) -> Column:
-    """Litres per window against 0.2 and 0.5 l/day scaled to the window.
-
-    ``w * 0.2 / 24`` is written as one division ``w / 120`` (and ``w / 48``)
-    so the bound is the double nearest the exact decimal, as in the reference.
-    """
-    return step_score(v, [("<", window_hours / 120, 4), ("<", window_hours / 48, 3)], otherwise=0)
+    """Litres per window against 0.2 and 0.5 l/day scaled to the window."""
+    return step_score(v, urine_rules(window_hours), otherwise=0)
 
 
 SCORE_PARTS = ("cardiovascular_points", "respiration_points", "creatinine_points", "gcs_points",
                "bilirubin_points", "platelets_points", "urine_points")
 
 
-def score_parts(window_hours: int) -> dict[str, Column]:
-    """S1-S7 over the imputed feature columns."""
+def score_parts_sql(window_hours: int) -> dict[str, str]:
+    """S1-S7 over the imputed feature columns, as SQL text."""
     return {
-        "cardiovascular_points": cardiovascular_points(),
-        "respiration_points": respiration_points(),
-        "creatinine_points": creatinine_points(),
-        "gcs_points": gcs_points(),
-        "bilirubin_points": bilirubin_points(),
-        "platelets_points": platelets_points(),
-        "urine_points": urine_points(window_hours=window_hours),
+        "cardiovascular_points": cardiovascular_sql(),
+        "respiration_points": respiration_sql(),
+        "creatinine_points": case_sql("creatinine", CREATININE_RULES),
+        "gcs_points": case_sql("gcs", GCS_RULES),
+        "bilirubin_points": case_sql("bilirubin", BILIRUBIN_RULES),
+        "platelets_points": case_sql("platelets", PLATELETS_RULES),
+        "urine_points": case_sql("urine", urine_rules(window_hours), otherwise=0),
     }
 
 
-def total_score(window_hours: int) -> Column:
+def total_score_sql(window_hours: int) -> str:
     """Null-propagating sum of the seven parts."""
-    parts = list(score_parts(window_hours).values())
-    total = parts[0]
-    for p in parts[1:]:
-        total = total + p
-    return total.cast("int")
+    return "CAST(" + " + ".join(f"({e})" for e in score_parts_sql(window_hours).values()) + \
+        " AS INT)"
+
+
+def score_parts(window_hours: int) -> dict[str, Column]:
+    return {k: F.expr(v) for k, v in score_parts_sql(window_hours).items()}
+
+
+def total_score(window_hours: int) -> Column:
+    return F.expr(total_score_sql(window_hours))

@@ -34,6 +34,41 @@ def locf(col: str | Column, partition="icustay_id", order: str = "tw_hour_idx")
     return F.last(c, ignorenulls=True).over(locf_window(partition, order))
 
 
+def locf_sql(col: str, partition="icustay_id", order: str = "tw_hour_idx") -> str:
+    """E1 as SQL text (same frame as ``locf``)."""
+    part = [partition] if isinstance(partition, str) else list(partition)
+    by = ", ".join(f"`{p}`" for p in part)
+    return (f"last(`{col}`, true) OVER (PARTITION BY {by} ORDER BY `{order}` "
+            "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)")
+
+
+def imputed_sql(spec=dic.DEFAULT_SPEC, defaults: dict[str, float] | None = None,
+                partition="icustay_id", order: str = "tw_hour_idx") -> dict[str, str]:
+    """E2 as SQL text: per spec row ``coalesce(locf(source), default)``, 0 or
+    raw.  Every LOCF shares one window definition, so Spark plans one Window
+    node for all of them."""
+    defaults = defaults if defaults is not None else defaults_from(None)
+    out = {}
+    for s in spec:
+        if s.impute == "raw":
+            out[s.name] = f"`{s.source}`"
+        elif s.impute == "locf_zero":
+            out[s.name] = f"coalesce({locf_sql(s.source, partition, order)}, 0.0D)"
+        elif s.impute == "locf_default":
+            d = defaults.get(s.default)
+            filled = locf_sql(s.source, partition, order)
+            out[s.name] = filled if d is None else \
+                f"coalesce({filled}, CAST('{float(d)!r}' AS DOUBLE))"
+        else:
+            raise ValueError(f"unknown impute mode {s.impute!r}")
+    return out
+
+
+def mask_sql(cols=dic.FEATURE_COLUMNS, prefix: str = "m_") -> dict[str, str]:
+    """B13 as SQL text."""
+    return {f"{prefix}{c}": f"CAST(`{c}` IS NOT NULL AS INT)" for c in cols}
+
+
 def defaults_from(dictionary: DataFrame | dict | None = None) -> dict[str, float]:
     """lower(category) -> median.
 

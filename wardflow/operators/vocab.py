@@ -59,16 +59,16 @@ def encode(docs: DataFrame, vocab: DataFrame, key: str = "doc_id", text: str = "
     (k rows, broadcast: its size is bounded by ``num_words``) and gathered
     back per document; a document's group is its own token list.
     """
-    toks = docs.select(key, F.posexplode(tokenize(text)).alias("pos", "token"))
+    toks = docs.select(key, F.posexplode_outer(tokenize(text)).alias("pos", "token"))
     v = F.broadcast(vocab.select("token", "id"))
     ided = toks.join(v, "token", "left").select(
-        key, "pos", F.coalesce(F.col("id"), F.lit(oov_id)).alias("id"))
-    seqs = ided.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("pos", "id"))).alias("s"))
-    seqs = seqs.select(key, F.transform("s", lambda x: x["id"]).alias("ids"))
-    # documents without any token still get a sequence (just the start id)
-    out = docs.select(key).join(seqs, key, "left")
-    ids = F.coalesce(F.col("ids"), F.array().cast("array<int>"))
-    return out.select(key, F.concat(F.array(F.lit(start_id)), ids).alias("ids"))
+        key, F.when(F.col("pos").isNotNull(),
+                    F.struct("pos", F.coalesce(F.col("id"), F.lit(oov_id)).alias("id")))
+              .alias("t"))
+    # a document without tokens keeps one row (pos NULL) and gets an empty list
+    seqs = ided.groupBy(key).agg(F.array_sort(F.collect_list("t")).alias("s"))
+    ids = F.transform("s", lambda x: x["id"])
+    return seqs.select(key, F.concat(F.array(F.lit(start_id)), ids).alias("ids"))
 
 
 def to_sequences(features: DataFrame, cols: list[str], n: int = MAX_LEN,

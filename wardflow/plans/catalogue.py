@@ -48,10 +48,12 @@ def round6(c):
 
 
 def rounded(df: DataFrame) -> DataFrame:
-    """Round every double column (final projection only)."""
-    return df.select(*[round6(F.col(f.name)).alias(f.name)
-                       if isinstance(f.dataType, (T.DoubleType, T.FloatType)) else F.col(f.name)
-                       for f in df.schema.fields])
+    """Round every double column (final projection only; one SQL projection,
+    same operations as ``round6``)."""
+    return df.selectExpr(*[
+        f"round(round(`{f.name}` * 1e9, 0) / 1e3, 0) / 1e6 AS `{f.name}`"
+        if isinstance(f.dataType, (T.DoubleType, T.FloatType)) else f"`{f.name}`"
+        for f in df.schema.fields])
 
 
 # ---------------------------------------------------------------------------

@@ -5,8 +5,9 @@ The reference computes one stay per call and re-derives the pivot three
 times per call; here one lazy plan covers every stay, the pivot is built
 once, and mask / imputation / score are columns of the same rows (C7 needs
 no join).  Shuffles on the main path: the partial-aggregate pivot on
-(stay, window), the daily lookup join on (stay, day) and the LOCF window on
-stay (over pivot rows only).
+(stay, window), then one exchange on stay that serves both the daily lookup
+windows and the LOCF window (over pivot rows only).  Over a table bucketed
+by stay there is no exchange at all.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from wardflow.functions.timecols import add_windows
 from wardflow.operators import harmonize as hz
 from wardflow.operators.aggregate import daily_total, pivot_features
 from wardflow.operators.cohort import build_cohort, restrict
-from wardflow.operators.impute import defaults_from, imputed_columns, mask_columns
+from wardflow.operators.impute import defaults_from, imputed_sql, mask_sql
 from wardflow.operators.intervals import interval_join
 from wardflow.sources import dictionary as dic
 
@@ -74,15 +75,18 @@ def pivot(windowed: DataFrame, window_hours: int, stay_id=None, day_index: str =
 def assemble(pv: DataFrame, window_hours: int, spec=dic.DEFAULT_SPEC, defaults=None,
              with_parts: bool = False) -> DataFrame:
     """U2 + U3 + U4 + U5 as columns over one pivot: masks from the raw
-    values, LOCF/default values, and the score from the imputed values."""
-    imp = imputed_columns(spec, defaults_from(defaults))
-    masks = mask_columns(dic.FEATURE_COLUMNS, "m_")
-    step1 = pv.select(*KEYS, *[c.alias(n) for n, c in imp.items()],
-                      *[c.alias(n) for n, c in masks.items()])
-    parts = steps.score_parts(window_hours)
-    extra = [c.alias(n) for n, c in parts.items()] if with_parts else []
-    return step1.select(*KEYS, steps.total_score(window_hours).alias("total_sofa_score"),
-                        *dic.FEATURE_COLUMNS, *masks.keys(), *extra)
+    values, LOCF/default values, and the score from the imputed values.
+    Built as two SQL projections (one Window node for every LOCF column)."""
+    imp = imputed_sql(spec, defaults_from(defaults))
+    masks = mask_sql(dic.FEATURE_COLUMNS, "m_")
+    step1 = pv.selectExpr(*[f"`{k}`" for k in KEYS], *[f"{e} AS `{n}`" for n, e in imp.items()],
+                          *[f"{e} AS `{n}`" for n, e in masks.items()])
+    parts = steps.score_parts_sql(window_hours)
+    extra = [f"{e} AS `{n}`" for n, e in parts.items()] if with_parts else []
+    return step1.selectExpr(*[f"`{k}`" for k in KEYS],
+                            f"{steps.total_score_sql(window_hours)} AS total_sofa_score",
+                            *[f"`{c}`" for c in dic.FEATURE_COLUMNS],
+                            *[f"`{m}`" for m in masks], *extra)
 
 
 def features(windowed: DataFrame, window_hours: int, stay_id=None, spec=dic.DEFAULT_SPEC,
@@ -96,14 +100,15 @@ def imputed(windowed: DataFrame, window_hours: int, spec=dic.DEFAULT_SPEC, defau
             day_index: str = "as_written") -> DataFrame:
     """U2."""
     pv = pivot(windowed, window_hours, day_index=day_index)
-    imp = imputed_columns(spec, defaults_from(defaults))
-    return pv.select(*KEYS, *[c.alias(n) for n, c in imp.items()])
+    imp = imputed_sql(spec, defaults_from(defaults))
+    return pv.selectExpr(*[f"`{k}`" for k in KEYS], *[f"{e} AS `{n}`" for n, e in imp.items()])
 
 
 def masks(windowed: DataFrame, window_hours: int, day_index: str = "as_written") -> DataFrame:
     """U4 (pivot names, like the reference's mask function)."""
     pv = pivot(windowed, window_hours, day_index=day_index)
-    return pv.select(*KEYS, *[c.alias(n[2:]) for n, c in mask_columns().items()])
+    return pv.selectExpr(*[f"`{k}`" for k in KEYS],
+                         *[f"{e} AS `{n[2:]}`" for n, e in mask_sql().items()])
 
 
 def scores(windowed: DataFrame, window_hours: int, spec=dic.DEFAULT_SPEC, defaults=None,

@@ -226,3 +226,22 @@ def test_features_one_stay_equals_filtered(spark):
     b = sorted(tuple(r) for r in fx.features(w, 1, stay_id=2).collect())
     assert a == b and len(a) == 4
     assert len(fx.features(w, 1).columns) == 51
+
+
+def test_join_parts_equals_assemble(spark):
+    rows = [(s, float(tw), cat, float(v)) for s in (1, 2) for tw, cat, v in
+            [(1, "HR", 80 + s), (2, "PaO2", 90), (3, "FiO2", 50), (3, "HR", 100), (5, "URINE", 0.1)]]
+    w = _windowed(spark, rows)
+    joined = fx.join_parts(fx.imputed(w, 1), fx.masks(w, 1), fx.scores(w, 1))
+    assert sorted(tuple(r) for r in joined.collect()) == \
+        sorted(tuple(r) for r in fx.features(w, 1).collect())
+    assert joined.columns == fx.features(w, 1).columns
+
+
+def test_defaults_from_dataframe_rejects_two_medians(spark):
+    from wardflow.operators.impute import defaults_from
+    d = dic.feature_dictionary(spark)
+    assert defaults_from(d)["hr"] == 86.0
+    bad = d.unionByName(d.where("item_cat = 'HR'").withColumn("median_value", F.lit(1.0)))
+    with pytest.raises(ValueError):
+        defaults_from(bad)

@@ -685,3 +685,44 @@ def features_50_w6_bucketed(spark, sf_dir):
     win = materialize(_windowed(spark, sf_dir), "windowed_events_bucketed",
                       bucket_by="icustay_id")
     return rounded(fx.features(win, 6))
+
+
+@register("impute_dictionary_defaults_w6",
+          O.with_(O.events_windowed_ctes(), O.pivot_ctes(6), O.imputed_cte())
+          + "\nSELECT icustay_id, tw_hour_idx, " + O.r6(dic.FEATURE_COLUMNS) + " FROM imp")
+def impute_dictionary_defaults_w6(spark, sf_dir):
+    """C6 with the dictionary given as a DataFrame (A2): its medians are read
+    once as scalar defaults (one row per category; more than one distinct
+    median for a category is an error, like the scalar subquery)."""
+    return rounded(fx.imputed(_windowed(spark, sf_dir), 6,
+                              defaults=dic.feature_dictionary(spark)))
+
+
+def _dictionary_values_sql() -> str:
+    return ", ".join(f"({i}, '{c}', {O.dbl(m)}, {O.dbl(a)}, '{u}')"
+                     for i, c, m, a, u in dic.FEATURE_ROWS)
+
+
+@register("dictionary_vs_data", O.with_(O.events_windowed_ctes()) + f""",
+d AS (SELECT * FROM (VALUES {_dictionary_values_sql()})
+      AS t(item_idx, item_cat, median_value, mean_value, item_unit)),
+st AS (SELECT lower(itemcat) AS cat, median(valuenum) AS data_median, avg(valuenum) AS data_mean,
+              count(*) AS n
+       FROM lng WHERE valuenum IS NOT NULL GROUP BY lower(itemcat))
+SELECT d.item_idx, d.item_cat, d.item_unit, {O.R('d.median_value')} AS stored_median,
+       {O.R('d.mean_value')} AS stored_mean, {O.R('st.data_median')} AS data_median,
+       {O.R('st.data_mean')} AS data_mean, st.n
+FROM d LEFT JOIN st ON lower(d.item_cat) = st.cat""")
+def dictionary_vs_data(spark, sf_dir):
+    """A2 + D8: the stored dictionary next to the statistics of the data."""
+    from wardflow.operators.aggregate import dictionary_stats as stats
+    ev = an.load(spark, sf_dir, "events")
+    lng = an.events_long(spark, ev).withColumn("cat", F.lower("itemcat"))
+    st = stats(lng, category="cat").select(
+        "cat", F.col("median_value").alias("data_median"),
+        F.col("mean_value").alias("data_mean"), "n")
+    d = dic.feature_dictionary(spark)
+    out = d.join(st, F.lower(d["item_cat"]) == st["cat"], "left").select(
+        "item_idx", "item_cat", "item_unit", F.col("median_value").alias("stored_median"),
+        F.col("mean_value").alias("stored_mean"), "data_median", "data_mean", "n")
+    return rounded(out)

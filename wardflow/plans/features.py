@@ -123,3 +123,16 @@ def scores(windowed: DataFrame, window_hours: int, spec=dic.DEFAULT_SPEC, defaul
 def daily(windowed: DataFrame) -> DataFrame:
     """The daily urine relation (built after the windowed table, Q17)."""
     return daily_total(windowed, "urine")
+
+
+def join_parts(values: DataFrame, masks_df: DataFrame, score: DataFrame,
+               keys=("icustay_id", "tw_hour_idx"), mask_prefix: str = "m_") -> DataFrame:
+    """C7 join form for parts computed elsewhere: score ⋈ mask ⋈ values on
+    (stay, window) -> the 50-column row.  When all three come from one
+    pivot, ``assemble`` gives the same rows without any join."""
+    keys = list(keys)
+    m = masks_df.select(*keys, *[F.col(c).alias(f"{mask_prefix}{c}")
+                                 for c in masks_df.columns if c not in keys])
+    out = score.select(*keys, "total_sofa_score").join(m, keys).join(values, keys)
+    return out.select(*keys, "total_sofa_score", *dic.FEATURE_COLUMNS,
+                      *[f"{mask_prefix}{c}" for c in dic.FEATURE_COLUMNS])

@@ -55,7 +55,16 @@ def main():
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     names = sys.argv[2:] or list(catalogue.QUERIES)
     from wardflow.session import local_session
-    spark = local_session(8, 8)
+    extra = {}
+    if os.environ.get("WARDFLOW_NO_BROADCAST"):
+        # the plan shapes of a large cluster: no size-based broadcast, AQE
+        # skew-join splitting on even small partitions
+        extra = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+                 "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+                 "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1",
+                 "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+                 "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k"}
+    spark = local_session(8, 8, extra=extra)
     con = duck(sf_dir)
     bad = 0
     for n in names:

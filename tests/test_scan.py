@@ -55,3 +55,14 @@ def test_evaluate(spark):
     assert r.n == 4 and r.accuracy == pytest.approx(0.5)
     want = -np.mean([np.log(0.9), np.log(0.8), np.log(0.4), np.log(0.5)])
     assert r.bce == pytest.approx(want)
+
+
+def test_folded_attention_equals_full():
+    w = scan.seeded_weights(5)
+    c = np.random.default_rng(6).normal(size=(3, 8, 128)).astype(np.float32)
+    c3 = np.concatenate([c, c, c], -1)
+    pairs = np.concatenate([c3[:, 0::2], c3[:, 1::2]], -1)
+    small = np.concatenate([c[:, 0::2], c[:, 1::2]], -1)
+    full = pairs @ w["att_w"]
+    folded = small @ scan.folded_attention(w["att_w"], 128)
+    assert np.allclose(full, folded, atol=1e-4)

@@ -210,11 +210,12 @@ def test_exact_percentile_matches_numpy(spark):
     rows = [("hot", float(v)) for v in hot] + [("odd", float(v)) for v in [3.0, 1.0, 2.0]] + \
            [("even", float(v)) for v in [4.0, 1.0, 3.0, 2.0]] + [("one", 7.0)]
     df = spark.createDataFrame(rows, "g string, v double")
-    got = {r.g: r.median_value for r in agg.exact_percentile(df, ["g"], "v", accuracy=100).collect()}
+    got = {r.g: r.median_value
+           for r in agg.exact_percentile(df, ["g"], "v", accuracy=100, grid=10).collect()}
     assert got["hot"] == pytest.approx(float(np.median(hot)))
     assert got["odd"] == 2.0 and got["even"] == 2.5 and got["one"] == 7.0
     q = {r.g: r.median_value for r in
-         agg.exact_percentile(df, ["g"], "v", p=0.9, accuracy=100).collect()}
+         agg.exact_percentile(df, ["g"], "v", p=0.9, accuracy=100, grid=10).collect()}
     assert q["hot"] == pytest.approx(float(np.quantile(hot, 0.9)))
 
 
@@ -245,3 +246,15 @@ def test_defaults_from_dataframe_rejects_two_medians(spark):
     bad = d.unionByName(d.where("item_cat = 'HR'").withColumn("median_value", F.lit(1.0)))
     with pytest.raises(ValueError):
         defaults_from(bad)
+
+
+def test_exact_percentile_continuous_hot_group(spark):
+    import numpy as np
+    vals = np.random.default_rng(9).lognormal(0, 1, 50000)
+    df = spark.createDataFrame([("a", float(v)) for v in vals] + [("b", 1.0), ("b", 3.0)],
+                               "g string, v double")
+    for p in (0.1, 0.5, 0.99):
+        got = {r.g: r.median_value for r in
+               agg.exact_percentile(df, ["g"], "v", p=p, accuracy=200, grid=20).collect()}
+        assert got["a"] == pytest.approx(float(np.quantile(vals, p)), rel=1e-12)
+        assert got["b"] == pytest.approx(1.0 + 2.0 * p)

@@ -134,20 +134,33 @@ def forward(ids: np.ndarray, w) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-z))                           # K11
 
 
-_CACHE: dict = {}
+def _ship_by_value() -> None:
+    """Send this module's code with the task (pickled by value), so Python
+    workers need NumPy and pandas but not this package on their path."""
+    import sys
+
+    from pyspark import cloudpickle
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 def _weights(source) -> dict:
+    """Weights for ``source`` (seed or .npz path), built once per Python
+    worker process and kept across tasks in a process-wide registry (not in
+    a module global, which would travel with every pickled task)."""
+    import sys
+    import types
+    reg = sys.modules.setdefault("_wardflow_weights", types.ModuleType("_wardflow_weights"))
+    cache = reg.__dict__.setdefault("cache", {})
     key = source if isinstance(source, (int, str)) else id(source)
-    if key not in _CACHE:
+    if key not in cache:
         if isinstance(source, int):
             w = seeded_weights(source)
         else:
             with np.load(source) as z:
                 w = {k: z[k].astype(np.float32) for k in z.files}
         w["att_fold"] = folded_attention(w["att_w"], w["kernel"].shape[0])
-        _CACHE[key] = w
-    return _CACHE[key]
+        cache[key] = w
+    return cache[key]
 
 
 def score_sequences(seqs: DataFrame, key: str = "doc_id", ids: str = "ids",
@@ -155,6 +168,7 @@ def score_sequences(seqs: DataFrame, key: str = "doc_id", ids: str = "ids",
     """(key, probability) for every padded sequence; ``weights`` is a seed
     or a path to an ``.npz`` file readable by every executor."""
     key_type = dict(seqs.dtypes)[key]
+    _ship_by_value()
 
     def run(batches):
         w = _weights(weights)

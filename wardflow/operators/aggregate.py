@@ -165,8 +165,11 @@ def sort_categories(categories, collation: str = "C") -> list[str]:
     raise ValueError("collation must be 'C' or 'en_US'")
 
 
+MAX_BROADCAST_GROUPS = 200_000
+
+
 def _grid_band(rows: DataFrame, keys: list[str], targets: DataFrame, grid: int,
-               accuracy: int) -> DataFrame:
+               accuracy: int, small=lambda d: d) -> DataFrame:
     """Per group, a value band [__lo, __hi] holding the order statistics of
     0-based ranks ``__t_lo`` .. ``__t_hi`` of ``rows``.
 
@@ -179,7 +182,7 @@ def _grid_band(rows: DataFrame, keys: list[str], targets: DataFrame, grid: int,
     fr = [i / grid for i in range(grid + 1)]
     g = (rows.groupBy(*keys)
          .agg(F.count(F.lit(1)).alias("__m"), F.percentile_approx("__v", fr, accuracy).alias("__q"))
-         .join(targets, keys))
+         .join(small(targets), keys))
     m = F.col("__m").cast("double")
     e = F.lit(2.0 / accuracy)
     fa = (F.col("__t_lo") + 1 - 2) / m - e
@@ -192,7 +195,7 @@ def _grid_band(rows: DataFrame, keys: list[str], targets: DataFrame, grid: int,
 
 def exact_percentile(df: DataFrame, keys: list[str], value: str, p: float = 0.5,
                      accuracy: int = 100_000, grid: int = 1_000,
-                     alias: str = "median_value") -> DataFrame:
+                     alias: str = "median_value", reuse_input: bool = True) -> DataFrame:
     """Exact ``percentile_cont(p)`` per group without gathering a group.
 
     The two order statistics ``percentile_cont`` interpolates between (0-based
@@ -213,14 +216,28 @@ def exact_percentile(df: DataFrame, keys: list[str], value: str, p: float = 0.5,
         raise ValueError("accuracy must exceed grid")
     v = F.col("__v")
     x = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("__v"))
+    if reuse_input:
+        # several passes read the (group, value) pairs: compute them once
+        from wardflow.sources.materialize import cut_lineage
+        x = cut_lineage(x)
     n = x.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    # Per-group tables (one row per group) are joined back to the pairs many
+    # times.  They are broadcast only when the group count, measured here on
+    # the tiny aggregate, is within bounds; beyond that the joins shuffle and
+    # AQE's skew handling splits a hot group.
+    if n.count() <= MAX_BROADCAST_GROUPS:
+        small = F.broadcast
+    else:
+        def small(d):
+            return d
     pos = (F.col("__n") - 1) * F.lit(float(p))
     targets = n.select(*keys, F.floor(pos).alias("__r_lo"), F.ceil(pos).alias("__r_hi"),
                        (pos - F.floor(pos)).alias("__frac"))
     # level 1 over the whole group
     b1 = _grid_band(x, keys, targets.select(*keys, F.col("__r_lo").alias("__t_lo"),
-                                            F.col("__r_hi").alias("__t_hi")), grid, accuracy)
-    j1 = x.join(b1, keys)
+                                            F.col("__r_hi").alias("__t_hi")), grid, accuracy,
+                    small)
+    j1 = x.join(small(b1), keys)
     below1 = j1.where(v < F.col("__lo")).groupBy(*keys).agg(F.count(F.lit(1)).alias("__b1"))
     band1 = j1.where(v.between(F.col("__lo"), F.col("__hi"))).select(*keys, "__v")
     # level 2 over the band, with ranks shifted by the rows below it
@@ -228,15 +245,15 @@ def exact_percentile(df: DataFrame, keys: list[str], value: str, p: float = 0.5,
           .withColumn("__b1", F.coalesce(F.col("__b1"), F.lit(0))))
     b2 = _grid_band(band1, keys, t2.select(*keys, (F.col("__r_lo") - F.col("__b1")).alias("__t_lo"),
                                           (F.col("__r_hi") - F.col("__b1")).alias("__t_hi")),
-                    grid, accuracy)
-    j2 = band1.join(b2, keys)
+                    grid, accuracy, small)
+    j2 = band1.join(small(b2), keys)
     below2 = j2.where(v < F.col("__lo")).groupBy(*keys).agg(F.count(F.lit(1)).alias("__b2"))
     band2 = (j2.where(v.between(F.col("__lo"), F.col("__hi")))
              .groupBy(*keys, "__v").agg(F.count(F.lit(1)).alias("__c")))
     w = W.partitionBy(*keys).orderBy("__v").rowsBetween(W.unboundedPreceding, W.currentRow)
     ranked = (band2.withColumn("__cum", F.sum("__c").over(w))
-              .join(t2.select(*keys, "__b1", "__r_lo", "__r_hi", "__frac"), keys)
-              .join(below2, keys, "left")
+              .join(small(t2.select(*keys, "__b1", "__r_lo", "__r_hi", "__frac")), keys)
+              .join(small(below2), keys, "left")
               .withColumn("__cum", F.col("__cum") + F.col("__b1")
                           + F.coalesce(F.col("__b2"), F.lit(0))))
     sel = ranked.groupBy(*keys).agg(
@@ -249,8 +266,12 @@ def exact_percentile(df: DataFrame, keys: list[str], value: str, p: float = 0.5,
 
 def dictionary_stats(long_rows: DataFrame, category: str = "itemcat", value: str = "valuenum",
                      accuracy: int = 100_000, grid: int = 1_000) -> DataFrame:
-    """The dictionary's median and mean per category, computed from data."""
-    med = exact_percentile(long_rows, [category], value, 0.5, accuracy, grid)
-    mean = (long_rows.where(F.col(value).isNotNull()).groupBy(category)
-            .agg(F.avg(value).alias("mean_value"), F.count(F.lit(1)).alias("n")))
+    """The dictionary's median and mean per category, computed from data
+    (the (category, value) pairs are computed once and reused by every pass)."""
+    from wardflow.sources.materialize import cut_lineage
+    x = cut_lineage(long_rows.where(F.col(value).isNotNull())
+                    .select(category, F.col(value).cast("double").alias(value)))
+    med = exact_percentile(x, [category], value, 0.5, accuracy, grid, reuse_input=False)
+    mean = x.groupBy(category).agg(F.avg(value).alias("mean_value"),
+                                   F.count(F.lit(1)).alias("n"))
     return mean.join(med, category).select(category, "median_value", "mean_value", "n")

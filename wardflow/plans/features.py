@@ -42,9 +42,18 @@ def windowed_features(long_rows: DataFrame, cohort: DataFrame,
 
 
 def long_features(patients, icustays, chartevents, labevents, outputevents, inputevents_cv,
-                  inputevents_mv, temp_category: str = "Temperature") -> tuple[DataFrame, DataFrame]:
-    """§3.2 steps 1-5 over the clinical schema: returns (cohort, long rows)."""
+                  inputevents_mv, temp_category: str = "Temperature",
+                  materialize_cohort: bool = True) -> tuple[DataFrame, DataFrame]:
+    """§3.2 steps 1-5 over the clinical schema: returns (cohort, long rows).
+
+    The cohort feeds six semi joins and the windowed join; like the
+    reference's materialised cohort it is written once as a parquet table in
+    ``spark.checkpoint.dir`` (its file size then guides join planning)
+    instead of being recomputed per use."""
     cohort = build_cohort(patients, icustays)
+    if materialize_cohort:
+        from wardflow.sources.materialize import materialize
+        cohort = materialize(cohort, "cohort")
     chart = restrict(chartevents, cohort, "subject_id")
     cv = restrict(inputevents_cv, cohort, "subject_id")
     mv = restrict(inputevents_mv, cohort, "subject_id")

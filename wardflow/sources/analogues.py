@@ -203,8 +203,11 @@ def clinical_tables(spark: SparkSession, base: str) -> dict[str, DataFrame]:
     customer = load(spark, base, "customer")
     orders = load(spark, base, "orders")
     lineitem = load(spark, base, "lineitem")
-    lo = lineitem.join(orders.select("o_orderkey", "o_custkey", "o_orderdate"),
-                       lineitem["l_orderkey"] == orders["o_orderkey"])
+    from wardflow.sources.materialize import materialize
+    # the seven logs are projections of one join: write it once
+    lo = materialize(lineitem.join(orders.select("o_orderkey", "o_custkey", "o_orderdate"),
+                                   lineitem["l_orderkey"] == orders["o_orderkey"]),
+                     "clinical_lineitem_orders")
     pools = code_pools()
     row_id = F.col("l_orderkey") * 8 + F.col("l_linenumber")
     subj, hadm = F.col("o_custkey").alias("subject_id"), F.col("o_orderkey").alias("hadm_id")

@@ -45,3 +45,12 @@ def materialize(df: DataFrame, name: str, bucket_by: str | None = None, buckets:
         return spark.table(name)
     w.save()
     return spark.read.parquet(path)
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint into ``spark.checkpoint.dir`` (eager): the data is
+    computed once and later passes read the written files; a lost executor
+    never recomputes the upstream plan.  For inputs that a multi-pass job
+    reads several times."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

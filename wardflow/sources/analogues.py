@@ -205,9 +205,11 @@ def clinical_tables(spark: SparkSession, base: str) -> dict[str, DataFrame]:
     lineitem = load(spark, base, "lineitem")
     from wardflow.sources.materialize import materialize
     # the seven logs are projections of one join: write it once
-    lo = materialize(lineitem.join(orders.select("o_orderkey", "o_custkey", "o_orderdate"),
-                                   lineitem["l_orderkey"] == orders["o_orderkey"]),
-                     "clinical_lineitem_orders")
+    used = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
+            "l_extendedprice", "l_discount", "l_tax", "l_shipdate"]
+    lo = materialize(lineitem.select(*used).join(
+        orders.select("o_orderkey", "o_custkey", "o_orderdate"),
+        F.col("l_orderkey") == F.col("o_orderkey")), "clinical_lineitem_orders")
     pools = code_pools()
     row_id = F.col("l_orderkey") * 8 + F.col("l_linenumber")
     subj, hadm = F.col("o_custkey").alias("subject_id"), F.col("o_orderkey").alias("hadm_id")

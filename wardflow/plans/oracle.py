@@ -308,12 +308,12 @@ cv AS (
   SELECT o_custkey AS subject_id, l_orderkey AS hadm_id, l_orderkey AS icustay_id,
          {hours('l_linenumber * 3')} AS charttime, {pick('cv', 'l_partkey')} AS itemid,
          l_discount * 100 AS rate, 'mcg/kg/min' AS rateuom
-  FROM lo WHERE l_linenumber % 2 = 1 AND o_custkey IN (SELECT subject_id FROM cohort)),
+  FROM lo WHERE l_returnflag <> 'N' AND o_custkey IN (SELECT subject_id FROM cohort)),
 mv AS (
   SELECT o_custkey AS subject_id, l_orderkey AS hadm_id, l_orderkey AS icustay_id,
          {hours('l_linenumber * 3')} AS starttime, {pick('mv', 'l_partkey')} AS itemid,
          l_tax * 100 AS rate, 'mcg/kg/min' AS rateuom
-  FROM lo WHERE l_linenumber % 2 = 0 AND o_custkey IN (SELECT subject_id FROM cohort)),
+  FROM lo WHERE l_returnflag = 'N' AND o_custkey IN (SELECT subject_id FROM cohort)),
 gcs AS (
   SELECT subject_id, hadm_id, icustay_id, charttime, value AS cvalue, valuenum FROM (
     SELECT DISTINCT row_id, subject_id, hadm_id, icustay_id, charttime, value, valuenum

@@ -196,8 +196,8 @@ def clinical_tables(spark: SparkSession, base: str) -> dict[str, DataFrame]:
     inputevents_cv / inputevents_mv with the clinical schemas' columns.
 
     Every lineitem row becomes one chart, one lab and one output row and
-    one infusion row (cv for odd, mv for even line numbers); its order is
-    the admission and the stay.  Codes are taken from the pools by part /
+    one infusion row (the "mv" log for return flag N, the "cv" log for the
+    others); its order is the admission and the stay.  Codes are taken from the pools by part /
     supplier key; times are hours after the order date (ship date for labs).
     """
     customer = load(spark, base, "customer")
@@ -206,7 +206,7 @@ def clinical_tables(spark: SparkSession, base: str) -> dict[str, DataFrame]:
     from wardflow.sources.materialize import materialize
     # the seven logs are projections of one join: write it once
     used = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
-            "l_extendedprice", "l_discount", "l_tax", "l_shipdate"]
+            "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_shipdate"]
     lo = materialize(lineitem.select(*used).join(
         orders.select("o_orderkey", "o_custkey", "o_orderdate"),
         F.col("l_orderkey") == F.col("o_orderkey")), "clinical_lineitem_orders")
@@ -239,11 +239,11 @@ def clinical_tables(spark: SparkSession, base: str) -> dict[str, DataFrame]:
         F.lit(None).cast("string").alias("stopped"), F.lit(None).cast("string").alias("newbottle"),
         F.lit(0).alias("iserror"))
     inf_time = _hours_after(F.col("o_orderdate"), line * 3)
-    cv = lo.where(line % 2 == 1).select(
+    cv = lo.where(F.col("l_returnflag") != "N").select(
         row_id.alias("row_id"), subj, hadm, stay, inf_time.alias("charttime"),
         _pick(pools["cv"], F.col("l_partkey")).alias("itemid"),
         (F.col("l_discount") * 100).alias("rate"), F.lit("mcg/kg/min").alias("rateuom"))
-    mv = lo.where(line % 2 == 0).select(
+    mv = lo.where(F.col("l_returnflag") == "N").select(
         row_id.alias("row_id"), subj, hadm, stay, inf_time.alias("starttime"),
         _pick(pools["mv"], F.col("l_partkey")).alias("itemid"),
         (F.col("l_tax") * 100).alias("rate"), F.lit("mcg/kg/min").alias("rateuom"))

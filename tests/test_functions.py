@@ -3,7 +3,6 @@
 import math
 
 import pytest
-from pyspark.sql import functions as F
 
 from conftest import ts
 from wardflow.functions import arrays, steps, timecols, units

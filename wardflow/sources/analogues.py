@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wardflow.functions import units
-from wardflow.functions.timecols import US_PER_SECOND, add_micros, epoch_micros
+from wardflow.functions.timecols import US_PER_SECOND, add_micros
 from wardflow.sources import dictionary as dic
 from wardflow.sources.tables import load
 

@@ -114,6 +114,8 @@ def test_interval_join_matches_brute_force(spark):
     want = sorted((i, s) for i, k, t in events for kk, s, e in spans
                   if k == kk and t - s >= -tol and e - t >= -tol)
     assert got == want
+    salted = sorted((r.id, r.intime) for r in interval_join(edf, sdf, "k", salt=7).collect())
+    assert salted == want
 
 
 def test_restrict_semi(spark):

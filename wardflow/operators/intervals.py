@@ -20,14 +20,21 @@ from wardflow.functions.timecols import US_PER_SECOND, epoch_micros
 
 def interval_join(events: DataFrame, spans: DataFrame, on: str | list[str],
                   ts: str = "charttime", start: str = "intime", end: str = "outtime",
-                  tolerance_seconds: float = 3600, span_columns: list[str] | None = None
-                  ) -> DataFrame:
+                  tolerance_seconds: float = 3600, span_columns: list[str] | None = None,
+                  salt: int = 1) -> DataFrame:
     """Inner interval join.
 
     ``span_columns`` are the span-side columns to carry (besides ``start`` and
     ``end``); a span column that also exists on the event side replaces it
     only when listed here, so C3 (stay id from the span) and C4 (stay id kept
     from the event) are the same call with different ``span_columns``.
+
+    Skew: with AQE on, a key holding a large share of the events is split by
+    the skew-join optimisation.  ``salt > 1`` splits it explicitly instead
+    (for sessions without AQE): each event gets a deterministic salt in
+    [0, salt) from a hash of its row, each span row is repeated once per salt
+    value, and the salt joins the equi keys, so a hot key's events spread
+    over ``salt`` tasks while every event still meets every span of its key.
     """
     on = [on] if isinstance(on, str) else list(on)
     span_columns = list(span_columns or [])
@@ -36,10 +43,18 @@ def interval_join(events: DataFrame, spans: DataFrame, on: str | list[str],
     carry = list(dict.fromkeys(carry))
     s = spans.select(*on, *[F.col(c).alias(f"__s_{c}") for c in carry])
     ev = events.drop(*[c for c in carry if c in events.columns])
+    out_cols = list(ev.columns)
+    if salt > 1:
+        ev = ev.withColumn("__salt", F.pmod(F.xxhash64(*[F.col(c) for c in out_cols]),
+                                            F.lit(salt)))
+        s = s.withColumn("__salt", F.explode(F.sequence(F.lit(0).cast("long"),
+                                                        F.lit(salt - 1).cast("long"))))
     cond = [ev[k] == s[k] for k in on]
+    if salt > 1:
+        cond.append(ev["__salt"] == s["__salt"])
     t = epoch_micros(ev[ts])
     cond.append(t >= epoch_micros(s[f"__s_{start}"]) - tol)
     cond.append(t <= epoch_micros(s[f"__s_{end}"]) + tol)
     joined = ev.join(s, cond, "inner")
-    out = [ev[c] for c in ev.columns] + [s[f"__s_{c}"].alias(c) for c in carry]
+    out = [ev[c] for c in out_cols] + [s[f"__s_{c}"].alias(c) for c in carry]
     return joined.select(*out)

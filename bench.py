@@ -1,7 +1,7 @@
 """Benchmark the headline queries.
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-BENCH_QUERIES (comma list, optional), BENCH_REPEAT (default 2; the best
+BENCH_QUERIES (comma list, optional), BENCH_REPEAT (default 3; the best
 run per query is reported, the first-run total is reported as well).
 Each query is planned and fully executed into Spark's ``noop`` sink (every
 row computed, nothing collected to the driver).  JVM start and an untimed
@@ -41,7 +41,7 @@ HEADLINE = [
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    repeat = int(os.environ.get("BENCH_REPEAT", "2"))
+    repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     from wardflow.plans import catalogue
     from wardflow.session import local_session
 

@@ -64,10 +64,6 @@ def _windowed(spark, sf_dir):
     return an.events_windowed(spark, sf_dir)
 
 
-FEATURES_OUT = (["icustay_id", "tw_hour_idx", "total_sofa_score"] + dic.FEATURE_COLUMNS
-                + [f"m_{c}" for c in dic.FEATURE_COLUMNS])
-
-
 def _features_sql(w: int, day_index: str = "as_written") -> str:
     body = O.with_(O.events_windowed_ctes(), O.pivot_ctes(w, day_index), O.imputed_cte(),
                    O.score_cte(w))

@@ -53,8 +53,6 @@ FEATURE_DICTIONARY = _struct(
     not_null=("item_idx", "item_cat", "item_unit"))
 
 # Long (entity-attribute-value) event rows shared by all eight branches.
-LONG_COLUMNS = ["subject_id", "hadm_id", "icustay_id", "itemcat", "itemid", "charttime",
-                "cvalue", "valuenum", "valueuom"]
 LONG = _struct(
     "subject_id long, hadm_id long, icustay_id long, itemcat string, itemid int, "
     "charttime ts, cvalue string, valuenum double, valueuom string")

@@ -25,6 +25,33 @@ def load(spark: SparkSession, base: str, name: str, schema=None) -> DataFrame:
     return r.parquet(path)
 
 
+def conform(df: DataFrame, schema, fill_missing: bool = False) -> DataFrame:
+    """Project ``df`` onto a declared StructType (names, order, types).
+    A missing column is an error unless ``fill_missing`` (then NULL)."""
+    from pyspark.sql import functions as F
+    cols = []
+    for f in schema.fields:
+        if f.name in df.columns:
+            cols.append(F.col(f.name).cast(f.dataType).alias(f.name))
+        elif fill_missing:
+            cols.append(F.lit(None).cast(f.dataType).alias(f.name))
+        else:
+            raise ValueError(f"column {f.name!r} missing from input")
+    return df.select(*cols)
+
+
+def load_clinical(spark: SparkSession, base: str, fill_missing: bool = False) -> dict:
+    """A1: the seven clinical base tables, each conformed to its declared
+    schema (``wardflow.schemas``); keys match ``plans.features.long_features``."""
+    from wardflow import schemas
+    declared = {"patients": schemas.PATIENTS, "icustays": schemas.ICUSTAYS,
+                "chartevents": schemas.CHARTEVENTS, "labevents": schemas.LABEVENTS,
+                "outputevents": schemas.OUTPUTEVENTS, "inputevents_cv": schemas.INPUTEVENTS_CV,
+                "inputevents_mv": schemas.INPUTEVENTS_MV}
+    return {n: conform(load(spark, base, n), declared[n], fill_missing)
+            for n in CLINICAL_TABLES}
+
+
 def register_views(spark: SparkSession, base: str, names=DRIVER_TABLES) -> None:
     """A4 for SQL users: one temp view per table."""
     for n in names:

@@ -128,3 +128,15 @@ def test_softmax_sums_to_one(spark):
     df = spark.createDataFrame([([1.0, 2.0, 3.0, 1000.0],)], "s array<double>")
     a = df.select(arrays.softmax("s")).collect()[0][0]
     assert math.isclose(sum(a), 1.0) and a[-1] == pytest.approx(1.0)
+
+
+def test_cluster_conf_sizes_follow_the_data():
+    from wardflow.session import cluster_conf
+    tb = 1024 ** 4
+    big = cluster_conf(100 * tb, 8000)
+    assert int(big["spark.sql.files.maxPartitionBytes"]) == 512 * 1024 ** 2
+    assert int(big["spark.sql.shuffle.partitions"]) >= 50_000
+    assert int(big["spark.sql.autoBroadcastJoinThreshold"]) <= 64 * 1024 ** 2
+    small = cluster_conf(10 * 1024 ** 3, 64)
+    assert int(small["spark.sql.shuffle.partitions"]) == 128
+    assert int(small["spark.sql.files.maxPartitionBytes"]) < 512 * 1024 ** 2

@@ -75,3 +75,38 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(d)
     return d
+
+
+def cluster_conf(input_bytes: int, total_cores: int, executor_memory_gb: float = 16.0,
+                 cores_per_executor: int = 8) -> dict[str, str]:
+    """Suggested settings for a cluster run (nothing here is applied by the
+    library).  Sizes follow from the data, not from local testing:
+
+    * file splits of 512 MB (fewer, larger scan tasks; at least 4 waves);
+    * initial shuffle partitions so a partition of the largest shuffle
+      (taken as a tenth of the input after column pruning and partial
+      aggregation) is about 200 MB, never fewer than 2x the cores; AQE then
+      coalesces by size (``parallelismFirst`` off) and splits skew;
+    * broadcast up to 64 MB (e.g. one row per stay for millions of stays),
+      bounded by an eighth of an executor's per-core memory.
+    """
+    mb = 1024 * 1024
+    split = 512 * mb
+    while input_bytes / split < 4 * total_cores and split > 64 * mb:
+        split //= 2
+    shuffle = max(2 * total_cores, int(input_bytes / 10 / (200 * mb)))
+    per_core = executor_memory_gb * 1024 * mb / max(cores_per_executor, 1)
+    bcast = int(min(64 * mb, per_core / 8))
+    return {
+        **REQUIRED_CONF, **ADAPTIVE_CONF,
+        "spark.sql.files.maxPartitionBytes": str(split),
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * mb),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1024 * mb),
+        "spark.sql.autoBroadcastJoinThreshold": str(bcast),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(bcast),
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
+        "spark.executorEnv.OPENBLAS_NUM_THREADS": "1",
+        "spark.executorEnv.OMP_NUM_THREADS": "1",
+    }

@@ -56,3 +56,33 @@ def test_load_sequences_matches_pandas(spark):
     got = {r.doc_id: (r.label, r.split)
            for r in catalogue.QUERIES["load_sequences"](spark, SF).collect()}
     assert got == want
+
+
+def test_fit_head_matches_newton(spark):
+    """With an L2 penalty the optimum is unique: Spark ML's fit equals a
+    NumPy Newton solve of mean log-loss + reg/2 |w|^2 (intercept free)."""
+    from pyspark.ml.functions import array_to_vector
+    from pyspark.sql import functions as F
+    emb = pd.read_parquet(os.path.join(SF, "embeddings.parquet"))
+    x = np.stack(emb.embedding.to_numpy()).astype(np.float64)
+    y = (emb.label.to_numpy() >= catalogue.BINARY_FROM_CLASS).astype(np.float64)
+    reg = 0.1
+    a = np.hstack([x, np.ones((len(x), 1))])
+    w = np.zeros(a.shape[1])
+    pen = np.full(a.shape[1], reg)
+    pen[-1] = 0.0
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-a @ w))
+        g = a.T @ (p - y) / len(y) + pen * w
+        h = (a * (p * (1 - p))[:, None]).T @ a / len(y) + np.diag(pen)
+        w -= np.linalg.solve(h, g)
+    want = 1 / (1 + np.exp(-a @ w))
+    df = spark.read.parquet(os.path.join(SF, "embeddings.parquet")).select(
+        "vec_id", (F.col("label") >= catalogue.BINARY_FROM_CLASS).cast("double").alias("label"),
+        array_to_vector(F.transform("embedding", lambda v: v.cast("double"))).alias("features"))
+    model = scan.fit_head(df, max_iter=200, reg_param=reg, standardization=False)
+    from pyspark.ml.functions import vector_to_array
+    got = {r.vec_id: r.p for r in model.transform(df).select(
+        "vec_id", vector_to_array("probability")[1].alias("p")).collect()}
+    diffs = [abs(got[v] - p) for v, p in zip(emb.vec_id, want)]
+    assert max(diffs) < 1e-4

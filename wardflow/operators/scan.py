@@ -183,12 +183,14 @@ def score_sequences(seqs: DataFrame, key: str = "doc_id", ids: str = "ids",
 
 
 def fit_head(df: DataFrame, features: str = "features", label: str = "label",
-             max_iter: int = 50):
+             max_iter: int = 50, reg_param: float = 0.0, standardization: bool = True):
     """Sigmoid output + binary cross-entropy = logistic regression,
-    fitted distributed by Spark ML (tree-aggregated gradients)."""
+    fitted distributed by Spark ML (tree-aggregated gradients).  The default
+    is unregularised, like the reference's dense head."""
     from pyspark.ml.classification import LogisticRegression
     return LogisticRegression(featuresCol=features, labelCol=label, maxIter=max_iter,
-                              regParam=0.0).fit(df)
+                              regParam=reg_param, standardization=standardization,
+                              tol=1e-10).fit(df)
 
 
 def evaluate(scored: DataFrame, prob: str = "probability", label: str = "label",

@@ -503,14 +503,21 @@ def to_sequences_w6(spark, sf_dir):
     return s.select("icustay_id", "n_steps", text.alias("steps_text"))
 
 
+# The embeddings carry a 10-class label (0-9); the reference's head is a
+# binary classifier, so its analogue target is the upper half of the classes.
+BINARY_FROM_CLASS = 5
+
+
 def _emb(spark, sf_dir):
     e = an.load(spark, sf_dir, "embeddings")
     return e.select("vec_id", "label",
+                    F.when(F.col("label") >= BINARY_FROM_CLASS, 1).otherwise(0).alias("y"),
                     F.transform("embedding", lambda x: x.cast("double")).alias("e"))
 
 
-EMB_SQL = "SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e " \
-          "FROM embeddings"
+EMB_SQL = ("SELECT vec_id, label, "
+           f"CASE WHEN label >= {BINARY_FROM_CLASS} THEN 1 ELSE 0 END AS y, "
+           "list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings")
 
 
 @register("delta_pairs", f"""
@@ -576,11 +583,11 @@ def _head_sql() -> str:
 def _head(spark, sf_dir):
     from wardflow.functions.arrays import dot, sigmoid
     e = _emb(spark, sf_dir)
-    return e.select("vec_id", "label",
+    return e.select("vec_id", "y",
                     sigmoid(dot("e", O.head_weights()) + F.lit(O.HEAD_BIAS)).alias("probability"))
 
 
-@register("score_head", f"WITH x AS ({EMB_SQL}) SELECT vec_id, label, "
+@register("score_head", f"WITH x AS ({EMB_SQL}) SELECT vec_id, y, "
           + O.R(_head_sql()) + " AS probability FROM x")
 def score_head(spark, sf_dir):
     """sigmoid(w . x + b) with fixed head weights."""
@@ -588,17 +595,17 @@ def score_head(spark, sf_dir):
 
 
 @register("evaluate", f"""
-WITH x AS ({EMB_SQL}), sc AS (SELECT label, {_head_sql()} AS p FROM x),
-cl AS (SELECT label, p, least(greatest(p, 1e-7), 1 - 1e-7) AS q FROM sc)
+WITH x AS ({EMB_SQL}), sc AS (SELECT y, {_head_sql()} AS p FROM x),
+cl AS (SELECT y, p, least(greatest(p, 1e-7), 1 - 1e-7) AS q FROM sc)
 SELECT count(*) AS n,
-  {O.R('avg(CASE WHEN (CASE WHEN p > 0.5 THEN 1.0 ELSE 0.0 END) = label THEN 1.0 ELSE 0.0 END)')}
+  {O.R('avg(CASE WHEN (CASE WHEN p > 0.5 THEN 1.0 ELSE 0.0 END) = y THEN 1.0 ELSE 0.0 END)')}
     AS accuracy,
-  {O.R('avg(-(label * ln(q) + (1.0 - label) * ln(1.0 - q)))')} AS bce
+  {O.R('avg(-(y * ln(q) + (1.0 - y) * ln(1.0 - q)))')} AS bce
 FROM cl""")
 def evaluate(spark, sf_dir):
     """Accuracy and binary cross-entropy of stored scores."""
     from wardflow.operators.scan import evaluate as ev
-    return rounded(ev(_head(spark, sf_dir)))
+    return rounded(ev(_head(spark, sf_dir), label="y"))
 
 
 @register("fit_head")
@@ -607,11 +614,12 @@ def fit_head(spark, sf_dir):
     (rows-only check: an iterative fit has no SQL form)."""
     from pyspark.ml.functions import array_to_vector, vector_to_array
     from wardflow.operators.scan import fit_head as fh
-    e = _emb(spark, sf_dir).select("vec_id", F.col("label").cast("double").alias("label"),
+    e = _emb(spark, sf_dir).select("vec_id", F.col("y").cast("double").alias("label"),
                                    array_to_vector("e").alias("features"))
     model = fh(e, max_iter=30)
     return model.transform(e).select(
-        "vec_id", "label", vector_to_array("probability")[1].alias("probability"))
+        "vec_id", F.col("label").cast("int").alias("y"),
+        vector_to_array("probability")[1].alias("probability"))
 
 
 @register("scan_score")

@@ -62,3 +62,16 @@ def test_clinical_stay_golden(spark):
     # window 3: dopamine not carried (raw) -> MAP 60 without drugs -> 1
     assert w3.hr == 70.0 and w3.dopamine is None and w3.abp_mean == 60.0
     assert w3.total_sofa_score == 7
+
+
+def test_clinical_stay_positional_binding(spark):
+    """Crosstab's positional binding (Q1): the HR category (14th in ORDER BY
+    item_cat) fills the 14th declared column, hco3; hr gets POTASSIUM's slot."""
+    from wardflow.sources import dictionary as dic
+    cohort, lng = fx.long_features(**_tables(spark), materialize_cohort=False)
+    rows = {r.tw_hour_idx: r for r in fx.features(
+        fx.windowed_features(lng, cohort), 1, binding=dic.positional_binding()).collect()}
+    w1 = rows[1.0]
+    assert dict(dic.positional_binding())["hr"] == "hco3"
+    assert w1.hco3 == 90.0 and w1.m_hco3 == 1
+    assert w1.hr == 86.0 and w1.m_hr == 0          # default: its slot holds POTASSIUM

@@ -73,7 +73,8 @@ def lookup_daily(rows: DataFrame, daily: DataFrame, window_hours: int, value_nam
 
 def pivot_features(windowed: DataFrame, window_hours: int, categories=FEATURE_COLUMNS,
                    daily_category: str = "urine", day_index: str = "as_written",
-                   stay: str = "icustay_id", daily: DataFrame | None = None) -> DataFrame:
+                   stay: str = "icustay_id", daily: DataFrame | None = None,
+                   binding: list[tuple[str, str]] | None = None) -> DataFrame:
     """U1 (D3 + C5 + D6) for every stay at once, reading the rows once.
 
     1. One ``groupBy(stay, window)`` (partial aggregate before its shuffle)
@@ -93,12 +94,17 @@ def pivot_features(windowed: DataFrame, window_hours: int, categories=FEATURE_CO
     yields a row of NULLs, as crosstab does.  The daily category's value is
     present only where the window holds a positive reading of it.  Passing
     ``daily`` (a (stay, tw_24hr, total) table) uses the join form instead.
+    ``binding`` ((category, column) pairs, e.g.
+    ``dictionary.positional_binding()``) places each category's value in
+    another column, as crosstab's positional binding does (Q1).
     """
+    if binding is not None:
+        categories = [c for c, _ in binding]
     tw = window_column(window_hours)
     cat = F.lower("itemcat")
     v = F.col("valuenum")
     pos = v > 0
-    aggs = [F.avg(F.when(pos & (cat == c), v)).alias(c)
+    aggs = [F.avg(F.when(pos & (cat == c), v)).alias(f"__c_{c}")
             for c in categories if c != daily_category]
     aggs.append(F.max(F.when(pos, F.lit(1))).alias("__any_pos"))
     has_daily = daily_category in categories
@@ -126,9 +132,10 @@ def pivot_features(windowed: DataFrame, window_hours: int, categories=FEATURE_CO
             wide = wide.withColumn("__daily", F.lit(None).cast("double"))
         elif not inline:
             wide = lookup_daily(wide, daily, window_hours, "__daily", day_index, stay)
-        wide = wide.withColumn(daily_category,
+        wide = wide.withColumn(f"__c_{daily_category}",
                                F.when(F.col("__has_daily") == 1, F.col("__daily")))
-    return wide.select(stay, "tw_hour_idx", *categories)
+    pairs = binding if binding is not None else [(c, c) for c in categories]
+    return wide.select(stay, "tw_hour_idx", *[F.col(f"__c_{c}").alias(n) for c, n in pairs])
 
 
 def crosstab(df: DataFrame, row_keys: list[str], category: str, value: str,

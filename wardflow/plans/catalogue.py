@@ -206,29 +206,20 @@ def unit_rules(spark, sf_dir):
     return rounded(an.events_long(spark, ev).select("event_id", "itemcat", "valuenum"))
 
 
-def _positional_pairs() -> list[tuple[str, str]]:
-    """(category filling the column, declared column): the category query is
-    ORDER BY item_cat (byte order), the declared columns follow the dictionary."""
-    names = [r[1] for r in dic.FEATURE_ROWS]
-    srt = sorted(names, key=lambda s: s.encode("utf-8"))
-    return [(c.lower(), n.lower()) for c, n in zip(srt, names)]
-
-
 @register("crosstab_positional_w24", O.with_(O.events_windowed_ctes()) + """,
 m AS (SELECT icustay_id, tw_24hr AS tw_hour_idx, lower(itemcat) AS cat, avg(valuenum) AS v
       FROM win WHERE valuenum > 0 GROUP BY icustay_id, tw_24hr, itemcat)
 SELECT icustay_id, tw_hour_idx, """ + ", ".join(
-    O.R(f"max(CASE WHEN cat = '{c}' THEN v END)") + f" AS {n}" for c, n in _positional_pairs())
-          + " FROM m GROUP BY icustay_id, tw_hour_idx")
+    O.R(f"max(CASE WHEN cat = '{c}' THEN v END)") + f" AS {n}"
+    for c, n in dic.positional_binding()) + " FROM m GROUP BY icustay_id, tw_hour_idx")
 def crosstab_positional_w24(spark, sf_dir):
     """D6 with crosstab's positional binding (Q1): categories in ORDER BY
-    item_cat fill the dictionary-ordered columns."""
+    item_cat fill the declared output columns in order."""
     from wardflow.operators.aggregate import crosstab, window_means
     means = window_means(_windowed(spark, sf_dir), 24)
     names = [r[1] for r in dic.FEATURE_ROWS]
     return rounded(crosstab(means, ["icustay_id", "tw_hour_idx"], "category", "valuenum",
-                            names, [n.lower() for n in names], positional=True,
-                            key=str.lower))
+                            names, dic.FEATURE_COLUMNS, positional=True, key=str.lower))
 
 
 @register("crosstab_by_name_w24", O.with_(O.events_windowed_ctes()) + """,

@@ -74,11 +74,14 @@ def long_features(patients, icustays, chartevents, labevents, outputevents, inpu
 # --- entry point 1: feature rows ---------------------------------------------
 
 def pivot(windowed: DataFrame, window_hours: int, stay_id=None, day_index: str = "as_written",
-          categories=dic.FEATURE_COLUMNS) -> DataFrame:
-    """U1 for all stays (or one, filtered before any shuffle)."""
+          categories=dic.FEATURE_COLUMNS, binding=None) -> DataFrame:
+    """U1 for all stays (or one, filtered before any shuffle); ``binding``
+    (e.g. ``dictionary.positional_binding()``) reproduces crosstab's
+    positional column binding (Q1)."""
     if stay_id is not None:
         windowed = windowed.where(F.col("icustay_id") == stay_id)
-    return pivot_features(windowed, window_hours, categories, "urine", day_index)
+    return pivot_features(windowed, window_hours, categories, "urine", day_index,
+                          binding=binding)
 
 
 def assemble(pv: DataFrame, window_hours: int, spec=dic.DEFAULT_SPEC, defaults=None,
@@ -99,10 +102,13 @@ def assemble(pv: DataFrame, window_hours: int, spec=dic.DEFAULT_SPEC, defaults=N
 
 
 def features(windowed: DataFrame, window_hours: int, stay_id=None, spec=dic.DEFAULT_SPEC,
-             defaults=None, day_index: str = "as_written") -> DataFrame:
-    """(stay, window, score, 24 values, 24 masks) for every stay."""
-    return assemble(pivot(windowed, window_hours, stay_id, day_index), window_hours, spec,
-                    defaults)
+             defaults=None, day_index: str = "as_written", binding=None) -> DataFrame:
+    """(stay, window, score, 24 values, 24 masks) for every stay.  The
+    reference text exactly: ``spec=dictionary.as_written_spec(),
+    binding=dictionary.positional_binding()`` and a long table built with
+    ``temp_branch(category="TEMP")``."""
+    return assemble(pivot(windowed, window_hours, stay_id, day_index, binding=binding),
+                    window_hours, spec, defaults)
 
 
 def imputed(windowed: DataFrame, window_hours: int, spec=dic.DEFAULT_SPEC, defaults=None,

@@ -178,6 +178,16 @@ def case_map(col, table) -> "F.Column":
     return expr
 
 
+def positional_binding(collation: str = "C") -> list[tuple[str, str]]:
+    """Q1 as written: (category, output column) pairs of the crosstab.  The
+    category query returns lower-cased names ORDER BY the dictionary's
+    spelling (under ``collation``); crosstab fills the declared output
+    columns (``FEATURE_COLUMNS``, the function's column list) by position."""
+    from wardflow.operators.aggregate import sort_categories
+    cats = sort_categories([row[1] for row in FEATURE_ROWS], collation)
+    return [(c.lower(), col) for c, col in zip(cats, FEATURE_COLUMNS)]
+
+
 # ---------------------------------------------------------------------------
 # Feature spec: one row per output column; the single truth for imputation.
 # ---------------------------------------------------------------------------

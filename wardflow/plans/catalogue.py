@@ -83,6 +83,18 @@ for _w in (1, 6, 24):
 register("features_50_w1_aligned", _features_sql(1, "aligned"))(_features_query(1, "aligned"))
 
 
+@register("features_50_w1_as_written",
+          O.with_(O.events_windowed_ctes(), O.pivot_ctes(1, binding=dic.positional_binding()),
+                  O.imputed_cte(dic.as_written_spec()), O.score_cte(1))
+          + f"\nSELECT icustay_id, tw_hour_idx, {O.total_expr()}, " + O.r6(dic.FEATURE_COLUMNS)
+          + ", " + ", ".join(f"m_{c}" for c in dic.FEATURE_COLUMNS) + " FROM sc")
+def features_50_w1_as_written(spark, sf_dir):
+    """U5 exactly as the reference text computes it: crosstab's positional
+    column binding (Q1) and the literal imputation slots (Q2, Q3)."""
+    return rounded(fx.features(_windowed(spark, sf_dir), 1, spec=dic.as_written_spec(),
+                               binding=dic.positional_binding()))
+
+
 def _pivot_sql(w: int) -> str:
     body = O.with_(O.events_windowed_ctes(), O.pivot_ctes(w))
     return body + "\nSELECT icustay_id, tw_hour_idx, " + O.r6(dic.FEATURE_COLUMNS) + " FROM pv"

@@ -78,7 +78,7 @@ daily AS (
   FROM win WHERE lower(itemcat) = 'urine' GROUP BY icustay_id, tw_24hr)"""
 
 
-def pivot_ctes(w: int, day_index: str = "as_written") -> str:
+def pivot_ctes(w: int, day_index: str = "as_written", binding=None) -> str:
     """CTEs daily, means, pv: the reference's per-window query and crosstab."""
     tw = f"tw_{w}hr"
     if day_index == "aligned":
@@ -88,8 +88,9 @@ def pivot_ctes(w: int, day_index: str = "as_written") -> str:
         day = "d.tw_24hr = floor(d.tw_24hr * 24 / 24) + 1"
     else:
         day = f"d.tw_24hr = floor(win.{tw} * {w} / 24) + 1"
-    cols = ",\n    ".join(f"max(CASE WHEN cat = '{c}' THEN valuenum END) AS {c}"
-                          for c in dic.FEATURE_COLUMNS)
+    pairs = binding if binding is not None else [(c, c) for c in dic.FEATURE_COLUMNS]
+    cols = ",\n    ".join(f"max(CASE WHEN cat = '{c}' THEN valuenum END) AS {n}"
+                          for c, n in pairs)
     return f"""{daily_cte()},
 means AS (
   SELECT icustay_id, {tw} AS tw_hour_idx, lower(itemcat) AS cat,

@@ -43,6 +43,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
          # aggregated window rows are few bytes but CPU-heavy (LOCF, scores):
          # keep AQE from coalescing them onto one or two cores
          .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "128k")
+         # delete reliable checkpoint files once their data is no longer referenced
+         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
          # one BLAS thread per Python worker: Spark already runs one worker per core
          .config("spark.executorEnv.OPENBLAS_NUM_THREADS", "1")
          .config("spark.executorEnv.OMP_NUM_THREADS", "1"))
@@ -107,6 +109,7 @@ def cluster_conf(input_bytes: int, total_cores: int, executor_memory_gb: float =
         "spark.sql.autoBroadcastJoinThreshold": str(bcast),
         "spark.sql.adaptive.autoBroadcastJoinThreshold": str(bcast),
         "spark.python.sql.dataFrameDebugging.enabled": "false",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         "spark.executorEnv.OPENBLAS_NUM_THREADS": "1",
         "spark.executorEnv.OMP_NUM_THREADS": "1",
     }

@@ -75,3 +75,10 @@ def test_clinical_stay_positional_binding(spark):
     assert dict(dic.positional_binding())["hr"] == "hco3"
     assert w1.hco3 == 90.0 and w1.m_hco3 == 1
     assert w1.hr == 86.0 and w1.m_hr == 0          # default: its slot holds POTASSIUM
+
+
+def test_clinical_stay_salted_join_same_rows(spark):
+    cohort, lng = fx.long_features(**_tables(spark), materialize_cohort=False)
+    a = fx.features(fx.windowed_features(lng, cohort), 1).collect()
+    b = fx.features(fx.windowed_features(lng, cohort, salt=5), 1).collect()
+    assert sorted(map(repr, a)) == sorted(map(repr, b))

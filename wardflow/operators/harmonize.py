@@ -103,11 +103,13 @@ def temp_branch(chart: DataFrame, category: str = "Temperature") -> DataFrame:
 
 
 def labs_with_stays(labs: DataFrame, stays: DataFrame,
-                    tolerance_seconds: float = dic.STAY_TOLERANCE_SECONDS) -> DataFrame:
+                    tolerance_seconds: float = dic.STAY_TOLERANCE_SECONDS,
+                    salt: int = 1) -> DataFrame:
     """Labs carry no stay id; take it from the stay whose span (± 1 h)
     holds the lab time on the same admission."""
     return interval_join(labs, stays, on="hadm_id", ts="charttime",
-                         tolerance_seconds=tolerance_seconds, span_columns=["icustay_id"])
+                         tolerance_seconds=tolerance_seconds, span_columns=["icustay_id"],
+                         salt=salt)
 
 
 def lab_branch(labs_stays: DataFrame, cohort: DataFrame) -> DataFrame:

@@ -138,10 +138,7 @@ def test_window_mean_excludes_zero(spark):
     assert [(r.tw_hour_idx, r.hr) for r in pv] == [(1.0, 15.0)]
 
 
-def test_daily_lookup_day_index():
-    from pyspark.sql import SparkSession
-    spark = SparkSession.getActiveSession()
-    df = spark.createDataFrame([(23.0,), (24.0,), (25.0,)], "tw double")
+def test_daily_lookup_day_index(spark):
     def days(w, mode, vals):
         d = spark.createDataFrame([(float(v),) for v in vals], "tw double")
         col = agg.day_of_window(F.col("tw"), w, mode)
@@ -152,7 +149,6 @@ def test_daily_lookup_day_index():
     assert days(24, "as_written", [1]) is None
     assert days(1, "aligned", [24, 25]) == [1.0, 2.0]
     assert days(24, "aligned", [1]) == [1.0]
-    del df
 
 
 def test_urine_lookup_in_pivot(spark):

@@ -41,6 +41,12 @@ def materialize(df: DataFrame, name: str, bucket_by: str | None = None, buckets:
         w = w.partitionBy(*partition_by)
     if bucket_by:
         n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        # one shuffle by the bucket key first, so each bucket is written by one
+        # task as one file (otherwise every task writes a file per bucket)
+        w = (df.repartition(n, bucket_by).write.mode("overwrite").format("parquet")
+             .option("path", path))
+        if partition_by:
+            w = w.partitionBy(*partition_by)
         w.bucketBy(n, bucket_by).sortBy(bucket_by).saveAsTable(name)
         return spark.table(name)
     w.save()

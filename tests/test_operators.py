@@ -122,6 +122,8 @@ def test_restrict_semi(spark):
     ev = spark.createDataFrame([(1,), (2,), (2,), (3,)], "subject_id long")
     keys = spark.createDataFrame([(2,), (2,), (3,)], "sid long")
     assert sorted(r[0] for r in restrict(ev, keys, "subject_id", "sid").collect()) == [2, 2, 3]
+    salted = restrict(ev, keys, "subject_id", "sid", salt=4)
+    assert sorted(r[0] for r in salted.collect()) == [2, 2, 3] and salted.columns == ev.columns
 
 
 def _windowed(spark, rows):

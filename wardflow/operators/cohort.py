@@ -34,15 +34,25 @@ def build_cohort(patients: DataFrame, stays: DataFrame, min_age: int = dic.MIN_A
 
 
 def restrict(events: DataFrame, keys: DataFrame, on: str | list[str],
-             key_names: str | list[str] | None = None) -> DataFrame:
+             key_names: str | list[str] | None = None, salt: int = 1) -> DataFrame:
     """Keep ``events`` rows whose key appears in ``keys`` (left semi join).
 
     ``IN (SELECT DISTINCT k ...)`` needs no DISTINCT here: a semi join never
     duplicates the left side.  No broadcast hint: the key side grows with
     the cohort, so Spark's size threshold / AQE decide at run time.
+    ``salt > 1`` splits a hot key explicitly (sessions without AQE): event
+    rows are hashed into ``salt`` groups and each key row is repeated once
+    per group.
     """
     on = [on] if isinstance(on, str) else list(on)
     key_names = on if key_names is None else ([key_names] if isinstance(key_names, str)
                                               else list(key_names))
     k = keys.select(*[F.col(src).alias(dst) for src, dst in zip(key_names, on)])
-    return events.join(k, on, "left_semi")
+    if salt <= 1:
+        return events.join(k, on, "left_semi")
+    cols = events.columns
+    ev = events.withColumn("__salt", F.pmod(F.xxhash64(*[F.col(c) for c in cols]),
+                                            F.lit(salt)))
+    k = k.withColumn("__salt", F.explode(F.sequence(F.lit(0).cast("long"),
+                                                    F.lit(salt - 1).cast("long"))))
+    return ev.join(k, on + ["__salt"], "left_semi").select(*cols)

@@ -37,3 +37,12 @@ def test_oracle_agrees(spark, name):
     assert sorted(df.columns) == sorted(ocols)
     assert len(srows) == len(orows)
     assert digest(df.columns, srows)[0] == digest(ocols, orows)[0]
+
+
+@pytest.mark.parametrize("name", sorted(entry_mod.queries()))
+def test_every_query_runs(spark, name):
+    if not os.path.isdir(SF):
+        pytest.skip("no test data")
+    df = entry_mod.queries()[name](spark, SF)
+    df.write.format("noop").mode("overwrite").save()
+    assert len(df.columns) > 0

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from wardflow.session import checkpoint_dir
 
 #: ASCII white space; a word is a run of anything else.
-SPACE_CHARS = " \t\n\x0b\f\r"
 SPACE_CLASS = r"[ \t\n\x0B\f\r]"
 
 
@@ -36,14 +35,7 @@ def cut(df: DataFrame) -> DataFrame:
 
 def words(text: Column) -> Column:
     """The words of a text as an array (null text: no words)."""
-    spaces = F.lit(SPACE_CHARS[1:])
-    one_space = F.translate(F.coalesce(text, F.lit("")), spaces, F.lit(" " * (len(SPACE_CHARS) - 1)))
-    return F.array_remove(F.split(one_space, " "), "")
-
-
-def replace_columns(df: DataFrame, **new: Column) -> DataFrame:
-    """Set columns; an input column of the same name gives way."""
-    return df.withColumns(new)
+    return F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACE_CLASS + "+"), "")
 
 
 def text_identity(df: DataFrame, id_col: str, text_col: str) -> list[Column]:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardflow.llm import simhash_dedup
+from wardflow.llm import line_dedup, mixing, oracle, packing, quality, simhash_dedup
 from wardflow.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,3 +30,40 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select(F.col("__id").alias("doc_id"),
                          F.lower(F.lpad(F.hex("__fp"), 16, "0")).alias("fingerprint"),
                          F.col("__component").alias("component_id"))
+
+
+@register("op3_source_mix", oracle.SOURCE_MIX)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mix of all documents: weights 5, 2, 1 in turn, 150 % of all words, at most 2 copies."""
+    mix = mixing.with_copies(documents(spark, sf_dir, "doc_id", "text", "source"), (5, 2, 1), 1.5, 2.0, "mix")
+    return mix.select("doc_id", F.col("__size").alias("size"), F.col("__source_size").alias("source_size"),
+                      F.col("__target").alias("target"), (F.col("__copies") * F.col("__size")).alias("taken"),
+                      F.col("__copies").alias("copies"))
+
+
+@register("op4_quality_rules", oracle.QUALITY_RULES)
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rule ledger of all documents and the verdict of policy prose-2."""
+    names = quality.POLICIES["prose-2"]
+    bits = F.col("fail_bits")
+    whole = bits.bitwiseAND(F.lit(quality.mask(names)).cast("long"))
+    base_failed = quality.failed(bits, quality.POLICIES["base-1"])
+    return quality.ledger(documents(spark, sf_dir, "doc_id", "text")).select(
+        F.col("__id").alias("doc_id"), *quality.MEASURES[:5], base_failed.alias("base_failed"),
+        (~base_failed & ~quality.failed(bits, names)).alias("kept"), "fail_bits",
+        # the document's part in the ablations: the one rule without which it would be kept
+        F.when(F.bit_count(whole) == 1, whole).otherwise(F.lit(0).cast("long")).alias("sole_failure"))
+
+
+@register("op10_line_dedup", oracle.LINE_DEDUP)
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line dedup over all documents; the cleaned text as length and digest."""
+    out = line_dedup.without_repeated_lines(documents(spark, sf_dir, "doc_id", "text"))
+    return out.select("doc_id", F.col("__n_lines").alias("n_lines"), F.col("__n_removed").alias("n_removed"),
+                      F.length("text").cast("long").alias("n_chars"), F.md5("text").alias("text_md5"))
+
+
+@register("op8_best_fit_packing")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of at most 2048 tokens."""
+    return packing.pack(documents(spark, sf_dir, "doc_id", "text")).drop("__row")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardflow.llm import line_dedup, mixing, oracle, packing, quality, simhash_dedup
+from wardflow.llm import langid, line_dedup, mixing, oracle, packing, quality, simhash_dedup
 from wardflow.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -67,3 +67,12 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of at most 2048 tokens."""
     return packing.pack(documents(spark, sf_dir, "doc_id", "text")).drop("__row")
+
+
+@register("op7_language_id")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of all documents, learnt from those not held out."""
+    docs = documents(spark, sf_dir, "doc_id", "text", "lang")
+    model = langid.learn_from_open(docs)
+    rows = docs.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "text")
+    return langid.predict(rows, model, F.col("text")).drop("text")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardflow.llm import langid, line_dedup, mixing, oracle, packing, quality, simhash_dedup
+from wardflow.llm import fingerprints, langid, line_dedup, mixing, oracle, packing, quality, simhash_dedup
 from wardflow.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -76,3 +76,14 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = langid.learn_from_open(docs)
     rows = docs.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "text")
     return langid.predict(rows, model, F.col("text")).drop("text")
+
+
+@register("op6_document_fingerprints")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all texts and their edited texts; for every 50th id
+    also the number of other documents within 3 bits."""
+    out = fingerprints.with_edited(documents(spark, sf_dir, "doc_id", "text"))
+    asked = F.coalesce(F.col("doc_id") % 50 == 0, F.lit(False))
+    near = fingerprints.neighbour_counts(out, asked)
+    return out.join(near, "fingerprint", "left").withColumn("n_near", F.when(asked, F.col("n_near") - 1)).select(
+        *out.columns, "n_near")

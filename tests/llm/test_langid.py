@@ -48,11 +48,11 @@ def test_edges(spark):
     df = spark.createDataFrame(docs + more, "doc_id long, text string, lang string").withColumn("score", F.lit("s"))
     model = langid.learn_from_open(df)
     assert model.langs == ["de", "en"]
-    got = {(r.doc_id, r.text): r.lang_pred for r in langid.predict(df, model, F.col("text")).collect()}
+    got = {(r.doc_id, r.text): r['__lang_pred'] for r in langid.predict(df, model, F.col("text")).collect()}
     assert got[900, None] == got[901, ""] == got[902, "12 345 _"] == "und"
     assert got[903, de * 2000] == "de" and got[904, en] == got[None, en] == "en"
     none = langid.learn_from_open(df.withColumn("lang", F.lit(None).cast("string")))
-    assert none is None and {r.lang_pred for r in langid.predict(df, none, F.col("text")).collect()} == {"und"}
+    assert none is None and {r['__lang_pred'] for r in langid.predict(df, none, F.col("text")).collect()} == {"und"}
     assert langid.predict(df.limit(0), model, F.col("text")).isEmpty()
 
 

@@ -263,21 +263,20 @@ def learn(df: DataFrame, docs_per_lang: int = DOCS_PER_LANG, blocks_per_doc: int
 
 
 def predict(df: DataFrame, model: Model | None, text: Column) -> DataFrame:
-    """``df`` plus ``lang_pred``, ``score`` (pooled probability of it),
-    ``lang_share`` (share of positions labelled with it).
+    """``df`` plus ``__lang_pred``, ``__score`` (pooled probability of it) and
+    ``__lang_share`` (share of positions labelled with it).
 
     Null texts and texts without a letter are ``und`` with score 0, and so
     is everything if there was nothing to learn from.  Ties go to the first
     language by code point.  Whole texts are read, whatever their length;
-    repeated rows get equal results; input columns of the new names give
-    way.  An empty table gives an empty result.
+    repeated rows get equal results; other columns are carried along
+    whatever their names.  An empty table gives an empty result.
     """
     ship_by_value(__name__)
-    made = ["lang_pred", "score", "lang_share"]
-    inp = df.select(*[c for c in df.columns if c not in made], text.alias("__text"))
+    inp = df.select("*", text.alias("__text"))
     out = T.StructType([f for f in inp.schema.fields if f.name != "__text"] + [
-        T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()),
-        T.StructField("lang_share", T.DoubleType())])
+        T.StructField("__lang_pred", T.StringType()), T.StructField("__score", T.DoubleType()),
+        T.StructField("__lang_share", T.DoubleType())])
 
     def run(batches):
         for b in batches:

@@ -92,3 +92,64 @@ SELECT d.doc_id, coalesce(n_lines, 0)::BIGINT AS n_lines, coalesce(n_removed, 0)
   length(k.text)::BIGINT AS n_chars, md5(k.text) AS text_md5
 FROM d LEFT JOIN k USING (doc_id)
 """
+
+CHAT_PREFERENCES = r"""
+WITH c AS (SELECT conv_id, turn, role, text FROM conversations),
+last AS (SELECT conv_id, max(turn) AS turn FROM c WHERE role = 'assistant' GROUP BY conv_id),
+lt AS (SELECT l.conv_id, l.turn, max(c.text) AS text
+       FROM last l JOIN c ON c.conv_id = l.conv_id AND c.turn = l.turn AND c.role = 'assistant' GROUP BY ALL),
+r AS (
+  SELECT c.conv_id, c.turn, c.role, CASE WHEN own.conv_id IS NULL THEN c.text ELSE other.text END AS text
+  FROM c LEFT JOIN lt own ON own.conv_id = c.conv_id AND own.turn = c.turn AND c.role = 'assistant'
+         LEFT JOIN lt other ON other.conv_id = c.conv_id + 1
+  WHERE own.conv_id IS NULL OR other.conv_id IS NOT NULL),
+t AS (SELECT 'c' AS side, * FROM c UNION ALL SELECT 'r', * FROM r),
+p AS (SELECT *, row_number() OVER (PARTITION BY side, conv_id ORDER BY turn, role, text) AS pos FROM t),
+m AS (
+  SELECT coalesce(a.conv_id, b.conv_id) AS conv_id, coalesce(a.pos, b.pos) AS pos,
+    coalesce(a.role = b.role AND a.text = b.text, false) AS same
+  FROM (SELECT * FROM p WHERE side = 'c') a FULL JOIN (SELECT * FROM p WHERE side = 'r') b
+    ON a.conv_id = b.conv_id AND a.pos = b.pos),
+d AS (SELECT conv_id, coalesce(min(pos) FILTER (WHERE NOT same), max(pos) + 1) - 1 AS n, bool_or(NOT same) AS differs
+      FROM m GROUP BY conv_id),
+x AS (
+  SELECT p.*, n, CASE WHEN pos <= n THEN 'p' ELSE side END AS part,
+    '<|' || role || '|>' || chr(10) AS head, text || '<|end|>' || chr(10) AS body
+  FROM p JOIN d USING (conv_id) WHERE side = 'c' OR pos > n),
+y AS (
+  SELECT *, sum(length(head) + length(body)) OVER (PARTITION BY conv_id, part ORDER BY pos) AS ends FROM x),
+z AS (
+  SELECT conv_id, part, string_agg(head || body, '' ORDER BY pos) AS text,
+    string_agg((ends - length(body))::VARCHAR || '-' || ends::VARCHAR, ',' ORDER BY pos)
+      FILTER (WHERE role = 'assistant') AS spans
+  FROM y GROUP BY conv_id, part)
+SELECT d.conv_id, n AS prompt_turns, md5(coalesce(a.text, '')) AS prompt_md5, md5(coalesce(b.text, '')) AS chosen_md5,
+  md5(coalesce(e.text, '')) AS rejected_md5, coalesce(b.spans, '') AS chosen_spans, coalesce(e.spans, '') AS rejected_spans,
+  differs
+FROM d LEFT JOIN z a ON a.conv_id = d.conv_id AND a.part = 'p' LEFT JOIN z b ON b.conv_id = d.conv_id AND b.part = 'c'
+  LEFT JOIN z e ON e.conv_id = d.conv_id AND e.part = 'r'
+"""
+
+TOKEN_COUNTS = r"""
+WITH RECURSIVE ids AS (SELECT doc_id, encode(doc_id::VARCHAR) AS b FROM documents),
+-- crc32 of the id's text, bit by bit
+crc AS (
+  SELECT doc_id, b, 0 AS i, 0 AS k, 4294967295::BIGINT AS c FROM ids
+  UNION ALL
+  SELECT doc_id, b, CASE WHEN k = 8 THEN i + 1 ELSE i END, CASE WHEN k = 8 THEN 0 ELSE k + 1 END,
+    CASE WHEN k = 0 THEN xor(c, ascii(decode(b)[i + 1])::BIGINT)
+         WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END
+  FROM crc WHERE i < octet_length(b)),
+h AS (SELECT doc_id, xor(c, 4294967295) % 10 AS bucket FROM crc WHERE i = octet_length(b)),
+d AS (
+  SELECT source, lang, bucket, coalesce(text, '') AS text,
+    CASE WHEN contains(text, chr(10)) THEN substr(text, instr(text, chr(10)) + 1) ELSE coalesce(text, '') END AS rest
+  FROM documents JOIN h USING (doc_id)),
+n AS (
+  SELECT source, lang, v.tokenizer, bucket,
+    len(regexp_extract_all(CASE WHEN bucket = 5 THEN rest ELSE text END, v.p)) AS n_tokens
+  FROM d, (VALUES ('words-1', '[^\x20\x09-\x0D]+'),
+                  ('pieces-2', '[\p{L}\p{N}]+|[^\p{L}\p{N}\x09-\x0D\x20]')) v(tokenizer, p))
+SELECT source, lang, tokenizer, count(*) AS n_docs, sum(n_tokens)::BIGINT AS n_tokens
+FROM n WHERE bucket <> 3 GROUP BY ALL
+"""

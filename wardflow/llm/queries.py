@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardflow.llm import fingerprints, langid, line_dedup, mixing, oracle, packing, quality, simhash_dedup
-from wardflow.llm.common import documents
+from wardflow.llm import (chat, fingerprints, langid, licenses, line_dedup, mixing, oracle, packing, quality, rollups,
+                          simhash_dedup)
+from wardflow.llm.common import cut, documents
+from wardflow.session import checkpoint_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -75,7 +78,9 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir, "doc_id", "text", "lang")
     model = langid.learn_from_open(docs)
     rows = docs.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "text")
-    return langid.predict(rows, model, F.col("text")).drop("text")
+    return langid.predict(rows, model, F.col("text")).select(
+        "doc_id", "held_out", F.col("__lang_pred").alias("lang_pred"), F.col("__score").alias("score"),
+        F.col("__lang_share").alias("lang_share"))
 
 
 @register("op6_document_fingerprints")
@@ -87,3 +92,45 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     near = fingerprints.neighbour_counts(out, asked)
     return out.join(near, "fingerprint", "left").withColumn("n_near", F.when(asked, F.col("n_near") - 1)).select(
         *out.columns, "n_near")
+
+
+@register("op2_chat_preferences", oracle.CHAT_PREFERENCES)
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation against itself with the next one's ending: prompt
+    and completions as digests, trained spans in full."""
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    pairs = chat.preference_pairs(turns, chat.swapped_ending(turns))
+
+    def spans(c):
+        return F.array_join(F.transform(c, lambda s: F.concat_ws("-", s["start"], s["end"])), ",")
+    return pairs.select("conv_id", F.col("prompt_turns").cast("long").alias("prompt_turns"),
+                        *[F.md5(c).alias(f"{c}_md5") for c in ("prompt", "chosen", "rejected")],
+                        spans("chosen_spans").alias("chosen_spans"), spans("rejected_spans").alias("rejected_spans"), "differs")
+
+
+@register("op5_license_scan")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License blocks of all documents."""
+    return licenses.license_blocks(documents(spark, sf_dir, "doc_id", "text"))
+
+
+@register("op9_token_counts", oracle.TOKEN_COUNTS)
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token totals after three batches over all documents: all inserted,
+    those with crc32(id) = 3 modulo 10 deleted (sent twice), those with 5
+    revised to their text from its second line on."""
+    bucket = F.crc32(F.col("doc_id").cast("string")) % 10
+    rest = F.expr("if(contains(text, '\n'), substr(text, instr(text, '\n') + 1), text)")
+    versions = F.explode(F.array(*[
+        F.struct(F.lit(v).alias("tokenizer"), rollups.count_tokens(F.col("text"), v).alias("n_tokens"),
+                 F.when(bucket == 5, rollups.count_tokens(rest, v)).alias("n_revised"))
+        for v in rollups.TOKENIZERS]))
+    counts = cut(documents(spark, sf_dir, "text", "doc_id", "source", "lang")
+                 .select("source", "lang", bucket.alias("bucket"), versions.alias("v")).select("source", "lang", "bucket", "v.*"))
+    rollup = rollups.TokenRollup(spark, f"{checkpoint_dir(spark)}/token-counts-{uuid.uuid4().hex}")
+    gone, revised = counts.where("bucket = 3"), counts.where("bucket = 5")
+    rollup.commit("load", rollups.changes(None, counts))
+    rollup.commit("delete", rollups.changes(gone, None))
+    rollup.commit("revise", rollups.changes(revised, revised.withColumn("n_tokens", F.col("n_revised"))))
+    rollup.commit("delete", rollups.changes(gone, None))
+    return rollup.totals()

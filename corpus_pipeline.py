@@ -1,35 +1,72 @@
 """The corpus pipeline: language ID, line dedup, near-dedup, mixing, packing.
 
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame; each is
-written as Parquet and read again as the next one's ``docs``.
+written as Parquet and read again as the next one's ``docs``.  All but the
+last return the columns of ``docs``.
 """
 
 from __future__ import annotations
 
-import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from wardflow.llm import simhash_dedup
+from wardflow.llm import langid, line_dedup, mixing, packing, simhash_dedup
 from wardflow.session import checkpoint_dir
 
+#: Documents whose pooled language probability is lower are no text in a known language.
+MIN_LANGUAGE_SCORE = 0.4
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a letter, or in no language that the labelled ones
+    teach, go.  Null texts go; an empty table stays empty."""
+    model = langid.learn_from_open(docs)
+    known = langid.predict(docs, model, F.col("text"))
+    return known.where((F.col("__lang_pred") != langid.UNDETERMINED)
+                       & (F.col("__score") >= MIN_LANGUAGE_SCORE)).select(*docs.columns)
+
+
+def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Later occurrences of three-line passages go, and documents of which
+    nothing else is left.  ``n_chars`` follows the text where there is one."""
+    out = line_dedup.without_repeated_lines(docs)
+    left = out.where((F.col("__n_removed") == 0) | (F.col("__n_removed") < F.col("__n_lines")))
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        left = left.withColumn("n_chars", F.when(F.col("__n_removed") == 0, F.col("n_chars"))
+                               .otherwise(F.length("text").cast(kind)))
+    return left.select(*docs.columns)
+
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group stays (3-word shingles, 2 bits)."""
     return simhash_dedup.keep_one_per_group(docs, n=3, max_bits=2)
 
 
-STAGES = [("near dedup", near_dedup)]
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents repeated, or left out, to the sources' target weights."""
+    return mixing.mixed(docs)
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents, packed into sequences of 2048 tokens;
+    ``copy_row`` tells the copies of a document apart."""
+    return packing.pack(docs).withColumnRenamed("__row", "copy_row")
+
+
+STAGES = [("language ID", language_id), ("line dedup", without_repeated_lines), ("SimHash near-dedup", near_dedup),
+          ("mixing to target weights", source_mix), ("best-fit packing", best_fit_packing)]
 
-#: Language ID and the islands' evolution cannot be written in SQL.
+#: Language ID and packing cannot be written in SQL.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the ``documents`` table of ``sf_dir``."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    base = os.path.join(checkpoint_dir(spark), "pipeline", uuid.uuid4().hex)
+    base = f"{checkpoint_dir(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex}"
     for i, (_, stage) in enumerate(STAGES[:-1]):
         stage(spark, docs, sf_dir).write.parquet(f"{base}/{i}")
         docs = spark.read.parquet(f"{base}/{i}")

@@ -34,7 +34,7 @@ HEADLINE = [
     "vocab_topk",
     "encode",
     "pad",
-    "scan_score",
+    "clinical_features_w6",
 ]
 
 

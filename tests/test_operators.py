@@ -211,11 +211,11 @@ def test_exact_percentile_matches_numpy(spark):
            [("even", float(v)) for v in [4.0, 1.0, 3.0, 2.0]] + [("one", 7.0)]
     df = spark.createDataFrame(rows, "g string, v double")
     got = {r.g: r.median_value
-           for r in agg.exact_percentile(df, ["g"], "v", accuracy=100, grid=10).collect()}
+           for r in agg.exact_percentile(df, ["g"], "v", accuracy=100).collect()}
     assert got["hot"] == pytest.approx(float(np.median(hot)))
     assert got["odd"] == 2.0 and got["even"] == 2.5 and got["one"] == 7.0
     q = {r.g: r.median_value for r in
-         agg.exact_percentile(df, ["g"], "v", p=0.9, accuracy=100, grid=10).collect()}
+         agg.exact_percentile(df, ["g"], "v", p=0.9, accuracy=100).collect()}
     assert q["hot"] == pytest.approx(float(np.quantile(hot, 0.9)))
 
 
@@ -239,13 +239,54 @@ def test_join_parts_equals_assemble(spark):
     assert joined.columns == fx.features(w, 1).columns
 
 
-def test_defaults_from_dataframe_rejects_two_medians(spark):
-    from wardflow.operators.impute import defaults_from
+def _defaults_row(spark, dictionary):
+    from wardflow.operators.impute import attach_defaults
+    df, sql = attach_defaults(spark.range(1), dictionary)
+    return df.selectExpr(*[f"{e} AS `{n}`" for n, e in sql.items()]).first()
+
+
+def test_defaults_from_dataframe(spark):
     d = dic.feature_dictionary(spark)
-    assert defaults_from(d)["hr"] == 86.0
+    from wardflow.operators.impute import literal_defaults
+    got = _defaults_row(spark, d).asDict()
+    assert got["hr"] == 86.0
+    fixed = spark.range(1).selectExpr(*[f"{e} AS `{n}`" for n, e in literal_defaults().items()]).first().asDict()
+    assert got == {k: fixed[k] for k in got}
+    # a dictionary of any size, and one with two medians for a category
+    big = d.unionByName(spark.range(10_001).select(
+        F.lit(0).alias("item_idx"), F.concat(F.lit("other"), "id").alias("item_cat"), F.lit(1.0).alias("median_value"),
+        F.lit(1.0).alias("mean_value"), F.lit("u").alias("item_unit")).select(d.columns))
+    assert _defaults_row(spark, big).asDict() == got
     bad = d.unionByName(d.where("item_cat = 'HR'").withColumn("median_value", F.lit(1.0)))
-    with pytest.raises(ValueError):
-        defaults_from(bad)
+    with pytest.raises(Exception, match="more than one median"):
+        _defaults_row(spark, bad)
+
+
+def test_exact_percentile_null_groups(spark):
+    rows = [("a", 1.0), ("a", 4.0), (None, 5.0), (None, 7.0), ("n", None), (None, None)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    assert dict(agg.exact_percentile(df, ["g"], "v").collect()) == {"a": 2.5, None: 6.0}
+    assert {tuple(r) for r in agg.dictionary_stats(df, "g", "v").collect()} == {
+        ("a", 2.5, 2.5, 2), (None, 6.0, 6.0, 2)}
+
+
+def test_interval_join_candidates_stay_near_linear(spark):
+    """A hot key with many consecutive spans: an event meets the spans of its
+    bucket only, not its key's whole history."""
+    n = 400
+    ev = spark.range(n * 5).select(F.lit(1).alias("k"), F.expr("timestamp_ntz'2020-01-01' + make_interval(0,0,0,0,0,0,id * 17280)")
+                                   .alias("charttime"), F.col("id"))
+    spans = spark.range(n).select(F.lit(1).alias("k"), F.expr("timestamp_ntz'2020-01-01' + make_interval(0,0,0,id)").alias("intime"),
+                                  F.expr("timestamp_ntz'2020-01-01' + make_interval(0,0,0,id) + interval 1 day").alias("outtime"))
+    j = interval_join(ev, spans, "k", bucket_seconds=86400)
+    assert j.count() >= n * 5
+    # candidates: equal keys and buckets
+    day = F.floor(F.unix_micros(F.col("charttime").cast("timestamp")) / 86_400_000_000)
+    first, last = (F.floor((F.unix_micros(F.col(c).cast("timestamp")) + s * 3_600_000_000) / 86_400_000_000)
+                   for c, s in (("intime", -1), ("outtime", 1)))
+    a = ev.select("id", day.alias("b"))
+    b = spans.select(F.explode(F.sequence(first, last)).alias("b"))
+    assert a.join(b, "b").count() <= 4 * n * 5
 
 
 def test_exact_percentile_continuous_hot_group(spark):
@@ -255,7 +296,7 @@ def test_exact_percentile_continuous_hot_group(spark):
                                "g string, v double")
     for p in (0.1, 0.5, 0.99):
         got = {r.g: r.median_value for r in
-               agg.exact_percentile(df, ["g"], "v", p=p, accuracy=200, grid=20).collect()}
+               agg.exact_percentile(df, ["g"], "v", p=p, accuracy=200).collect()}
         assert got["a"] == pytest.approx(float(np.quantile(vals, p)), rel=1e-12)
         assert got["b"] == pytest.approx(1.0 + 2.0 * p)
 

@@ -172,113 +172,79 @@ def sort_categories(categories, collation: str = "C") -> list[str]:
     raise ValueError("collation must be 'C' or 'en_US'")
 
 
-MAX_BROADCAST_GROUPS = 200_000
-
-
-def _grid_band(rows: DataFrame, keys: list[str], targets: DataFrame, grid: int,
-               accuracy: int, small=lambda d: d) -> DataFrame:
-    """Per group, a value band [__lo, __hi] holding the order statistics of
-    0-based ranks ``__t_lo`` .. ``__t_hi`` of ``rows``.
-
-    One mergeable quantile sketch per group is read at the fractions
-    0, 1/grid, ..., 1; the band runs from the grid point safely below the
-    lower rank to the one safely above the upper rank.  Slack: the sketch's
-    rank error (n / accuracy, doubled) plus two ranks, so the band always
-    holds both ranks; it is about 2 n / grid rows wide.
-    """
-    fr = [i / grid for i in range(grid + 1)]
-    g = (rows.groupBy(*keys)
-         .agg(F.count(F.lit(1)).alias("__m"), F.percentile_approx("__v", fr, accuracy).alias("__q"))
-         .join(small(targets), keys))
-    m = F.col("__m").cast("double")
-    e = F.lit(2.0 / accuracy)
-    fa = (F.col("__t_lo") + 1 - 2) / m - e
-    fb = (F.col("__t_hi") + 1 + 2) / m + e
-    ia = F.least(F.greatest(F.floor(fa * grid), F.lit(0)), F.lit(grid))
-    ib = F.least(F.greatest(F.ceil(fb * grid), F.lit(0)), F.lit(grid))
-    return g.select(*keys, F.element_at("__q", (ia + 1).cast("int")).alias("__lo"),
-                    F.element_at("__q", (ib + 1).cast("int")).alias("__hi"))
+def _join_groups(rows: DataFrame, groups: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join of rows to one row per group on the group keys; NULL is a
+    group like any other."""
+    g = groups.withColumnsRenamed({k: f"__g_{k}" for k in keys})
+    cond = [F.col(k).eqNullSafe(F.col(f"__g_{k}")) for k in keys]
+    return rows.join(g, cond).drop(*[f"__g_{k}" for k in keys])
 
 
 def exact_percentile(df: DataFrame, keys: list[str], value: str, p: float = 0.5,
-                     accuracy: int = 100_000, grid: int = 1_000,
-                     alias: str = "median_value", reuse_input: bool = True) -> DataFrame:
+                     accuracy: int = 100_000, alias: str = "median_value",
+                     reuse_input: bool = True) -> DataFrame:
     """Exact ``percentile_cont(p)`` per group without gathering a group.
 
-    The two order statistics ``percentile_cont`` interpolates between (0-based
-    ranks floor and ceil of (n - 1) p) are located in two narrowing passes:
-
-    1. a quantile-sketch grid over the group gives a value band of about
-       2 n / grid rows around them (``_grid_band``); rows below are counted;
-    2. a second grid over that band narrows it to about 4 n / grid^2 rows;
-    3. only the final band is counted per distinct value and ranked with a
-       running sum, and ``x_lo + (x_hi - x_lo) * frac`` is returned.
-
-    Every step is a partial aggregate or a join on the group keys; a group
-    holding a large share of all rows is never sent to one task (with the
-    default grid the ranked band is about 4 rows per million of the group;
-    a larger grid narrows it further at the price of bigger sketch reads).
+    1. One mergeable quantile sketch per group is read at fractions around
+       ``p``: ``p -/+ 2/accuracy`` and ever wider ones, out to 0 and 1.  The
+       narrowest pair that leaves two ranks of slack at the group's size
+       gives a value band that holds the two order statistics
+       ``percentile_cont`` interpolates between: about 4 n / accuracy rows.
+    2. One pass counts the rows below the band and the band's rows by value
+       (partial aggregation first), and a running sum ranks the band.
+
+    If a wanted rank lay outside its band (a sketch beyond its error bound)
+    the query fails instead of answering.  A NULL group is a group; NULL
+    values are ignored, and a group of nothing else has no row.  A group
+    holding a large share of all rows is never sent to one task: only its
+    band's distinct values meet in a window.
     """
-    if accuracy <= grid:
-        raise ValueError("accuracy must exceed grid")
-    v = F.col("__v")
     x = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("__v"))
     if reuse_input:
-        # several passes read the (group, value) pairs: compute them once
+        # two passes read the (group, value) pairs: compute them once
         from wardflow.sources.materialize import cut_lineage
         x = cut_lineage(x)
-    n = x.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    # Per-group tables (one row per group) are joined back to the pairs many
-    # times.  They are broadcast only when the group count, measured here on
-    # the tiny aggregate, is within bounds; beyond that the joins shuffle and
-    # AQE's skew handling splits a hot group.
-    if n.count() <= MAX_BROADCAST_GROUPS:
-        small = F.broadcast
-    else:
-        def small(d):
-            return d
-    pos = (F.col("__n") - 1) * F.lit(float(p))
-    targets = n.select(*keys, F.floor(pos).alias("__r_lo"), F.ceil(pos).alias("__r_hi"),
-                       (pos - F.floor(pos)).alias("__frac"))
-    # level 1 over the whole group
-    b1 = _grid_band(x, keys, targets.select(*keys, F.col("__r_lo").alias("__t_lo"),
-                                            F.col("__r_hi").alias("__t_hi")), grid, accuracy,
-                    small)
-    j1 = x.join(small(b1), keys)
-    below1 = j1.where(v < F.col("__lo")).groupBy(*keys).agg(F.count(F.lit(1)).alias("__b1"))
-    band1 = j1.where(v.between(F.col("__lo"), F.col("__hi"))).select(*keys, "__v")
-    # level 2 over the band, with ranks shifted by the rows below it
-    t2 = (targets.join(below1, keys, "left")
-          .withColumn("__b1", F.coalesce(F.col("__b1"), F.lit(0))))
-    b2 = _grid_band(band1, keys, t2.select(*keys, (F.col("__r_lo") - F.col("__b1")).alias("__t_lo"),
-                                          (F.col("__r_hi") - F.col("__b1")).alias("__t_hi")),
-                    grid, accuracy, small)
-    j2 = band1.join(small(b2), keys)
-    below2 = j2.where(v < F.col("__lo")).groupBy(*keys).agg(F.count(F.lit(1)).alias("__b2"))
-    band2 = (j2.where(v.between(F.col("__lo"), F.col("__hi")))
-             .groupBy(*keys, "__v").agg(F.count(F.lit(1)).alias("__c")))
-    w = W.partitionBy(*keys).orderBy("__v").rowsBetween(W.unboundedPreceding, W.currentRow)
-    ranked = (band2.withColumn("__cum", F.sum("__c").over(w))
-              .join(small(t2.select(*keys, "__b1", "__r_lo", "__r_hi", "__frac")), keys)
-              .join(small(below2), keys, "left")
-              .withColumn("__cum", F.col("__cum") + F.col("__b1")
-                          + F.coalesce(F.col("__b2"), F.lit(0))))
-    sel = ranked.groupBy(*keys).agg(
-        F.min(F.when(F.col("__cum") > F.col("__r_lo"), F.col("__v"))).alias("__x_lo"),
-        F.min(F.when(F.col("__cum") > F.col("__r_hi"), F.col("__v"))).alias("__x_hi"),
-        F.first("__frac").alias("__frac"))
-    return sel.select(*keys, (F.col("__x_lo") + (F.col("__x_hi") - F.col("__x_lo"))
-                              * F.col("__frac")).alias(alias))
+    widths = [2.0 / accuracy * 4 ** j for j in range(32) if 2.0 / accuracy * 4 ** j < 1.0] + [1.0]
+    fractions = [max(p - e, 0.0) for e in widths] + [min(p + e, 1.0) for e in widths]
+    n = F.col("__n")
+    # narrowest width whose slack, beyond the sketch's own error, is two ranks
+    level = F.lit(len(widths))
+    for j, e in reversed(list(enumerate(widths))):
+        level = F.when((e - 1.0 / accuracy) * n >= 2.0, F.lit(j + 1)).otherwise(level)
+    rank = (n - 1) * F.lit(float(p))
+    sketch = x.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"),
+                                  F.percentile_approx("__v", fractions, accuracy).alias("__q"))
+    band = sketch.select(*keys, F.element_at("__q", level).alias("__lo"),
+                         F.element_at("__q", level + len(widths)).alias("__hi"),
+                         F.floor(rank).alias("__r_lo"), F.ceil(rank).alias("__r_hi"),
+                         (rank - F.floor(rank)).alias("__frac"))
+    v = F.col("__v")
+    j = (_join_groups(x, band, keys).where(v <= F.col("__hi"))
+         .select(*keys, F.when(v >= F.col("__lo"), v).alias("__v"), "__r_lo", "__r_hi", "__frac"))
+    # the rows below the band are the NULL value of their group
+    by_value = j.groupBy(*keys, "__v", "__r_lo", "__r_hi", "__frac").agg(F.count(F.lit(1)).alias("__c"))
+    w = (W.partitionBy(*keys).orderBy(F.col("__v").asc_nulls_first())
+         .rowsBetween(W.unboundedPreceding, W.currentRow))
+    cum, inside = F.col("__cum"), F.col("__v").isNotNull()
+    sel = by_value.withColumn("__cum", F.sum("__c").over(w)).groupBy(*keys).agg(
+        F.min(F.when(inside & (cum > F.col("__r_lo")), F.col("__v"))).alias("__x_lo"),
+        F.min(F.when(inside & (cum > F.col("__r_hi")), F.col("__v"))).alias("__x_hi"),
+        F.coalesce(F.max(F.when(~inside, cum)), F.lit(0)).alias("__below"),
+        F.max("__r_lo").alias("__r_lo"), F.max("__frac").alias("__frac"))
+    missed = (F.col("__below") > F.col("__r_lo")) | F.col("__x_hi").isNull()
+    outside = F.raise_error(F.lit("percentile rank outside its sketch band")).cast("double")
+    return sel.select(*keys, F.when(missed, outside).otherwise(
+        F.col("__x_lo") + (F.col("__x_hi") - F.col("__x_lo")) * F.col("__frac")).alias(alias))
 
 
 def dictionary_stats(long_rows: DataFrame, category: str = "itemcat", value: str = "valuenum",
-                     accuracy: int = 100_000, grid: int = 1_000) -> DataFrame:
+                     accuracy: int = 100_000) -> DataFrame:
     """The dictionary's median and mean per category, computed from data
     (the (category, value) pairs are computed once and reused by every pass)."""
     from wardflow.sources.materialize import cut_lineage
     x = cut_lineage(long_rows.where(F.col(value).isNotNull())
                     .select(category, F.col(value).cast("double").alias(value)))
-    med = exact_percentile(x, [category], value, 0.5, accuracy, grid, reuse_input=False)
+    med = exact_percentile(x, [category], value, 0.5, accuracy, reuse_input=False)
     mean = x.groupBy(category).agg(F.avg(value).alias("mean_value"),
                                    F.count(F.lit(1)).alias("n"))
-    return mean.join(med, category).select(category, "median_value", "mean_value", "n")
+    return _join_groups(mean, med, [category]).select(category, "median_value", "mean_value", "n")

@@ -26,9 +26,9 @@ def map_codes(df: DataFrame, mapping: DataFrame, code: str = "itemid",
     """B6 as a join: attach ``itemcat`` (and any other mapping columns) from
     a (source, itemid, itemcat, priority, effective, ...) table.
 
-    The mapping is a dictionary whose size does not grow with the events,
-    so it is broadcast and the events are never shuffled.  Unmapped codes
-    drop.  Codes must be unique per source (``code_map()`` guarantees it);
+    No broadcast hint: a mapping that is small (as the fixed code maps are)
+    is broadcast by Spark's own size check, and the events are then never
+    shuffled.  Unmapped codes drop.  Codes must be unique per source (``code_map()`` guarantees it);
     ``first_match=True`` resolves repeated codes by lowest priority first,
     like the first arm of a CASE.
     """
@@ -43,7 +43,7 @@ def map_codes(df: DataFrame, mapping: DataFrame, code: str = "itemid",
               .agg(*[F.min_by(c, "priority").alias(c) for c in carry]))
     else:
         m = m.select(F.col("itemid").alias("__code"), *carry)
-    return df.join(F.broadcast(m), df[code] == m["__code"], "inner").drop("__code")
+    return df.join(m, df[code] == m["__code"], "inner").drop("__code")
 
 
 def to_long(df: DataFrame) -> DataFrame:

@@ -42,12 +42,13 @@ def locf_sql(col: str, partition="icustay_id", order: str = "tw_hour_idx") -> st
             "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)")
 
 
-def imputed_sql(spec=dic.DEFAULT_SPEC, defaults: dict[str, float] | None = None,
+def imputed_sql(spec=dic.DEFAULT_SPEC, defaults: dict[str, str] | None = None,
                 partition="icustay_id", order: str = "tw_hour_idx") -> dict[str, str]:
     """E2 as SQL text: per spec row ``coalesce(locf(source), default)``, 0 or
     raw.  Every LOCF shares one window definition, so Spark plans one Window
-    node for all of them."""
-    defaults = defaults if defaults is not None else defaults_from(None)
+    node for all of them.  ``defaults`` maps a category to the SQL text of
+    its default (see ``attach_defaults``)."""
+    defaults = defaults if defaults is not None else literal_defaults(None)
     out = {}
     for s in spec:
         if s.impute == "raw":
@@ -57,8 +58,7 @@ def imputed_sql(spec=dic.DEFAULT_SPEC, defaults: dict[str, float] | None = None,
         elif s.impute == "locf_default":
             d = defaults.get(s.default)
             filled = locf_sql(s.source, partition, order)
-            out[s.name] = filled if d is None else \
-                f"coalesce({filled}, CAST('{float(d)!r}' AS DOUBLE))"
+            out[s.name] = filled if d is None else f"coalesce({filled}, {d})"
         else:
             raise ValueError(f"unknown impute mode {s.impute!r}")
     return out
@@ -69,65 +69,48 @@ def mask_sql(cols=dic.FEATURE_COLUMNS, prefix: str = "m_") -> dict[str, str]:
     return {f"{prefix}{c}": f"CAST(`{c}` IS NOT NULL AS INT)" for c in cols}
 
 
-def defaults_from(dictionary: DataFrame | dict | None = None) -> dict[str, float]:
-    """lower(category) -> median.
+def literal_defaults(dictionary: dict | None = None) -> dict[str, str]:
+    """C6 for a fixed dictionary: lower(category) -> SQL literal of its median."""
+    if dictionary is None:
+        dictionary = {cat: med for _, cat, med, _, _ in dic.FEATURE_ROWS}
+    return {k.lower(): f"CAST('{float(v)!r}' AS DOUBLE)" for k, v in dictionary.items() if v is not None}
+
 
-    The fixed dictionary is read from its literal rows.  A DataFrame
-    dictionary has one row per category (a few dozen rows) and is fetched
-    with ``limit`` as a guard; a category with two different medians is an
-    error, like the scalar subquery it replaces.
+def attach_defaults(pivot: DataFrame, dictionary: DataFrame | dict | None = None,
+                    spec=dic.DEFAULT_SPEC) -> tuple[DataFrame, dict[str, str]]:
+    """The pivot and the SQL text of each category's default.
+
+    A dictionary table of any size becomes one scalar subquery: one partial
+    aggregate over it yields a single row with the median of every category
+    the spec names (an error where a category has two different medians),
+    attached to the pivot as the struct column ``__defaults``.
     """
-    if dictionary is None:
-        return {cat.lower(): med for _, cat, med, _, _ in dic.FEATURE_ROWS}
-    if isinstance(dictionary, dict):
-        return {k.lower(): v for k, v in dictionary.items()}
-    cap = 10_000
-    rows = (dictionary.select(F.lower("item_cat").alias("k"), "median_value").distinct()
-            .limit(cap + 1).collect())
-    if len(rows) > cap:
-        raise ValueError("dictionary too large for scalar defaults")
-    out: dict[str, float] = {}
-    for r in rows:
-        if r.k in out and out[r.k] != r.median_value:
-            raise ValueError(f"more than one median for category {r.k!r}")
-        out[r.k] = r.median_value
-    return out
+    if not isinstance(dictionary, DataFrame):
+        return pivot, literal_defaults(dictionary)
+    names = sorted({s.default for s in spec if s.impute == "locf_default" and s.default})
 
+    def only(name):
+        v = F.when(F.lower("item_cat") == name, F.col("median_value"))
+        two = F.raise_error(F.lit(f"more than one median for category {name!r}")).cast("double")
+        return F.when(F.min(v) < F.max(v), two).otherwise(F.max(v)).alias(name)
 
-def imputed_columns(spec=dic.DEFAULT_SPEC, defaults: dict[str, float] | None = None,
-                    partition="icustay_id", order: str = "tw_hour_idx") -> dict[str, Column]:
-    """Per spec row, ``coalesce(locf(source), default)``, 0 or raw."""
-    defaults = defaults if defaults is not None else defaults_from(None)
-    out = {}
-    for s in spec:
-        if s.impute == "raw":
-            out[s.name] = F.col(s.source)
-        elif s.impute == "locf_zero":
-            out[s.name] = F.coalesce(locf(s.source, partition, order), F.lit(0.0))
-        elif s.impute == "locf_default":
-            d = defaults.get(s.default)
-            filled = locf(s.source, partition, order)
-            out[s.name] = filled if d is None else F.coalesce(filled, F.lit(float(d)))
-        else:
-            raise ValueError(f"unknown impute mode {s.impute!r}")
-    return out
+    row = dictionary.agg(F.struct(*[only(n) for n in names]).alias("d"))
+    return (pivot.withColumn("__defaults", row.scalar()),
+            {n: f"`__defaults`.`{n}`" for n in names})
 
 
 def impute(pivot: DataFrame, spec=dic.DEFAULT_SPEC, defaults=None, partition="icustay_id",
            order: str = "tw_hour_idx") -> DataFrame:
     """The imputed wide table (LOCF then default)."""
-    cols = imputed_columns(spec, defaults_from(defaults), partition, order)
+    pivot, values = attach_defaults(pivot, defaults, spec)
     keys = [partition] if isinstance(partition, str) else list(partition)
-    return pivot.select(*keys, order, *[c.alias(n) for n, c in cols.items()])
-
-
-def mask_columns(cols=dic.FEATURE_COLUMNS, prefix: str = "m_") -> dict[str, Column]:
-    """1 where the raw (pre-imputation) value exists, else 0."""
-    return {f"{prefix}{c}": F.col(c).isNotNull().cast("int") for c in cols}
+    cols = imputed_sql(spec, values, partition, order)
+    return pivot.selectExpr(*[f"`{k}`" for k in [*keys, order]], *[f"{e} AS `{n}`" for n, e in cols.items()])
 
 
 def mask(pivot: DataFrame, cols=dic.FEATURE_COLUMNS, keys=("icustay_id", "tw_hour_idx"),
          prefix: str = "") -> DataFrame:
-    """U4: the mask table (same column names as the pivot by default)."""
-    m = mask_columns(cols, prefix)
-    return pivot.select(*keys, *[c.alias(n) for n, c in m.items()])
+    """U4: the mask table (same column names as the pivot by default): 1
+    where the raw (pre-imputation) value exists, else 0."""
+    return pivot.selectExpr(*[f"`{k}`" for k in keys],
+                            *[f"{e} AS `{n}`" for n, e in mask_sql(cols, prefix).items()])

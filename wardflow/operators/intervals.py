@@ -4,8 +4,11 @@ An event row matches a span row when the equi keys are equal and
 
     ts - start >= -tolerance   and   end - ts >= -tolerance
 
-(both inclusive).  The equi keys make this a hash / sort-merge join with a
-range residual; no cross product is formed.  Rows with NULL keys or NULL
+(both inclusive).  Time is cut into buckets: a span is repeated for every
+bucket it covers with its tolerance, an event has one bucket, and the bucket
+joins the equi keys.  So an event meets only the spans of its key that touch
+its bucket, each once, and work stays near-linear in a key's history; the
+range residual then decides.  Rows with NULL keys or NULL
 times never match.  An event may match several spans (e.g. two stays of one
 admission), in which case it is emitted once per span (Q19).
 """
@@ -17,11 +20,14 @@ from pyspark.sql import functions as F
 
 from wardflow.functions.timecols import US_PER_SECOND, epoch_micros
 
+#: Width of a time bucket: a week, the order of a stay's length.
+BUCKET_SECONDS = 7 * 86400
+
 
 def interval_join(events: DataFrame, spans: DataFrame, on: str | list[str],
                   ts: str = "charttime", start: str = "intime", end: str = "outtime",
                   tolerance_seconds: float = 3600, span_columns: list[str] | None = None,
-                  salt: int = 1) -> DataFrame:
+                  salt: int = 1, bucket_seconds: float = BUCKET_SECONDS) -> DataFrame:
     """Inner interval join.
 
     ``span_columns`` are the span-side columns to carry (besides ``start`` and
@@ -29,12 +35,14 @@ def interval_join(events: DataFrame, spans: DataFrame, on: str | list[str],
     only when listed here, so C3 (stay id from the span) and C4 (stay id kept
     from the event) are the same call with different ``span_columns``.
 
-    Skew: with AQE on, a key holding a large share of the events is split by
-    the skew-join optimisation.  ``salt > 1`` splits it explicitly instead
-    (for sessions without AQE): each event gets a deterministic salt in
+    Skew: a key holding a large share of the events is split by its time
+    buckets, and a hot bucket by AQE's skew join.  ``salt > 1`` splits it
+    explicitly instead (for sessions without AQE): each event gets a deterministic salt in
     [0, salt) from a hash of its row, each span row is repeated once per salt
     value, and the salt joins the equi keys, so a hot key's events spread
-    over ``salt`` tasks while every event still meets every span of its key.
+    over ``salt`` tasks while every event still meets every span of its
+    bucket.  ``bucket_seconds`` should be near a typical span's length: a
+    span is repeated (length / bucket + 2) times at most.
     """
     on = [on] if isinstance(on, str) else list(on)
     span_columns = list(span_columns or [])
@@ -44,12 +52,18 @@ def interval_join(events: DataFrame, spans: DataFrame, on: str | list[str],
     s = spans.select(*on, *[F.col(c).alias(f"__s_{c}") for c in carry])
     ev = events.drop(*[c for c in carry if c in events.columns])
     out_cols = list(ev.columns)
+    width = F.lit(int(round(bucket_seconds * US_PER_SECOND)))
+    first = F.floor((epoch_micros(F.col(f"__s_{start}")) - tol) / width)
+    last = F.floor((epoch_micros(F.col(f"__s_{end}")) + tol) / width)
+    # NULL times match nothing, nor do spans that end before they start
+    s = s.where(first <= last).withColumn("__bucket", F.explode(F.sequence(first, last)))
+    ev = ev.withColumn("__bucket", F.floor(epoch_micros(F.col(ts)) / width))
     if salt > 1:
         ev = ev.withColumn("__salt", F.pmod(F.xxhash64(*[F.col(c) for c in out_cols]),
                                             F.lit(salt)))
         s = s.withColumn("__salt", F.explode(F.sequence(F.lit(0).cast("long"),
                                                         F.lit(salt - 1).cast("long"))))
-    cond = [ev[k] == s[k] for k in on]
+    cond = [ev[k] == s[k] for k in [*on, "__bucket"]]
     if salt > 1:
         cond.append(ev["__salt"] == s["__salt"])
     t = epoch_micros(ev[ts])

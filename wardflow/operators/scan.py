@@ -186,11 +186,30 @@ def fit_head(df: DataFrame, features: str = "features", label: str = "label",
              max_iter: int = 50, reg_param: float = 0.0, standardization: bool = True):
     """Sigmoid output + binary cross-entropy = logistic regression,
     fitted distributed by Spark ML (tree-aggregated gradients).  The default
-    is unregularised, like the reference's dense head."""
+    is unregularised, like the reference's dense head.  A fit that stops at
+    the iteration limit instead of converging is an error."""
     from pyspark.ml.classification import LogisticRegression
-    return LogisticRegression(featuresCol=features, labelCol=label, maxIter=max_iter,
-                              regParam=reg_param, standardization=standardization,
-                              tol=1e-10).fit(df)
+    model = LogisticRegression(featuresCol=features, labelCol=label, maxIter=max_iter,
+                               regParam=reg_param, standardization=standardization,
+                               tol=1e-10).fit(df)
+    if model.summary.totalIterations >= max_iter:
+        raise RuntimeError(f"the fit has not converged in {max_iter} iterations")
+    return model
+
+
+def head_gradient(model, df: DataFrame, reg_param: float, features: str = "features",
+                  label: str = "label") -> DataFrame:
+    """(feature, gradient) of the mean log-loss plus ``reg_param / 2 * |w|^2``
+    at a fitted head's weights (feature -1: the intercept, not penalised);
+    all zeros at the optimum.  One pass and one partial aggregate."""
+    from pyspark.ml.functions import vector_to_array
+    residual = vector_to_array("probability")[1] - F.col(label)
+    rows = model.transform(df).select(residual.alias("r"), F.posexplode(
+        F.concat(F.array(F.lit(1.0)), vector_to_array(features))).alias("pos", "x"))
+    weights = [0.0, *[reg_param * w for w in model.coefficients.toArray().tolist()]]
+    penalty = F.element_at(F.array(*[F.lit(w) for w in weights]), F.col("pos") + 1)
+    return (rows.groupBy("pos").agg(F.avg(F.col("r") * F.col("x")).alias("g"))
+            .select((F.col("pos") - 1).alias("feature"), (F.col("g") + penalty).alias("gradient")))
 
 
 def evaluate(scored: DataFrame, prob: str = "probability", label: str = "label",

@@ -51,16 +51,20 @@ def build_vocab(docs: DataFrame, num_words: int = NUM_WORDS, text: str = "text",
 
 
 def encode(docs: DataFrame, vocab: DataFrame, key: str = "doc_id", text: str = "text",
-           start_id: int = START_ID, oov_id: int = OOV_ID) -> DataFrame:
+           start_id: int = START_ID, oov_id: int = OOV_ID, last_n: int | None = None) -> DataFrame:
     """K2: (key, ids) with ids in token order, OOV -> ``oov_id``, prefixed
     with ``start_id``.
 
-    Tokens are exploded with their position, looked up in the vocabulary
-    (k rows, broadcast: its size is bounded by ``num_words``) and gathered
-    back per document; a document's group is its own token list.
+    Tokens are exploded with their position, looked up in the vocabulary and
+    gathered back per document; a document's group is its own token list.
+    With ``last_n`` only the last n tokens of a document are kept, cut off
+    before anything is exploded: what padding to n ids keeps anyway.
     """
-    toks = docs.select(key, F.posexplode_outer(tokenize(text)).alias("pos", "token"))
-    v = F.broadcast(vocab.select("token", "id"))
+    tokens = tokenize(text)
+    if last_n is not None:
+        tokens = F.slice(tokens, F.greatest(F.size(tokens) - (last_n - 1), F.lit(1)), F.lit(last_n))
+    toks = docs.select(key, F.posexplode_outer(tokens).alias("pos", "token"))
+    v = vocab.select("token", "id")
     ided = toks.join(v, "token", "left").select(
         key, F.when(F.col("pos").isNotNull(),
                     F.struct("pos", F.coalesce(F.col("id"), F.lit(oov_id)).alias("id")))

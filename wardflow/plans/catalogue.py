@@ -95,6 +95,18 @@ def features_50_w1_as_written(spark, sf_dir):
                                binding=dic.positional_binding()))
 
 
+ONE_STAY = 7
+
+
+@register("features_50_w6_one_stay", _features_sql(6) + f" WHERE icustay_id = {ONE_STAY}")
+def features_50_w6_one_stay(spark, sf_dir):
+    """B12/U5 for one stay: the SQL table function called with a literal stay
+    id; the filter reaches the scan of the event log."""
+    from wardflow.plans import sql as sqlsurface
+    sqlsurface.register(spark, _windowed(spark, sf_dir))
+    return rounded(spark.sql(f"SELECT * FROM get_features({ONE_STAY}, 6)"))
+
+
 def _pivot_sql(w: int) -> str:
     body = O.with_(O.events_windowed_ctes(), O.pivot_ctes(w))
     return body + "\nSELECT icustay_id, tw_hour_idx, " + O.r6(dic.FEATURE_COLUMNS) + " FROM pv"
@@ -423,13 +435,25 @@ def dictionary_stats(spark, sf_dir):
     return rounded(stats(an.events_long(spark, ev)))
 
 
+@register("dictionary_stats_null_group", """
+WITH v AS (SELECT CASE WHEN props::JSON->>'$.k' IS NOT NULL AND CAST(props::JSON->>'$.k' AS INTEGER) % 7 <> 0
+             THEN CAST(props::JSON->>'$.k' AS INTEGER) % 7 END AS cat, value FROM events)
+SELECT cat, """ + O.R("median(value)") + " AS median_value, " + O.R("avg(value)") + """ AS mean_value,
+  count(*) AS n FROM v WHERE value IS NOT NULL GROUP BY cat""")
+def dictionary_stats_null_group(spark, sf_dir):
+    """D8 with a NULL category, which is a group like any other."""
+    from wardflow.operators.aggregate import dictionary_stats as stats
+    k = F.get_json_object("props", "$.k").cast("int") % 7
+    ev = an.load(spark, sf_dir, "events").select(F.nullif(k, F.lit(0)).alias("cat"), "value")
+    return rounded(stats(ev, category="cat", value="value"))
+
+
 # ---------------------------------------------------------------------------
 # sequences
 # ---------------------------------------------------------------------------
 
 def _docs(spark, sf_dir):
-    from wardflow.sources.tables import balanced
-    return balanced(an.load(spark, sf_dir, "documents").select("doc_id", "text"))
+    return an.load(spark, sf_dir, "documents").select("doc_id", "text")
 
 
 @register("vocab_topk", O.with_(O.vocab_ctes()) + "\nSELECT token, id, count FROM vocab")
@@ -458,14 +482,17 @@ def pad(spark, sf_dir):
     from wardflow.functions.arrays import pad as pad_arr
     from wardflow.operators.vocab import build_vocab, encode as enc
     docs = _docs(spark, sf_dir)
-    e = enc(docs, build_vocab(docs))
+    e = enc(docs, build_vocab(docs), last_n=80)
     return e.select("doc_id", F.array_join(pad_arr("ids", 80), " ").alias("padded_text"))
 
 
-@register("load_sequences")
+@register("load_sequences", """
+SELECT doc_id, quality AS label,
+  CASE WHEN ('0x' || substr(md5(doc_id::VARCHAR), 1, 8))::BIGINT % 5 < 1 THEN 'test' ELSE 'train' END
+    AS split
+FROM documents JOIN labels USING (doc_id)""")
 def load_sequences(spark, sf_dir):
-    """A5: labelled documents with a fixed hash split (no SQL oracle: the
-    split hash is Spark's xxhash64)."""
+    """A5: labelled documents with a fixed hash split."""
     from wardflow.sources.sequences import load_sequences as ls
     return ls(spark, sf_dir).select("doc_id", "label", "split")
 
@@ -619,12 +646,32 @@ def fit_head(spark, sf_dir):
     from wardflow.operators.scan import fit_head as fh
     e = _emb(spark, sf_dir).select("vec_id", F.col("y").cast("double").alias("label"),
                                    array_to_vector("e").alias("features"))
-    model = fh(e, max_iter=30)
+    model = fh(e, max_iter=200)
     return model.transform(e).select(
         "vec_id", F.col("label").cast("int").alias("y"),
         vector_to_array("probability")[1].alias("probability"))
 
 
+HEAD_PENALTY = 0.01
+
+
+@register("fit_head_gradient", f"""
+WITH x AS ({EMB_SQL})
+SELECT DISTINCT CAST(i AS INTEGER) - 1 AS feature, 0.0::DOUBLE AS gradient
+FROM (SELECT unnest(range(len(e) + 1)) AS i FROM x)""")
+def fit_head_gradient(spark, sf_dir):
+    """K12 checked at its optimum: the penalised log-loss has one minimum, so
+    the gradient at the fitted weights, rounded to 4 places, is zero for
+    every coefficient."""
+    from pyspark.ml.functions import array_to_vector
+    from wardflow.operators import scan
+    e = _emb(spark, sf_dir).select(F.col("y").cast("double").alias("label"),
+                                   array_to_vector("e").alias("features"))
+    model = scan.fit_head(e, max_iter=200, reg_param=HEAD_PENALTY, standardization=False)
+    g = scan.head_gradient(model, e, HEAD_PENALTY)
+    return g.select("feature", (F.round("gradient", 4) + F.lit(0.0)).alias("gradient"))
+
+
 @register("scan_score")
 def scan_score(spark, sf_dir):
     """Documents -> vocabulary ids -> padded 80 -> frozen-weight
@@ -634,7 +681,7 @@ def scan_score(spark, sf_dir):
     from wardflow.operators.scan import score_sequences
     from wardflow.operators.vocab import build_vocab, encode as enc
     docs = _docs(spark, sf_dir)
-    e = enc(docs, build_vocab(docs))
+    e = enc(docs, build_vocab(docs), last_n=80)
     return score_sequences(e.select("doc_id", pad_arr("ids", 80).alias("ids")))
 
 

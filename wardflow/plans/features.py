@@ -20,7 +20,7 @@ from wardflow.functions.timecols import add_windows
 from wardflow.operators import harmonize as hz
 from wardflow.operators.aggregate import daily_total, pivot_features
 from wardflow.operators.cohort import build_cohort, restrict
-from wardflow.operators.impute import defaults_from, imputed_sql, mask_sql
+from wardflow.operators.impute import attach_defaults, impute, imputed_sql, mask, mask_sql
 from wardflow.operators.intervals import interval_join
 from wardflow.sources import dictionary as dic
 
@@ -90,7 +90,8 @@ def assemble(pv: DataFrame, window_hours: int, spec=dic.DEFAULT_SPEC, defaults=N
     """U2 + U3 + U4 + U5 as columns over one pivot: masks from the raw
     values, LOCF/default values, and the score from the imputed values.
     Built as two SQL projections (one Window node for every LOCF column)."""
-    imp = imputed_sql(spec, defaults_from(defaults))
+    pv, values = attach_defaults(pv, defaults, spec)
+    imp = imputed_sql(spec, values)
     masks = mask_sql(dic.FEATURE_COLUMNS, "m_")
     step1 = pv.selectExpr(*[f"`{k}`" for k in KEYS], *[f"{e} AS `{n}`" for n, e in imp.items()],
                           *[f"{e} AS `{n}`" for n, e in masks.items()])
@@ -115,16 +116,12 @@ def features(windowed: DataFrame, window_hours: int, stay_id=None, spec=dic.DEFA
 def imputed(windowed: DataFrame, window_hours: int, spec=dic.DEFAULT_SPEC, defaults=None,
             day_index: str = "as_written") -> DataFrame:
     """U2."""
-    pv = pivot(windowed, window_hours, day_index=day_index)
-    imp = imputed_sql(spec, defaults_from(defaults))
-    return pv.selectExpr(*[f"`{k}`" for k in KEYS], *[f"{e} AS `{n}`" for n, e in imp.items()])
+    return impute(pivot(windowed, window_hours, day_index=day_index), spec, defaults)
 
 
 def masks(windowed: DataFrame, window_hours: int, day_index: str = "as_written") -> DataFrame:
     """U4 (pivot names, like the reference's mask function)."""
-    pv = pivot(windowed, window_hours, day_index=day_index)
-    return pv.selectExpr(*[f"`{k}`" for k in KEYS],
-                         *[f"{e} AS `{n[2:]}`" for n, e in mask_sql().items()])
+    return mask(pivot(windowed, window_hours, day_index=day_index))
 
 
 def scores(windowed: DataFrame, window_hours: int, spec=dic.DEFAULT_SPEC, defaults=None,

@@ -8,6 +8,7 @@ parity depends on (UTC session time zone, ANSI arithmetic) and leaves sizing
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -35,7 +36,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-         .config("spark.driver.memory", os.environ.get("WARDFLOW_DRIVER_MEMORY", "16g"))
+         .config("spark.driver.memory", os.environ.get("WARDFLOW_DRIVER_MEMORY", "8g"))
          .config("spark.sql.execution.arrow.pyspark.enabled", "true")
          # Python call-site capture per Column call is a debugging aid; it costs
          # several py4j round trips per expression when plans are built
@@ -67,11 +68,16 @@ def ensure_conf(spark: SparkSession) -> SparkSession:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this must be set by the deployment (a shared filesystem);
-    it is only filled in here when unset, which happens in local tests.
+    On a cluster it must be set by the deployment (a file system that all
+    executors share): unset is an error there.  In local mode, where driver
+    and executors are one process, a folder is chosen if none is set.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share "
+                             f"(master {master!r})")
         d = tempfile.mkdtemp(prefix="wardflow-ckpt-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:

@@ -57,14 +57,3 @@ def register_views(spark: SparkSession, base: str, names=DRIVER_TABLES) -> None:
     for n in names:
         load(spark, base, n).createOrReplaceTempView(n)
 
-
-def balanced(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread a scan over the cluster's cores when the files give fewer
-    splits than that (a parquet row group is the unit of splitting, so one
-    large row group is one task).  Row-heavy per-row work (tokenizing whole
-    texts, model scoring) then runs in parallel.  On inputs that already
-    have enough splits this returns ``df`` unchanged (no shuffle)."""
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
-        return df
-    return df.repartition(want)

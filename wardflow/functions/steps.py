@@ -31,6 +31,8 @@ def step_score(v: str, rules, otherwise: int | None = None) -> Column:
     return F.expr(case_sql(v, rules, otherwise))
 
 
+# FIXED VALUES: bounds and points of the seven score parts, in the order in
+# which their arms are tried.
 CREATININE_RULES = [("<", 1.2, 0), ("<=", 1.9, 1), ("<=", 3.4, 2), ("<=", 4.9, 3), (">", 4.9, 4)]
 GCS_RULES = [("<", 6, 4), ("<=", 9, 3), ("<=", 12, 2), ("<=", 14, 1), ("=", 15, 0)]
 BILIRUBIN_RULES = [("<=", 1.2, 0), ("<=", 1.9, 1), ("<=", 5.9, 2), ("<=", 11.9, 3), (">", 11.9, 4)]
@@ -38,20 +40,37 @@ PLATELETS_RULES = [("<", 20, 4), ("<", 50, 3), ("<", 100, 2), ("<", 150, 1), (">
 RATIO_RULES = [("<", 100, 4), ("<", 200, 3), ("<", 300, 2), ("<", 400, 1), (">=", 400, 0)]
 
 
-def cardiovascular_sql(abp_mean="abp_mean", dopamine="dopamine", dobutamine="dobutamine",
-                       epinephrine="epinephrine", norepinephrine="norepinephrine") -> str:
-    """S1 (boolean-rule form; arm order matters, Q13)."""
-    m, dop, dob, epi, nor = (f"`{x}`" for x in (abp_mean, dopamine, dobutamine, epinephrine,
-                                                  norepinephrine))
-    no_drugs = f"{dop} IS NULL AND {dob} IS NULL AND {epi} IS NULL AND {nor} IS NULL"
-    return ("CAST(CASE "
-            f"WHEN {m} >= 70 AND {no_drugs} THEN 0 "
-            f"WHEN {m} < 70 AND {no_drugs} THEN 1 "
-            f"WHEN {dop} <= 5 OR {dob} IS NOT NULL THEN 2 "
-            f"WHEN ({dop} > 5 AND {dop} <= 15) OR ({epi} > 0 AND {epi} <= 0.1) "
-            f"OR ({nor} > 0 AND {nor} <= 0.1) THEN 3 "
-            f"WHEN {dop} > 15 OR {epi} > 0.1 OR {nor} > 0.1 THEN 4 "
-            "ELSE 0 END AS INT)")
+CARDIOVASCULAR_DRUGS = ("dopamine", "dobutamine", "epinephrine", "norepinephrine")
+# (points, alternatives); an alternative is a list of (column, op, bound) that
+# must all hold, "no drugs" stands for all four drugs being NULL
+CARDIOVASCULAR_RULES = [
+    (0, [[("abp_mean", ">=", 70), "no drugs"]]),
+    (1, [[("abp_mean", "<", 70), "no drugs"]]),
+    (2, [[("dopamine", "<=", 5)], [("dobutamine", "IS NOT NULL", None)]]),
+    (3, [[("dopamine", ">", 5), ("dopamine", "<=", 15)],
+         [("epinephrine", ">", 0), ("epinephrine", "<=", 0.1)],
+         [("norepinephrine", ">", 0), ("norepinephrine", "<=", 0.1)]]),
+    (4, [[("dopamine", ">", 15)], [("epinephrine", ">", 0.1)], [("norepinephrine", ">", 0.1)]]),
+]
+CARDIOVASCULAR_OTHERWISE = 0
+
+
+def cardiovascular_sql(**names) -> str:
+    """S1 as SQL text from its rule rows (arm order matters, Q13); ``names``
+    renames columns."""
+    def column(c):
+        return f"`{names.get(c, c)}`"
+
+    def test(t):
+        if t == "no drugs":
+            return " AND ".join(f"{column(d)} IS NULL" for d in CARDIOVASCULAR_DRUGS)
+        c, op, bound = t
+        return f"{column(c)} {op}" + ("" if bound is None else f" {_num(bound)}")
+
+    arms = " ".join(
+        "WHEN " + " OR ".join("(" + " AND ".join(test(t) for t in every) + ")" for every in any_of)
+        + f" THEN {points}" for points, any_of in CARDIOVASCULAR_RULES)
+    return f"CAST(CASE {arms} ELSE {CARDIOVASCULAR_OTHERWISE} END AS INT)"
 
 
 def respiration_sql(pao2="pao2", fio2="fio2") -> str:

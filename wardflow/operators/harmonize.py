@@ -69,37 +69,39 @@ def union_all(branches: list[DataFrame]) -> DataFrame:
 
 # --- the eight branches over the clinical schema ----------------------------
 
-def chart_branch(chart: DataFrame, cohort: DataFrame) -> DataFrame:
-    codes = dic.whitelist("chart")
-    rows = (chart.where(F.col("itemid").isin(codes)
-                        & units.plausible("valuenum", *dic.CHART_LAB_RANGE)))
-    rows = restrict(rows, cohort, "hadm_id")
-    return to_long(rows.select(
-        "subject_id", "hadm_id", "icustay_id",
-        dic.case_map(F.col("itemid"), dic.CHART_CODES).alias("itemcat"),
-        "itemid", "charttime", F.col("value").alias("cvalue"), "valuenum", "valueuom"))
-
-
-def fio2_branch(chart: DataFrame, cohort: DataFrame) -> DataFrame:
-    rows = chart.where(F.col("itemid").isin(dic.FIO2_CODES) & units.plausible("valuenum", 0))
-    rows = restrict(rows, cohort, "hadm_id")
-    v = units.normalize_fio2("valuenum")
-    return to_long(rows.select(
-        "subject_id", "hadm_id", "icustay_id", F.lit("FiO2").alias("itemcat"), "itemid",
-        "charttime", units.value_text(v).alias("cvalue"), v.alias("valuenum"),
-        F.lit("%").alias("valueuom")))
-
-
-def temp_branch(chart: DataFrame, category: str = "Temperature") -> DataFrame:
-    """TEMP has no plausibility filter of its own (rows with a NULL result
-    are dropped later by the windowed ``valuenum >= 0``).  The category is
-    emitted under the dictionary's name so it reaches the pivot (Q5)."""
-    rows = chart.where(F.col("itemid").isin(dic.TEMP_CODES))
-    v = units.normalize_temp("valuenum")
-    return to_long(rows.select(
-        "subject_id", "hadm_id", "icustay_id", F.lit(category).alias("itemcat"), "itemid",
-        "charttime", units.value_text(v).alias("cvalue"), v.alias("valuenum"),
-        F.lit("C").alias("valueuom")))
+def chart_branches(chart: DataFrame, cohort: DataFrame,
+                   temp_category: str = "Temperature") -> DataFrame:
+    """The chart, FiO2 and temperature branches in one pass over the chart
+    log: the codes of all three reach the scan together, each row then
+    yields one long row per branch whose rule it meets.
+
+    Chart and FiO2 rows need their admission in the cohort (a left join to
+    its distinct admissions flags them); TEMP has no admission test and no
+    plausibility filter of its own (rows with a NULL result are dropped later
+    by the windowed ``valuenum >= 0``).  TEMP's category is emitted under the
+    dictionary's name so it reaches the pivot (Q5); pass "TEMP" for the
+    reference text's."""
+    item = F.col("itemid")
+    whitelist = dic.whitelist("chart")
+    rows = chart.where(item.isin(sorted({*whitelist, *dic.FIO2_CODES, *dic.TEMP_CODES})))
+    admitted = cohort.select(F.col("hadm_id").alias("__hadm")).distinct()
+    rows = rows.join(admitted, F.col("hadm_id") == F.col("__hadm"), "left")
+    in_cohort = F.col("__hadm").isNotNull()
+    fio2, temp = units.normalize_fio2("valuenum"), units.normalize_temp("valuenum")
+
+    def row(when, category, text, value, unit):
+        return F.when(when, F.struct(category.alias("itemcat"), text.alias("cvalue"),
+                                     value.cast("double").alias("valuenum"), unit.alias("valueuom")))
+    branches = F.array(
+        row(item.isin(whitelist) & units.plausible("valuenum", *dic.CHART_LAB_RANGE) & in_cohort,
+            dic.case_map(item, dic.CHART_CODES), F.col("value"), F.col("valuenum"), F.col("valueuom")),
+        row(item.isin(dic.FIO2_CODES) & units.plausible("valuenum", 0) & in_cohort,
+            F.lit("FiO2"), units.value_text(fio2), fio2, F.lit("%")),
+        row(item.isin(dic.TEMP_CODES), F.lit(temp_category), units.value_text(temp), temp, F.lit("C")))
+    out = rows.select("subject_id", "hadm_id", "icustay_id", "itemid", "charttime",
+                      F.explode(F.array_compact(branches)).alias("b"))
+    return to_long(out.select("subject_id", "hadm_id", "icustay_id", "b.itemcat", "itemid",
+                              "charttime", "b.cvalue", "b.valuenum", "b.valueuom"))
 
 
 def labs_with_stays(labs: DataFrame, stays: DataFrame,
@@ -112,10 +114,11 @@ def labs_with_stays(labs: DataFrame, stays: DataFrame,
                          salt=salt)
 
 
-def lab_branch(labs_stays: DataFrame, cohort: DataFrame) -> DataFrame:
+def lab_branch(labs_stays: DataFrame) -> DataFrame:
+    """Lab rows that carry a stay of the cohort's admissions (restrict the
+    stays before ``labs_with_stays``: the labs need no semi join of their own)."""
     rows = labs_stays.where(F.col("itemid").isin(dic.whitelist("lab"))
                             & units.plausible("valuenum", *dic.CHART_LAB_RANGE))
-    rows = restrict(rows, cohort, "hadm_id")
     return to_long(rows.select(
         "subject_id", "hadm_id", "icustay_id",
         dic.case_map(F.col("itemid"), dic.LAB_CODES).alias("itemcat"),
@@ -123,17 +126,25 @@ def lab_branch(labs_stays: DataFrame, cohort: DataFrame) -> DataFrame:
 
 
 def gcs_rows(chart: DataFrame) -> DataFrame:
-    """GCS view: direct totals (code 198) UNION ALL summed components (G1)."""
+    """GCS view: direct totals (code 198) UNION ALL summed components (G1),
+    from one pass over the chart log.  Both kinds are deduplicated (D4) and
+    grouped together: a total is a group of its own, components group by
+    stay and time (D2)."""
     keys = ["subject_id", "hadm_id", "icustay_id", "charttime"]
-    direct = (dedupe(chart.where(F.col("itemid") == dic.GCS_TOTAL_CODE),
-                     ["row_id", *keys, "value", "valuenum", "valueuom"])
-              .select(*keys, F.col("value").alias("cvalue"), "valuenum", "valueuom"))
-    comps = dedupe(chart.where(F.col("itemid").isin(dic.GCS_COMPONENT_CODES)),
-                   ["row_id", *keys, "valuenum"])
-    summed = component_total(comps, keys).select(
-        *keys, units.value_text("valuenum", 0).alias("cvalue"), "valuenum",
-        F.lit("points").alias("valueuom"))
-    return union_all([direct, summed]).withColumn("itemcat", F.lit("GCS"))
+    direct = F.col("itemid") == dic.GCS_TOTAL_CODE
+    rows = (chart.where(F.col("itemid").isin([dic.GCS_TOTAL_CODE, *dic.GCS_COMPONENT_CODES]))
+            .select(*keys, "row_id", direct.alias("direct"), "valuenum",
+                    F.when(direct, F.col("value")).alias("value"),
+                    F.when(direct, F.col("valueuom")).alias("valueuom")).distinct())
+    total = F.when(F.col("direct"), F.struct("row_id", "value", "valuenum", "valueuom"))
+    grouped = rows.groupBy(*keys, total.alias("total")).agg(F.sum("valuenum").alias("summed"))
+    is_total = F.col("total").isNotNull()
+    value = F.when(is_total, F.col("total.valuenum")).otherwise(F.col("summed"))
+    return grouped.select(
+        *keys, F.when(is_total, F.col("total.value")).otherwise(units.value_text("summed", 0)).alias("cvalue"),
+        value.alias("valuenum"),
+        F.when(is_total, F.col("total.valueuom")).otherwise(F.lit("points")).alias("valueuom"),
+        F.lit("GCS").alias("itemcat"))
 
 
 def gcs_branch(chart: DataFrame) -> DataFrame:

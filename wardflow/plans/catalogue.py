@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from wardflow.plans import oracle as O
 from wardflow.plans import features as fx
+from wardflow.plans import views
 from wardflow.session import ensure_conf
 from wardflow.sources import analogues as an
 from wardflow.sources import dictionary as dic
@@ -89,8 +90,9 @@ register("features_50_w1_aligned", _features_sql(1, "aligned"))(_features_query(
           + f"\nSELECT icustay_id, tw_hour_idx, {O.total_expr()}, " + O.r6(dic.FEATURE_COLUMNS)
           + ", " + ", ".join(f"m_{c}" for c in dic.FEATURE_COLUMNS) + " FROM sc")
 def features_50_w1_as_written(spark, sf_dir):
-    """U5 exactly as the reference text computes it: crosstab's positional
-    column binding (Q1) and the literal imputation slots (Q2, Q3)."""
+    """U5 on the event log with the reference text's positional column
+    binding (Q1, byte order) and literal imputation slots (Q2, Q3); the
+    clinical path in en_US order is ``clinical_features_w6_as_written``."""
     return rounded(fx.features(_windowed(spark, sf_dir), 1, spec=dic.as_written_spec(),
                                binding=dic.positional_binding()))
 
@@ -689,10 +691,42 @@ def scan_score(spark, sf_dir):
 # the clinical build over derived clinical tables (G2 + every branch, §3.2)
 # ---------------------------------------------------------------------------
 
-def _clinical(spark, sf_dir):
-    t = an.clinical_tables(spark, sf_dir)
-    return fx.long_features(t["patients"], t["icustays"], t["chartevents"], t["labevents"],
-                            t["outputevents"], t["inputevents_cv"], t["inputevents_mv"])
+def _clinical_tables(spark, sf_dir):
+    """The derived clinical tables, conformed to their declared schemas."""
+    from wardflow.sources.tables import conform_clinical
+    return conform_clinical(an.clinical_tables(spark, sf_dir), fill_missing=True)
+
+
+def _clinical(spark, sf_dir, **options):
+    return fx.long_features(**_clinical_tables(spark, sf_dir), **options)
+
+
+def _view_query(name):
+    def q(spark, sf_dir):
+        views.register_clinical_views(spark, _clinical_tables(spark, sf_dir))
+        return rounded(spark.table(name))
+    q.__doc__ = f"A4/B1: the view {name} with its full column list."
+    return q
+
+
+for _name, (_, _schema) in views.RESTRICTED.items():
+    register(f"view_{_name}", O.view_sql(_name, _schema))(_view_query(_name))
+register(f"view_{views.LAB_VIEW}", O.lab_view_sql())(_view_query(views.LAB_VIEW))
+
+
+@register("clinical_features_w6_as_written",
+          O.with_(O.clinical_long_ctes("TEMP"), O.clinical_win_cte(),
+                  O.pivot_ctes(6, binding=dic.positional_binding("en_US")),
+                  O.imputed_cte(dic.as_written_spec()), O.score_cte(6))
+          + f"\nSELECT icustay_id, tw_hour_idx, {O.total_expr()}, " + O.r6(dic.FEATURE_COLUMNS)
+          + ", " + ", ".join(f"m_{c}" for c in dic.FEATURE_COLUMNS) + " FROM sc")
+def clinical_features_w6_as_written(spark, sf_dir):
+    """Both entry points as the reference text has them on an en_US server:
+    TEMP as the temperature's category (Q5), the crosstab bound by position
+    in en_US order (Q1), the literal imputation slots (Q2, Q3)."""
+    cohort, lng = _clinical(spark, sf_dir, temp_category="TEMP")
+    return rounded(fx.features(fx.windowed_features(lng, cohort), 6, spec=dic.as_written_spec(),
+                               binding=dic.positional_binding("en_US")))
 
 
 @register("long_union", O.with_(O.clinical_long_ctes()) + """

@@ -47,7 +47,9 @@ def long_features(patients, icustays, chartevents, labevents, outputevents, inpu
                   materialize_cohort: bool = True) -> tuple[DataFrame, DataFrame]:
     """§3.2 steps 1-5 over the clinical schema: returns (cohort, long rows).
 
-    The cohort feeds six semi joins and the windowed join; like the
+    Every log is scanned once, the chart log twice (its narrow rows and the
+    GCS rows that go on to an aggregate, by disjoint code filters).
+    The cohort feeds the semi joins and the windowed join; like the
     reference's materialised cohort it is written once as a parquet table in
     ``spark.checkpoint.dir`` (its file size then guides join planning)
     instead of being recomputed per use."""
@@ -58,12 +60,10 @@ def long_features(patients, icustays, chartevents, labevents, outputevents, inpu
     chart = restrict(chartevents, cohort, "subject_id")
     cv = restrict(inputevents_cv, cohort, "subject_id")
     mv = restrict(inputevents_mv, cohort, "subject_id")
-    labs = hz.labs_with_stays(labevents, icustays)
+    labs = hz.labs_with_stays(labevents, restrict(icustays, cohort, "hadm_id"))
     branches = [
-        hz.chart_branch(chart, cohort),
-        hz.fio2_branch(chart, cohort),
-        hz.temp_branch(chart, temp_category),
-        hz.lab_branch(labs, cohort),
+        hz.chart_branches(chart, cohort, temp_category),
+        hz.lab_branch(labs),
         hz.gcs_branch(chart),
         hz.infusion_branch(cv, dic.CV_CODES, "charttime"),
         hz.infusion_branch(mv, dic.MV_CODES, "starttime"),
@@ -107,8 +107,8 @@ def features(windowed: DataFrame, window_hours: int, stay_id=None, spec=dic.DEFA
              defaults=None, day_index: str = "as_written", binding=None) -> DataFrame:
     """(stay, window, score, 24 values, 24 masks) for every stay.  The
     reference text exactly: ``spec=dictionary.as_written_spec(),
-    binding=dictionary.positional_binding()`` and a long table built with
-    ``temp_branch(category="TEMP")``."""
+    binding=dictionary.positional_binding("en_US")`` and a long table built
+    with ``long_features(..., temp_category="TEMP")``."""
     return assemble(pivot(windowed, window_hours, stay_id, day_index, binding=binding),
                     window_hours, spec, defaults)
 

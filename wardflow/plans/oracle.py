@@ -264,7 +264,7 @@ def _in(codes) -> str:
     return "(" + ", ".join(str(c) for c in codes) + ")"
 
 
-def clinical_long_ctes() -> str:
+def clinical_long_ctes(temp_category: str = "Temperature") -> str:
     """The seven derived clinical tables and the eight branches -> ``lng``."""
     pools = an.code_pools()
 
@@ -338,7 +338,7 @@ lng AS (
   FROM chart WHERE itemid IN {_in(dic.FIO2_CODES)} AND valuenum IS NOT NULL AND valuenum >= 0
     AND hadm_id IN (SELECT hadm_id FROM cohort)
   UNION ALL
-  SELECT subject_id, hadm_id, icustay_id, 'Temperature', itemid, charttime,
+  SELECT subject_id, hadm_id, icustay_id, '{temp_category}', itemid, charttime,
     {text_sql('CASE WHEN valuenum BETWEEN 20 AND 50 THEN valuenum WHEN valuenum BETWEEN 68 AND 122 THEN (valuenum - 32) * 5 / 9 END', 3)},
     CASE WHEN valuenum BETWEEN 20 AND 50 THEN valuenum
          WHEN valuenum BETWEEN 68 AND 122 THEN (valuenum - 32) * 5 / 9 END, 'C'
@@ -381,3 +381,65 @@ win AS (
   WHERE epoch_us(l.charttime) - epoch_us(c.intime) >= -{US_HOUR}
     AND epoch_us(c.outtime) - epoch_us(l.charttime) >= -{US_HOUR}
     AND l.valuenum >= 0)"""
+
+
+# what the derived logs hold, by column; the other declared columns are NULL
+_VIEW_VALUES = {
+    "adult_chartevents": {
+        "charttime": ("hours", "l_linenumber * 2"), "itemid": ("pick", "chart", "l_partkey"),
+        "value": "CAST(CASE WHEN l_linenumber <> 7 THEN l_quantity * 2 END AS VARCHAR)",
+        "valuenum": "CASE WHEN l_linenumber <> 7 THEN l_quantity * 2 END", "valueuom": "'u'",
+        "warning": "0", "error": "0"},
+    "adult_outputevents": {
+        "charttime": ("hours", "l_linenumber"), "itemid": ("pick", "urine", "l_partkey"),
+        "value": "l_extendedprice / 10", "valueuom": "'ml'", "iserror": "0"},
+    "adult_inputevents_cv": {
+        "charttime": ("hours", "l_linenumber * 3"), "itemid": ("pick", "cv", "l_partkey"),
+        "amount": "l_quantity", "amountuom": "'ml'", "rate": "l_discount * 100",
+        "rateuom": "'mcg/kg/min'", "orderid": "l_suppkey", "originalamount": "l_extendedprice"},
+    "adult_inputevents_mv": {
+        "starttime": ("hours", "l_linenumber * 3"), "endtime": ("hours", "l_linenumber * 3 + 1"),
+        "itemid": ("pick", "mv", "l_partkey"), "amount": "l_quantity", "amountuom": "'ml'",
+        "rate": "l_tax * 100", "rateuom": "'mcg/kg/min'", "orderid": "l_suppkey",
+        "ordercategoryname": "l_returnflag"},
+}
+_VIEW_ROWS = {"adult_inputevents_cv": " AND l_returnflag <> 'N'",
+              "adult_inputevents_mv": " AND l_returnflag = 'N'"}
+
+
+def view_sql(name: str, schema) -> str:
+    """A restricted view with its full column list, rounded doubles."""
+    pools = an.code_pools()
+    sql_type = {"int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "timestamp_ntz": "TIMESTAMP"}
+
+    def expr(e):
+        if isinstance(e, str):
+            return e
+        if e[0] == "hours":
+            return f"make_timestamp(epoch_us(o_orderdate) + CAST({e[1]} AS BIGINT) * 3600000000)"
+        pool = pools[e[1]]
+        picked = f"[{', '.join(map(str, pool))}][{e[2]} % {len(pool)} + 1]"
+        return f"CASE WHEN l_linenumber <= 2 THEN {picked} ELSE 40000 END" if e[1] == "urine" else picked
+    values = {"row_id": "l_orderkey * 8 + l_linenumber", "subject_id": "o_custkey",
+              "hadm_id": "l_orderkey", "icustay_id": "l_orderkey", **_VIEW_VALUES[name]}
+    cols = []
+    for f in schema.fields:
+        t = sql_type[f.dataType.simpleString()]
+        e = f"CAST({expr(values[f.name])} AS {t})" if f.name in values else f"CAST(NULL AS {t})"
+        cols.append(f"{R(e) if t == 'DOUBLE' and f.name in values else e} AS {f.name}")
+    return (with_(patients_stays_ctes()) + "\nSELECT " + ",\n  ".join(cols)
+            + "\nFROM lineitem JOIN orders ON l_orderkey = o_orderkey"
+            + "\nWHERE o_custkey IN (SELECT subject_id FROM cohort)" + _VIEW_ROWS.get(name, ""))
+
+
+def lab_view_sql() -> str:
+    """The lab view: labs with the stay whose span holds them."""
+    pool = an.code_pools()["lab"]
+    return with_(patients_stays_ctes()) + f"""
+SELECT o_custkey AS subject_id, l_orderkey AS hadm_id, s.icustay_id,
+  [{', '.join(map(str, pool))}][l_suppkey % {len(pool)} + 1] AS itemid, l_shipdate AS charttime, s.intime, s.outtime,
+  CAST(l_extendedprice / 100 AS VARCHAR) AS value, {R('l_extendedprice / 100')} AS valuenum, 'u' AS valueuom,
+  CAST(NULL AS VARCHAR) AS flag
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN s ON s.hadm_id = l_orderkey
+WHERE epoch_us(l_shipdate) - epoch_us(s.intime) >= -3600000000
+  AND epoch_us(s.outtime) - epoch_us(l_shipdate) >= -3600000000"""

@@ -237,11 +237,16 @@ def clinical_tables(spark: SparkSession, base: str) -> dict[str, DataFrame]:
     cv = lo.where(F.col("l_returnflag") != "N").select(
         row_id.alias("row_id"), subj, hadm, stay, inf_time.alias("charttime"),
         _pick(pools["cv"], F.col("l_partkey")).alias("itemid"),
-        (F.col("l_discount") * 100).alias("rate"), F.lit("mcg/kg/min").alias("rateuom"))
+        F.col("l_quantity").alias("amount"), F.lit("ml").alias("amountuom"),
+        (F.col("l_discount") * 100).alias("rate"), F.lit("mcg/kg/min").alias("rateuom"),
+        F.col("l_suppkey").alias("orderid"), F.col("l_extendedprice").alias("originalamount"))
     mv = lo.where(F.col("l_returnflag") == "N").select(
         row_id.alias("row_id"), subj, hadm, stay, inf_time.alias("starttime"),
+        _hours_after(F.col("o_orderdate"), line * 3 + 1).alias("endtime"),
         _pick(pools["mv"], F.col("l_partkey")).alias("itemid"),
-        (F.col("l_tax") * 100).alias("rate"), F.lit("mcg/kg/min").alias("rateuom"))
+        F.col("l_quantity").alias("amount"), F.lit("ml").alias("amountuom"),
+        (F.col("l_tax") * 100).alias("rate"), F.lit("mcg/kg/min").alias("rateuom"),
+        F.col("l_suppkey").alias("orderid"), F.col("l_returnflag").alias("ordercategoryname"))
     return {"patients": patients(customer), "icustays": stays(orders), "chartevents": chart,
             "labevents": labs, "outputevents": output, "inputevents_cv": cv,
             "inputevents_mv": mv}

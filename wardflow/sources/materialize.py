@@ -18,39 +18,65 @@ from pyspark.sql import DataFrame
 from wardflow.session import checkpoint_dir
 
 
+BUCKET_BYTES = 256 * 1024 * 1024
+#: Versions of a table that stay: the current one and the one readers may still hold.
+KEPT_VERSIONS = 2
+
+
 def table_path(spark, name: str) -> str:
     return os.path.join(checkpoint_dir(spark), "tables", name)
 
 
+def bucket_count(df: DataFrame) -> int:
+    """Buckets of about ``BUCKET_BYTES`` by Spark's estimate of the plan's
+    size, at least one per default parallel task."""
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return min(max(df.sparkSession.sparkContext.defaultParallelism, -(-size // BUCKET_BYTES)), 100_000)
+
+
+def _drop_old_versions(spark, name: str) -> None:
+    jvm = spark._jvm
+    base = jvm.org.apache.hadoop.fs.Path(table_path(spark, name))
+    fs = base.getFileSystem(spark._jsc.hadoopConfiguration())
+    versions = sorted(fs.listStatus(base), key=lambda f: -f.getModificationTime())
+    for old in versions[KEPT_VERSIONS:]:
+        spark.sql(f"DROP TABLE IF EXISTS `{name}_{old.getPath().getName()}`")
+        fs.delete(old.getPath(), True)
+
+
 def materialize(df: DataFrame, name: str, bucket_by: str | None = None, buckets: int = 0,
                 partition_by: list[str] | None = None) -> DataFrame:
     """Write ``df`` and return a DataFrame over the written table.
 
-    ``bucket_by`` (with ``buckets``) hash-buckets and sorts the files by that
-    key and registers the table in the session catalog, so later
-    aggregations, joins and windows keyed by it need no shuffle.  Bucketing
-    by stay puts all rows of a stay in one bucket, so use it when a stay's
-    row count is bounded; the unbucketed table keeps the partial-aggregate
-    plan that spreads a hot stay over many tasks.
+    Each write is a version of its own; the one before it stays for readers
+    that still hold it, older ones are removed.
+
+    ``bucket_by`` (with ``buckets``, by default from the data's size)
+    hash-buckets and sorts the files by that key and registers the version in
+    the session catalog, so later aggregations, joins and windows keyed by it
+    need no shuffle.  All rows of a key share one bucket: use it when a
+    key's row count is bounded; the unbucketed table keeps the
+    partial-aggregate plan that spreads a hot key over many tasks.
     """
     spark = df.sparkSession
-    # each write goes to a fresh directory; the name points at the latest
-    path = os.path.join(table_path(spark, name), uuid.uuid4().hex)
-    w = df.write.mode("overwrite").format("parquet").option("path", path)
+    version = uuid.uuid4().hex
+    path = os.path.join(table_path(spark, name), version)
+    n = buckets or (bucket_count(df) if bucket_by else 0)
+    # one shuffle by the bucket key first, so each bucket is written by one
+    # task as one file (otherwise every task writes a file per bucket)
+    w = (df.repartition(n, bucket_by) if bucket_by else df).write.mode("overwrite").format("parquet")
+    w = w.option("path", path)
     if partition_by:
         w = w.partitionBy(*partition_by)
     if bucket_by:
-        n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-        # one shuffle by the bucket key first, so each bucket is written by one
-        # task as one file (otherwise every task writes a file per bucket)
-        w = (df.repartition(n, bucket_by).write.mode("overwrite").format("parquet")
-             .option("path", path))
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.bucketBy(n, bucket_by).sortBy(bucket_by).saveAsTable(name)
-        return spark.table(name)
-    w.save()
-    return spark.read.parquet(path)
+        table = f"{name}_{version}"
+        w.bucketBy(n, bucket_by).sortBy(bucket_by).saveAsTable(table)
+        out = spark.table(table)
+    else:
+        w.save()
+        out = spark.read.parquet(path)
+    _drop_old_versions(spark, name)
+    return out
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

@@ -43,13 +43,17 @@ def conform(df: DataFrame, schema, fill_missing: bool = False) -> DataFrame:
 def load_clinical(spark: SparkSession, base: str, fill_missing: bool = False) -> dict:
     """A1: the seven clinical base tables, each conformed to its declared
     schema (``wardflow.schemas``); keys match ``plans.features.long_features``."""
+    return conform_clinical({n: load(spark, base, n) for n in CLINICAL_TABLES}, fill_missing)
+
+
+def conform_clinical(tables: dict, fill_missing: bool = False) -> dict:
+    """The seven clinical tables conformed to their declared schemas."""
     from wardflow import schemas
     declared = {"patients": schemas.PATIENTS, "icustays": schemas.ICUSTAYS,
                 "chartevents": schemas.CHARTEVENTS, "labevents": schemas.LABEVENTS,
                 "outputevents": schemas.OUTPUTEVENTS, "inputevents_cv": schemas.INPUTEVENTS_CV,
                 "inputevents_mv": schemas.INPUTEVENTS_MV}
-    return {n: conform(load(spark, base, n), declared[n], fill_missing)
-            for n in CLINICAL_TABLES}
+    return {n: conform(tables[n], declared[n], fill_missing) for n in CLINICAL_TABLES}
 
 
 def register_views(spark: SparkSession, base: str, names=DRIVER_TABLES) -> None:

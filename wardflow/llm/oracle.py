@@ -57,13 +57,15 @@ m AS (
     length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
     (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines, coalesce(n, 0)::BIGINT AS n_repeat_words,
     len(ls)::BIGINT AS n_lines, length(regexp_replace(text, '[^A-Z]', '', 'g'))::BIGINT AS n_upper,
-    length(regexp_replace(text, '[^!]', '', 'g'))::BIGINT AS n_exclaim
+    length(regexp_replace(text, '[^!]', '', 'g'))::BIGINT AS n_exclaim,
+    len(list_filter(list_zip(ws, ws[2:]), lambda z: z[1] = z[2]))::BIGINT AS n_echoes
   FROM d LEFT JOIN q USING (doc_id)),
 b AS (
   SELECT *, (n_words < 20)::BIGINT + 2 * (100 * n_repeat_words > 30 * n_words)::BIGINT
     + 4 * (10 * n_symbols > n_words)::BIGINT + 8 * (10 * n_upper > 3 * word_chars)::BIGINT
-    + 16 * (10 * n_exclaim > n_words)::BIGINT + 32 * (10 * n_dup_lines > 3 * n_lines)::BIGINT
-    + 64 * (word_chars < 2 * n_words OR word_chars > 12 * n_words)::BIGINT AS fail_bits
+    + 16 * (10 * n_exclaim > n_words)::BIGINT + 32 * (2 * n_dup_lines > n_lines)::BIGINT
+    + 64 * (word_chars < 2 * n_words OR word_chars > 12 * n_words)::BIGINT
+    + 128 * (5 * n_echoes > n_words)::BIGINT AS fail_bits
   FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, fail_bits & 3 <> 0 AS base_failed,
   fail_bits = 0 AS kept, fail_bits, CASE WHEN bit_count(fail_bits) = 1 THEN fail_bits ELSE 0 END::BIGINT AS sole_failure

@@ -35,8 +35,9 @@ def rules() -> list[Rule]:
         Rule("symbols", 10 * c("n_symbols") > c("n_words")),
         Rule("upper_case", 10 * c("n_upper") > 3 * c("word_chars")),
         Rule("exclamations", 10 * c("n_exclaim") > c("n_words")),
-        Rule("repeated_lines", 10 * c("n_dup_lines") > 3 * c("n_lines")),
+        Rule("repeated_lines", 2 * c("n_dup_lines") > c("n_lines")),
         Rule("word_length", (c("word_chars") < 2 * c("n_words")) | (c("word_chars") > 12 * c("n_words"))),
+        Rule("echoed_words", 5 * c("n_echoes") > c("n_words")),
     ]
 
 
@@ -44,10 +45,10 @@ def rules() -> list[Rule]:
 POLICIES = {
     "base-1": ("few_words", "repeated_words"),
     "prose-2": ("few_words", "repeated_words", "symbols", "upper_case", "exclamations", "repeated_lines",
-                "word_length"),
+                "word_length", "echoed_words"),
 }
 
-MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_exclaim")
+MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_exclaim", "n_echoes")
 
 
 def mask(names) -> int:
@@ -101,6 +102,8 @@ def measured(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
         "n_lines": F.size("__lines"),
         "n_upper": _kept_chars(F.col("__text"), "A-Z"),
         "n_exclaim": _kept_chars(F.col("__text"), "!"),
+        # words equal to the word before
+        "n_echoes": F.size(F.filter("__words", lambda x, i: F.coalesce(F.get("__words", i - 1) == x, F.lit(False)))),
     }
     return df.select("__id", *[m.cast("long").alias(n) for n, m in measures.items()])
 

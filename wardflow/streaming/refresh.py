@@ -1,13 +1,12 @@
-"""Incremental refresh of the windowed event table with Structured Streaming.
-
-The reference rebuilds its materialised windowed table by hand.  Here new
-event files are picked up as they land: each micro-batch is harmonised,
-joined to the (static) stays by the tolerance interval join (a stream-static
-inner join: no streaming state), given its window columns and appended to
-the parquet table.  The query's checkpoint and the table live under the
-shared ``spark.checkpoint.dir``, so a restarted or failed job resumes
-exactly where it stopped.  Pivot / LOCF / scores then run in batch over the
-table (they need all windows of a stay).
+"""Incremental refresh of the long event table with Structured Streaming.
+
+The reference rebuilds its materialised tables by hand.  Here new event
+files are picked up as they land: each micro-batch is harmonised (stateless)
+and appended to the parquet long table.  The query's checkpoint and the table
+live under the shared ``spark.checkpoint.dir``, so a restarted or failed job
+resumes exactly where it stopped.  Stay times are attached when the table is
+read, against the stays known then: an event that lands before its stay is
+not lost, and a stay whose span moves leaves no stale windows behind.
 """
 
 from __future__ import annotations
@@ -22,12 +21,6 @@ from wardflow.sources import analogues as an
 from wardflow.sources import dictionary as dic
 
 
-def windowed_stream(long_rows: DataFrame, stays: DataFrame,
-                    tolerance_seconds: float = dic.STAY_TOLERANCE_SECONDS) -> DataFrame:
-    """Streaming long rows -> streaming windowed rows (stateless)."""
-    return windowed_features(long_rows, stays, tolerance_seconds)
-
-
 def events_stream(spark: SparkSession, events_path: str, schema) -> DataFrame:
     """A file stream of the event log (new parquet files are new events)."""
     return spark.readStream.schema(schema).parquet(events_path)
@@ -54,11 +47,13 @@ def table(spark: SparkSession, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(checkpoint_dir(spark), "streams", name, "table"))
 
 
-def refresh_events_windowed(spark: SparkSession, events_path: str, stays: DataFrame,
-                            name: str = "events_windowed"):
-    """The events analogue: stream ``events`` into the windowed table using
-    the given (static) per-user stays."""
+def refresh_events(spark: SparkSession, events_path: str, name: str = "events_long"):
+    """The events analogue: stream ``events`` into the long table."""
     schema = spark.read.parquet(events_path).schema
-    ev = events_stream(spark, events_path, schema)
-    long_rows = an.events_long(spark, ev)
-    return start_refresh(windowed_stream(long_rows, stays), name)
+    return start_refresh(an.events_long(spark, events_stream(spark, events_path, schema)), name)
+
+
+def windowed_table(spark: SparkSession, name: str, stays: DataFrame,
+                   tolerance_seconds: float = dic.STAY_TOLERANCE_SECONDS) -> DataFrame:
+    """The windowed rows of everything that has landed, with today's stays."""
+    return windowed_features(table(spark, name), stays, tolerance_seconds)

@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import numpy as np
@@ -29,6 +30,18 @@ def test_chunks_give_the_tokenizers_ids(tok, chunked, text):
         assert np.frombuffer(chunked.ids(text), "<u4").tolist() == want
 
 
+def test_merges_give_the_tokenizers_ids(tok, chunked):
+    """Random chunks of letters, vocabulary entries and any Latin character."""
+    rnd = random.Random(0)
+    parts = [t.replace("</w>", "") for t in tok.get_vocab()]
+    chars = [chr(c) for c in range(33, 0x250) if not chr(c).isspace()]
+    letters = "etaoinshrdlucmfwypvbgkjqxzéèàüößñáíó'.,"
+    chunks = ["".join(rnd.choice(pool) for _ in range(rnd.randint(1, n)))
+              for pool, n in ((parts, 4), (chars, 8), (letters, 25)) for _ in range(15_000)]
+    want = [e.ids for e in tok.encode_batch_fast(chunks, add_special_tokens=False)]
+    assert [np.frombuffer(chunked.ids(c), "<u4").tolist() for c in chunks] == want
+
+
 def check(rows, texts, tok, capacity):
     """Pieces give back every document's ids; sequences are gapless and fit."""
     pieces, seqs = {}, {}

@@ -183,7 +183,7 @@ def pieces(df: DataFrame, id_cols: list[Column], text: Column, json_text: str, c
     n_ids = len(id_cols)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok = token_ids.ChunkTokenizer(tok_json.value)
+        tok = token_ids.worker_tokenizer(tok_json.value)
         key = TaskContext.get().partitionId() << 40
         step = 4 * capacity
         for batch in batches:

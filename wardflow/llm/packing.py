@@ -34,7 +34,7 @@ from wardflow.llm.common import cut, ship_by_value
 
 END_ID = 0
 CAPACITY = 2048
-SHARD_PIECES = 4000
+SHARD_PIECES = 10_000
 ISLANDS = 2
 EPOCHS = 2
 GENERATIONS = 6

@@ -230,6 +230,8 @@ def training_sample(df: DataFrame, docs_per_lang: int, blocks_per_doc: int) -> l
     share = F.least(F.lit(1.0), F.lit(2.0 * docs_per_lang) / F.col("n"))
     near = known.join(cut(counts), "lang").where(
         F.pmod(rank, F.lit(1 << 20)) < F.ceil(share * (1 << 20)))
+    # rows that repeat an id are one document, combined before they are shuffled
+    near = near.groupBy("lang", "id").agg(F.min("text").alias("text"))
     order = Window.partitionBy("lang").orderBy(rank, "id")
     kept = near.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= docs_per_lang)
 

@@ -63,11 +63,20 @@ STAGES = [("language ID", language_id), ("line dedup", without_repeated_lines),
 ORACLE_SQL = None
 
 
+def _remove(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the ``documents`` table of ``sf_dir``."""
+    """All stages over the ``documents`` table of ``sf_dir``.  A stage's
+    output is removed once the next one's is written; the last input stays
+    for the result, which is lazy."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     base = f"{checkpoint_dir(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex}"
     for i, (_, stage) in enumerate(STAGES[:-1]):
         stage(spark, docs, sf_dir).write.parquet(f"{base}/{i}")
         docs = spark.read.parquet(f"{base}/{i}")
+        if i:
+            _remove(spark, f"{base}/{i - 1}")
     return STAGES[-1][1](spark, docs, sf_dir)

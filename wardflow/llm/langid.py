@@ -158,7 +158,7 @@ def gradients(m: Model, x: np.ndarray, real: np.ndarray, y: np.ndarray) -> tuple
     return loss, [*g_ahead, *g_back, flat.T @ d_flat, d_flat.sum(0)]
 
 
-def train(blocks: np.ndarray, real: np.ndarray, labels: np.ndarray, langs: list[str], steps: int = 400,
+def train(blocks: np.ndarray, real: np.ndarray, labels: np.ndarray, langs: list[str], steps: int = 250,
           batch: int = 256, rate: float = 0.02, hidden: int = HIDDEN, seed: int = 7) -> Model:
     """A model from byte blocks (N, BLOCK), their padding masks and label
     numbers, by Adam with a falling rate; languages are drawn evenly."""

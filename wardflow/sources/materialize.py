@@ -30,7 +30,7 @@ def table_path(spark, name: str) -> str:
 def bucket_count(df: DataFrame) -> int:
     """Buckets of about ``BUCKET_BYTES`` by Spark's estimate of the plan's
     size, at least one per default parallel task."""
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     return min(max(df.sparkSession.sparkContext.defaultParallelism, -(-size // BUCKET_BYTES)), 100_000)
 
 

@@ -33,6 +33,24 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: A table measured to be no larger than this may be broadcast.
+BROADCAST_BYTES = 8 << 20
+
+
+def measured_bytes(df: DataFrame) -> int:
+    """Size of a (checkpointed) table, by its rows and characters."""
+    chars = [F.coalesce(F.sum(F.length(c)), F.lit(0)) for c, t in df.dtypes if t == "string"]
+    n, *lengths = df.agg(F.count("*"), *chars).first()
+    return n * (32 + 16 * len(df.columns)) + 4 * sum(lengths)
+
+
+def join_small(big: DataFrame, small: DataFrame, on: str) -> DataFrame:
+    """Equi join of large rows to a table that is nearly always small: it is
+    broadcast if it is measured to be, so that the large side is not
+    shuffled by a hot key; otherwise an ordinary join whose skew Spark splits."""
+    return big.join(F.broadcast(small) if measured_bytes(small) <= BROADCAST_BYTES else small, on)
+
+
 def words(text: Column) -> Column:
     """The words of a text as an array (null text: no words)."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACE_CLASS + "+"), "")

@@ -12,9 +12,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wardflow.llm import common
 from wardflow.llm.common import cut, words
 
 DRAW_BITS = 52
+#: If the per-source table is too large to broadcast, a source's rows are spread over so many join keys.
+SALTS = 64
 
 
 def n_words(text: Column) -> Column:
@@ -61,6 +64,16 @@ def draw(id_col: Column, text: Column, seed: str) -> Column:
     return F.conv(digits, 16, 10).cast("long").cast("double") / F.lit(float(1 << DRAW_BITS))
 
 
+def _with_targets(df: DataFrame, targets: DataFrame, source: Column) -> DataFrame:
+    """Join rows to their source's target without gathering a hot source."""
+    same = source.eqNullSafe(F.col("__source"))
+    if common.measured_bytes(targets) <= common.BROADCAST_BYTES:
+        return df.join(F.broadcast(targets), same)
+    salted = targets.withColumn("__salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    dealt = df.withColumn("__deal", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)))
+    return dealt.join(salted, same & (F.col("__deal") == F.col("__salt"))).drop("__deal", "__salt")
+
+
 def with_copies(df: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5, max_rate: float = 2.0,
                 seed: str = "mix", id_col: str = "doc_id", text_col: str = "text",
                 source_col: str = "source") -> DataFrame:
@@ -72,14 +85,13 @@ def with_copies(df: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: floa
     Whole texts of any length are read; other columns are carried along
     whatever their names.  An empty table gives an empty result.
     """
-    sized = df.withColumn("__size", n_words(F.col(text_col)))
+    sized = df.withColumns({"__size": n_words(F.col(text_col)), "__draw": draw(F.col(id_col), F.col(text_col), seed)})
     sizes = sized.groupBy(F.col(source_col).cast("string").alias("source")).agg(F.sum("__size").alias("source_size"))
     t = source_targets(sizes, weights, share, max_rate).select(
         F.col("source").alias("__source"), F.col("source_size").alias("__source_size"), F.col("target").alias("__target"))
     rate = F.when(F.col("__source_size") > 0, F.col("__target") / F.col("__source_size")).otherwise(F.lit(0.0))
-    more = draw(F.col(id_col), F.col(text_col), seed) < rate - F.floor(rate)
-    # one row per source: broadcast if Spark finds it small, else a join whose hot source is split
-    return (sized.join(t, F.col(source_col).cast("string").eqNullSafe(F.col("__source")))
+    more = F.col("__draw") < rate - F.floor(rate)
+    return (_with_targets(sized, t, F.col(source_col).cast("string"))
             .withColumn("__copies", F.floor(rate) + more.cast("long")))
 
 

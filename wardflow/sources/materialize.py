@@ -28,10 +28,16 @@ def table_path(spark, name: str) -> str:
 
 
 def bucket_count(df: DataFrame) -> int:
-    """Buckets of about ``BUCKET_BYTES`` by Spark's estimate of the plan's
-    size, at least one per default parallel task."""
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return min(max(df.sparkSession.sparkContext.defaultParallelism, -(-size // BUCKET_BYTES)), 100_000)
+    """Buckets of about ``BUCKET_BYTES`` of the files that ``df`` reads (a
+    measured size: the optimizer's estimate multiplies the sides of joins),
+    at least one per default parallel task."""
+    spark = df.sparkSession
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    size = 0
+    for folder in {os.path.dirname(f) for f in df.inputFiles()}:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        size += path.getFileSystem(conf).getContentSummary(path).getLength()
+    return max(spark.sparkContext.defaultParallelism, -(-size // BUCKET_BYTES))
 
 
 def _drop_old_versions(spark, name: str) -> None:

@@ -55,10 +55,14 @@ def test_chart_codes_and_whitelist(spark):
     t = "2116-01-01 12:00:00"
     chart = _chart(spark, [(100, 10, 52, t, 80.0), (100, 10, 828, t, 100.0),
                            (100, 10, 220045, t, 3000.0), (100, 10, 220045, t, 3000.5),
-                           (999, 10, 52, t, 80.0)])
+                           (999, 10, 52, t, 80.0),
+                           (100, 10, dic.FIO2_CODES[0], t, 0.5), (999, 10, dic.FIO2_CODES[0], t, 0.5),
+                           (999, 10, dic.TEMP_CODES[0], t, 37.0)])
     got = sorted((r.itemcat, r.itemid, r.valuenum)
-                 for r in hz.chart_branch(chart, cohort).collect())
-    assert got == [("ABP_mean", 52, 80.0), ("HR", 220045, 3000.0)]
+                 for r in hz.chart_branches(chart, cohort).collect())
+    # only TEMP needs no admission of the cohort
+    assert got == [("ABP_mean", 52, 80.0), ("FiO2", dic.FIO2_CODES[0], 50.0), ("HR", 220045, 3000.0),
+                   ("Temperature", dic.TEMP_CODES[0], 37.0)]
 
 
 def test_lab_branch_interval_and_whitelist(spark):
@@ -69,9 +73,8 @@ def test_lab_branch_interval_and_whitelist(spark):
         (1, 100, 51301, ts("2116-01-01 12:00:00"), "9", 9.0, "K", None),
         (1, 100, 50912, ts("2116-01-01 21:00:00"), "1.3", 1.3, "mg/dl", None),
         (1, 100, 50912, ts("2116-01-01 21:00:01"), "1.4", 1.4, "mg/dl", None)], schemas.LABEVENTS)
-    ls = hz.labs_with_stays(labs, _stays(spark))
-    got = sorted((r.icustay_id, r.itemcat, r.valuenum)
-                 for r in hz.lab_branch(ls, cohort).collect())
+    ls = hz.labs_with_stays(labs, restrict(_stays(spark), cohort, "hadm_id"))
+    got = sorted((r.icustay_id, r.itemcat, r.valuenum) for r in hz.lab_branch(ls).collect())
     assert got == [(10, "CREATININE", 1.1), (10, "CREATININE", 1.3)]
 
 

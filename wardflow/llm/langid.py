@@ -14,17 +14,17 @@ blocks of each.  Prediction runs in the tasks that read the texts.
 
 from __future__ import annotations
 
-import re
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from wardflow.llm.common import cut, ship_by_value
+from wardflow.llm.common import cut, join_small, ship_by_value
 
 BLOCK = 64
 HIDDEN = 8
@@ -34,7 +34,7 @@ UNDETERMINED = "und"
 #: Bytes a task labels at once, and blocks in one pass of the network.
 BYTES_AT_ONCE = 1 << 22
 BLOCKS_AT_ONCE = 4096
-LETTER = re.compile(r"[^\W\d_]")
+LETTER = regex.compile(r"\p{L}")
 
 
 # ---------------------------------------------------------------------------
@@ -224,16 +224,18 @@ def training_sample(df: DataFrame, docs_per_lang: int, blocks_per_doc: int) -> l
     most ``docs_per_lang`` documents with letters a language, spread blocks of each."""
     ship_by_value(__name__)
     rank = F.xxhash64(F.col("id").cast("string"))
-    known = df.where("lang is not null and text is not null")
-    counts = known.groupBy("lang").agg(F.count("*").alias("n"))
-    # a first cut by hash leaves about twice the sample, so that the ranking is over bounded rows
+    known = df.where("lang is not null")
+    counts = cut(known.groupBy("lang").agg(F.count("*").alias("n")))
+    # a first cut by hash leaves about twice the sample, so that the ranking is over bounded rows;
+    # ids only, and rows that repeat an id are one document
     share = F.least(F.lit(1.0), F.lit(2.0 * docs_per_lang) / F.col("n"))
-    near = known.join(cut(counts), "lang").where(
-        F.pmod(rank, F.lit(1 << 20)) < F.ceil(share * (1 << 20)))
-    # rows that repeat an id are one document, combined before they are shuffled
-    near = near.groupBy("lang", "id").agg(F.min("text").alias("text"))
+    near = join_small(known.select("lang", "id"), counts, "lang").where(
+        F.pmod(rank, F.lit(1 << 20)) < F.ceil(share * (1 << 20))).select("lang", "id").distinct()
     order = Window.partitionBy("lang").orderBy(rank, "id")
-    kept = near.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= docs_per_lang)
+    chosen = cut(near.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= docs_per_lang)
+                 .select("lang", "id").withColumnRenamed("lang", "chosen_lang"))
+    kept = (join_small(known, chosen, "id").where("lang = chosen_lang and text is not null")
+            .groupBy("lang", "id").agg(F.min("text").alias("text")))
 
     def run(batches):
         for b in batches:

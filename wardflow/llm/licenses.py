@@ -1,18 +1,20 @@
 """License scans by conditional compression.
 
-Lines with a license word form candidate blocks.  A block is compressed
-alone and with each template as a zstandard raw dictionary; the templates
-are ranked by how much smaller the block becomes, and the ranking is
-confirmed from the top by the exact wording: a template wins if the words
-in which the block's passage differs from it are few enough, and none of
-them names a version or a license.
+The words around each license word, as far as a notice can reach, form
+candidate blocks.  A block is compressed alone and with each template as a
+zstandard raw dictionary, with the same parameters; the templates are ranked
+by how much smaller the block becomes, and the first whose wording is
+confirmed wins, whatever it saves: the words in which the block's passage
+differs from it are few enough, and none of them names a version or a license.
 """
 
 from __future__ import annotations
 
 import re
-from difflib import SequenceMatcher
+from collections import defaultdict
+from itertools import islice
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -45,6 +47,8 @@ TRIGGER = r"(?i)licen[sc]|copyright|all rights reserved|permission is|warrant(?:
 LEVEL = 19
 #: Of a template's words, this share may differ (short notices: none).
 MAX_DIFFERENT = 0.05
+#: Characters compressed at once.
+PIECE = 2048
 WORD = re.compile(r"\w+(?:[-.]\w+)*")
 
 
@@ -52,16 +56,29 @@ def wording(text: str) -> list[str]:
     return WORD.findall(text.lower())
 
 
-def difference(block: list[str], template: list[str]) -> tuple[list[str], list[str]]:
-    """(missing, extra): the template's words the block lacks, and the words
-    the block has between the first and last word they share."""
-    same = [m for m in SequenceMatcher(None, block, template, autojunk=False).get_matching_blocks() if m.size]
-    if not same:
-        return template, []
-    kept = {k for m in same for k in range(m.b, m.b + m.size)}
-    used = {k for m in same for k in range(m.a, m.a + m.size)}
-    return ([w for k, w in enumerate(template) if k not in kept],
-            [block[k] for k in range(same[0].a, same[-1].a + same[-1].size) if k not in used])
+def align(block: list[str], template: list[str]) -> tuple[int, int, list[str], list[str]]:
+    """(first, end, missing, extra): the run of the block's words closest to
+    the template, the template's words it lacks, and the words it has more."""
+    at = np.arange(len(block) + 1)
+    number = {w: k for k, w in enumerate(template)}
+    own = np.array([number.get(w, -1) for w in block], np.int32)
+    # costs[j][i]: j words of the template against some words of the block that end at i
+    costs = np.zeros((len(template) + 1, len(at)), np.int32)
+    for j, w in enumerate(template, 1):
+        row = costs[j - 1] + 1
+        np.minimum(row[1:], costs[j - 1][:-1], out=row[1:], where=own == number[w])
+        costs[j] = np.minimum.accumulate(row - at) + at
+    i, j, first, end, missing, extra = int(costs[-1].argmin()), len(template), 0, None, [], []
+    while j:
+        if i and block[i - 1] == template[j - 1]:
+            i, j, first, end = i - 1, j - 1, i - 1, end or i
+        elif not i or costs[j - 1][i] <= costs[j][i - 1]:
+            j -= 1
+            missing.append(template[j])
+        else:
+            i -= 1
+            extra.append(block[i])
+    return first, end or 0, missing[::-1], extra[::-1]
 
 
 def naming_words(templates: dict[str, str]) -> set[str]:
@@ -74,14 +91,41 @@ def naming_words(templates: dict[str, str]) -> set[str]:
 class Scanner:
     def __init__(self, templates: dict[str, str]):
         import zstandard
-        self.alone = zstandard.ZstdCompressor(level=LEVEL, write_content_size=False)
-        self.given = {k: zstandard.ZstdCompressor(level=LEVEL, write_content_size=False, dict_data=zstandard.ZstdCompressionDict(
+        # one set of parameters with and without a dictionary: only the dictionary makes a difference
+        longest = 4 * PIECE + max(len(t.encode()) for t in templates.values())
+        level = zstandard.ZstdCompressionParameters.from_level(LEVEL, source_size=longest)
+        params = zstandard.ZstdCompressionParameters(
+            window_log=longest.bit_length(), write_content_size=False,
+            **{k: getattr(level, k) for k in ("chain_log", "hash_log", "search_log", "min_match", "target_length", "strategy")})
+        self.alone = zstandard.ZstdCompressor(compression_params=params)
+        self.given = {k: zstandard.ZstdCompressor(compression_params=params, dict_data=zstandard.ZstdCompressionDict(
             t.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)) for k, t in templates.items()}
         self.words = {k: wording(t) for k, t in templates.items()}
+        self.tail = {k: re.search(r"\W*$", t)[0] for k, t in templates.items()}
+        self.may_differ = {k: int(MAX_DIFFERENT * len(w)) for k, w in self.words.items()}
+        #: Words a notice can reach to either side of a trigger in it (which may cut a word).
+        self.reach = 1 + max(len(w) + self.may_differ[k] for k, w in self.words.items())
         self.naming = naming_words(templates)
         self.trigger = re.compile(TRIGGER)
 
-    def blocks(self, text: str) -> list[tuple[int, int]]:
+    def before(self, text: str, at: int, floor: int) -> int:
+        """Start of the ``reach``-th word before ``at``, or ``floor``."""
+        size = 16 * self.reach
+        while True:
+            lo = max(at - size, floor)
+            starts = [m.start() for m in WORD.finditer(text, lo, at)]
+            if len(starts) > self.reach:      # the first may be half a word
+                return starts[-self.reach]
+            if lo == floor:
+                return floor
+            size *= 2
+
+    def after(self, text: str, at: int, ceiling: int) -> int:
+        """Start of the word behind the next ``reach`` words, or ``ceiling``."""
+        words = list(islice(WORD.finditer(text, at, ceiling), self.reach + 1))
+        return words[-1].start() if len(words) > self.reach else ceiling
+
+    def lines(self, text: str) -> list[tuple[int, int]]:
         """[start, end) of runs of consecutive lines with a license word."""
         out, at = [], 0
         for line in text.split("\n"):
@@ -94,22 +138,71 @@ class Scanner:
             at = end + 1
         return out
 
+    def passages(self, text: str) -> list[tuple[int, int]]:
+        """[start, end) of the words that a notice can reach from each license
+        word in its lines; those that meet are one."""
+        out = []
+        for start, end in self.lines(text):
+            own = []
+            for m in self.trigger.finditer(text, start, end):
+                if own and own[-1][1] < m.start():
+                    own[-1][1] = self.after(text, own[-1][2], end)
+                if own and self.before(text, m.start(), own[-1][1]) == own[-1][1] or own and own[-1][1] >= m.start():
+                    own[-1][2] = m.end()
+                else:
+                    own.append([self.before(text, m.start(), own[-1][1] if own else start), m.end(), m.end()])
+            own[-1][1] = self.after(text, own[-1][2], end)
+            out += [(lo, hi) for lo, hi, _ in own]
+        return out
+
+    def matches(self, own: list[str]) -> list[tuple[int, int, str, list[str], list[str]]]:
+        """Every (first, end, template, missing, extra) whose wording is
+        confirmed in some words.  A passage with k differences holds one of
+        k + 1 pieces of the template word for word."""
+        at, found = defaultdict(list), {}
+        for i, w in enumerate(own):
+            at[w].append(i)
+        for name, words in self.words.items():
+            k = self.may_differ[name]
+            cuts = [len(words) * p // (k + 1) for p in range(k + 2)]
+            regions = set()
+            for lo, hi in zip(cuts, cuts[1:]):
+                rare = min(range(lo, hi), key=lambda j: len(at.get(words[j], ())))
+                regions |= {i - rare for i in at.get(words[rare], ())
+                            if i - rare + lo >= 0 and own[i - rare + lo:i - rare + hi] == words[lo:hi]}
+            for start in regions:
+                lo = max(start - k, 0)
+                first, end, missing, extra = align(own[lo:start + len(words) + k], words) if k else (0, len(words), [], [])
+                if len(missing) + len(extra) <= k and not self.naming & {*missing, *extra}:
+                    found[lo + first, lo + end, name] = missing, extra
+        return [(*key, *v) for key, v in sorted(found.items())]
+
+    def rank(self, block: str) -> tuple[list[str], dict[str, int]]:
+        """The templates by the bytes they save of a block (most first), and
+        those bytes; blocks are compressed in pieces of ``PIECE`` characters."""
+        saved = dict.fromkeys(self.given, 0)
+        for lo in range(0, len(block), PIECE):
+            data = block[lo:lo + PIECE].encode()
+            size = len(self.alone.compress(data))
+            for k, c in self.given.items():
+                saved[k] += size - len(c.compress(data))
+        return sorted(saved, key=lambda k: (-saved[k], k)), saved
+
     def scan(self, block: str) -> tuple:
-        """(license or None, top template, its reduction in bytes, the
-        winner's rank from 1 or None, missing and extra words of the winner, or of the top)."""
-        data = block.encode()
-        size = len(self.alone.compress(data))
-        saved = {k: size - len(c.compress(data)) for k, c in self.given.items()}
-        ranked = sorted(saved, key=lambda k: (-saved[k], k))
-        own, best = wording(block), None
-        for rank, k in enumerate(ranked, 1):
-            if saved[k] <= 0:
-                break
-            missing, extra = difference(own, self.words[k])
-            if len(missing) + len(extra) <= MAX_DIFFERENT * len(self.words[k]) and not self.naming & {*missing, *extra}:
-                return k, ranked[0], saved[ranked[0]], rank, missing, extra
-            best = best or (missing, extra)
-        return None, ranked[0], saved[ranked[0]], None, *(best or (self.words[ranked[0]], []))
+        """(license or None, top template, its reduction in bytes, the winner's rank from 1
+        or None, missing and extra words of the winner, or of the top, start and end of it)."""
+        spans = [m.span() for m in WORD.finditer(block)]
+        own = [block[lo:hi].lower() for lo, hi in spans]
+        found = self.matches(own)
+        if not found:
+            ranked, saved = self.rank(block)
+            return None, ranked[0], saved[ranked[0]], None, *align(own, self.words[ranked[0]])[2:], 0, len(block)
+        lo, hi = spans[found[0][0]][0], spans[max(f[1] for f in found) - 1][1]
+        ranked, saved = self.rank(block[lo:hi])
+        first, end, name, missing, extra = min(found, key=lambda f: (ranked.index(f[2]), len(f[3]) + len(f[4]), f[:2]))
+        lo, hi = spans[first][0], spans[end - 1][1]
+        hi += len(self.tail[name]) * block.startswith(self.tail[name], hi)
+        return name, ranked[0], saved[ranked[0]], ranked.index(name) + 1, missing, extra, lo, hi
 
 
 def license_blocks(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -137,9 +230,10 @@ def license_blocks(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             of, rows = [], []
             for r, t in enumerate(b.column(1)):
                 t = t.as_py()
-                for k, (lo, hi) in enumerate(scanner.blocks(t)):
+                for k, (lo, hi) in enumerate(scanner.passages(t)):
+                    *found, start, end = scanner.scan(t[lo:hi])
                     of.append(r)
-                    rows.append((k, lo, hi, *scanner.scan(t[lo:hi])))
+                    rows.append((k, lo + start, lo + end, *found))
             cols = list(zip(*rows)) or [()] * len(types)
             yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(of, pa.int64())),
                                               *(pa.array(c, t) for c, t in zip(cols, types))], names=names)

@@ -46,3 +46,16 @@ def test_notices_far_apart_in_a_long_line(spark):
     t = licenses.TEMPLATES
     got = rows_of(spark, [f"{prose(5000, 1)} {t['MIT']} {prose(5000, 2)} {t['GPL-2.0']} {prose(5000, 3)}"])
     assert [g.license for g in got[0]] == ["MIT", "GPL-2.0"]
+
+
+def test_every_notice_of_a_block(spark):
+    t = licenses.TEMPLATES
+    dual = "Licensed under the Apache License, Version 2.0.\nReleased under the MIT License."
+    many = " or ".join([*t.values(), *t.values()])
+    close = t["Apache-2.0"] + " " + t["Apache-2.0-header"] + " " + t["MIT-notice"].replace("hereby ", "") + t["MIT"]
+    texts = [dual, many, close, (t["MIT"] + " ") * 3000]
+    got = rows_of(spark, texts)
+    assert [(g.license, texts[0][g.start:g.end]) for g in got[0]] == [("Apache-2.0", t["Apache-2.0"]), ("MIT", t["MIT"])]
+    assert [(g.license, texts[1][g.start:g.end]) for g in got[1]] == [*t.items(), *t.items()]
+    assert [g.license for g in got[2]] == ["Apache-2.0", "Apache-2.0-header", "MIT-notice", "MIT"]
+    assert [g.license for g in got[3]] == ["MIT"] * 3000 and [g.block for g in got[3]] == list(range(3000))

@@ -190,24 +190,39 @@ class Scanner:
 
     def scan(self, block: str) -> tuple:
         """(license or None, top template, its reduction in bytes, the winner's rank from 1
-        or None, missing and extra words of the winner, or of the top, start and end of it)."""
+        or None, missing and extra words of the winner, or of the top, start and end of it)
+        of the first notice in a block, or of the block if it has none."""
+        return self.scan_all(block)[0]
+
+    def scan_all(self, block: str) -> list[tuple]:
+        """``scan`` of every notice in a block, in order.  Of templates confirmed
+        on the same words the one ranked highest on these wins; its words are
+        taken out, and what was confirmed on others goes on."""
         spans = [m.span() for m in WORD.finditer(block)]
         own = [block[lo:hi].lower() for lo, hi in spans]
-        found = self.matches(own)
-        if not found:
+        out, open_, left = [], [], self.matches(own)[::-1]
+        while left or open_:
+            # open_: confirmed passages that overlap one another
+            if left and (not open_ or left[-1][0] < max(f[1] for f in open_)):
+                open_.append(left.pop())
+                continue
+            ranked, saved = self.rank(block[spans[open_[0][0]][0]:spans[max(f[1] for f in open_) - 1][1]])
+            first, end, name, missing, extra = min(
+                open_, key=lambda f: (ranked.index(f[2]), len(f[3]) + len(f[4]), f[0] - f[1], f[0]))
+            lo, hi = spans[first][0], spans[end - 1][1]
+            hi += len(self.tail[name]) * block.startswith(self.tail[name], hi)
+            out.append((name, ranked[0], saved[ranked[0]], ranked.index(name) + 1, missing, extra, lo, hi))
+            left += [f for f in reversed(open_) if f[1] <= first or f[0] >= end]
+            open_ = []
+        if not out:
             ranked, saved = self.rank(block)
-            return None, ranked[0], saved[ranked[0]], None, *align(own, self.words[ranked[0]])[2:], 0, len(block)
-        lo, hi = spans[found[0][0]][0], spans[max(f[1] for f in found) - 1][1]
-        ranked, saved = self.rank(block[lo:hi])
-        first, end, name, missing, extra = min(found, key=lambda f: (ranked.index(f[2]), len(f[3]) + len(f[4]), f[:2]))
-        lo, hi = spans[first][0], spans[end - 1][1]
-        hi += len(self.tail[name]) * block.startswith(self.tail[name], hi)
-        return name, ranked[0], saved[ranked[0]], ranked.index(name) + 1, missing, extra, lo, hi
+            out.append((None, ranked[0], saved[ranked[0]], None, *align(own, self.words[ranked[0]])[2:], 0, len(block)))
+        return sorted(out, key=lambda r: r[-2:])
 
 
 def license_blocks(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    templates: dict[str, str] | None = None) -> DataFrame:
-    """One row per candidate block: the id, block (number in the text from
+    """One row per notice, or per candidate block without one: the id, block (number in the text from
     0), start, end (code points), license (confirmed template or null),
     top_template, reduction (bytes the top template saves), rank (of the
     confirmed one), missing, extra (differing words).
@@ -230,10 +245,10 @@ def license_blocks(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             of, rows = [], []
             for r, t in enumerate(b.column(1)):
                 t = t.as_py()
-                for k, (lo, hi) in enumerate(scanner.passages(t)):
-                    *found, start, end = scanner.scan(t[lo:hi])
-                    of.append(r)
-                    rows.append((k, lo + start, lo + end, *found))
+                found = [(lo + start, lo + end, *row) for lo, hi in scanner.passages(t)
+                         for *row, start, end in scanner.scan_all(t[lo:hi])]
+                of += [r] * len(found)
+                rows += [(k, *row) for k, row in enumerate(found)]
             cols = list(zip(*rows)) or [()] * len(types)
             yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(of, pa.int64())),
                                               *(pa.array(c, t) for c, t in zip(cols, types))], names=names)

@@ -1,4 +1,5 @@
 import random
+import textwrap
 
 from wardflow.llm import licenses
 
@@ -59,3 +60,19 @@ def test_every_notice_of_a_block(spark):
     assert [(g.license, texts[1][g.start:g.end]) for g in got[1]] == [*t.items(), *t.items()]
     assert [g.license for g in got[2]] == ["Apache-2.0", "Apache-2.0-header", "MIT-notice", "MIT"]
     assert [g.license for g in got[3]] == ["MIT"] * 3000 and [g.block for g in got[3]] == list(range(3000))
+
+
+def test_wrapped_notices(spark):
+    t, texts, want = licenses.TEMPLATES, [], []
+    for name in ("MIT-notice", "Apache-2.0-header", "GPL-3.0"):
+        for width in (12, 40, 72):
+            for gap in ("\n", "\n\n", "\n# "):
+                notice = textwrap.fill(t[name], width, break_long_words=False, break_on_hyphens=False).replace("\n", gap)
+                texts.append("Title\n\n" + notice + "\n\nSome words follow.\n")
+                want.append([(name, notice)])
+    texts.append("Copyright 2020 Somebody\n\n" + textwrap.fill(t["MIT-notice"], 72) + "\n\nThe above copyright notice\n\nx")
+    want.append([(None, "Copyright 2020 Somebody"), ("MIT-notice", textwrap.fill(t["MIT-notice"], 72)),
+                 (None, "The above copyright notice")])
+    got = rows_of(spark, texts)
+    for k, w in enumerate(want):
+        assert [(g.license, texts[k][g.start:g.end].rstrip()) for g in got[k]] == w

@@ -11,7 +11,7 @@ differs from it are few enough, and none of them names a version or a license.
 from __future__ import annotations
 
 import re
-from collections import defaultdict
+from collections import defaultdict, deque
 from itertools import islice
 
 import numpy as np
@@ -120,39 +120,24 @@ class Scanner:
                 return floor
             size *= 2
 
-    def after(self, text: str, at: int, ceiling: int) -> int:
-        """Start of the word behind the next ``reach`` words, or ``ceiling``."""
-        words = list(islice(WORD.finditer(text, at, ceiling), self.reach + 1))
-        return words[-1].start() if len(words) > self.reach else ceiling
+    def after(self, text: str, at: int) -> int:
+        """Start of the word behind the next ``reach`` words, or the text's end."""
+        words = list(islice(WORD.finditer(text, at), self.reach + 1))
+        return words[-1].start() if len(words) > self.reach else len(text)
 
-    def lines(self, text: str) -> list[tuple[int, int]]:
-        """[start, end) of runs of consecutive lines with a license word."""
-        out, at = [], 0
-        for line in text.split("\n"):
-            end = at + len(line)
-            if self.trigger.search(line):
-                if out and out[-1][1] == at - 1:
-                    out[-1] = (out[-1][0], end)
-                else:
-                    out.append((at, end))
-            at = end + 1
-        return out
-
-    def passages(self, text: str) -> list[tuple[int, int]]:
-        """[start, end) of the words that a notice can reach from each license
-        word in its lines; those that meet are one."""
+    def passages(self, text: str) -> list[tuple[int, int, list[tuple[int, int]]]]:
+        """(start, end, license words) of the words that a notice can reach
+        from each license word, over any lines; those that meet are one."""
         out = []
-        for start, end in self.lines(text):
-            own = []
-            for m in self.trigger.finditer(text, start, end):
-                if own and own[-1][1] < m.start():
-                    own[-1][1] = self.after(text, own[-1][2], end)
-                if own and self.before(text, m.start(), own[-1][1]) == own[-1][1] or own and own[-1][1] >= m.start():
-                    own[-1][2] = m.end()
-                else:
-                    own.append([self.before(text, m.start(), own[-1][1] if own else start), m.end(), m.end()])
-            own[-1][1] = self.after(text, own[-1][2], end)
-            out += [(lo, hi) for lo, hi, _ in own]
+        for at, end in (m.span() for m in self.trigger.finditer(text)):
+            if out and out[-1][1] < at:
+                out[-1][1] = self.after(text, out[-1][2][-1][1])
+            if out and (out[-1][1] >= at or self.before(text, at, out[-1][1]) == out[-1][1]):
+                out[-1][2].append((at, end))
+            else:
+                out.append([self.before(text, at, out[-1][1] if out else 0), end, [(at, end)]])
+        if out:
+            out[-1][1] = self.after(text, out[-1][2][-1][1])
         return out
 
     def matches(self, own: list[str]) -> list[tuple[int, int, str, list[str], list[str]]]:
@@ -192,9 +177,13 @@ class Scanner:
         """(license or None, top template, its reduction in bytes, the winner's rank from 1
         or None, missing and extra words of the winner, or of the top, start and end of it)
         of the first notice in a block, or of the block if it has none."""
-        return self.scan_all(block)[0]
+        found = self.notices(block)
+        if found:
+            return found[0]
+        ranked, saved = self.rank(block)
+        return None, ranked[0], saved[ranked[0]], None, *align(wording(block), self.words[ranked[0]])[2:], 0, len(block)
 
-    def scan_all(self, block: str) -> list[tuple]:
+    def notices(self, block: str) -> list[tuple]:
         """``scan`` of every notice in a block, in order.  Of templates confirmed
         on the same words the one ranked highest on these wins; its words are
         taken out, and what was confirmed on others goes on."""
@@ -214,16 +203,33 @@ class Scanner:
             out.append((name, ranked[0], saved[ranked[0]], ranked.index(name) + 1, missing, extra, lo, hi))
             left += [f for f in reversed(open_) if f[1] <= first or f[0] >= end]
             open_ = []
-        if not out:
-            ranked, saved = self.rank(block)
-            out.append((None, ranked[0], saved[ranked[0]], None, *align(own, self.words[ranked[0]])[2:], 0, len(block)))
         return sorted(out, key=lambda r: r[-2:])
 
+    def blocks(self, text: str):
+        """(start, end, license, ...) of every notice, and of the lines with
+        license words that are in none, up to the notices around them."""
+        for at, end, hits in self.passages(text):
+            hits, found = deque(hits), self.notices(text[at:end])
+            for *row, lo, hi in [*((*row, at + lo, at + hi) for *row, lo, hi in found), (None, end, end)]:
+                others = []
+                while hits and hits[0][0] < lo:
+                    others.append(hits.popleft())
+                if others:
+                    first = max(text.rfind("\n", at, others[0][0]) + 1, at)
+                    last = text.find("\n", others[-1][1], lo)
+                    last = lo if last < 0 else last
+                    yield first, last, *self.scan(text[first:last])[:-2]
+                while hits and hits[0][0] < hi:
+                    hits.popleft()
+                if row[0]:
+                    yield lo, hi, *row
+                at = hi
+
 
 def license_blocks(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    templates: dict[str, str] | None = None) -> DataFrame:
-    """One row per notice, or per candidate block without one: the id, block (number in the text from
-    0), start, end (code points), license (confirmed template or null),
+    """One row per notice, and per run of lines with license words that are
+    in none: the id, block (number in the text from 0), start, end (code points), license (confirmed template or null),
     top_template, reduction (bytes the top template saves), rank (of the
     confirmed one), missing, extra (differing words).
 
@@ -245,8 +251,7 @@ def license_blocks(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             of, rows = [], []
             for r, t in enumerate(b.column(1)):
                 t = t.as_py()
-                found = [(lo + start, lo + end, *row) for lo, hi in scanner.passages(t)
-                         for *row, start, end in scanner.scan_all(t[lo:hi])]
+                found = list(scanner.blocks(t))
                 of += [r] * len(found)
                 rows += [(k, *row) for k, row in enumerate(found)]
             cols = list(zip(*rows)) or [()] * len(types)

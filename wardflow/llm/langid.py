@@ -224,17 +224,18 @@ def training_sample(df: DataFrame, docs_per_lang: int, blocks_per_doc: int) -> l
     most ``docs_per_lang`` documents with letters a language, spread blocks of each."""
     ship_by_value(__name__)
     rank = F.xxhash64(F.col("id").cast("string"))
-    known = df.where("lang is not null")
-    counts = cut(known.groupBy("lang").agg(F.count("*").alias("n")))
-    # a first cut by hash leaves about twice the sample, so that the ranking is over bounded rows;
+    known = df.where(F.col("lang").isNotNull() & F.col("text").rlike(LETTER.pattern))
     # ids only, and rows that repeat an id are one document
+    ids = cut(known.select("lang", "id").distinct())
+    counts = cut(ids.groupBy("lang").agg(F.count("*").alias("n")))
+    # a first cut by hash leaves about twice the sample, so that the ranking is over bounded rows
     share = F.least(F.lit(1.0), F.lit(2.0 * docs_per_lang) / F.col("n"))
-    near = join_small(known.select("lang", "id"), counts, "lang").where(
-        F.pmod(rank, F.lit(1 << 20)) < F.ceil(share * (1 << 20))).select("lang", "id").distinct()
+    near = join_small(ids, counts, "lang").where(
+        F.pmod(rank, F.lit(1 << 20)) < F.ceil(share * (1 << 20))).select("lang", "id")
     order = Window.partitionBy("lang").orderBy(rank, "id")
     chosen = cut(near.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= docs_per_lang)
                  .select("lang", "id").withColumnRenamed("lang", "chosen_lang"))
-    kept = (join_small(known, chosen, "id").where("lang = chosen_lang and text is not null")
+    kept = (join_small(known, chosen, "id").where("lang = chosen_lang")
             .groupBy("lang", "id").agg(F.min("text").alias("text")))
 
     def run(batches):

@@ -15,8 +15,14 @@ from pyspark.sql import functions as F
 from wardflow.llm import langid, line_dedup, mixing, packing, simhash_dedup
 from wardflow.session import checkpoint_dir
 
-#: Documents whose pooled language probability is lower are no text in a known language.
+#: Documents whose pooled language probability is lower are no text in a known language;
+#: with many languages, those that are hardly over even odds.
 MIN_LANGUAGE_SCORE = 0.4
+OVER_EVEN_ODDS = 1.25
+
+
+def least_score(n_langs: int) -> float:
+    return min(MIN_LANGUAGE_SCORE, OVER_EVEN_ODDS / max(n_langs, 1))
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,7 +31,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = langid.learn_from_open(docs)
     known = langid.predict(docs, model, F.col("text"))
     return known.where((F.col("__lang_pred") != langid.UNDETERMINED)
-                       & (F.col("__score") >= MIN_LANGUAGE_SCORE)).select(*docs.columns)
+                       & (F.col("__score") >= least_score(len(model.langs) if model else 0))).select(*docs.columns)
 
 
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

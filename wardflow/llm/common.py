@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import string
 import sys
+import uuid
 
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -51,6 +53,33 @@ def join_small(big: DataFrame, small: DataFrame, on: str) -> DataFrame:
     return big.join(F.broadcast(small) if measured_bytes(small) <= BROADCAST_BYTES else small, on)
 
 
+class Scratch:
+    """Tables of one run in the shared folder ``spark.checkpoint.dir``, as
+    Parquet: read back by column, in parts or more than once; a lost executor
+    costs a re-read.  ``result`` writes the run's last rows as a checkpoint
+    and then removes the tables."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.n = spark, 0
+        self.folder = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+    def table(self, df: DataFrame) -> DataFrame:
+        self.n += 1
+        df.write.parquet(f"{self.folder}/{self.n}")
+        return self.spark.read.schema(df.schema).parquet(f"{self.folder}/{self.n}")
+
+    def result(self, df: DataFrame) -> DataFrame:
+        out = cut(df)
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        return out
+
+
+def lower_az(text: Column) -> Column:
+    """A-Z lower-cased, all other characters as they are."""
+    return F.translate(text, string.ascii_uppercase, string.ascii_lowercase)
+
+
 def words(text: Column) -> Column:
     """The words of a text as an array (null text: no words)."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACE_CLASS + "+"), "")

@@ -155,3 +155,94 @@ n AS (
 SELECT source, lang, tokenizer, count(*) AS n_docs, sum(n_tokens)::BIGINT AS n_tokens
 FROM n WHERE bucket <> 3 GROUP BY ALL
 """
+
+SPELLING_VARIANTS = r"""
+WITH RECURSIVE
+-- crc32 of every byte value, eight shifts each
+bt AS (SELECT b, 0 AS k, b::BIGINT AS c FROM range(256) r(b)
+       UNION ALL SELECT b, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM bt WHERE k < 8),
+tab AS (SELECT list(c ORDER BY b) AS t FROM bt WHERE k = 8),
+r AS (
+  SELECT doc_id, translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{00C0}-\x{00FF}]+')),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents),
+g AS (SELECT doc_id, run, count(*) AS n FROM r WHERE length(run) >= 7 GROUP BY ALL),
+x AS (SELECT *, hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || run)) AS hx FROM g),
+h AS (
+  SELECT run, n, xor(list_reduce(
+    list_prepend(4294967295::BIGINT, [('0x' || substr(hx, 2 * i - 1, 2))::BIGINT for i in range(1, length(hx) // 2 + 1)]),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) AS h
+  FROM x, tab),
+w AS (
+  SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2)
+         ELSE run END AS word, n FROM h),
+v AS (SELECT word, sum(n)::BIGINT AS n FROM w WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+-- every word without one of its code points
+d AS (SELECT DISTINCT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS less
+      FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM v)),
+p AS (
+  SELECT a.word, b.word AS near, b.n AS near_n FROM d a JOIN v b ON a.less = b.word
+  UNION SELECT b.word, a.word, a.n FROM d a JOIN v b ON a.less = b.word
+  UNION SELECT a.word, b.word, b.n FROM d a JOIN d b ON a.less = b.less AND a.i = b.i AND a.word <> b.word),
+b AS (SELECT word, count(*) AS n_near, max(near_n) AS form_n,
+        min(near) FILTER (WHERE near_n = top) AS form
+      FROM (SELECT *, max(near_n) OVER (PARTITION BY word) AS top FROM p) GROUP BY word),
+f AS (SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN form_n >= 10 * n THEN form END AS form,
+        CASE WHEN form_n >= 10 * n THEN form_n END AS form_n FROM v LEFT JOIN b USING (word)),
+c AS (SELECT word, word AS here, form AS next FROM f
+      UNION ALL SELECT c.word, f.word, f.form FROM c JOIN f ON c.next = f.word)
+SELECT f.word, f.form, c.here AS root, f.n, f.n_near, f.form_n FROM f JOIN c ON c.word = f.word AND c.next IS NULL
+"""
+
+_NORMAL_WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
+BENCHMARK_HITS = rf"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, {_NORMAL_WORDS} AS ws FROM documents),
+i AS (SELECT coalesce(item_id::VARCHAR, '') AS item, {_NORMAL_WORDS} AS ws FROM benchmark),
+iw AS (
+  SELECT DISTINCT item, least(10, len(ws)) AS k, array_to_string(list_slice(ws, pos, pos + least(10, len(ws)) - 1), ' ') AS words
+  FROM (SELECT item, ws, unnest(range(1, greatest(len(ws) - 9, 1) + 1)) AS pos FROM i WHERE len(ws) > 0)),
+dw AS (
+  SELECT r, pos, k, array_to_string(list_slice(ws, pos, pos + k - 1), ' ') AS words
+  FROM (SELECT r, ws, k, unnest(range(1, len(ws) - k + 2)) AS pos FROM d, (SELECT DISTINCT k FROM iw) WHERE len(ws) >= k)),
+h AS (SELECT r, pos, dw.k, item FROM dw JOIN iw USING (words)),
+c AS (SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(range(pos, pos + k)) AS p FROM h) GROUP BY r),
+t AS (SELECT r, count(*) AS n, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT r, item FROM h) GROUP BY r)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(c.n, 0)::BIGINT AS n_hit, coalesce(t.n, 0)::BIGINT AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(c.n, 0) > 0 AS contaminated
+FROM d LEFT JOIN c USING (r) LEFT JOIN t USING (r)
+"""
+
+SOURCE_DIVERGENCE = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS ts
+  FROM documents),
+t AS (SELECT lang, source, term, count(*) AS n, count(DISTINCT r) AS docs
+      FROM (SELECT r, lang, source, unnest(ts) AS term FROM d) GROUP BY ALL),
+k AS (SELECT lang, term, sum(n)::BIGINT AS n FROM t GROUP BY ALL HAVING sum(docs) >= 3),
+l AS (SELECT lang, count(*) AS v, sum(n)::BIGINT AS total FROM k GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM d),
+-- every group with every kept term of its language
+c AS (SELECT g.lang, g.source, k.term, coalesce(t.n, 0) AS n, k.n AS lang_n
+      FROM g JOIN k ON g.lang = k.lang LEFT JOIN t ON t.lang = g.lang AND t.source = g.source AND t.term = k.term),
+s AS (SELECT lang, source, sum(n)::BIGINT AS total FROM c GROUP BY ALL),
+p AS (
+  SELECT c.*, 1 + (1000000000::HUGEINT * (c.n + 1)) // (s.total + l.v) AS p,
+    1 + (1000000000::HUGEINT * (c.lang_n + 1)) // (l.total + l.v) AS q
+  FROM c JOIN s ON s.lang = c.lang AND s.source = c.source JOIN l ON l.lang = c.lang),
+pair AS (
+  SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // b.p) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pair ON pair.lang = a.lang AND pair.source = a.source AND pair.item = b.source),
+both_parts AS (
+  SELECT * FROM pairs
+  UNION ALL SELECT lang, source, 'term', term, ((p - q) * (p - q)) // q FROM p WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, value::BIGINT AS value,
+  (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INT AS rank
+FROM both_parts QUALIFY part = 'pair' OR rank <= 200
+"""

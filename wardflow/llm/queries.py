@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardflow.llm import (chat, fingerprints, langid, licenses, line_dedup, mixing, oracle, packing, quality, rollups,
-                          simhash_dedup)
+from wardflow.llm import (chat, decontaminate, divergence, fingerprints, langid, licenses, line_dedup, mixing, oracle,
+                          packing, quality, rollups, simhash_dedup, spelling)
 from wardflow.llm.common import cut, documents
 from wardflow.session import checkpoint_dir
 
@@ -134,3 +134,35 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     rollup.commit("revise", rollups.changes(revised, revised.withColumn("n_tokens", F.col("n_revised"))))
     rollup.commit("delete", rollups.changes(gone, None))
     return rollup.totals()
+
+
+def _misprint(doc_id, run):
+    """A run whose crc32 with its document's id divides by 31 loses a code point."""
+    h = F.crc32(F.concat(F.coalesce(doc_id.cast("string"), F.lit("")), F.lit(":"), run))
+    at = F.pmod(h, F.length(run).cast("long")).cast("int")
+    shorter = F.concat(F.substring(run, F.lit(1), at), F.substring(run, at + 2, F.length(run)))
+    return F.when(h % 31 == 0, shorter).otherwise(run)
+
+
+@register("op11_spelling_variants", oracle.SPELLING_VARIANTS)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spelling variants of all words of 7 code points and 2 occurrences or more."""
+    counts = spelling.word_counts(documents(spark, sf_dir, "doc_id", "text"), 7, 2, edit=_misprint)
+    return spelling.variants(counts, ratio=10)
+
+
+@register("op12_benchmark_decontamination", oracle.BENCHMARK_HITS)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words and items of every document that windows of ten benchmark words hit."""
+    found = decontaminate.hits(documents(spark, sf_dir, "doc_id", "text"),
+                               spark.read.parquet(f"{sf_dir}/benchmark.parquet"), n=10)
+    n_hit = F.size("covered").cast("long")
+    return found.select(F.col("__id").alias("doc_id"), "n_words", n_hit.alias("n_hit"),
+                        F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
+
+
+@register("op13_source_divergence", oracle.SOURCE_DIVERGENCE)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far every source's terms lie from each other source of its language, and its 200 furthest terms."""
+    return divergence.audit(documents(spark, sf_dir, "lang", "source", "text"), min_docs=3, top_terms=200)

@@ -28,12 +28,14 @@ def _final_plan(df) -> str:
 def test_flagship_reads_events_once_plus_spans(spark):
     df = catalogue.QUERIES["features_50_w1"](spark, SF)
     plan = _plan(df)
-    scans = re.findall(r"FileScan parquet \[([^\]]*)\]", plan)
-    assert len(scans) == 2                       # the rows, and (ts, user_id) for the spans
+    scans = set(re.findall(r"FileScan parquet \[([^\]]*)\]", plan))
+    assert len(scans) == 3                       # the rows, and (ts, user_id) for the spans and their levels
     assert sum("props" in s for s in scans) == 1
     assert "SortMergeJoin" not in plan           # small stays side is broadcast here
-    # exchanges: spans partial agg, the pivot partial agg, the stay partitioning
-    assert len(re.findall(r"Exchange hashpartitioning", plan)) == 3
+    # exchanges: spans partial agg (as often as the spans), the pivot partial agg, the stay partitioning
+    assert len(set(re.findall(r"Exchange hashpartitioning\([^)]*\)", plan))) == 4
+    df.collect()
+    assert "ReusedExchange" in _plan(df)         # the spans and their levels are one scan when run
 
 
 def _formatted(df) -> str:

@@ -42,23 +42,63 @@ def locf_sql(col: str, partition="icustay_id", order: str = "tw_hour_idx") -> st
             "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)")
 
 
+#: Windows of one block of a stay in ``with_locf``.
+BLOCK_WINDOWS = 256
+
+
+def with_locf(df: DataFrame, cols: list[str], partition="icustay_id", order: str = "tw_hour_idx",
+              block: int = BLOCK_WINDOWS, prefix: str = "__locf_") -> DataFrame:
+    """E1 in blocks: ``df`` with ``prefix + c``, the last non-null value of ``c``
+    at or before the row, for every c of ``cols``.
+
+    A stay's rows are cut into blocks of ``block`` values of the (numeric)
+    order column.  Each block's last values come from a partial aggregate,
+    what reaches a block from those before it is carried over one row per
+    block, and enters the block as a row before its first; the scan then runs
+    inside blocks.  So a stay with a large share of all rows is spread over
+    its blocks.  Rows whose order is NULL come first in their stay, as in a
+    window; equal orders within a stay are not expected.
+    """
+    keys = [partition] if isinstance(partition, str) else list(partition)
+    by = [*keys, "__block"]
+    rows = df.withColumn("__block", F.coalesce(F.floor(F.col(order) / block), F.lit(-(1 << 62))))
+    ends = rows.groupBy(*by).agg(*[F.max(F.when(F.col(c).isNotNull(), F.struct(order, c))).alias(f"{prefix}{c}") for c in cols])
+    before = W.partitionBy(*keys).orderBy("__block").rowsBetween(W.unboundedPreceding, -1)
+    carried = ends.select(*by, *[F.last(F.col(f"{prefix}{c}")[c], ignorenulls=True).over(before).alias(f"{prefix}{c}")
+                                 for c in cols], F.lit(0).alias("__row"))
+    both = rows.select("*", *[F.col(c).alias(f"{prefix}{c}") for c in cols], F.lit(1).alias("__row")).unionByName(
+        carried, allowMissingColumns=True)
+    here = W.partitionBy(*by).orderBy("__row", order).rowsBetween(W.unboundedPreceding, W.currentRow)
+    filled = both.select(*df.columns, "__row", *[F.last(f"{prefix}{c}", ignorenulls=True).over(here).alias(f"{prefix}{c}")
+                                                 for c in cols])
+    return filled.where("__row = 1").drop("__row")
+
+
+def locf_sources(spec=dic.DEFAULT_SPEC) -> list[str]:
+    """The columns that a spec carries forward."""
+    return list(dict.fromkeys(s.source for s in spec if s.impute != "raw"))
+
+
 def imputed_sql(spec=dic.DEFAULT_SPEC, defaults: dict[str, str] | None = None,
-                partition="icustay_id", order: str = "tw_hour_idx") -> dict[str, str]:
+                partition="icustay_id", order: str = "tw_hour_idx", filled: str | None = None) -> dict[str, str]:
     """E2 as SQL text: per spec row ``coalesce(locf(source), default)``, 0 or
     raw.  Every LOCF shares one window definition, so Spark plans one Window
     node for all of them.  ``defaults`` maps a category to the SQL text of
-    its default (see ``attach_defaults``)."""
+    its default (see ``attach_defaults``).  ``filled`` is the prefix of columns
+    that hold the carried values already (see ``with_locf``)."""
     defaults = defaults if defaults is not None else literal_defaults(None)
+
+    def carried(source):
+        return f"`{filled}{source}`" if filled else locf_sql(source, partition, order)
     out = {}
     for s in spec:
         if s.impute == "raw":
             out[s.name] = f"`{s.source}`"
         elif s.impute == "locf_zero":
-            out[s.name] = f"coalesce({locf_sql(s.source, partition, order)}, 0.0D)"
+            out[s.name] = f"coalesce({carried(s.source)}, 0.0D)"
         elif s.impute == "locf_default":
             d = defaults.get(s.default)
-            filled = locf_sql(s.source, partition, order)
-            out[s.name] = filled if d is None else f"coalesce({filled}, {d})"
+            out[s.name] = carried(s.source) if d is None else f"coalesce({carried(s.source)}, {d})"
         else:
             raise ValueError(f"unknown impute mode {s.impute!r}")
     return out
@@ -100,11 +140,15 @@ def attach_defaults(pivot: DataFrame, dictionary: DataFrame | dict | None = None
 
 
 def impute(pivot: DataFrame, spec=dic.DEFAULT_SPEC, defaults=None, partition="icustay_id",
-           order: str = "tw_hour_idx") -> DataFrame:
-    """The imputed wide table (LOCF then default)."""
+           order: str = "tw_hour_idx", block: int | None = None) -> DataFrame:
+    """The imputed wide table (LOCF then default); with ``block`` the LOCF
+    runs in blocks of so many windows (``with_locf``), for stays that hold a
+    large share of the rows."""
+    if block:
+        pivot = with_locf(pivot, locf_sources(spec), partition, order, block)
     pivot, values = attach_defaults(pivot, defaults, spec)
     keys = [partition] if isinstance(partition, str) else list(partition)
-    cols = imputed_sql(spec, values, partition, order)
+    cols = imputed_sql(spec, values, partition, order, "__locf_" if block else None)
     return pivot.selectExpr(*[f"`{k}`" for k in [*keys, order]], *[f"{e} AS `{n}`" for n, e in cols.items()])
 
 

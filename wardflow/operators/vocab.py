@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from wardflow.functions import lookup
 from wardflow.functions.arrays import pad_vectors
 
 # FIXED VALUES (sequence loader conventions and script settings)
@@ -26,7 +27,7 @@ def tokenize(text) -> Column:
     """Lower-cased word tokens: split on runs of non-letter, non-digit
     characters; empty tokens dropped.  The whole text is tokenized."""
     t = F.col(text) if isinstance(text, str) else text
-    return F.filter(F.split(F.lower(t), TOKEN_PATTERN), lambda x: x != "")
+    return F.array_remove(F.split(F.lower(t), TOKEN_PATTERN), "")
 
 
 def token_counts(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -53,17 +54,27 @@ def build_vocab(docs: DataFrame, num_words: int = NUM_WORDS, text: str = "text",
 def encode(docs: DataFrame, vocab: DataFrame, key: str = "doc_id", text: str = "text",
            start_id: int = START_ID, oov_id: int = OOV_ID, last_n: int | None = None) -> DataFrame:
     """K2: (key, ids) with ids in token order, OOV -> ``oov_id``, prefixed
-    with ``start_id``.
+    with ``start_id``; one row per row of ``docs``, NULL text has no tokens.
 
-    Tokens are exploded with their position, looked up in the vocabulary and
-    gathered back per document; a document's group is its own token list.
-    With ``last_n`` only the last n tokens of a document are kept, cut off
-    before anything is exploded: what padding to n ids keeps anyway.
+    The vocabulary (at most ``lookup.MAX_ENTRIES`` words, more fail the
+    query; ``num_words`` bounds it) becomes one hash table in an array, and
+    every token is looked up where it stands: documents are neither exploded
+    nor shuffled.  With ``last_n`` only the last n tokens of a document are
+    kept, what padding to n ids keeps anyway.
     """
-    tokens = tokenize(text)
+    tokens = F.coalesce(tokenize(text), F.array().cast("array<string>"))
     if last_n is not None:
         tokens = F.slice(tokens, F.greatest(F.size(tokens) - (last_n - 1), F.lit(1)), F.lit(last_n))
-    toks = docs.select(key, F.posexplode_outer(tokens).alias("pos", "token"))
+    ids = lookup.with_values(docs.select(key, tokens.alias("__tokens")), "__tokens", "__ids",
+                             vocab.select("token", F.col("id").cast("int").alias("id")), "token", "id", F.lit(oov_id))
+    return ids.select(key, F.concat(F.array(F.lit(start_id)), F.col("__ids")).alias("ids"))
+
+
+def encode_by_join(docs: DataFrame, vocab: DataFrame, key: str = "doc_id", text: str = "text",
+                   start_id: int = START_ID, oov_id: int = OOV_ID) -> DataFrame:
+    """K2 for a vocabulary of any size: tokens are exploded with their
+    position, joined to the vocabulary and gathered back per ``key``."""
+    toks = docs.select(key, F.posexplode_outer(tokenize(text)).alias("pos", "token"))
     v = vocab.select("token", "id")
     ided = toks.join(v, "token", "left").select(
         key, F.when(F.col("pos").isNotNull(),

@@ -9,6 +9,7 @@ round.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -155,6 +156,21 @@ def locf_w1(spark, sf_dir):
                              locf("urine").alias("urine_locf"), locf("gcs").alias("gcs_locf")))
 
 
+@register("locf_w1_blocks", ORACLE["locf_w1"])
+def locf_w1_blocks(spark, sf_dir):
+    """E1 in blocks of windows, for stays that hold a large share of the rows."""
+    from wardflow.operators.impute import with_locf
+    cols = ["hr", "urine", "gcs"]
+    filled = with_locf(fx.pivot(_windowed(spark, sf_dir), 1, daily_join=True), cols, block=64)
+    return rounded(filled.select("icustay_id", "tw_hour_idx", *[F.col(f"__locf_{c}").alias(f"{c}_locf") for c in cols]))
+
+
+@register("features_50_w1_blocks", _features_sql(1))
+def features_50_w1_blocks(spark, sf_dir):
+    """U5 without a step that gathers a stay."""
+    return rounded(fx.features(_windowed(spark, sf_dir), 1, block=64))
+
+
 @register("mask_w3", O.with_(O.events_windowed_ctes(), O.pivot_ctes(3)) + "\nSELECT icustay_id, "
           "tw_hour_idx, " + ", ".join(f"CASE WHEN {c} IS NOT NULL THEN 1 ELSE 0 END AS {c}"
                                       for c in dic.FEATURE_COLUMNS) + " FROM pv")
@@ -188,6 +204,35 @@ def daily_total(spark, sf_dir):
     return rounded(fx.daily(_windowed(spark, sf_dir)))
 
 
+def _in_batches(relation, rows):
+    """Count rows in three batches, by their ids; the first is sent again, and
+    what is there is compacted before the last."""
+    part = F.pmod(F.xxhash64("event_id"), F.lit(3))
+    for batch, after in ((0, None), (1, None), (0, relation.compact), (2, None)):
+        relation.upsert(rows.where(part == batch), batch)
+        if after:
+            after()
+    return relation
+
+
+@register("maintained_window_means_w6", O.with_(O.events_windowed_ctes()) + """
+SELECT icustay_id, tw_6hr AS tw_hour_idx, lower(itemcat) AS category, """ + O.R("avg(valuenum)") + """ AS valuenum
+FROM win WHERE valuenum > 0 GROUP BY icustay_id, tw_6hr, lower(itemcat)""")
+def maintained_window_means_w6(spark, sf_dir):
+    """A3/D3: window means kept up batch by batch from mergeable states."""
+    from wardflow.streaming.incremental import WindowMeans
+    relation = WindowMeans(spark, f"window_means_{uuid.uuid4().hex}", 6)
+    return rounded(_in_batches(relation, _windowed(spark, sf_dir)).means())
+
+
+@register("maintained_daily_total", ORACLE["daily_total"])
+def maintained_daily_total(spark, sf_dir):
+    """Daily totals kept up batch by batch from mergeable states."""
+    from wardflow.streaming.incremental import DailyTotals
+    relation = DailyTotals(spark, f"daily_total_{uuid.uuid4().hex}")
+    return rounded(_in_batches(relation, _windowed(spark, sf_dir)).totals())
+
+
 @register("daily_lookup_w6", O.with_(O.events_windowed_ctes(), O.daily_cte()) + """,
 keys AS (SELECT DISTINCT icustay_id, tw_6hr FROM win)
 SELECT icustay_id, tw_6hr AS tw_hour_idx,

@@ -20,7 +20,7 @@ from wardflow.functions.timecols import add_windows
 from wardflow.operators import harmonize as hz
 from wardflow.operators.aggregate import daily_total, pivot_features
 from wardflow.operators.cohort import build_cohort, restrict
-from wardflow.operators.impute import attach_defaults, impute, imputed_sql, mask, mask_sql
+from wardflow.operators.impute import attach_defaults, impute, imputed_sql, locf_sources, mask, mask_sql, with_locf
 from wardflow.operators.intervals import interval_join
 from wardflow.sources import dictionary as dic
 
@@ -75,23 +75,27 @@ def long_features(patients, icustays, chartevents, labevents, outputevents, inpu
 # --- entry point 1: feature rows ---------------------------------------------
 
 def pivot(windowed: DataFrame, window_hours: int, stay_id=None, day_index: str = "as_written",
-          categories=dic.FEATURE_COLUMNS, binding=None) -> DataFrame:
+          categories=dic.FEATURE_COLUMNS, binding=None, daily_join: bool = False) -> DataFrame:
     """U1 for all stays (or one, filtered before any shuffle); ``binding``
     (e.g. ``dictionary.positional_binding()``) reproduces crosstab's
-    positional column binding (Q1)."""
+    positional column binding (Q1).  ``daily_join`` looks the daily totals up
+    by a join on (stay, day) instead of windows over a stay."""
     if stay_id is not None:
         windowed = windowed.where(F.col("icustay_id") == stay_id)
     return pivot_features(windowed, window_hours, categories, "urine", day_index,
-                          binding=binding)
+                          daily=daily_total(windowed, "urine") if daily_join else None, binding=binding)
 
 
 def assemble(pv: DataFrame, window_hours: int, spec=dic.DEFAULT_SPEC, defaults=None,
-             with_parts: bool = False) -> DataFrame:
+             with_parts: bool = False, block: int | None = None) -> DataFrame:
     """U2 + U3 + U4 + U5 as columns over one pivot: masks from the raw
     values, LOCF/default values, and the score from the imputed values.
-    Built as two SQL projections (one Window node for every LOCF column)."""
+    Built as two SQL projections (one Window node for every LOCF column);
+    with ``block`` the LOCF runs in blocks of so many windows."""
+    if block:
+        pv = with_locf(pv, locf_sources(spec), block=block)
     pv, values = attach_defaults(pv, defaults, spec)
-    imp = imputed_sql(spec, values)
+    imp = imputed_sql(spec, values, filled="__locf_" if block else None)
     masks = mask_sql(dic.FEATURE_COLUMNS, "m_")
     step1 = pv.selectExpr(*[f"`{k}`" for k in KEYS], *[f"{e} AS `{n}`" for n, e in imp.items()],
                           *[f"{e} AS `{n}`" for n, e in masks.items()])
@@ -104,13 +108,15 @@ def assemble(pv: DataFrame, window_hours: int, spec=dic.DEFAULT_SPEC, defaults=N
 
 
 def features(windowed: DataFrame, window_hours: int, stay_id=None, spec=dic.DEFAULT_SPEC,
-             defaults=None, day_index: str = "as_written", binding=None) -> DataFrame:
-    """(stay, window, score, 24 values, 24 masks) for every stay.  The
+             defaults=None, day_index: str = "as_written", binding=None, block: int | None = None) -> DataFrame:
+    """(stay, window, score, 24 values, 24 masks) for every stay.  With
+    ``block`` no step gathers a stay: the daily totals are joined by (stay,
+    day) and the LOCF runs in blocks of so many windows.  The
     reference text exactly: ``spec=dictionary.as_written_spec(),
     binding=dictionary.positional_binding("en_US")`` and a long table built
     with ``long_features(..., temp_category="TEMP")``."""
-    return assemble(pivot(windowed, window_hours, stay_id, day_index, binding=binding),
-                    window_hours, spec, defaults)
+    return assemble(pivot(windowed, window_hours, stay_id, day_index, binding=binding, daily_join=bool(block)),
+                    window_hours, spec, defaults, block=block)
 
 
 def imputed(windowed: DataFrame, window_hours: int, spec=dic.DEFAULT_SPEC, defaults=None,

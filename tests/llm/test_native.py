@@ -119,3 +119,8 @@ def test_line_dedup(spark):
     twice = line_dedup.without_repeated_lines(df.union(df)).collect()  # repeated rows count once
     assert len(twice) == 2 * len(rows) and {r.doc_id: r.text for r in twice} == plain_line_dedup(rows)
     assert line_dedup.without_repeated_lines(df.limit(0)).isEmpty()
+    names = ["a.b", "id", "hash", "covered", "at", "stay", "__row", "gone_id", "__covered"]
+    more = line_dedup.without_repeated_lines(df.withColumns({n: F.lit(n) for n in names})).drop("__n_lines", "__n_removed")
+    assert {tuple(r) for r in more.collect()} == {(i, t, "L", 1, *names) for i, t in plain_line_dedup(rows).items()}
+    with pytest.raises(ValueError, match="__n_lines"):
+        line_dedup.without_repeated_lines(df.withColumn("__n_lines", F.lit(1)))

@@ -22,6 +22,10 @@ def stages(spark, tmp_path_factory):
     odd = spark.createDataFrame([(9001, None, None, None, None), (9002, "", "en", "src1", 0), (9003, "1 2 3", "en", None, 5)],
                                 "doc_id long, text string, lang string, source string, n_chars long")
     docs = docs.unionByName(odd.withColumns({"size": F.lit(None).cast("string"), "__other": F.lit(2)}))
+    # names that stages use themselves, and one with a dot
+    docs = docs.withColumns({n: F.concat(F.lit(n), F.coalesce(F.col("doc_id"), F.lit(0)).cast("string")) for n in (
+        "a.b", "row", "id", "__row", "__id", "__text", "__text_hash", "__size", "__draw", "__copies", "__at", "__all",
+        "__covered", "__n_lines", "__n_removed", "__lang_pred", "__score", "__key_text")})
     out = [docs]
     for i, (_, f) in enumerate(cp.STAGES):
         df = f(spark, out[-1], SF)
@@ -100,3 +104,24 @@ def test_empty(spark):
     for _, f in cp.STAGES:
         out = f(spark, docs, SF)
         assert out.isEmpty()
+
+
+def test_other_columns_keep_their_values(stages):
+    for rows in stages[:-1]:
+        for r in rows:
+            for n in r.asDict():
+                if n in ("a.b", "row", "id") or n.startswith("__") and n != "__other":
+                    assert r[n] == f"{n}{r.doc_id or 0}"
+
+
+def test_stages_keep_rows_that_repeat(spark):
+    """Two equal rows: both pass or both go, but for near-dedup, where one stays."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").where("doc_id < 60")
+    twice = docs.union(docs)
+    for name, stage in cp.STAGES[:2]:
+        once, both = stage(spark, docs, SF).collect(), stage(spark, twice, SF).collect()
+        assert {r.doc_id for r in once} == {r.doc_id for r in both} and len(both) == 2 * len(once), name
+    kept = cp.near_dedup(spark, twice, SF).collect()
+    assert len(kept) == len({r.doc_id for r in kept}) == cp.near_dedup(spark, docs, SF).count()
+    for name, stage in cp.STAGES:
+        assert stage(spark, docs.limit(0), SF).isEmpty(), name

@@ -53,6 +53,25 @@ def join_small(big: DataFrame, small: DataFrame, on: str) -> DataFrame:
     return big.join(F.broadcast(small) if measured_bytes(small) <= BROADCAST_BYTES else small, on)
 
 
+def quoted(name: str) -> Column:
+    """A column by its exact name, dots and all."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def packed(df: DataFrame, **named: str) -> DataFrame:
+    """``df`` as the columns ``named`` (new name = its name in ``df``) and one
+    struct ``__row`` of all others, so that no other name can clash."""
+    rest = [quoted(c).alias(c) for c in df.columns if c not in named.values()]
+    row = F.struct(*rest) if rest else F.lit(None).cast("struct<none:int>")
+    return df.select(row.alias("__row"), *[quoted(c).alias(n) for n, c in named.items()])
+
+
+def unpacked(df: DataFrame, columns: list[str], **named: str) -> list[Column]:
+    """The columns of the frame that was packed, in its order and under its names."""
+    new = {c: n for n, c in named.items()}
+    return [(df[new[c]] if c in new else df["__row"].getField(c)).alias(c) for c in columns]
+
+
 class Scratch:
     """Tables of one run in the shared folder ``spark.checkpoint.dir``, as
     Parquet: read back by column, in parts or more than once; a lost executor

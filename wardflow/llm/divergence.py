@@ -26,18 +26,20 @@ ONE = 1_000_000_000
 
 def term_counts(df: DataFrame, lang_col: str = "lang", source_col: str = "source", text_col: str = "text") -> DataFrame:
     """(lang, source, term, n, docs): occurrences of a term in a group and the
-    number of the group's rows that hold it.  A row's terms are sorted, so
-    that its first of each is known without a second pass; partial sums are
-    taken before the shuffle."""
+    number of the group's rows that hold it.  A row's terms are sorted and
+    leave it as runs, a term and its count each; partial sums are taken
+    before the shuffle."""
     def plain(c):
         return F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(""))
     terms = F.sort_array(F.split(lower_az(plain(text_col)), GAP))
     rows = df.select(plain(lang_col).alias("lang"), plain(source_col).alias("source"), terms.alias("ts"))
-    marked = F.transform("ts", lambda t, i: F.struct(
-        t.alias("term"), F.when((i == 0) | (t != F.get("ts", i - 1)), 1).otherwise(0).alias("first")))
-    return (rows.select("lang", "source", F.explode(marked).alias("t")).select("lang", "source", "t.*")
+    starts = F.transform("ts", lambda t, i: F.when((i == 0) | (t != F.get("ts", i - 1)), i))
+    rows = rows.withColumn("at", F.filter(starts, lambda i: i.isNotNull()))
+    runs = F.transform("at", lambda i, k: F.struct(
+        F.get("ts", i).alias("term"), (F.coalesce(F.get("at", k + 1), F.size("ts")) - i).alias("n")))
+    return (rows.select("lang", "source", F.explode(runs).alias("t")).select("lang", "source", "t.*")
             .where("term <> ''").groupBy("lang", "source", "term")
-            .agg(F.count("*").alias("n"), F.sum("first").alias("docs")))
+            .agg(F.sum("n").alias("n"), F.count("*").alias("docs")))
 
 
 def _share(n: str | Column, total: Column, v: Column) -> Column:

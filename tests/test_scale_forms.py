@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from wardflow.functions import lookup
+from wardflow.functions import bloom, lookup
 from wardflow.operators import impute, intervals, vocab
 from wardflow.operators.intervals import interval_join
 from wardflow.plans import features as fx
@@ -81,7 +81,7 @@ def test_encode_moves_no_documents(spark):
     words = vocab.build_vocab(docs, 500)
     out = vocab.encode(docs, words)
     by_join = vocab.encode_by_join(docs, words)
-    assert sorted(map(str, out.collect())) == sorted(map(str, by_join.collect()))
+    assert sorted(map(str, out.select(ev.columns).collect())) == sorted(map(str, by_join.collect()))
     main = _plan(vocab.encode(docs, spark.createDataFrame(words.collect()))).split("Subquery")[0]
     assert "Exchange" not in main and "Join" not in main and "Generate" not in main
     assert {r.doc_id: r.ids for r in out.where("doc_id < 0").collect()} == {-1: [1], -2: [1], -3: [1]}
@@ -159,3 +159,34 @@ def test_a_stream_of_late_files(spark):
         q.awaitTermination(300)
         assert q.exception() is None
     assert _rows(means.means()) == _rows(window_means(win, 24))
+
+
+# -- Bloom filters ------------------------------------------------------------
+
+def test_bloom_filter_loses_nothing_and_lets_few_through(spark):
+    from wardflow.operators.cohort import restrict
+    keys = spark.range(0, 20_000, 2).select(F.col("id").alias("k"), F.lit("x").alias("part")).union(
+        spark.createDataFrame([(None, "x")], "k long, part string"))
+    rows = spark.range(40_000).select("id", F.col("id").alias("k"), F.lit("x").alias("part")).union(
+        spark.createDataFrame([(-1, None, "x")], "id long, k long, part string"))
+    want = {r.id for r in restrict(rows, keys, ["k", "part"]).collect()}
+    assert len(want) == 10_000
+    for bits in (64, 1 << 14, 1 << 17):  # far too small, too small, ten bits a key and more
+        got = restrict(rows, keys, ["k", "part"], bloom_bits=bits)
+        assert {r.id for r in got.collect()} == want
+    # of the 30,000 other rows those that pass: (1 - exp(-4 n / m)) ** 4 is 0.5 % here
+    passed = bloom.maybe_in(rows, keys, ["k", "part"], 1 << 17).count() - len(want)
+    assert 0 < passed < 0.01 * 30_000
+    assert bloom.maybe_in(rows, keys.limit(0), ["k", "part"], 1 << 10).isEmpty()
+    with pytest.raises(ValueError, match="multiple of 64"):
+        bloom.bloom_table(keys, ["k"], 100)
+
+
+def test_bloom_filter_runs_in_the_scan_stage(spark):
+    from wardflow.operators.cohort import restrict
+    keys = spark.createDataFrame([(i,) for i in range(5)], "user_id long")
+    ev = spark.read.parquet(f"{SF}/events.parquet").select("event_id", "user_id")
+    out = restrict(ev, keys, "user_id", bloom_bits=1 << 12)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("LeftSemi") < plan.index("forall(") < plan.index("Relation")
+    assert sorted(map(str, out.select(ev.columns).collect())) == sorted(map(str, ev.join(keys, "user_id", "left_semi").select(ev.columns).collect()))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wardflow.functions.bloom import maybe_in
 from wardflow.sources import dictionary as dic
 
 COHORT_COLUMNS = ["subject_id", "icustay_id", "hadm_id", "gender", "dbsource", "first_careunit",
@@ -34,7 +35,7 @@ def build_cohort(patients: DataFrame, stays: DataFrame, min_age: int = dic.MIN_A
 
 
 def restrict(events: DataFrame, keys: DataFrame, on: str | list[str],
-             key_names: str | list[str] | None = None, salt: int = 1) -> DataFrame:
+             key_names: str | list[str] | None = None, salt: int = 1, bloom_bits: int | None = None) -> DataFrame:
     """Keep ``events`` rows whose key appears in ``keys`` (left semi join).
 
     ``IN (SELECT DISTINCT k ...)`` needs no DISTINCT here: a semi join never
@@ -42,12 +43,16 @@ def restrict(events: DataFrame, keys: DataFrame, on: str | list[str],
     the cohort, so Spark's size threshold / AQE decide at run time.
     ``salt > 1`` splits a hot key explicitly (sessions without AQE): event
     rows are hashed into ``salt`` groups and each key row is repeated once
-    per group.
+    per group.  ``bloom_bits`` tests rows against a Bloom filter of the keys
+    where they are scanned, so that only few rows of other keys are shuffled
+    to the join; ``keys`` is then read twice and should be materialised.
     """
     on = [on] if isinstance(on, str) else list(on)
     key_names = on if key_names is None else ([key_names] if isinstance(key_names, str)
                                               else list(key_names))
     k = keys.select(*[F.col(src).alias(dst) for src, dst in zip(key_names, on)])
+    if bloom_bits:
+        events = maybe_in(events, k, on, bloom_bits)
     if salt <= 1:
         return events.join(k, on, "left_semi")
     cols = events.columns

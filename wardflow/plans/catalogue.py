@@ -347,6 +347,16 @@ def restrict_subject(spark, sf_dir):
         "event_id", "user_id", "event_type", "value")
 
 
+@register("restrict_subject_bloom", ORACLE["restrict_subject"])
+def restrict_subject_bloom(spark, sf_dir):
+    """C2a with the log tested against a Bloom filter of the cohort first."""
+    from wardflow.operators.cohort import restrict
+    from wardflow.sources.materialize import materialize
+    cohort = materialize(_cohort(spark, sf_dir).select("subject_id"), "cohort_subjects")
+    ev = an.load(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value")
+    return restrict(ev, cohort, "user_id", "subject_id", bloom_bits=1 << 20)
+
+
 @register("restrict_admission", O.with_(O.patients_stays_ctes()) + """
 SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem
 WHERE l_orderkey IN (SELECT DISTINCT hadm_id FROM cohort)""")
@@ -785,6 +795,12 @@ def long_union(spark, sf_dir):
     return rounded(lng)
 
 
+@register("long_union_bloom", ORACLE["long_union"])
+def long_union_bloom(spark, sf_dir):
+    """The eight branches, every log tested against a Bloom filter of the cohort first."""
+    return rounded(_clinical(spark, sf_dir, bloom_bits=1 << 20)[1])
+
+
 @register("clinical_features_w6", O.with_(O.clinical_long_ctes(), O.clinical_win_cte(),
                                           O.pivot_ctes(6), O.imputed_cte(), O.score_cte(6))
           + f"\nSELECT icustay_id, tw_hour_idx, {O.total_expr()}, " + O.r6(dic.FEATURE_COLUMNS)

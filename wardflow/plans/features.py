@@ -44,7 +44,7 @@ def windowed_features(long_rows: DataFrame, cohort: DataFrame,
 
 def long_features(patients, icustays, chartevents, labevents, outputevents, inputevents_cv,
                   inputevents_mv, temp_category: str = "Temperature",
-                  materialize_cohort: bool = True) -> tuple[DataFrame, DataFrame]:
+                  materialize_cohort: bool = True, bloom_bits: int | None = None) -> tuple[DataFrame, DataFrame]:
     """§3.2 steps 1-5 over the clinical schema: returns (cohort, long rows).
 
     Every log is scanned once, the chart log twice (its narrow rows and the
@@ -52,14 +52,16 @@ def long_features(patients, icustays, chartevents, labevents, outputevents, inpu
     The cohort feeds the semi joins and the windowed join; like the
     reference's materialised cohort it is written once as a parquet table in
     ``spark.checkpoint.dir`` (its file size then guides join planning)
-    instead of being recomputed per use."""
+    instead of being recomputed per use.  ``bloom_bits`` tests every log
+    against a Bloom filter of the cohort's subjects as it is scanned (see
+    ``cohort.restrict``)."""
     cohort = build_cohort(patients, icustays)
     if materialize_cohort:
         from wardflow.sources.materialize import materialize
         cohort = materialize(cohort, "cohort")
-    chart = restrict(chartevents, cohort, "subject_id")
-    cv = restrict(inputevents_cv, cohort, "subject_id")
-    mv = restrict(inputevents_mv, cohort, "subject_id")
+    chart = restrict(chartevents, cohort, "subject_id", bloom_bits=bloom_bits)
+    cv = restrict(inputevents_cv, cohort, "subject_id", bloom_bits=bloom_bits)
+    mv = restrict(inputevents_mv, cohort, "subject_id", bloom_bits=bloom_bits)
     labs = hz.labs_with_stays(labevents, restrict(icustays, cohort, "hadm_id"))
     branches = [
         hz.chart_branches(chart, cohort, temp_category),

@@ -13,33 +13,61 @@ have few different counts.
 
 from __future__ import annotations
 
+import re
+from collections import Counter
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from wardflow.llm.common import Scratch, join_small, lower_az
+from wardflow.llm.common import Scratch, join_small, ship_by_value
 
-#: Characters that end a term.
-GAP = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
 ONE = 1_000_000_000
+_TERM = re.compile(rb"[a-z\x80-\xff]+")
+#: A task sends its counts on when it holds so many of them.
+HELD_COUNTS = 500_000
+#: A count and a number of rows in one integer.
+_ROW = 1 << 40
+
+
+def _count_rows(batches):
+    """Counts of a stream of (lang, source, text) rows, as batches of (lang,
+    source, term, n, docs).  In UTF-8 the bytes of a term are a-z and those
+    above 0x7F."""
+    groups, held = {}, 0
+
+    def sent():
+        for (lang, source), counts in groups.items():
+            k = len(counts)
+            values = list(counts.values())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([lang] * k, pa.string()), pa.array([source] * k, pa.string()), pa.array(list(counts), pa.string()),
+                 pa.array([v & (_ROW - 1) for v in values], pa.int64()), pa.array([v >> 40 for v in values], pa.int64())],
+                names=["lang", "source", "term", "n", "docs"])
+
+    for b in batches:
+        for lang, source, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
+            counts = groups.setdefault((lang, source), {})
+            held -= len(counts)
+            get = counts.get
+            for term, k in Counter(_TERM.findall(text.as_py().encode().lower())).items():
+                counts[term] = get(term, 0) + k + _ROW
+            held += len(counts)
+            if held > HELD_COUNTS:
+                yield from sent()
+                groups, held = {}, 0
+    yield from sent()
 
 
 def term_counts(df: DataFrame, lang_col: str = "lang", source_col: str = "source", text_col: str = "text") -> DataFrame:
     """(lang, source, term, n, docs): occurrences of a term in a group and the
-    number of the group's rows that hold it.  A row's terms are sorted and
-    leave it as runs, a term and its count each; partial sums are taken
-    before the shuffle."""
-    def plain(c):
-        return F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(""))
-    terms = F.sort_array(F.split(lower_az(plain(text_col)), GAP))
-    rows = df.select(plain(lang_col).alias("lang"), plain(source_col).alias("source"), terms.alias("ts"))
-    starts = F.transform("ts", lambda t, i: F.when((i == 0) | (t != F.get("ts", i - 1)), i))
-    rows = rows.withColumn("at", F.filter(starts, lambda i: i.isNotNull()))
-    runs = F.transform("at", lambda i, k: F.struct(
-        F.get("ts", i).alias("term"), (F.coalesce(F.get("at", k + 1), F.size("ts")) - i).alias("n")))
-    return (rows.select("lang", "source", F.explode(runs).alias("t")).select("lang", "source", "t.*")
-            .where("term <> ''").groupBy("lang", "source", "term")
-            .agg(F.sum("n").alias("n"), F.count("*").alias("docs")))
+    number of the group's rows that hold it.  Tasks count Arrow batches of
+    rows and hold a bounded number of counts; the sums follow in Spark."""
+    ship_by_value(__name__)
+    rows = df.select(*[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in (lang_col, source_col, text_col)])
+    counted = rows.mapInArrow(_count_rows, "lang string, source string, term string, n long, docs long")
+    return counted.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
 
 
 def _share(n: str | Column, total: Column, v: Column) -> Column:

@@ -2,6 +2,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -42,6 +43,17 @@ def test_merges_give_the_tokenizers_ids(tok, chunked):
     assert [np.frombuffer(chunked.ids(c), "<u4").tolist() for c in chunks] == want
 
 
+def test_batches_give_the_same_ids(chunked, monkeypatch):
+    texts = [None, "", " \n", "Hello, World's  don't\tyou'll", "a\x0bb\x0cc\x1cd\x85e f g　h", "<|endoftext|> x",
+             "ΑΣ İstanbul 漢字 😀🏽 12٣4", "x" * 500, "h\u0331 H\u0331 né NÉ don't.", "ab " * 50, None]
+    column = pa.array(texts * 3)
+    for size in (4 << 20, 30):
+        monkeypatch.setattr(token_ids, "SPLIT_BYTES", size)
+        chunked.cache.clear()
+        assert list(chunked.batch_ids(column.slice(4))) == [chunked.ids(t) for t in column.slice(4).to_pylist()]
+    assert list(chunked.batch_ids(column.slice(0, 0))) == []
+
+
 def check(rows, texts, tok, capacity):
     """Pieces give back every document's ids; sequences are gapless and fit."""
     pieces, seqs = {}, {}

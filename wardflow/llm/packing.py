@@ -188,8 +188,8 @@ def pieces(df: DataFrame, id_cols: list[Column], text: Column, json_text: str, c
         step = 4 * capacity
         for batch in batches:
             of, rows = [], []
-            for r, t in enumerate(batch.column(n_ids)):
-                ids = tok.ids(t.as_py()) + END_ID.to_bytes(4, "little")
+            for r, ids in enumerate(tok.batch_ids(batch.column(n_ids))):
+                ids += END_ID.to_bytes(4, "little")
                 for k, at in enumerate(range(0, len(ids), step)):
                     part = ids[at:at + step]
                     rows.append((key, k, at // 4, len(part) // 4, zlib.crc32(part)))

@@ -4,9 +4,10 @@ Documents are tokenized and cut into pieces of at most ``capacity`` tokens.
 Full pieces are sequences by themselves.  The others are dealt by a hash of
 their unique row key into shards of about ``shard_pieces`` pieces, and each
 shard is packed by a grouping genetic algorithm: a solution is a set of bins,
-crossover injects whole well-filled bins of one parent into another, removes
-the bins that hold their documents a second time and best-fits the displaced
-ones.  Each shard evolves on several islands, which are rows of one table;
+crossover injects whole well-filled bins of one parent into another and
+removes the bins that hold their documents a second time.  Displaced pieces
+first replace smaller ones where they fill a bin better, and best fit places
+what is left.  Each shard evolves on several islands, which are rows of one table;
 between epochs the best solution of each island migrates to the next by a
 join.  A shard that reaches the lower bound stops.
 
@@ -20,7 +21,8 @@ from __future__ import annotations
 
 import math
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -39,8 +41,11 @@ ISLANDS = 2
 EPOCHS = 2
 GENERATIONS = 6
 POPULATION = 3
-#: Pieces a Python task gathers before it hands a batch on.
-BATCH_ROWS = 20_000
+#: Shards a task evolves one after the other, where there are more than cores.
+SHARDS_PER_TASK = 16
+#: Pieces of a bin that a replacement chooses from, and rounds of replacement a solution gets.
+SWAP_PIECES = 6
+SWAP_ROUNDS = 4
 
 
 # ---------------------------------------------------------------------------
@@ -59,15 +64,17 @@ class Packing:
         self.bins.append(items)
         self.fill.append(sum(lengths[i] for i in items))
 
-    def best_fit(self, items: list[int], lengths: list[int]) -> None:
-        """Put each item, longest first, into the fullest bin that takes it."""
+    def best_fit(self, items: Sequence[int], lengths: list[int], order: list[float] | None = None) -> None:
+        """Put each item, longest (or largest in ``order``) first, into the
+        fullest bin that takes it."""
+        by = lengths if order is None else order
         by_room: dict[int, list[int]] = {}
         rooms = 0  # bit r is set where a bin has r tokens of room
         for b, f in enumerate(self.fill):
             r = self.capacity - f
             by_room.setdefault(r, []).append(b)
             rooms |= 1 << r
-        for i in sorted(items, key=lambda i: -lengths[i]):
+        for i in sorted(items, key=lambda i: -by[i]):
             n = lengths[i]
             fitting = rooms >> n
             if fitting:
@@ -110,42 +117,139 @@ def lower_bound(lengths: list[int], capacity: int) -> int:
     return -(-sum(lengths) // capacity)
 
 
+class Loose:
+    """Displaced pieces by length; lengths, and sums of two of them, as bits
+    of an integer, so that the largest one in a range is found at once."""
+
+    def __init__(self, items: list[int], lengths: list[int], capacity: int):
+        self.lengths = lengths
+        self.capacity = capacity
+        self.by_length: dict[int, list[int]] = {}
+        self.ones = 0
+        for i in items:
+            self.add(i)
+        self.sum_up()
+
+    def add(self, i: int) -> None:
+        self.by_length.setdefault(self.lengths[i], []).append(i)
+        self.ones |= 1 << self.lengths[i]
+
+    def pop(self, n: int) -> int:
+        same = self.by_length[n]
+        i = same.pop()
+        if not same:
+            del self.by_length[n]
+            self.ones ^= 1 << n
+        return i
+
+    def sum_up(self) -> None:
+        self.twos = 0
+        for n in self.by_length:
+            self.twos |= self.ones << n
+        self.twos &= (1 << (self.capacity + 1)) - 1
+
+    def pair(self, total: int) -> tuple[int, int] | None:
+        """Lengths of two pieces with that sum, if they are (still) there."""
+        for n, same in self.by_length.items():
+            m = total - n
+            if m in self.by_length and (m != n or len(same) > 1):
+                return n, m
+        return None
+
+    def items(self) -> list[int]:
+        return [i for same in self.by_length.values() for i in same]
+
+
+def _swap(p: Packing, b: int, loose: Loose, lengths: list[int], rnd: np.random.Generator) -> bool:
+    """Replace up to three pieces of bin ``b`` by one or two loose ones, if
+    that fills it better; the fullest outcome is taken."""
+    items, room = p.bins[b], p.capacity - p.fill[b]
+    some = items if len(items) <= SWAP_PIECES else [items[k] for k in rnd.choice(len(items), SWAP_PIECES, replace=False)]
+    gain, found = 0, None
+    for k in (0, 1, 2, 3):
+        for out in combinations(some, k):
+            gone = sum(lengths[i] for i in out)
+            upto = (1 << (gone + room + 1)) - 1
+            n = (loose.ones & upto).bit_length() - 1
+            if n - gone > gain:
+                gain, found = n - gone, (out, (n,))
+            n = (loose.twos & upto).bit_length() - 1
+            if n - gone > gain:
+                two = loose.pair(n)
+                if two:
+                    gain, found = n - gone, (out, two)
+            if gain == room:
+                break
+        if gain == room:
+            break
+    if not found:
+        return False
+    out, new = found
+    new = [loose.pop(n) for n in new]
+    p.bins[b] = [i for i in items if i not in out] + new
+    p.fill[b] += gain
+    for i in out:
+        loose.add(i)
+    return True
+
+
+def replace(p: Packing, items: list[int], lengths: list[int], rnd: np.random.Generator) -> list[int]:
+    """Rounds of replacement over the bins with room, in random order; what is
+    loose after them (smaller pieces than before).  Full bins stay."""
+    loose = Loose(items, lengths, p.capacity)
+    for _ in range(SWAP_ROUNDS):
+        swapped = 0
+        for b in rnd.permutation(len(p.bins)).tolist():
+            if p.fill[b] < p.capacity and _swap(p, b, loose, lengths, rnd):
+                swapped += 1
+                if not swapped % 32:
+                    loose.sum_up()
+        if not swapped:
+            break
+        loose.sum_up()
+    return loose.items()
+
+
 def crossover(a: Packing, b: Packing, lengths: list[int], rnd: np.random.Generator) -> Packing:
-    """A child of ``a`` with a random share of ``b``'s well-filled bins
-    injected whole; bins of ``a`` that repeat an injected piece are dissolved
-    and what they lose is placed again by best fit, with the least filled
-    bins' pieces (the mutation)."""
+    """A child of ``a`` with the best-filled bins of ``b`` injected whole, a
+    random share of them; bins of ``a`` that repeat an injected piece are
+    removed, and some of its least filled ones dissolved (the mutation).
+    The pieces they lose replace others, then best fit places the rest."""
     child = Packing(a.capacity)
-    well = [k for k, f in enumerate(b.fill) if f >= 0.98 * b.capacity]
-    share = rnd.uniform(0.2, 0.7)
+    ranked = sorted(range(len(b.bins)), key=lambda k: -b.fill[k])
+    ranked = ranked[:int(len(ranked) * rnd.uniform(0.1, 0.5))]
     taken: set[int] = set()
-    for k, u in zip(well, rnd.random(len(well)).tolist()):
-        if u < share:
-            child.bins.append(list(b.bins[k]))
-            child.fill.append(b.fill[k])
-            taken.update(b.bins[k])
+    for k in ranked:
+        child.bins.append(list(b.bins[k]))
+        child.fill.append(b.fill[k])
+        taken.update(b.bins[k])
     loose: list[int] = []
-    weak = np.quantile(a.fill, 0.05) if a.fill else 0
+    weak = np.quantile(a.fill, rnd.uniform(0.05, 0.2)) if a.fill else 0
     for items, fill in zip(a.bins, a.fill):
         if not taken.isdisjoint(items):
             loose += [i for i in items if i not in taken]
-        elif fill <= weak and fill < a.capacity:
+        elif fill <= weak and fill < a.capacity and rnd.random() < 0.7:
             loose += items
         else:
             child.bins.append(list(items))
             child.fill.append(fill)
-    child.best_fit(loose, lengths)
+    child.best_fit(replace(child, loose, lengths, rnd), lengths)
     return child
 
 
 def first_population(lengths: list[int], capacity: int, size: int, rnd: np.random.Generator) -> list[Packing]:
-    """Best fit decreasing, and variants that place a random part of the pieces later."""
+    """Best fit decreasing, and best fit in orders ever further from it (bins
+    of long pieces next to bins of short ones)."""
     out = []
     for k in range(size):
         p = Packing(capacity)
-        late = rnd.random(len(lengths)) < (0.1 * k)
-        p.best_fit([i for i in range(len(lengths)) if not late[i]], lengths)
-        p.best_fit([i for i in range(len(lengths)) if late[i]], lengths)
+        if k % 2:  # a random part alone, then the others
+            part = rnd.random(len(lengths)) < 0.5
+            p.best_fit(np.flatnonzero(part).tolist(), lengths)
+            p.best_fit(np.flatnonzero(~part).tolist(), lengths)
+        else:  # the order blurred
+            blur = (np.array(lengths) * (1 + 0.1 * k * rnd.random(len(lengths)))).tolist()
+            p.best_fit(range(len(lengths)), lengths, blur)
         out.append(p)
     return out
 
@@ -293,14 +397,14 @@ def pack(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenize
     open_pieces = all_pieces.where(F.col("__length") < capacity)
     shards = max(1, math.ceil(open_pieces.count() / shard_pieces))
     open_pieces = open_pieces.withColumn("shard", F.pmod(F.xxhash64("__row"), F.lit(shards)).cast("int"))
-    tasks = min(shards, max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism))
+    tasks = min(shards, max(math.ceil(shards / SHARDS_PER_TASK), spark.sparkContext.defaultParallelism))
     state = cut(_islands(open_pieces, capacity, islands, tasks))
     for e in range(epochs):
         elite = state.select("shard", F.pmod(F.col("island") + 1, F.lit(islands)).alias("island"),
                              F.col("population")[0].alias("migrant"))
         arrived = (state.join(elite, ["shard", "island"]) if e else state.withColumn("migrant", F.lit(None).cast("binary")))
         state = cut(_epoch(arrived.repartition(tasks * islands, "shard", "island"), capacity, generations, e))
-    best = state.groupBy("shard").agg(F.max_by(F.struct("keys", "lengths", F.col("population")[0].alias("solution")),
+    best = state.repartition(tasks, "shard").groupBy("shard").agg(F.max_by(F.struct("keys", "lengths", F.col("population")[0].alias("solution")),
                                                F.struct("fitness", -F.col("island"))).alias("b")).select("shard", "b.*")
     places = _places(best, capacity)
     full = all_pieces.where(F.col("__length") == capacity).select(

@@ -55,6 +55,34 @@ def test_mix_is_whole_and_repeatable(spark, monkeypatch):
     assert mixing.mixed(df.withColumn("text", F.lit(None).cast("string"))).isEmpty()
 
 
+@pytest.mark.parametrize("row", ["one row", "one id"])
+def test_a_source_of_repeated_rows_meets_its_target(spark, row, monkeypatch):
+    rows = [(i, f"w{i} x y z", s, i) for i in range(2000) for s in "ac"]
+    rows += [(7, "w7 x y z" if row == "one row" else f"w{i} x y z", "b", i) for i in range(2000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, `a.b` long")
+    got = mixing.with_copies(df, weights=(1, 1, 1), share=1.25).cache()
+    taken = {r.source: (r.taken, r.target) for r in got.groupBy("source").agg(
+        F.sum(F.expr("__copies * __size")).alias("taken"), F.max("__target").alias("target")).collect()}
+    for taken_, target in taken.values():
+        assert abs(taken_ - target) < 0.05 * target
+    cols = ["doc_id", "text", "source", "__copies"]
+    monkeypatch.setattr(mixing, "REPEAT_PARTS", 3)  # parts and partitions change nothing
+    again = mixing.with_copies(df.repartition(5), weights=(1, 1, 1), share=1.25)
+    assert sorted(map(str, again.select(cols).collect())) == sorted(map(str, got.select(cols).collect()))
+
+
+def test_mix_keeps_columns_of_any_name(spark):
+    names = ["a.b", "__size", "__draw", "__copies", "__name", "__nth", "__key", "__of", "__id", "__row", "__target", "id"]
+    df = spark.createDataFrame([(i, "w w", f"s{i % 2}", *[f"{n} {i}" for n in names]) for i in [1, 1, *range(2, 60)]],
+                               ["doc_id", "text", "source", *names])
+    out = mixing.mixed(df, share=2.0)
+    assert out.columns == df.columns
+    rows = set(map(tuple, df.collect()))
+    assert out.count() and all(tuple(r) in rows for r in out.collect())
+    with pytest.raises(ValueError):
+        mixing.with_copies(df)
+
+
 # -- quality ----------------------------------------------------------------
 
 def plain_measures(text):

@@ -85,10 +85,12 @@ def test_mix_stage(stages):
         left -= sum(target[n] for n in above)
         open_ -= above
     target |= share
-    want = []
+    want, seen = [], {}
     for r in before:
         rate = target[r.source] / total[r.source] if total[r.source] else 0
-        u = int(hashlib.md5(f"mix:{r.doc_id}".encode()).hexdigest()[:13], 16) / 2 ** 52
+        name = f"mix:{'~' if r.doc_id is None else r.doc_id}:{'~' if r.text is None else hashlib.md5(r.text.encode()).hexdigest()}"
+        nth = seen[r.source, name] = seen.get((r.source, name), -1) + 1
+        u = int(hashlib.md5((name + (f":{nth}" if nth else "")).encode()).hexdigest()[:13], 16) / 2 ** 52
         want += [r] * (int(rate) + (u < rate - int(rate)))
     assert key(after) == key(want)
 

@@ -3,21 +3,24 @@
 Sizes are summed per source, a target is set for each source, and a document
 of a source with repetition rate ``target / size`` is emitted ``floor(rate)``
 times plus once more if a hash-seeded draw in [0, 1) falls below the
-fraction.  The draw depends on the document's id alone, so reruns and
-retried tasks agree and no state is kept.
+fraction.  The draw depends on the document's id and text, and on a number
+for each further row that repeats both, so reruns and retried tasks agree.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from wardflow.llm import common
-from wardflow.llm.common import cut, words
+from wardflow.llm.common import cut, join_small, packed, unpacked, words
 
 DRAW_BITS = 52
 #: If the per-source table is too large to broadcast, a source's rows are spread over so many join keys.
 SALTS = 64
+#: Rows that repeat a document are numbered in so many parts.
+REPEAT_PARTS = 1024
 
 
 def n_words(text: Column) -> Column:
@@ -57,13 +60,43 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...], share: float, max
     return ranked.withColumn("target", F.least(stop, F.lit(level) * F.col("weight")))
 
 
-def draw(id_col: Column, text: Column, seed: str) -> Column:
-    """A number in [0, 1) from a document's id (from its text where the id is null)."""
-    name = F.coalesce(id_col.cast("string"), F.concat(F.lit("~"), text), F.lit("~"))
-    digits = F.substring(F.md5(F.concat(F.lit(seed + ":"), name)), 1, DRAW_BITS // 4)
+def name(id_col: Column, text: Column) -> Column:
+    """What tells a document from others: its id and its text's digest."""
+    return F.concat_ws(":", F.coalesce(id_col.cast("string"), F.lit("~")), F.coalesce(F.md5(text), F.lit("~")))
+
+
+def draw(name: Column, nth: Column, seed: str) -> Column:
+    """A number in [0, 1) for the nth row (from 0) of a document's name."""
+    digits = F.substring(F.md5(F.concat(F.lit(seed + ":"), name, F.when(nth > 0, F.concat(F.lit(":"), nth.cast("string")))
+                                        .otherwise(F.lit("")))), 1, DRAW_BITS // 4)
     return F.conv(digits, 16, 10).cast("long").cast("double") / F.lit(float(1 << DRAW_BITS))
 
 
+def _numbered(df: DataFrame) -> DataFrame:
+    """``df`` with ``__nth``: rows of one source that agree in ``__name`` are
+    numbered from 0.  Rows are looked at again only where names repeat.  Each
+    part of a name's rows is numbered by itself, after the rows of the parts
+    before it, so that a row repeated very often is not sorted in one task."""
+    keyed = df.withColumn("__key", F.md5(F.concat_ws("/", F.col("__name"), F.hex("__of_name"))))
+    repeated = cut(keyed.groupBy("__key").count().where("count > 1").select("__key"))
+    if repeated.isEmpty():
+        return df.withColumn("__nth", F.lit(0).cast("long"))
+    mark = repeated.withColumn("__again", F.lit(True))
+    if common.measured_bytes(repeated) <= common.BROADCAST_BYTES:
+        mark = F.broadcast(mark)
+    marked = keyed.join(mark, "__key", "left")
+    again = cut(marked.where("__again").withColumn("__at", F.monotonically_increasing_id()))
+    part = F.pmod(F.col("__at"), F.lit(REPEAT_PARTS))
+    again = again.withColumn("__part", part)
+    before = Window.partitionBy("__key").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = again.groupBy("__key", "__part").count().select(
+        "__key", "__part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("__start"))
+    inside = F.row_number().over(Window.partitionBy("__key", "__part").orderBy("__at")) - 1
+    numbered = again.withColumn("__inside", inside).join(starts, ["__key", "__part"])
+    return (marked.where("__again is null").select(*df.columns, F.lit(0).cast("long").alias("__nth"))
+            .unionByName(numbered.select(*df.columns, (F.col("__start") + F.col("__inside")).alias("__nth"))))
+
+
 def _with_targets(df: DataFrame, targets: DataFrame, source: Column) -> DataFrame:
     """Join rows to their source's target without gathering a hot source."""
     same = source.eqNullSafe(F.col("__source"))
@@ -80,23 +113,32 @@ def with_copies(df: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: floa
     """``df`` with ``__size``, ``__source_size``, ``__target`` and ``__copies``.
 
     Size is the number of words (null text: 0).  Null sources are one source,
-    the last.  Documents of a source without words get no copies.  Repeated
-    rows share one draw; null ids draw by their text; ties cannot occur.
-    Whole texts of any length are read; other columns are carried along
-    whatever their names.  An empty table gives an empty result.
+    the last.  Documents of a source without words get no copies.  Rows that
+    repeat a document draw each for itself, and so do texts that share an id;
+    ties cannot occur.  Whole texts of any length are read; other columns are
+    carried along whatever their names, except that a column of one of the
+    four names is refused.  An empty table gives an empty result.
     """
-    sized = df.withColumns({"__size": n_words(F.col(text_col)), "__draw": draw(F.col(id_col), F.col(text_col), seed)})
-    sizes = sized.groupBy(F.col(source_col).cast("string").alias("source")).agg(F.sum("__size").alias("source_size"))
+    made = ["__size", "__source_size", "__target", "__copies"]
+    if clash := set(made) & set(df.columns):
+        raise ValueError(f"columns {sorted(clash)} would be overwritten")
+    own = {"__id": id_col, "__text": text_col, "__of": source_col}
+    rows = packed(df, **own).withColumn("__of_name", F.col("__of").cast("string"))
+    sizes = rows.groupBy(F.col("__of_name").alias("source")).agg(F.sum(n_words(F.col("__text"))).alias("source_size"))
     t = source_targets(sizes, weights, share, max_rate).select(
         F.col("source").alias("__source"), F.col("source_size").alias("__source_size"), F.col("target").alias("__target"))
+    named = _numbered(rows.withColumn("__name", name(F.col("__id"), F.col("__text"))))
     rate = F.when(F.col("__source_size") > 0, F.col("__target") / F.col("__source_size")).otherwise(F.lit(0.0))
-    more = F.col("__draw") < rate - F.floor(rate)
-    return (_with_targets(sized, t, F.col(source_col).cast("string"))
-            .withColumn("__copies", F.floor(rate) + more.cast("long")))
+    more = draw(F.col("__name"), F.col("__nth"), seed) < rate - F.floor(rate)
+    out = _with_targets(named, t, F.col("__of_name")).withColumns(
+        {"__size": n_words(F.col("__text")), "__copies": F.floor(rate) + more.cast("long")})
+    return out.select(*unpacked(out, df.columns, **own), *made)
 
 
-def mixed(df: DataFrame, **options) -> DataFrame:
+def mixed(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
     """The mix itself: every row of ``df`` as often as it has copies, columns
-    unchanged.  Cases as in ``with_copies``."""
-    repeated = with_copies(df, **options).where("__copies > 0")
-    return repeated.withColumn("__copy", F.explode(F.expr("sequence(1L, __copies)"))).select(*df.columns)
+    unchanged, whatever their names.  Other cases as in ``with_copies``."""
+    own = {"id": id_col, "text": text_col, "source": source_col}
+    repeated = with_copies(packed(df, **own), id_col="id", text_col="text", source_col="source", **options).where("__copies > 0")
+    out = repeated.withColumn("__copy", F.explode(F.expr("sequence(1L, __copies)")))
+    return out.select(*unpacked(out, df.columns, **own))

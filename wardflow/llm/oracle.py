@@ -7,7 +7,10 @@ _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 SOURCE_MIX = rf"""
 WITH d AS (
-  SELECT doc_id, text, source, len({_WORDS})::BIGINT AS size FROM documents),
+  SELECT doc_id, text, source, len({_WORDS})::BIGINT AS size,
+    coalesce(doc_id::VARCHAR, '~') || ':' || coalesce(md5(text), '~') AS name,
+    -- the rows of a source that repeat a document are numbered, and draw each for itself
+    row_number() OVER (PARTITION BY source, doc_id, md5(text)) - 1 AS nth FROM documents),
 s AS (SELECT source, sum(size)::DOUBLE AS total FROM d GROUP BY source),
 r AS (
   SELECT *, CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3
@@ -32,7 +35,7 @@ t AS (
 c AS (
   SELECT doc_id, size, source_size, target,
     CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate,
-    ('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, '~' || text, '~')), 1, 13))::BIGINT
+    ('0x' || substr(md5('mix:' || name || CASE WHEN nth > 0 THEN ':' || nth ELSE '' END), 1, 13))::BIGINT
       / 4503599627370496.0::DOUBLE AS u
   FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
 e AS (SELECT *, (floor(rate) + CASE WHEN u < rate - floor(rate) THEN 1 ELSE 0 END)::BIGINT AS copies FROM c)

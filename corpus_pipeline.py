@@ -75,7 +75,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents repeated, or left out, to the sources' target weights.  Null
     and empty texts have no words and count for nothing; a null source is a
-    source; rows that share an id share one draw; texts of any length are
+    source; rows that repeat a document draw each for itself; texts of any length are
     counted whole; an empty table stays empty; other columns are carried along
     whatever their names."""
     own = _columns(docs, "doc_id", "text", "source")

@@ -74,7 +74,7 @@ def test_license_wording(spark):
     assert by[6, 0].license == "MIT" and by[6, 0].start == 100_001
     assert licenses.license_blocks(df.limit(0)).isEmpty()
     for name, t in licenses.TEMPLATES.items():
-        assert licenses.Scanner(licenses.TEMPLATES).scan(t)[0] == name
+        assert licenses.Scanner(licenses.TEMPLATES).notices(t)[0][0] == name
 
 
 # -- rollups ----------------------------------------------------------------

@@ -76,3 +76,85 @@ def test_wrapped_notices(spark):
     got = rows_of(spark, texts)
     for k, w in enumerate(want):
         assert [(g.license, texts[k][g.start:g.end].rstrip()) for g in got[k]] == w
+
+
+def wording_search(scanner, text):
+    """Brute force: (start, end, name) of every run of words that is some
+    template's wording but for the words that may differ; of those that
+    overlap the longest, then the one with the fewest differences."""
+    spans = [m.span() for m in licenses.WORD.finditer(text)]
+    own, found = [text[a:b].lower() for a, b in spans], []
+    for name, words in scanner.words.items():
+        k = scanner.may_differ[name]
+        starts = range(len(own)) if k else [i for i in range(len(own)) if own[i:i + len(words)] == words]
+        for i in starts:
+            if k and len({*own[i:i + len(words)]} & {*words}) < 0.8 * len({*words}):
+                continue
+            first, end, missing, extra = licenses.align(own[i:i + len(words) + k], words)
+            if len(missing) + len(extra) <= k and not scanner.naming & {*missing, *extra}:
+                found.append((first - end, len(missing) + len(extra), i + first, i + end, name))
+    taken, out = set(), set()
+    for _, _, a, b, name in sorted(found):
+        if taken.isdisjoint(range(a, b)):
+            taken.update(range(a, b))
+            out.add((spans[a][0], spans[b - 1][1], name))
+    return out
+
+
+def planted(seed):
+    rnd = random.Random(seed)
+    parts = []
+    for _ in range(rnd.randint(1, 4)):
+        name = rnd.choice(list(licenses.TEMPLATES))
+        words = licenses.TEMPLATES[name].split(" ")
+        for _ in range(int(0.03 * len(words)) if rnd.random() < 0.5 else 0):
+            words.pop(rnd.randrange(5, len(words) - 5))
+        notice = " ".join(words)
+        if rnd.random() < 0.5:
+            notice = textwrap.fill(notice, rnd.choice([12, 40, 72])).replace("\n", rnd.choice(["\n", "\n# "]))
+        parts += [prose(rnd.choice([0, 3, 200]), rnd.random()), notice]
+    return " ".join(parts)
+
+
+def test_recall_against_the_wording_search():
+    """Every notice of 60 planted texts, wrapped, changed and in one line."""
+    scanner = licenses.Scanner(licenses.TEMPLATES)
+    n = 0
+    for seed in range(60):
+        text = planted(seed)
+        want = wording_search(scanner, text)
+        got = {(lo, name) for lo, hi, name, *_ in scanner.blocks(text) if name}
+        assert got == {(lo, name) for lo, hi, name in want}, seed
+        n += len(want)
+    assert n > 100
+
+
+def test_the_ranking_decides():
+    """With savings dealt out to other templates, and with candidates in
+    another order, other rows come out."""
+    rnd = random.Random(4)
+
+    class Shuffled(licenses.Scanner):
+        def saved(self, name, words):
+            if not hasattr(self, "own_saving"):
+                return super().saved(name, words)
+            return super().saved(rnd.choice(list(self.words)), words)
+
+    class Backwards(licenses.Scanner):
+        def ranked(self, savings):
+            return super().ranked(savings)[::-1]
+
+    right = licenses.Scanner(licenses.TEMPLATES)
+    names = list(licenses.TEMPLATES)
+    texts = [f"{prose(40, k)} {licenses.TEMPLATES[n]} {prose(40, -k - 1)}" for k, n in enumerate(names)]
+    want = [[r[2] for r in right.blocks(t)] for t in texts]
+    assert want == [[n] for n in names]
+    assert sum([r[2] for r in Shuffled(licenses.TEMPLATES).blocks(t)] != w for t, w in zip(texts, want)) > len(names) // 3
+    back = Backwards(licenses.TEMPLATES)
+    assert [r[2] for r in back.blocks(texts[names.index("Apache-2.0-header")])][0] == "Apache-2.0"
+
+
+def test_text_dense_in_license_words():
+    scanner = licenses.Scanner(licenses.TEMPLATES)
+    text = "license " * 20_000
+    assert [(r[0], r[2]) for r in scanner.blocks(text)] == [(0, None)]

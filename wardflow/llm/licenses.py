@@ -1,17 +1,21 @@
 """License scans by conditional compression.
 
-The words around each license word, as far as a notice can reach, form
-candidate blocks.  A block is compressed alone and with each template as a
-zstandard raw dictionary, with the same parameters; the templates are ranked
-by how much smaller the block becomes, and the first whose wording is
-confirmed wins, whatever it saves: the words in which the block's passage
-differs from it are few enough, and none of them names a version or a license.
+The words around each license word, as far as a template of that length can
+reach, are its candidate block.  The block's wording is compressed alone and
+with the template's as a zstandard raw dictionary, with the same parameters.
+A template is a candidate if it makes its block smaller by at least a share of
+what it saves of its own wording; candidates are ranked by the bytes saved, and
+the first whose wording is confirmed wins: the words in which the passage
+around the license word differs from it are few enough, and none of them names
+a version or a license.  The winner's words are taken out, and the search goes
+on from the next license word behind them.
 """
 
 from __future__ import annotations
 
 import re
-from collections import defaultdict, deque
+from collections import deque
+from functools import lru_cache
 from itertools import islice
 
 import numpy as np
@@ -42,13 +46,54 @@ TEMPLATES = {
         "without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell "
         "copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the "
         "following conditions:"),
+    "MIT-text": (
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
+        "associated documentation files (the \"Software\"), to deal in the Software without restriction, including "
+        "without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell "
+        "copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the "
+        "following conditions:\n\n"
+        "The above copyright notice and this permission notice shall be included in all copies or substantial "
+        "portions of the Software.\n\n"
+        "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT "
+        "LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO "
+        "EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER "
+        "IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE "
+        "USE OR OTHER DEALINGS IN THE SOFTWARE."),
+    "BSD-2-Clause-text": (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided "
+        "that the following conditions are met:\n\n"
+        "1. Redistributions of source code must retain the above copyright notice, this list of conditions and the "
+        "following disclaimer.\n\n"
+        "2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and "
+        "the following disclaimer in the documentation and/or other materials provided with the distribution.\n\n"
+        "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED "
+        "WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A "
+        "PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY "
+        "DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, "
+        "PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) "
+        "HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING "
+        "NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE "
+        "POSSIBILITY OF SUCH DAMAGE."),
+    "ISC-text": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
+        "hereby granted, provided that the above copyright notice and this permission notice appear in all "
+        "copies.\n\n"
+        "THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE "
+        "INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR "
+        "ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF "
+        "USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF "
+        "OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."),
 }
 TRIGGER = r"(?i)licen[sc]|copyright|all rights reserved|permission is|warrant(?:y|ies)|redistribut"
-LEVEL = 19
+LEVEL = 12
 #: Of a template's words, this share may differ (short notices: none).
 MAX_DIFFERENT = 0.05
-#: Characters compressed at once.
-PIECE = 2048
+#: A candidate saves at least this share of what its template saves of itself.
+LEAST_SAVED = 0.5
+#: Words compressed, or aligned, at once.
+PIECE = 1024
+#: Blocks whose savings a worker remembers (copies of a notice are scored once).
+BLOCKS_KEPT = 1 << 14
 WORD = re.compile(r"\w+(?:[-.]\w+)*")
 
 
@@ -91,22 +136,29 @@ def naming_words(templates: dict[str, str]) -> set[str]:
 class Scanner:
     def __init__(self, templates: dict[str, str]):
         import zstandard
+        self.words = {k: wording(t) for k, t in templates.items()}
+        text = {k: " ".join(w).encode() for k, w in self.words.items()}
+        self.longest_word = max(len(w) for words in self.words.values() for w in words)
         # one set of parameters with and without a dictionary: only the dictionary makes a difference
-        longest = 4 * PIECE + max(len(t.encode()) for t in templates.values())
-        level = zstandard.ZstdCompressionParameters.from_level(LEVEL, source_size=longest)
+        longest = 4 * PIECE * (self.longest_word + 1) + max(map(len, text.values()))
+        level = zstandard.ZstdCompressionParameters.from_level(LEVEL, source_size=8 * PIECE)
         params = zstandard.ZstdCompressionParameters(
             window_log=longest.bit_length(), write_content_size=False,
             **{k: getattr(level, k) for k in ("chain_log", "hash_log", "search_log", "min_match", "target_length", "strategy")})
         self.alone = zstandard.ZstdCompressor(compression_params=params)
         self.given = {k: zstandard.ZstdCompressor(compression_params=params, dict_data=zstandard.ZstdCompressionDict(
-            t.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)) for k, t in templates.items()}
-        self.words = {k: wording(t) for k, t in templates.items()}
+            t, dict_type=zstandard.DICT_TYPE_RAWCONTENT)) for k, t in text.items()}
         self.tail = {k: re.search(r"\W*$", t)[0] for k, t in templates.items()}
         self.may_differ = {k: int(MAX_DIFFERENT * len(w)) for k, w in self.words.items()}
-        #: Words a notice can reach to either side of a trigger in it (which may cut a word).
-        self.reach = 1 + max(len(w) + self.may_differ[k] for k, w in self.words.items())
+        #: Words a notice of each template can reach to either side of a trigger in it, the trigger's own included.
+        self.reaches = {k: len(w) + self.may_differ[k] for k, w in self.words.items()}
+        #: The same for any template (a trigger may cut a word).
+        self.reach = 1 + max(self.reaches.values())
         self.naming = naming_words(templates)
         self.trigger = re.compile(TRIGGER)
+        self.alone_size = lru_cache(BLOCKS_KEPT)(lambda data: len(self.alone.compress(data)))
+        self.given_size = lru_cache(BLOCKS_KEPT)(lambda name, data: len(self.given[name].compress(data)))
+        self.own_saving = {k: self.saved(k, w) for k, w in self.words.items()}
 
     def before(self, text: str, at: int, floor: int) -> int:
         """Start of the ``reach``-th word before ``at``, or ``floor``."""
@@ -140,70 +192,75 @@ class Scanner:
             out[-1][1] = self.after(text, out[-1][2][-1][1])
         return out
 
-    def matches(self, own: list[str]) -> list[tuple[int, int, str, list[str], list[str]]]:
-        """Every (first, end, template, missing, extra) whose wording is
-        confirmed in some words.  A passage with k differences holds one of
-        k + 1 pieces of the template word for word."""
-        at, found = defaultdict(list), {}
-        for i, w in enumerate(own):
-            at[w].append(i)
-        for name, words in self.words.items():
-            k = self.may_differ[name]
-            cuts = [len(words) * p // (k + 1) for p in range(k + 2)]
-            regions = set()
-            for lo, hi in zip(cuts, cuts[1:]):
-                rare = min(range(lo, hi), key=lambda j: len(at.get(words[j], ())))
-                regions |= {i - rare for i in at.get(words[rare], ())
-                            if i - rare + lo >= 0 and own[i - rare + lo:i - rare + hi] == words[lo:hi]}
-            for start in regions:
-                lo = max(start - k, 0)
-                first, end, missing, extra = align(own[lo:start + len(words) + k], words) if k else (0, len(words), [], [])
-                if len(missing) + len(extra) <= k and not self.naming & {*missing, *extra}:
-                    found[lo + first, lo + end, name] = missing, extra
-        return [(*key, *v) for key, v in sorted(found.items())]
+    def saved(self, name: str, words: list[str]) -> int:
+        """Bytes that a template as dictionary saves of some words, which are
+        compressed in pieces of ``PIECE``.  A word longer than any of a
+        template's is written as a mark: no dictionary saves any of it."""
+        out = 0
+        for lo in range(0, len(words), PIECE):
+            data = " ".join([w if len(w) <= self.longest_word else "?" for w in words[lo:lo + PIECE]]).encode()
+            out += self.alone_size(data) - self.given_size(name, data)
+        return out
+
+    def closest(self, words: list[str], name: str) -> tuple[int, int, list[str], list[str]]:
+        """``align`` in stretches that overlap by the longest run that can be
+        the closest (twice the template), so that memory stays bounded."""
+        template, best = self.words[name], None
+        for lo in range(0, max(len(words), 1), PIECE):
+            first, end, missing, extra = align(words[lo:lo + PIECE + 2 * len(template)], template)
+            if best is None or len(missing) + len(extra) < len(best[2]) + len(best[3]):
+                best = lo + first, lo + end, missing, extra
+        return best
 
-    def rank(self, block: str) -> tuple[list[str], dict[str, int]]:
-        """The templates by the bytes they save of a block (most first), and
-        those bytes; blocks are compressed in pieces of ``PIECE`` characters."""
-        saved = dict.fromkeys(self.given, 0)
-        for lo in range(0, len(block), PIECE):
-            data = block[lo:lo + PIECE].encode()
-            size = len(self.alone.compress(data))
-            for k, c in self.given.items():
-                saved[k] += size - len(c.compress(data))
-        return sorted(saved, key=lambda k: (-saved[k], k)), saved
+    def ranked(self, savings: dict[str, int]) -> list[str]:
+        """The templates by the bytes they save, most first."""
+        return sorted(savings, key=lambda k: (-savings[k], k))
 
-    def scan(self, block: str) -> tuple:
-        """(license or None, top template, its reduction in bytes, the winner's rank from 1
-        or None, missing and extra words of the winner, or of the top, start and end of it)
-        of the first notice in a block, or of the block if it has none."""
-        found = self.notices(block)
-        if found:
-            return found[0]
-        ranked, saved = self.rank(block)
-        return None, ranked[0], saved[ranked[0]], None, *align(wording(block), self.words[ranked[0]])[2:], 0, len(block)
+    def unconfirmed(self, block: str) -> tuple:
+        """The row of a block without a notice: (None, top template, bytes it
+        saves, None, the words missing from the closest passage, and extra)."""
+        words = wording(block)
+        savings = {k: self.saved(k, words) for k in self.words}
+        top = self.ranked(savings)[0]
+        return None, top, savings[top], None, *self.closest(words, top)[2:]
+
+    def notice(self, own: list[str], at: int, floor: int) -> tuple | None:
+        """(first, end, license, top template, its reduction, rank of the
+        license, missing, extra) of the notice that holds word ``at`` and
+        starts at ``floor`` or later: the best-ranked candidate whose wording
+        is confirmed on words that hold it."""
+        blocks = {k: (max(floor, at - reach + 1), at + reach) for k, reach in self.reaches.items()}
+        savings = {k: self.saved(k, own[lo:hi]) for k, (lo, hi) in blocks.items()}
+        ranked = self.ranked(savings)
+        for rank, name in enumerate(ranked, 1):
+            if savings[name] < LEAST_SAVED * self.own_saving[name]:
+                continue
+            lo, hi = blocks[name]
+            first, end, missing, extra = align(own[lo:hi], self.words[name])
+            if (lo + first <= at < lo + end and len(missing) + len(extra) <= self.may_differ[name]
+                    and not self.naming & {*missing, *extra}):
+                return lo + first, lo + end, name, ranked[0], savings[ranked[0]], rank, missing, extra
+        return None
 
     def notices(self, block: str) -> list[tuple]:
-        """``scan`` of every notice in a block, in order.  Of templates confirmed
-        on the same words the one ranked highest on these wins; its words are
-        taken out, and what was confirmed on others goes on."""
+        """(license, top template, its reduction, rank, missing, extra, start,
+        end) of every notice in a block, in order: from license word to
+        license word, those inside a notice passed over."""
         spans = [m.span() for m in WORD.finditer(block)]
         own = [block[lo:hi].lower() for lo, hi in spans]
-        out, open_, left = [], [], self.matches(own)[::-1]
-        while left or open_:
-            # open_: confirmed passages that overlap one another
-            if left and (not open_ or left[-1][0] < max(f[1] for f in open_)):
-                open_.append(left.pop())
+        out, floor, w = [], 0, 0
+        for hit in self.trigger.finditer(block):
+            while w < len(spans) and spans[w][1] <= hit.start():
+                w += 1
+            if w < floor or w == len(spans):
                 continue
-            ranked, saved = self.rank(block[spans[open_[0][0]][0]:spans[max(f[1] for f in open_) - 1][1]])
-            first, end, name, missing, extra = min(
-                open_, key=lambda f: (ranked.index(f[2]), len(f[3]) + len(f[4]), f[0] - f[1], f[0]))
-            lo, hi = spans[first][0], spans[end - 1][1]
-            hi += len(self.tail[name]) * block.startswith(self.tail[name], hi)
-            out.append((name, ranked[0], saved[ranked[0]], ranked.index(name) + 1, missing, extra, lo, hi))
-            left += [f for f in reversed(open_) if f[1] <= first or f[0] >= end]
-            open_ = []
-        return sorted(out, key=lambda r: r[-2:])
+            found = self.notice(own, w, floor)
+            if found:
+                first, floor, name, *row = found
+                lo, hi = spans[first][0], spans[floor - 1][1]
+                hi += len(self.tail[name]) * block.startswith(self.tail[name], hi)
+                out.append((name, *row, lo, hi))
+        return out
 
     def blocks(self, text: str):
         """(start, end, license, ...) of every notice, and of the lines with
@@ -218,7 +275,7 @@ class Scanner:
                     first = max(text.rfind("\n", at, others[0][0]) + 1, at)
                     last = text.find("\n", others[-1][1], lo)
                     last = lo if last < 0 else last
-                    yield first, last, *self.scan(text[first:last])[:-2]
+                    yield first, last, *self.unconfirmed(text[first:last])
                 while hits and hits[0][0] < hi:
                     hits.popleft()
                 if row[0]:
@@ -235,7 +292,8 @@ def license_blocks(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     Null, empty and trigger-free texts have no blocks.  Whole texts are
     scanned; a long text only costs its license lines.  Equal reductions
-    rank by template name.  Repeated rows are scanned each.  An empty table
+    rank by template name.  A notice is found by the license words in it; the
+    templates are to hold one.  Repeated rows are scanned each.  An empty table
     gives an empty result; other columns are not looked at.
     """
     ship_by_value(__name__)

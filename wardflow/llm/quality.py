@@ -14,9 +14,10 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardflow.llm.common import SPACE_CLASS, words
+from wardflow.llm.common import words
 
 SYMBOLS = r"#*$%&|<>"
+HAS_WORD = r"[^ \t\n\x0B\f\r]"
 WINDOW = 8
 
 
@@ -71,7 +72,7 @@ def measured(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     array is built twice.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    lines = F.filter(F.split(text, "\n"), lambda x: F.regexp_replace(x, SPACE_CLASS + "+", "") != "")
+    lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(HAS_WORD))
     df = df.select(F.col(id_col).alias("__id"), text.alias("__text"), words(F.col(text_col)).alias("__words"),
                    lines.alias("__lines"))
     df = df.withColumn("__windows", F.when(

@@ -121,8 +121,10 @@ def _mask(bits) -> int:
 def _index(rows: DataFrame, parents: dict[int, Variant], first_id: int) -> tuple[DataFrame, dict[int, Variant]]:
     """One row (path, key, side, fp) per variant of each row's path.  The
     variant table is fixed by the bit layout (a few thousand rows at most),
-    never by the data, and is broadcast."""
+    never by the data, and is broadcast.  Rows are dealt out evenly first:
+    each becomes dozens, however few files they come in."""
     spark = rows.sparkSession
+    rows = rows.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "fp")
     made: dict[int, Variant] = {}
     table = []
     for pid, parent in parents.items():

@@ -136,3 +136,25 @@ def test_best_fit_is_best_fit():
     p = packing.Packing(10)
     p.best_fit([0, 1, 2, 3], [6, 5, 4, 5])
     assert sorted(map(sorted, p.bins)) == [[0, 2], [1, 3]]
+
+
+def test_runs_of_equal_texts():
+    for texts in ([], ["a"], [None, None, "", ""], ["a", "a", "b", "a", None, "a"], ["x"] * 5):
+        firsts, repeats = packing._runs(pa.array(texts, pa.string()))
+        again = [texts[f] for f, n in zip(firsts.to_pylist(), repeats) for _ in range(n)]
+        assert again == texts
+        # slices of a batch, too
+        firsts, repeats = packing._runs(pa.array(["z", *texts], pa.string()).slice(1))
+        assert [texts[f] for f, n in zip(firsts.to_pylist(), repeats) for _ in range(n)] == texts
+
+
+def test_copies_are_packed_each(spark):
+    texts = ["a b c", "a b c", None, None, "word " * 5000, "word " * 5000, "a b c"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    got = packing.pack(df).collect()
+    by = {}
+    for r in got:
+        by.setdefault(r.doc_id, []).append((r.piece, r.start, r.length, r.ids_crc32))
+    assert len({r["__row"] for r in got}) == len(got) and set(by) == set(range(7))
+    assert sorted(by[0]) == sorted(by[1]) == sorted(by[6]) and sorted(by[4]) == sorted(by[5]) and len(by[4]) == 3
+    assert by[2] == by[3] == [(0, 0, 1, by[2][0][3])]

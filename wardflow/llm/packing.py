@@ -26,6 +26,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -275,6 +276,14 @@ def evolve(population: list[Packing], lengths: list[int], generations: int, rnd:
 # Spark steps
 # ---------------------------------------------------------------------------
 
+def _runs(texts: pa.Array) -> tuple[pa.Array, list[int]]:
+    """First rows and lengths of the runs of equal texts (the copies that a
+    mix makes follow one another, and are tokenized once)."""
+    same = pc.fill_null(pc.equal(texts.slice(1), texts.slice(0, max(len(texts) - 1, 0))), False)
+    firsts = np.flatnonzero(np.concatenate(([True] * min(len(texts), 1), ~same.to_numpy(zero_copy_only=False))).astype(bool))
+    return pa.array(firsts), np.diff(np.append(firsts, len(texts))).tolist()
+
+
 def pieces(df: DataFrame, id_cols: list[Column], text: Column, json_text: str, capacity: int) -> DataFrame:
     """``id_cols`` plus one row per piece of the text's ids and the end id:
     __row (unique key), __piece, __start, __length, __crc."""
@@ -292,13 +301,17 @@ def pieces(df: DataFrame, id_cols: list[Column], text: Column, json_text: str, c
         step = 4 * capacity
         for batch in batches:
             of, rows = [], []
-            for r, ids in enumerate(tok.batch_ids(batch.column(n_ids))):
+            firsts, repeats = _runs(batch.column(n_ids))
+            r = 0
+            for ids, n in zip(tok.batch_ids(batch.column(n_ids).take(firsts)), repeats):
                 ids += END_ID.to_bytes(4, "little")
-                for k, at in enumerate(range(0, len(ids), step)):
-                    part = ids[at:at + step]
-                    rows.append((key, k, at // 4, len(part) // 4, zlib.crc32(part)))
-                    of.append(r)
-                    key += 1
+                cut_up = [(k, at // 4, len(part) // 4, zlib.crc32(part)) for k, at in enumerate(range(0, len(ids), step))
+                          for part in (ids[at:at + step],)]
+                for r in range(r, r + n):
+                    rows += [(key + k, k, *rest) for k, *rest in cut_up]
+                    of += [r] * len(cut_up)
+                    key += len(cut_up)
+                r += 1
             cols = np.array(rows, np.int64).reshape(-1, len(made)).T
             take = pa.array(of, pa.int64())
             yield pa.RecordBatch.from_arrays([c.take(take) for c in batch.columns[:n_ids]] + [pa.array(c) for c in cols],

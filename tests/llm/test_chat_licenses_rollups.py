@@ -1,18 +1,18 @@
 import random
+import uuid
+from functools import reduce
 
-import pytest
-from oracle_util import assert_same
+from oracle_util import assert_same, duck
 from pyspark.sql import functions as F
 
-from wardflow.llm import chat, licenses, queries, rollups
+from wardflow.llm import chat, licenses, oracle, queries, rollups
 from wardflow.session import checkpoint_dir
 
 SF = "/root/testdata/sf0.01"
 
 
-@pytest.mark.parametrize("name", ["op2_chat_preferences", "op9_token_counts"])
-def test_oracle(spark, name):
-    assert_same(spark, name, SF)
+def test_oracle(spark):
+    assert_same(spark, "op2_chat_preferences", SF)
 
 
 # -- chat -------------------------------------------------------------------
@@ -81,7 +81,7 @@ def test_license_wording(spark):
 
 def test_rollup_follows_the_documents(spark):
     rnd = random.Random(5)
-    path = f"{checkpoint_dir(spark)}/rollup-{rnd.getrandbits(40)}"
+    path = f"{checkpoint_dir(spark)}/rollup-{uuid.uuid4().hex}"
     live, schema = {}, "source string, lang string, tokenizer string, n_tokens long, n_docs string"
     keys = [(s, g, t) for s in ("hot", "b", None) for g in ("en", None) for t in ("v1", "v2")]
 
@@ -110,7 +110,92 @@ def test_rollup_follows_the_documents(spark):
     assert not rollup.committed("b/0")
 
 
+#: Tokens by a pattern: what SQL can count, too.
+PATTERNS = {"words-1": r"[^\x20\x09-\x0D]+", "pieces-2": r"[\p{L}\p{N}]+|[^\p{L}\p{N}\x09-\x0D\x20]"}
+
+
+def test_batches_against_sql(spark):
+    """The three batches with tokens counted by patterns, against DuckDB."""
+    bucket = F.crc32(F.col("doc_id").cast("string")) % 10
+    rest = F.expr("if(contains(text, '\n'), substr(text, instr(text, '\n') + 1), text)")
+
+    def count(text, p):
+        return F.coalesce(F.regexp_count(text, F.lit(p)), F.lit(0)).cast("long")
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    counts = reduce(lambda a, b: a.union(b), [
+        docs.select("source", "lang", bucket.alias("bucket"), F.lit(v).alias("tokenizer"), count(F.col("text"), p).alias("n_tokens"),
+                    count(rest, p).alias("n_revised")) for v, p in PATTERNS.items()])
+    got = queries._three_batches(counts)
+    want = duck(SF).execute(oracle.TOKEN_COUNTS).fetchall()
+    cols = ["source", "lang", "tokenizer", "n_docs", "n_tokens"]
+    assert sorted(map(tuple, got.select(*cols).collect()), key=str) == sorted(want, key=str)
+
+
+def plain_counts(text):
+    """Tokens of a text by the libraries' own tokenizers."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    if not hasattr(plain_counts, "kept"):
+        plain_counts.kept = {}
+        for v, file in ((rollups.TOKENIZERS[0], "word_bpe_49k.json"), (rollups.TOKENIZERS[1], "byte_bpe_50k.json")):
+            plain_counts.kept[v] = Tokenizer.from_file(public_tokenizers.path(file))
+        # special tokens are ordinary text to the ranks of the second
+        plain_counts.kept[rollups.TOKENIZERS[1]].encode_special_tokens = True
+    return {v: len(t.encode(text or "", add_special_tokens=False).ids) for v, t in plain_counts.kept.items()}
+
+
+def test_query_against_plain_counts(spark):
+    import zlib
+    sf = "/root/testdata/sf0.001"
+    want = {}
+    for r in spark.read.parquet(f"{sf}/documents.parquet").collect():
+        bucket = zlib.crc32(str(r.doc_id).encode()) % 10
+        text = r.text
+        if bucket == 5 and text and "\n" in text:
+            text = text[text.index("\n") + 1:]
+        for v, n in plain_counts(text).items() if bucket != 3 else ():
+            a = want.setdefault((r.source, r.lang, v), [0, 0])
+            a[0] += 1
+            a[1] += n
+    got = queries.QUERIES["op9_token_counts"](spark, sf)
+    assert {(r.source, r.lang, r.tokenizer): [r.n_docs, r.n_tokens] for r in got.collect()} == want
+
+
 def test_count_tokens(spark):
-    df = spark.createDataFrame([(None,), ("",), ("it's 5€ \x0b x",)], "t string")
-    for v, want in (("words-1", [0, 0, 3]), ("pieces-2", [0, 0, 6])):
-        assert [r[0] for r in df.select(rollups.count_tokens(F.col("t"), v)).collect()] == want
+    texts = [None, "", " \n\t ", "it's 5\u20ac \x0b x", "<|endoftext|> and", "word " * 100_000, "a" * 20_000, "x", "x"]
+    df = spark.createDataFrame([(k, t, 1) for k, t in enumerate(texts)], "k long, t string, tokenizer long")
+    got = rollups.with_token_counts(df, [F.col("k")], {"n": F.col("t"), "m": F.lit(None).cast("string")}).collect()
+    assert len(got) == 2 * len(texts) and {r.m for r in got} == {0}
+    for r in got:
+        assert r.n == plain_counts(texts[r.k])[r.tokenizer] or (r.k == 4 and r.tokenizer == rollups.TOKENIZERS[0])
+    assert rollups.with_token_counts(df.limit(0), [F.col("k")], {"n": F.col("t")}).isEmpty()
+
+
+def test_compaction_and_lost_races(spark):
+    path = f"{checkpoint_dir(spark)}/rollup-{uuid.uuid4().hex}"
+    rollup = rollups.TokenRollup(spark, path)
+
+    def rows(*n):
+        return spark.createDataFrame([("a.b", None, "v", k) for k in n], "source string, lang string, tokenizer string, n_tokens long")
+
+    def totals():
+        return [tuple(r) for r in rollups.TokenRollup(spark, path).totals().collect()]
+    rollup.compact()
+    assert rollup.totals().isEmpty()
+    assert rollup.commit("empty", rollups.changes(None, rows().limit(0))) and rollup.totals().isEmpty()
+    for k in range(3):
+        assert rollup.commit(f"x/{k}", rollups.changes(None, rows(k, 10)))
+        rollup.compact()
+        assert totals() == [("a.b", None, "v", 2 * (k + 1), sum(range(k + 1)) + 10 * (k + 1))]
+    # merged batches are known though their folders are gone
+    assert not rollup.commit("x/0", rollups.changes(None, rows(1)))
+    assert not rollup._fs.exists(rollup._path(rollup._folder("x/0")))
+    assert sorted(rollup._names("base")) == ["2", "3"]
+    # another writer commits the same batch between this one's look and its rename
+    staged = rollup._stage(rollups.changes(None, rows(5)))
+    assert rollup.commit("y", rollups.changes(None, rows(7)))
+    assert not rollup._rename(staged, rollup._folder("y"))
+    assert totals() == [("a.b", None, "v", 7, 40)]
+    # a batch that was only staged does not count
+    rollup._stage(rollups.changes(None, rows(1000)))
+    assert totals() == [("a.b", None, "v", 7, 40)] and not rollup.committed("z")

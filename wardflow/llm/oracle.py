@@ -135,6 +135,7 @@ FROM d LEFT JOIN z a ON a.conv_id = d.conv_id AND a.part = 'p' LEFT JOIN z b ON
   LEFT JOIN z e ON e.conv_id = d.conv_id AND e.part = 'r'
 """
 
+#: The batches of op9, with tokens counted by two patterns: SQL cannot count by a vocabulary file (a test runs it).
 TOKEN_COUNTS = r"""
 WITH RECURSIVE ids AS (SELECT doc_id, encode(doc_id::VARCHAR) AS b FROM documents),
 -- crc32 of the id's text, bit by bit

@@ -114,25 +114,30 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_blocks(documents(spark, sf_dir, "doc_id", "text"))
 
 
-@register("op9_token_counts", oracle.TOKEN_COUNTS)
+@register("op9_token_counts")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token totals after three batches over all documents: all inserted,
     those with crc32(id) = 3 modulo 10 deleted (sent twice), those with 5
-    revised to their text from its second line on."""
+    revised to their text from its second line on; then compacted."""
     bucket = F.crc32(F.col("doc_id").cast("string")) % 10
     rest = F.expr("if(contains(text, '\n'), substr(text, instr(text, '\n') + 1), text)")
-    versions = F.explode(F.array(*[
-        F.struct(F.lit(v).alias("tokenizer"), rollups.count_tokens(F.col("text"), v).alias("n_tokens"),
-                 F.when(bucket == 5, rollups.count_tokens(rest, v)).alias("n_revised"))
-        for v in rollups.TOKENIZERS]))
-    counts = cut(documents(spark, sf_dir, "text", "doc_id", "source", "lang")
-                 .select("source", "lang", bucket.alias("bucket"), versions.alias("v")).select("source", "lang", "bucket", "v.*"))
+    counts = cut(rollups.with_token_counts(
+        documents(spark, sf_dir, "text", "doc_id", "source", "lang"), [F.col("source"), F.col("lang"), bucket.alias("bucket")],
+        {"n_tokens": F.col("text"), "n_revised": F.when(bucket == 5, rest)}))
+    return _three_batches(counts)
+
+
+def _three_batches(counts: DataFrame) -> DataFrame:
+    """Totals of (source, lang, tokenizer, bucket, n_tokens, n_revised) rows,
+    each a document under a tokenizer, by signed batches."""
+    spark = counts.sparkSession
     rollup = rollups.TokenRollup(spark, f"{checkpoint_dir(spark)}/token-counts-{uuid.uuid4().hex}")
     gone, revised = counts.where("bucket = 3"), counts.where("bucket = 5")
     rollup.commit("load", rollups.changes(None, counts))
     rollup.commit("delete", rollups.changes(gone, None))
     rollup.commit("revise", rollups.changes(revised, revised.withColumn("n_tokens", F.col("n_revised"))))
     rollup.commit("delete", rollups.changes(gone, None))
+    rollup.compact()
     return rollup.totals()
 
 

@@ -158,3 +158,8 @@ def test_text_dense_in_license_words():
     scanner = licenses.Scanner(licenses.TEMPLATES)
     text = "license " * 20_000
     assert [(r[0], r[2]) for r in scanner.blocks(text)] == [(0, None)]
+
+
+def test_short_notice_between_words_that_save_little():
+    text = "Released under the MIT License. athahe tint ertioninghe ofndheou " + prose(50, 9)
+    assert [r[2] for r in licenses.Scanner(licenses.TEMPLATES).blocks(text)] == ["MIT"]

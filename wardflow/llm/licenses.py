@@ -88,8 +88,9 @@ TRIGGER = r"(?i)licen[sc]|copyright|all rights reserved|permission is|warrant(?:
 LEVEL = 12
 #: Of a template's words, this share may differ (short notices: none).
 MAX_DIFFERENT = 0.05
-#: A candidate saves at least this share of what its template saves of itself.
-LEAST_SAVED = 0.5
+#: A candidate saves at least this share of what its template saves of itself (a notice
+#: between other words saves over 0.4 of it in the least of 300 places a template).
+LEAST_SAVED = 0.2
 #: Words compressed, or aligned, at once.
 PIECE = 1024
 #: Blocks whose savings a worker remembers (copies of a notice are scored once).

@@ -39,7 +39,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     carried along whatever their names."""
     model = langid.learn_from_open(docs.select("doc_id", "text", "lang"))
     own = _columns(docs, "text")
-    known = langid.predict(packed(docs, **own), model, F.col("text"))
+    known = langid.predict(packed(docs, **own), model, "text")
     known = known.where((F.col("__lang_pred") != langid.UNDETERMINED)
                         & (F.col("__score") >= least_score(len(model.langs) if model else 0)))
     return known.select(*unpacked(known, docs.columns, **own))

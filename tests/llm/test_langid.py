@@ -65,3 +65,22 @@ def test_whole_text_in_blocks():
     own = [langid.label(m, [t])[0][0] * len(t) for t in parts]
     assert p[0] == pytest.approx(sum(own) / len(text), rel=1e-4)
     assert votes[0].sum() == len(text) and votes[1].sum() == 1
+
+
+def test_a_pass_over_texts_is_held_to_a_few_blocks():
+    import tracemalloc
+    model = langid.new_model(["a", "b", "c", "d", "e"], langid.HIDDEN, np.random.default_rng(1))
+    texts = [b"some words here " * 128] * (langid.BYTES_AT_ONCE // 2048)
+    tracemalloc.start()
+    pooled, _ = langid.label(model, texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 48 << 20 and len(pooled) == len(texts)
+
+
+def test_a_named_text_column_is_sent_once(spark):
+    df = spark.createDataFrame([(1, "ab ab ab", "x"), (2, None, "y"), (3, "zz", None)], "doc_id long, text string, other string")
+    model = langid.new_model(["a", "b"], 4, np.random.default_rng(2))
+    by_name, by_column = langid.predict(df, model, "text"), langid.predict(df, model, F.col("text"))
+    assert sorted(map(str, by_name.collect())) == sorted(map(str, by_column.collect()))
+    assert "__text" not in by_name._jdf.queryExecution().optimizedPlan().toString()

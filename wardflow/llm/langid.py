@@ -32,8 +32,8 @@ DOCS_PER_LANG = 600
 BLOCKS_PER_DOC = 6
 UNDETERMINED = "und"
 #: Bytes a task labels at once, and blocks in one pass of the network.
-BYTES_AT_ONCE = 1 << 22
-BLOCKS_AT_ONCE = 4096
+BYTES_AT_ONCE = 1 << 20
+BLOCKS_AT_ONCE = 2048
 LETTER = regex.compile(r"\p{L}")
 
 
@@ -267,9 +267,10 @@ def learn(df: DataFrame, docs_per_lang: int = DOCS_PER_LANG, blocks_per_doc: int
     return train(blocks, real, np.array([number[sample[i][0]] for i in of]), langs)
 
 
-def predict(df: DataFrame, model: Model | None, text: Column) -> DataFrame:
+def predict(df: DataFrame, model: Model | None, text: Column | str) -> DataFrame:
     """``df`` plus ``__lang_pred``, ``__score`` (pooled probability of it) and
-    ``__lang_share`` (share of positions labelled with it).
+    ``__lang_share`` (share of positions labelled with it).  ``text`` is a
+    column, or the name of one of ``df``, which is then sent to the workers once.
 
     Null texts and texts without a letter are ``und`` with score 0, and so
     is everything if there was nothing to learn from.  Ties go to the first
@@ -278,8 +279,11 @@ def predict(df: DataFrame, model: Model | None, text: Column) -> DataFrame:
     whatever their names.  An empty table gives an empty result.
     """
     ship_by_value(__name__)
-    inp = df.select("*", text.alias("__text"))
-    out = T.StructType([f for f in inp.schema.fields if f.name != "__text"] + [
+    named = isinstance(text, str)
+    inp = df if named else df.select("*", text.alias("__text"))
+    n_cols = len(df.columns)
+    at = df.columns.index(text) if named else n_cols
+    out = T.StructType([*inp.schema.fields[:n_cols],
         T.StructField("__lang_pred", T.StringType()), T.StructField("__score", T.DoubleType()),
         T.StructField("__lang_share", T.DoubleType())])
 
@@ -296,7 +300,7 @@ def predict(df: DataFrame, model: Model | None, text: Column) -> DataFrame:
                         names[r], scores[r], shares[r] = model.langs[k], min(probs[k], 1.0), v[k] / len(data)
                     group.clear()
 
-            for r, t in enumerate(b.column(b.num_columns - 1)):
+            for r, t in enumerate(b.column(at)):
                 t = t.as_py()
                 if model is None or t is None or not LETTER.search(t):
                     continue
@@ -306,8 +310,9 @@ def predict(df: DataFrame, model: Model | None, text: Column) -> DataFrame:
                     flush()
                     size = 0
             flush()
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(names, pa.string()), pa.array(scores),
+            yield pa.RecordBatch.from_arrays([*b.columns[:n_cols], pa.array(names, pa.string()), pa.array(scores),
                                               pa.array(shares)], names=out.names)
+        pa.default_memory_pool().release_unused()  # the worker goes on to other stages
 
     return inp.mapInArrow(run, out)
 

@@ -55,6 +55,53 @@ def test_a_long_span_lies_in_two_buckets_at_most(spark):
     assert {r.n for r in df.select(n.alias("n")).collect()} <= {1, 2}
 
 
+def test_few_spans_a_key_need_no_buckets(spark):
+    t0 = dt.datetime(2020, 1, 1)
+    day = dt.timedelta(days=1)
+    ev = spark.createDataFrame([(i, i % 5 or None, t0 + i * day) for i in range(100)], "id int, k int, charttime timestamp_ntz")
+    rows = [(i, i % 6 or None, t0 + i * 9 * day, t0 + i * 9 * day + (i % 4) * 20 * day) for i in range(40)]
+    cols = "span int, k int, intime timestamp_ntz, outtime timestamp_ntz"
+    hot = rows + [(100 + i, 1, t0 + i * day, t0 + i * day) for i in range(intervals.FEW_SPANS)]
+    for spans, few in ((rows, True), (hot, False)):
+        out = interval_join(ev, spark.createDataFrame(spans, cols), "k", span_columns=["span"])
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        assert ("__bucket" not in plan and "Generate" not in plan) == few
+        want = sorted((i, s) for i in range(100) for s, k, a, b in spans if k and k == (i % 5 or None)
+                      and a - dt.timedelta(hours=1) <= t0 + i * day <= b + dt.timedelta(hours=1))
+        assert sorted(map(tuple, out.select("id", "span").collect())) == want and want
+
+
+def _moved(spark, query):
+    """Shuffles (first uses) of a query where nothing is broadcast."""
+    from wardflow.plans import catalogue
+    keys = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    old = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, "-1")
+        plan = catalogue.QUERIES[query](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    return [line for line in plan.split("\n") if "Exchange hashpartitioning(" in line and "Reused" not in line]
+
+
+def test_the_lab_view_moves_a_lab_row_once(spark):
+    moved = _moved(spark, "view_adult_labevents")
+    assert len(moved) == 3  # lineitem, orders, stays
+    assert not any("bucket" in m for m in moved)
+
+
+def test_no_log_is_moved_to_the_admissions(spark):
+    """A log lies by its admission already: its rows go to the subjects' join
+    only, the chart log's as rows of its branches."""
+    moved = _moved(spark, "long_union")
+    assert not any("bucket" in m for m in moved)
+    # one shuffle each: lineitem and orders for six scans; the cohort's subjects, admissions and stays;
+    # the rows of four logs on their way to the subjects
+    assert sum("subject_id" in m for m in moved) <= 8, moved
+
+
 def test_no_spans_and_no_events(spark):
     ev = spark.createDataFrame([(1, dt.datetime(2020, 1, 1))], "k int, charttime timestamp_ntz")
     sp = spark.createDataFrame([(1, dt.datetime(2020, 1, 1), dt.datetime(2020, 1, 2))], "k int, intime timestamp_ntz, outtime timestamp_ntz")
@@ -81,7 +128,7 @@ def test_encode_moves_no_documents(spark):
     words = vocab.build_vocab(docs, 500)
     out = vocab.encode(docs, words)
     by_join = vocab.encode_by_join(docs, words)
-    assert sorted(map(str, out.select(ev.columns).collect())) == sorted(map(str, by_join.collect()))
+    assert sorted(map(str, out.collect())) == sorted(map(str, by_join.collect()))
     main = _plan(vocab.encode(docs, spark.createDataFrame(words.collect()))).split("Subquery")[0]
     assert "Exchange" not in main and "Join" not in main and "Generate" not in main
     assert {r.doc_id: r.ids for r in out.where("doc_id < 0").collect()} == {-1: [1], -2: [1], -3: [1]}

@@ -4,7 +4,10 @@ An event row matches a span row when the equi keys are equal and
 
     ts - start >= -tolerance   and   end - ts >= -tolerance
 
-(both inclusive).  Time is cut into buckets on several levels, each
+(both inclusive).  Where every key has at most ``FEW_SPANS`` spans (an
+admission's stays), the equi keys alone make the join: an event is moved once,
+or not at all where it already lies by its key, and meets no more spans than
+that.  Otherwise time is cut into buckets on several levels, each
 ``FACTOR`` times as wide as the one below.  A span, with its tolerance, goes
 to the lowest level whose buckets are as wide as the span is long, so it lies
 in two buckets there at most, however long it is; an event looks into one
@@ -30,6 +33,8 @@ BUCKET_SECONDS = 7 * 86400
 #: Each level's buckets are so many times as wide as those of the level below.
 FACTOR_BITS = 4
 FACTOR = 1 << FACTOR_BITS
+#: Spans that a key may have for its events to be joined without buckets.
+FEW_SPANS = 16
 
 
 def span_level(length: Column, width: int) -> Column:
@@ -46,6 +51,12 @@ def _bucket(micros: Column, width: int, level: Column) -> Column:
     return F.floor(micros / F.call_function("shiftleft", F.lit(width), level * FACTOR_BITS))
 
 
+def _crowded(spans: DataFrame, keys: list[str]) -> bool:
+    """Whether a key has more than ``FEW_SPANS`` spans (partial counts before
+    the shuffle; only the keys move)."""
+    return not spans.groupBy(*keys).agg(F.count("*").alias("n")).where(F.col("n") > FEW_SPANS).isEmpty()
+
+
 def interval_join(events: DataFrame, spans: DataFrame, on: str | list[str],
                   ts: str = "charttime", start: str = "intime", end: str = "outtime",
                   tolerance_seconds: float = 3600, span_columns: list[str] | None = None,
@@ -57,9 +68,11 @@ def interval_join(events: DataFrame, spans: DataFrame, on: str | list[str],
     only when listed here, so C3 (stay id from the span) and C4 (stay id kept
     from the event) are the same call with different ``span_columns``.
 
-    The levels in use come from one aggregate over the spans (a scalar
-    subquery of a few small numbers).  Skew: a key holding a large share of the events is split by its time
-    buckets, and a hot bucket by AQE's skew join.  ``salt > 1`` splits it
+    One count of the spans by key, run here, tells whether any key has more
+    than ``FEW_SPANS``.  If so, the levels in use come from one aggregate over
+    the spans (a scalar subquery of a few small numbers).  Skew: a key holding
+    a large share of the events is split by its time buckets if it has many
+    spans, a key of few spans or a hot bucket by AQE's skew join.  ``salt > 1`` splits it
     explicitly instead (for sessions without AQE): each event gets a deterministic salt in
     [0, salt) from a hash of its row, each span row is repeated once per salt
     value, and the salt joins the equi keys, so a hot key's events spread
@@ -82,13 +95,16 @@ def interval_join(events: DataFrame, spans: DataFrame, on: str | list[str],
     lo = epoch_micros(F.col(f"__s_{start}")) - tol
     hi = epoch_micros(F.col(f"__s_{end}")) + tol
     # NULL times match nothing, nor do spans that end before they start
-    s = s.where(lo <= hi).withColumn("__k___level", span_level(hi - lo, width))
-    levels = s.agg(F.collect_set("__k___level").alias("levels"))
-    first, last = _bucket(lo, width, F.col("__k___level")), _bucket(hi, width, F.col("__k___level"))
-    s = s.withColumn("__k___bucket", F.explode(F.when(first < last, F.array(first, last)).otherwise(F.array(first))))
-    ev = ev.withColumn("__levels", levels.scalar()).withColumn("__level", F.explode_outer("__levels")).drop("__levels")
-    ev = ev.withColumn("__bucket", _bucket(epoch_micros(F.col(ts)), width, F.col("__level")))
-    equal = [*on, "__level", "__bucket"]
+    s = s.where(lo <= hi)
+    equal = list(on)
+    if _crowded(s, [f"__k_{k}" for k in on]):
+        s = s.withColumn("__k___level", span_level(hi - lo, width))
+        levels = s.agg(F.collect_set("__k___level").alias("levels"))
+        first, last = _bucket(lo, width, F.col("__k___level")), _bucket(hi, width, F.col("__k___level"))
+        s = s.withColumn("__k___bucket", F.explode(F.when(first < last, F.array(first, last)).otherwise(F.array(first))))
+        ev = ev.withColumn("__levels", levels.scalar()).withColumn("__level", F.explode_outer("__levels")).drop("__levels")
+        ev = ev.withColumn("__bucket", _bucket(epoch_micros(F.col(ts)), width, F.col("__level")))
+        equal += ["__level", "__bucket"]
     if salt > 1:
         equal.append("__salt")
         ev = ev.withColumn("__salt", F.pmod(F.xxhash64(*[F.col(c) for c in out_cols]),

@@ -199,16 +199,17 @@ def clinical_tables(spark: SparkSession, base: str) -> dict[str, DataFrame]:
     customer = load(spark, base, "customer")
     orders = load(spark, base, "orders")
     lineitem = load(spark, base, "lineitem")
-    # the seven logs are projections of one join
+    # the seven logs are projections of one join, on the key as the clinical schemas have it
+    # (int): a log then lies by its admission, and joins on that move none of its rows again
+    order = F.col("o_orderkey").cast("int").alias("order")
     used = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
             "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_shipdate"]
-    lo = lineitem.select(*used).join(
-        orders.select("o_orderkey", "o_custkey", "o_orderdate"),
-        F.col("l_orderkey") == F.col("o_orderkey"))
+    lo = lineitem.select(*used, F.col("l_orderkey").cast("int").alias("line_order")).join(
+        orders.select(order, "o_custkey", "o_orderdate"), F.col("line_order") == F.col("order"))
     pools = code_pools()
     row_id = F.col("l_orderkey") * 8 + F.col("l_linenumber")
-    subj, hadm = F.col("o_custkey").alias("subject_id"), F.col("o_orderkey").alias("hadm_id")
-    stay = F.col("o_orderkey").alias("icustay_id")
+    subj, hadm = F.col("o_custkey").alias("subject_id"), F.col("line_order").alias("hadm_id")
+    stay = F.col("line_order").alias("icustay_id")
     line = F.col("l_linenumber")
     chart_v = F.when(line != 7, F.col("l_quantity") * 2)
     chart = lo.select(

@@ -69,8 +69,8 @@ def union_all(branches: list[DataFrame]) -> DataFrame:
 
 # --- the eight branches over the clinical schema ----------------------------
 
-def chart_branches(chart: DataFrame, cohort: DataFrame,
-                   temp_category: str = "Temperature") -> DataFrame:
+def chart_branches(chart: DataFrame, cohort: DataFrame, temp_category: str = "Temperature",
+                   subjects: DataFrame | None = None) -> DataFrame:
     """The chart, FiO2 and temperature branches in one pass over the chart
     log: the codes of all three reach the scan together, each row then
     yields one long row per branch whose rule it meets.
@@ -80,7 +80,9 @@ def chart_branches(chart: DataFrame, cohort: DataFrame,
     plausibility filter of its own (rows with a NULL result are dropped later
     by the windowed ``valuenum >= 0``).  TEMP's category is emitted under the
     dictionary's name so it reaches the pivot (Q5); pass "TEMP" for the
-    reference text's."""
+    reference text's.  ``subjects`` restricts the rows to its subjects, by
+    their own semi join after the admission test: only the rows of a branch
+    are moved to it, not the log."""
     item = F.col("itemid")
     whitelist = dic.whitelist("chart")
     rows = chart.where(item.isin(sorted({*whitelist, *dic.FIO2_CODES, *dic.TEMP_CODES})))
@@ -100,8 +102,9 @@ def chart_branches(chart: DataFrame, cohort: DataFrame,
         row(item.isin(dic.TEMP_CODES), F.lit(temp_category), units.value_text(temp), temp, F.lit("C")))
     out = rows.select("subject_id", "hadm_id", "icustay_id", "itemid", "charttime",
                       F.explode(F.array_compact(branches)).alias("b"))
-    return to_long(out.select("subject_id", "hadm_id", "icustay_id", "b.itemcat", "itemid",
-                              "charttime", "b.cvalue", "b.valuenum", "b.valueuom"))
+    out = out.select("subject_id", "hadm_id", "icustay_id", "b.itemcat", "itemid",
+                     "charttime", "b.cvalue", "b.valuenum", "b.valueuom")
+    return to_long(out if subjects is None else restrict(out, subjects, "subject_id"))
 
 
 def labs_with_stays(labs: DataFrame, stays: DataFrame,

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardflow.functions import steps
+from wardflow.functions.bloom import maybe_in
 from wardflow.functions.timecols import add_windows
 from wardflow.operators import harmonize as hz
 from wardflow.operators.aggregate import daily_total, pivot_features
@@ -59,14 +60,14 @@ def long_features(patients, icustays, chartevents, labevents, outputevents, inpu
     if materialize_cohort:
         from wardflow.sources.materialize import materialize
         cohort = materialize(cohort, "cohort")
-    chart = restrict(chartevents, cohort, "subject_id", bloom_bits=bloom_bits)
+    chart = maybe_in(chartevents, cohort, ["subject_id"], bloom_bits) if bloom_bits else chartevents
     cv = restrict(inputevents_cv, cohort, "subject_id", bloom_bits=bloom_bits)
     mv = restrict(inputevents_mv, cohort, "subject_id", bloom_bits=bloom_bits)
     labs = hz.labs_with_stays(labevents, restrict(icustays, cohort, "hadm_id"))
     branches = [
-        hz.chart_branches(chart, cohort, temp_category),
+        hz.chart_branches(chart, cohort, temp_category, subjects=cohort),
         hz.lab_branch(labs),
-        hz.gcs_branch(chart),
+        hz.gcs_branch(restrict(chart, cohort, "subject_id")),
         hz.infusion_branch(cv, dic.CV_CODES, "charttime"),
         hz.infusion_branch(mv, dic.MV_CODES, "starttime"),
         hz.urine_branch(outputevents, cohort),

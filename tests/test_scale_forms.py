@@ -63,7 +63,7 @@ def test_few_spans_a_key_need_no_buckets(spark):
     cols = "span int, k int, intime timestamp_ntz, outtime timestamp_ntz"
     hot = rows + [(100 + i, 1, t0 + i * day, t0 + i * day) for i in range(intervals.FEW_SPANS)]
     for spans, few in ((rows, True), (hot, False)):
-        out = interval_join(ev, spark.createDataFrame(spans, cols), "k", span_columns=["span"])
+        out = interval_join(ev, spark.createDataFrame(spans, cols), "k", span_columns=["span"], by_key=True)
         plan = out._jdf.queryExecution().optimizedPlan().toString()
         assert ("__bucket" not in plan and "Generate" not in plan) == few
         want = sorted((i, s) for i in range(100) for s, k, a, b in spans if k and k == (i % 5 or None)

@@ -114,7 +114,7 @@ def labs_with_stays(labs: DataFrame, stays: DataFrame,
     holds the lab time on the same admission."""
     return interval_join(labs, stays, on="hadm_id", ts="charttime",
                          tolerance_seconds=tolerance_seconds, span_columns=["icustay_id"],
-                         salt=salt)
+                         salt=salt, by_key=True)
 
 
 def lab_branch(labs_stays: DataFrame) -> DataFrame:

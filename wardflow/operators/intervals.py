@@ -4,7 +4,7 @@ An event row matches a span row when the equi keys are equal and
 
     ts - start >= -tolerance   and   end - ts >= -tolerance
 
-(both inclusive).  Where every key has at most ``FEW_SPANS`` spans (an
+(both inclusive).  With ``by_key``, and where every key has at most ``FEW_SPANS`` spans (an
 admission's stays), the equi keys alone make the join: an event is moved once,
 or not at all where it already lies by its key, and meets no more spans than
 that.  Otherwise time is cut into buckets on several levels, each
@@ -60,7 +60,7 @@ def _crowded(spans: DataFrame, keys: list[str]) -> bool:
 def interval_join(events: DataFrame, spans: DataFrame, on: str | list[str],
                   ts: str = "charttime", start: str = "intime", end: str = "outtime",
                   tolerance_seconds: float = 3600, span_columns: list[str] | None = None,
-                  salt: int = 1, bucket_seconds: float = BUCKET_SECONDS) -> DataFrame:
+                  salt: int = 1, bucket_seconds: float = BUCKET_SECONDS, by_key: bool = False) -> DataFrame:
     """Inner interval join.
 
     ``span_columns`` are the span-side columns to carry (besides ``start`` and
@@ -68,8 +68,9 @@ def interval_join(events: DataFrame, spans: DataFrame, on: str | list[str],
     only when listed here, so C3 (stay id from the span) and C4 (stay id kept
     from the event) are the same call with different ``span_columns``.
 
-    One count of the spans by key, run here, tells whether any key has more
-    than ``FEW_SPANS``.  If so, the levels in use come from one aggregate over
+    ``by_key`` is for keys that mostly have few spans: one count of the spans
+    by key, run here, tells whether any has more than ``FEW_SPANS``, and if
+    none has, the keys alone are joined.  Otherwise the levels in use come from one aggregate over
     the spans (a scalar subquery of a few small numbers).  Skew: a key holding
     a large share of the events is split by its time buckets if it has many
     spans, a key of few spans or a hot bucket by AQE's skew join.  ``salt > 1`` splits it
@@ -97,7 +98,7 @@ def interval_join(events: DataFrame, spans: DataFrame, on: str | list[str],
     # NULL times match nothing, nor do spans that end before they start
     s = s.where(lo <= hi)
     equal = list(on)
-    if _crowded(s, [f"__k_{k}" for k in on]):
+    if not by_key or _crowded(s, [f"__k_{k}" for k in on]):
         s = s.withColumn("__k___level", span_level(hi - lo, width))
         levels = s.agg(F.collect_set("__k___level").alias("levels"))
         first, last = _bucket(lo, width, F.col("__k___level")), _bucket(hi, width, F.col("__k___level"))

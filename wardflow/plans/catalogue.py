@@ -780,7 +780,7 @@ def clinical_features_w6_as_written(spark, sf_dir):
     TEMP as the temperature's category (Q5), the crosstab bound by position
     in en_US order (Q1), the literal imputation slots (Q2, Q3)."""
     cohort, lng = _clinical(spark, sf_dir, temp_category="TEMP")
-    return rounded(fx.features(fx.windowed_features(lng, cohort), 6, spec=dic.as_written_spec(),
+    return rounded(fx.features(fx.windowed_features(lng, cohort, by_key=True), 6, spec=dic.as_written_spec(),
                                binding=dic.positional_binding("en_US")))
 
 
@@ -809,7 +809,7 @@ def clinical_features_w6(spark, sf_dir):
     """Entry points 2 then 1 on the clinical path: cohort, eight branches,
     windowed table (C4), then the 50-column feature rows."""
     cohort, lng = _clinical(spark, sf_dir)
-    return rounded(fx.features(fx.windowed_features(lng, cohort), 6))
+    return rounded(fx.features(fx.windowed_features(lng, cohort, by_key=True), 6))
 
 
 # ---------------------------------------------------------------------------

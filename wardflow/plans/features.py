@@ -32,13 +32,13 @@ KEYS = ["icustay_id", "tw_hour_idx"]
 
 def windowed_features(long_rows: DataFrame, cohort: DataFrame,
                       tolerance_seconds: float = dic.STAY_TOLERANCE_SECONDS,
-                      hours=(1, 3, 6, 12, 24), salt: int = 1) -> DataFrame:
+                      hours=(1, 3, 6, 12, 24), salt: int = 1, by_key: bool = False) -> DataFrame:
     """C4 + E3 + E4: attach the cohort's stay times by (subject, admission)
     within the tolerance, keep ``valuenum >= 0`` and add the window columns.
     The event keeps its own stay id (Q19).  ``salt`` splits hot admissions
-    explicitly (see ``interval_join``)."""
+    explicitly, ``by_key`` is for admissions of few stays (see ``interval_join``)."""
     j = interval_join(long_rows, cohort, on=["subject_id", "hadm_id"], ts="charttime",
-                      tolerance_seconds=tolerance_seconds, salt=salt)
+                      tolerance_seconds=tolerance_seconds, salt=salt, by_key=by_key)
     j = j.where(F.col("valuenum") >= 0)
     return add_windows(j, "charttime", "intime", hours)
 

@@ -37,7 +37,7 @@ def clinical_views(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
     out[LAB_VIEW] = interval_join(
         tables["labevents"], tables["icustays"], on="hadm_id", ts="charttime",
         tolerance_seconds=dic.STAY_TOLERANCE_SECONDS,
-        span_columns=["icustay_id"]).select(*LAB_COLUMNS)
+        span_columns=["icustay_id"], by_key=True).select(*LAB_COLUMNS)
     return out
 
 
